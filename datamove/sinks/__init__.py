@@ -1,4 +1,11 @@
-from datamove.sinks.publish import JdbcWarehouse, active_copy, next_copy, publish_ab, publish_warehouse
+from datamove.sinks.publish import (
+    JdbcWarehouse,
+    active_copy,
+    next_copy,
+    publish_ab,
+    publish_warehouse,
+    view_property,
+)
 from datamove.sinks.tables import (
     ensure_database,
     merge_into_partitions,
@@ -19,5 +26,6 @@ __all__ = [
     "publish_warehouse",
     "run_transform",
     "snapshot_copy",
+    "view_property",
     "write_table",
 ]

@@ -26,12 +26,15 @@ def next_copy(active: str | None) -> str:
 
 def active_copy(spark: SparkSession, place: Place) -> str | None:
     """Suffix of the copy the stable name shows now, or None before the first publish."""
+    return view_property(spark, place, _ACTIVE)
+
+
+def view_property(spark: SparkSession, place: Place, key: str) -> str | None:
+    """A property of the stable view, or None where the view or the property is missing."""
     if not spark.catalog.tableExists(place.table):
         return None
-    for row in spark.sql(f"SHOW TBLPROPERTIES {place.table}").collect():
-        if row["key"] == _ACTIVE:
-            return row["value"]
-    return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {place.table}").where(F.col("key") == key).first()
+    return None if found is None else found["value"]
 
 
 def publish_ab(
@@ -76,14 +79,15 @@ def publish_ab(
 def publish_warehouse(df: DataFrame, place: Place, columns: str) -> str:
     """Load ``df`` into the idle warehouse table and repoint the view; returns the suffix.
 
-    The table is created from ``columns`` (a DDL column list) if it is absent, emptied, and
-    filled by column name; then the view over it is replaced.
+    The table is created from ``columns`` (a DDL column list, with or without its outer
+    parentheses) if it is absent, emptied, and filled by column name; then the view over it
+    is replaced.
     """
     spark = df.sparkSession
     ensure_database(spark, place.database)
     copy = next_copy(active_copy(spark, place))
     physical = f"{place.database}.{place.name}{copy}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {physical} ({columns}) USING parquet LOCATION '{place.path}{copy}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {physical} ({bare_columns(columns)}) USING parquet LOCATION '{place.path}{copy}'")
     # Overwriting a table in place truncates and loads it in one committed write.
     df.select(*spark.table(physical).columns).write.mode("overwrite").insertInto(physical)
     _repoint(spark, place, physical, copy)
@@ -109,7 +113,7 @@ class JdbcWarehouse:
         table = f"{self.schema}.{name}{copy}"
         options = self.connection.connection() | {"dbtable": table, "truncate": "true"}
         if columns is not None:
-            options["createTableColumnTypes"] = columns
+            options["createTableColumnTypes"] = bare_columns(columns)
         df.write.format("jdbc").options(**options).mode("overwrite").save()
         loaded = self.connection.query(spark, f"SELECT COUNT(*) AS n FROM {table}").first()[0]
         expected = df.agg(F.count(F.lit(1))).first()[0]
@@ -131,6 +135,11 @@ class JdbcWarehouse:
             opened.close()
 
 
+def bare_columns(columns: str) -> str:
+    text = columns.strip()
+    return text[1:-1] if text.startswith("(") and text.endswith(")") else text
+
+
 def _repoint(spark: SparkSession, place: Place, physical: str, copy: str) -> None:
     spark.sql(
         f"CREATE OR REPLACE VIEW {place.table} TBLPROPERTIES ('{_ACTIVE}' = '{copy}') AS SELECT * FROM {physical}"

@@ -1,3 +1,3 @@
-from datamove.streaming.files_once import ingest_files_once
+from datamove.streaming.files_once import Landing, ingest_files_once, replace_with_new_files
 
-__all__ = ["ingest_files_once"]
+__all__ = ["Landing", "ingest_files_once", "replace_with_new_files"]

@@ -2,87 +2,120 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from datamove.functions.flatten import flatten_structs
+from datamove.layout import Place
+from datamove.sinks.publish import publish_ab, view_property
 from datamove.sinks.tables import ensure_database
-from datamove.sources.files import (
-    delimited_options,
-    file_type,
-    json_options,
-    read_delimited,
-    select_files,
-    selection,
-)
-
-
-def ingest_files_once(
-    spark: SparkSession,
-    landing: str,
-    kind: str,
-    table: str,
-    path: str,
-    checkpoint: str,
-    schema: T.StructType | str | None = None,
-    prefix: str = "",
-    delimiter: str | None = None,
-    header: bool = True,
-    multi_line: bool = True,
-    archive: str | None = None,
-    files_per_batch: int | None = None,
-) -> DataFrame:
+from datamove.sources.files import delimited_options, file_type, json_options, select_files, selection
+
+# Column of the arrivals table that marks the batch, and the view property that names the
+# batch it shows.
+_BATCH = "arrived_batch"
+_PUBLISHED = "datamove.arrived_batch"
+
+
+@dataclass(frozen=True)
+class Landing:
+    """Files that arrive in a directory, and how to read them.
+
+    ``archive`` (outside ``path``) is where finished files are moved; a file moves one batch
+    after it was loaded.  ``files_per_batch`` bounds the files one batch takes on a large
+    backlog.  Give ``schema`` for anything but a first look: an inferred one costs a pass
+    over all landed files and may differ between calls.
+    """
+
+    path: str
+    kind: str
+    prefix: str = ""
+    schema: T.StructType | str | None = None
+    delimiter: str | None = None
+    header: bool = True
+    multi_line: bool = True
+    archive: str | None = None
+    files_per_batch: int | None = None
+
+
+def ingest_files_once(spark: SparkSession, landing: Landing, table: str, path: str, checkpoint: str) -> DataFrame:
     """Append the files that landed since the last call to ``table``; returns the table.
 
     A file stream that stops when it has caught up: the checkpoint remembers which files
     were taken and the sink's commit log which batches are complete, so a file is loaded
-    once even when a run fails half-way and is repeated.  ``archive`` (outside ``landing``)
-    is where finished files are moved; a file moves one batch after it was loaded.
-    ``files_per_batch`` bounds the files one batch takes on a large backlog.
+    once even when a run fails half-way and is repeated.  Nothing new is success.  When the
+    table exists, its column types win.
+    """
+    return _run(spark, landing, table, path, checkpoint, stamp=None)
+
+
+def replace_with_new_files(spark: SparkSession, landing: Landing, place: Place, checkpoint: str) -> DataFrame:
+    """Make ``place`` hold just the files that landed since the last call; returns it.
 
-    Nothing new is success.  Give the ``schema`` of the files for anything but a first look:
-    an inferred one costs a pass over all landed files and may differ between calls.  When
-    the table exists, its column types win.
+    The stream first appends them to an arrivals table, marked with the time of their batch;
+    the newest batch is then published.  What was published is noted on the view, so a run
+    that failed in between is made up for by the next one, and a call without new files
+    leaves the table alone.
     """
+    landing = replace(landing, files_per_batch=None)
+    arrivals = f"{place.database}.{place.name}_arrivals"
+    arrived = _run(spark, landing, arrivals, f"{place.path}_arrivals", checkpoint, stamp=_BATCH)
+    newest = arrived.agg(F.max(_BATCH).cast("string")).first()[0] if arrived.columns else None
+    if newest is None:
+        return arrived.drop(_BATCH)
+    if view_property(spark, place, _PUBLISHED) != newest:
+        publish_ab(arrived.where(F.col(_BATCH) == F.lit(newest).cast("timestamp")).drop(_BATCH), place)
+        spark.sql(f"ALTER VIEW {place.table} SET TBLPROPERTIES ('{_PUBLISHED}' = '{newest}')")
+    return spark.table(place.table)
+
+
+def _run(
+    spark: SparkSession, landing: Landing, table: str, path: str, checkpoint: str, stamp: str | None
+) -> DataFrame:
     ensure_database(spark, table.split(".")[0])
     exists = spark.catalog.tableExists(table)
+    schema, kind = landing.schema, file_type(landing.kind)
     if schema is None:
-        if select_files(spark, landing, prefix, kind).isEmpty():
+        if select_files(spark, landing.path, landing.prefix, landing.kind).isEmpty():
             return spark.table(table) if exists else spark.createDataFrame([], T.StructType())
-        schema = _inferred(spark, landing, kind, prefix, delimiter, header, multi_line)
-    reader = spark.readStream.schema(schema).options(**selection(prefix, file_type(kind).ending))
-    if archive is not None:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if file_type(kind).delimiter is None:
-        arrived = flatten_structs(reader.options(**json_options(multi_line)).json(landing))
-    else:
-        arrived = reader.options(**delimited_options(kind, delimiter, header)).csv(landing)
+        schema = _inferred(spark, landing)
+    reader = spark.readStream.schema(schema).options(**selection(landing.prefix, kind.ending))
+    if landing.archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", landing.archive)
+    if landing.files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", landing.files_per_batch)
+    reader = reader.options(**_parsing(landing))
+    arrived = flatten_structs(reader.json(landing.path)) if kind.delimiter is None else reader.csv(landing.path)
     if exists:
-        arrived = _as_loaded(arrived, spark.table(table).schema)
-    query = (
-        arrived.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .toTable(table)
-    )
-    query.awaitTermination()
+        loaded = [f for f in spark.table(table).schema.fields if f.name != stamp]
+        arrived = _as_loaded(arrived, loaded)
+    if stamp is not None:
+        # The batch's own time, which a repeated batch repeats.
+        arrived = arrived.withColumn(stamp, F.current_timestamp())
+    writer = arrived.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).toTable(table).awaitTermination()
     # The sink adds files behind the catalog's back.
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
-def _inferred(spark, landing, kind, prefix, delimiter, header, multi_line) -> T.StructType:
-    if file_type(kind).delimiter is None:
-        # The schema before flattening, as the stream has to parse with it.
-        options = selection(prefix, file_type(kind).ending) | json_options(multi_line)
-        return spark.read.options(**options).json(landing).schema
-    return read_delimited(spark, landing, prefix, kind, delimiter, header).schema
+def _parsing(landing: Landing) -> dict[str, str]:
+    if file_type(landing.kind).delimiter is None:
+        return json_options(landing.multi_line)
+    return delimited_options(landing.kind, landing.delimiter, landing.header)
+
+
+def _inferred(spark: SparkSession, landing: Landing) -> T.StructType:
+    kind = file_type(landing.kind)
+    reader = spark.read.options(**selection(landing.prefix, kind.ending), **_parsing(landing))
+    if kind.delimiter is None:
+        return reader.json(landing.path).schema
+    return reader.option("inferSchema", "true").csv(landing.path).schema
 
 
-def _as_loaded(arrived: DataFrame, loaded: T.StructType) -> DataFrame:
-    known = {f.name.lower() for f in loaded.fields}
+def _as_loaded(arrived: DataFrame, loaded: list[T.StructField]) -> DataFrame:
+    known = {f.name.lower() for f in loaded}
     extra = [c for c in arrived.columns if c.lower() not in known]
     if extra:
         raise ValueError(f"files have columns the table lacks: {extra}")
@@ -90,6 +123,6 @@ def _as_loaded(arrived: DataFrame, loaded: T.StructType) -> DataFrame:
     return arrived.select(
         *[
             (F.col(f"`{f.name}`") if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in loaded.fields
+            for f in loaded
         ]
     )
