@@ -27,7 +27,6 @@ def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
             Lookup(load(spark, sf_dir, "region"), {"n_regionkey": "r_regionkey"}, {"supplier_region": "r_name"}),
         ],
         valid=F.col("l_returnflag") != "R",
-        order_by=["l_orderkey", "l_linenumber"],
     )
 
 

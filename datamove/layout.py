@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 
@@ -48,10 +49,11 @@ class Layout:
     def published(self, group: str, obj: str) -> Place:
         return Place(self._bucket(group, "published", obj), group, obj, f"{obj}_tv")
 
-    def backup(self, path: str, stamp: str) -> str:
-        """Sibling of ``path`` for the state it had at ``stamp`` (``yyyyMMdd_HHmmss``)."""
-        parent, _, leaf = path.rstrip("/").rpartition("/")
-        return f"{parent}/backup/{stamp}/{leaf}"
-
     def _bucket(self, group: str, layer: str, *parts: str) -> str:
         return "/".join([f"{self.root}{group}-{layer}-{self.env}", *parts])
+
+
+def backup_path(path: str, moment: dt.datetime) -> str:
+    """Sibling of ``path`` for the state it had at ``moment``."""
+    parent, _, leaf = path.rstrip("/").rpartition("/")
+    return f"{parent}/backup/{moment:%Y%m%d_%H%M%S}/{leaf}"

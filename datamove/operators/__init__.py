@@ -1,4 +1,4 @@
-from datamove.operators.audit import audit_differences, profile_columns, reconcile
+from datamove.operators.audit import audit_differences, profile_columns, profile_from_summary, reconcile
 from datamove.operators.incremental import (
     align_schemas,
     changed_rows,
@@ -24,6 +24,7 @@ __all__ = [
     "latest_per_key",
     "merge_upsert",
     "profile_columns",
+    "profile_from_summary",
     "reconcile",
     "resolve_lookups",
     "touched_partitions",

@@ -42,15 +42,27 @@ def profile_columns(
                 for n in names
             ],
         ).select("p.*")
-    return profile.select(
-        F.lit(source).alias("source"),
-        F.lit(schema_name).alias("schema_name"),
-        F.lit(table_name).alias("table_name"),
-        "column_name",
-        "min",
-        "max",
-        "count",
-    )
+    return _labelled(profile, source, schema_name, table_name)
+
+
+def profile_from_summary(
+    summary: DataFrame, columns: Sequence[str], source: str, schema_name: str, table_name: str
+) -> DataFrame:
+    """The profile of a table whose database has aggregated it to one row already.
+
+    ``summary`` holds ``lo0, hi0, n0, lo1, ...`` in the order of ``columns``.  The text is
+    made here, so that it looks the same as for a table profiled by Spark.
+    """
+    parts = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            _text(F.col(f"lo{i}")).alias("min"),
+            _text(F.col(f"hi{i}")).alias("max"),
+            F.col(f"n{i}").cast("long").alias("count"),
+        )
+        for i, name in enumerate(columns)
+    ]
+    return _labelled(summary.select(F.inline(F.array(*parts))), source, schema_name, table_name)
 
 
 def reconcile(source: DataFrame, target: DataFrame, request_id: int) -> DataFrame:
@@ -77,20 +89,32 @@ def audit_differences(source: DataFrame, target: DataFrame) -> DataFrame:
     return side(source, "source").join(side(target, "target"), "column_name", "full").withColumn("matches", same)
 
 
-def _summary(value: str, name: str, count: Callable[[Column], Column]) -> Column:
-    value = F.col(_quoted(value))
+def _labelled(profile: DataFrame, source: str, schema_name: str, table_name: str) -> DataFrame:
+    return profile.select(
+        F.lit(source).alias("source"),
+        F.lit(schema_name).alias("schema_name"),
+        F.lit(table_name).alias("table_name"),
+        "column_name",
+        "min",
+        "max",
+        "count",
+    )
 
-    def text(extreme: Column) -> Column:
-        return F.substring(extreme.cast("string"), 1, TEXT_LIMIT)
 
+def _summary(value: str, name: str, count: Callable[[Column], Column]) -> Column:
+    value = F.col(_quoted(value))
     return F.struct(
         F.lit(name).alias("column_name"),
-        text(F.min(value)).alias("min"),
-        text(F.max(value)).alias("max"),
+        _text(F.min(value)).alias("min"),
+        _text(F.max(value)).alias("max"),
         count(value).alias("count"),
     )
 
 
+def _text(extreme: Column) -> Column:
+    return F.substring(extreme.cast("string"), 1, TEXT_LIMIT)
+
+
 def _comparable(name: str, kind: T.DataType) -> Column:
     # Maps have no order, so their text stands in for them.
     return F.to_json(_quoted(name)) if isinstance(kind, T.MapType) else F.col(_quoted(name))

@@ -90,23 +90,22 @@ def merge_upsert(
     Columns may have come or gone on either side (see ``align_schemas``).
 
     The increment's keys are reduced to one row each before they meet the old rows, and old
-    rows without a key bypass the join, so neither repeated nor missing keys pile up in one
-    task.  ``broadcast_keys`` keeps the old rows where they are; set it only after
+    rows without a key bypass the shuffle, so neither repeated nor missing keys pile up in
+    one task.  ``broadcast_keys`` keeps the old rows where they are; set it only after
     ``fits_broadcast``.  ``hot_keys`` (single-column keys) names values that own a large
-    share of the old rows: their rows are spread over several tasks.
+    share of the old rows: their rows are spread over several tasks.  A table stored in
+    buckets of the key is not shuffled either.
     """
     keys = [key] if isinstance(key, str) else list(key)
     hot = list(hot_keys)
     old, new = align_schemas(old, new)
     complete = _all_present(keys)
     replaced = new.select(*keys).where(complete).distinct()
-    keyed = old.where(complete)
     if broadcast_keys:
-        kept = keyed.join(F.broadcast(replaced), keys, "left_anti")
-    elif hot:
-        kept = _anti_join_spread(keyed, replaced, keys, hot)
-    else:
-        kept = keyed.join(replaced, keys, "left_anti")
+        # Nothing is shuffled, so rows without a key need no path of their own.
+        return old.join(F.broadcast(replaced), keys, "left_anti").select(*old.columns).unionByName(new)
+    keyed = old.where(complete)
+    kept = _anti_join_spread(keyed, replaced, keys, hot) if hot else keyed.join(replaced, keys, "left_anti")
     kept = kept.select(*old.columns)
     if any(old.schema[k].nullable for k in keys):
         kept = kept.unionByName(old.where(~complete))
@@ -160,15 +159,19 @@ def fits_broadcast(df: DataFrame, key: str | Sequence[str], limit: int = BROADCA
     return size is None or size <= limit
 
 
-def touched_partitions(old: DataFrame, new: DataFrame, key: str | Sequence[str], partition_by: str) -> DataFrame:
+def touched_partitions(
+    old: DataFrame, new: DataFrame, key: str | Sequence[str], partition_by: str, broadcast_keys: bool = False
+) -> DataFrame:
     """Distinct partition values the increment reaches: where its rows go and where they were.
 
     Reads only the key and the partition column of the old table.
     """
     keys = [key] if isinstance(key, str) else list(key)
     replaced = new.select(*keys).where(_all_present(keys)).distinct()
+    if broadcast_keys:
+        replaced = F.broadcast(replaced)
     left = old.select(*keys, partition_by).join(replaced, keys, "left_semi").select(partition_by)
-    return left.distinct().unionByName(new.select(partition_by).distinct()).distinct()
+    return left.unionByName(new.select(partition_by)).distinct()
 
 
 def _anti_join_spread(keyed: DataFrame, replaced: DataFrame, keys: list[str], hot: list[Any]) -> DataFrame:

@@ -157,10 +157,13 @@ def record_flip(flips: DataFrame, job: Job, suffix: str, column: str = "pb_flip"
     return merge_upsert(flips, changed, key)
 
 
-def run_group(spark: SparkSession, control: Mapping[str, DataFrame], group_id: str, run: Callable[[Job], Any]) -> list[Outcome]:
+def run_group(control: Mapping[str, DataFrame], group_id: str, run: Callable[[Job], Any]) -> list[Outcome]:
     """Call ``run`` for each job of a group in priority order; a failed one does not stop the rest."""
+    jobs = to_jobs(jobs_for_group(control, group_id))
+    if not jobs:
+        raise ValueError(f"group {group_id!r} has no valid jobs")
     outcomes = []
-    for job in to_jobs(jobs_for_group(control, group_id)):
+    for job in jobs:
         try:
             run(job)
             outcomes.append(Outcome(job))

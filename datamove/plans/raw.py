@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from datamove.functions.normalize import normalize_types
-from datamove.layout import Place
-from datamove.operators.audit import profile_columns, reconcile
+from datamove.layout import Place, backup_path
+from datamove.operators.audit import profile_columns, profile_from_summary, reconcile
 from datamove.operators.incremental import changed_rows, fits_broadcast, frequent_keys, high_watermark, merge_upsert
 from datamove.session import scratch_path
-from datamove.sinks.publish import active_copy, publish_ab
+from datamove.sinks.publish import active_copy, publish_ab, view_property
 from datamove.sinks.tables import merge_into_partitions, write_table
-from datamove.sources.extract import Source, extract_keyrange, extract_query, extract_table, key_bounds
+from datamove.sources.extract import JdbcSource, Source, extract_keyrange, extract_query, extract_table, key_bounds
 
 AUDIT_TABLE = "meta_audit_table"
+# View property that notes the newest change merged.
+_WATERMARK = "datamove.watermark"
 
 
 @dataclass(frozen=True)
@@ -28,8 +31,9 @@ class RawLoad:
     brings the types to what the lake stores.  ``partition_by`` and ``files`` shape the
     target; ``in_partitions`` merges by rewriting only the touched partitions, and
     ``spread_hot_keys`` looks for keys that own many of the loaded rows before merging.
-    ``overlap`` re-reads that much before the watermark.  ``audit`` profiles source and
-    target into ``meta_audit_table`` under ``request_id``.
+    ``buckets`` stores the target in that many buckets of the key, so merges leave it
+    unshuffled.  ``overlap`` re-reads that much before the watermark.  ``audit`` profiles
+    source and target into ``meta_audit_table`` under ``request_id``.
     """
 
     table: str
@@ -45,6 +49,7 @@ class RawLoad:
     files: int = 0
     in_partitions: bool = False
     spread_hot_keys: bool = False
+    buckets: int = 0
     audit: bool = False
     request_id: int = 0
 
@@ -88,13 +93,20 @@ def _full(spark: SparkSession, source: Source, load: RawLoad) -> None:
         empty = extract.isEmpty()
     if empty:
         raise ValueError(f"no rows extracted from {load.table}")
-    publish_ab(_normal(extract, source, load), load.target, partition_by=load.partition_by, files=load.files, rows=rows)
+    publish_ab(
+        _normal(extract, source, load),
+        load.target,
+        partition_by=load.partition_by,
+        files=load.files,
+        rows=rows,
+        bucket_by=_buckets(load),
+    )
 
 
 def _increment(spark: SparkSession, source: Source, load: RawLoad) -> str:
     loaded = spark.table(load.target.table)
-    column = load.update_column.lower() if load.normalize else load.update_column
-    watermark = high_watermark(loaded, column)
+    key, column = _stored(load, load.key), _stored(load, load.update_column)
+    watermark = _watermark(spark, load, loaded)
     changed = changed_rows(_extract(spark, source, load, by_timestamp=True), watermark, load.update_column, load.overlap)
     # The merge reads the increment more than once; a copy in the shared folder makes that
     # one read of the source, of one consistent state, that survives lost executors.
@@ -103,22 +115,58 @@ def _increment(spark: SparkSession, source: Source, load: RawLoad) -> str:
     increment = spark.read.parquet(staged)
     if increment.isEmpty():
         return "unchanged"
-    key = load.key.lower() if load.normalize else load.key
+    newest = high_watermark(increment, column)
+    if watermark is not None and newest is not None:
+        newest = max(watermark, newest)
+    noted = {_WATERMARK: newest.isoformat()} if isinstance(newest, dt.datetime) else {}
     small = fits_broadcast(increment, key)
     if load.in_partitions and load.partition_by is not None:
         table = f"{load.target.database}.{load.target.name}{active_copy(spark, load.target)}"
-        backup = scratch_path(spark, "backup")
+        backup = backup_path(load.target.path, dt.datetime.now(dt.timezone.utc))
         if merge_into_partitions(table, increment, key, load.partition_by, backup, broadcast_keys=small):
             spark.catalog.refreshTable(load.target.table)
+            for name, value in noted.items():
+                spark.sql(f"ALTER VIEW {load.target.table} SET TBLPROPERTIES ('{name}' = '{value}')")
             return "merged"
     hot = frequent_keys(loaded, key) if load.spread_hot_keys and not small else []
+    if load.buckets:
+        increment = increment.repartition(load.buckets, key)
     merged = merge_upsert(loaded, increment, key, broadcast_keys=small, hot_keys=hot)
-    # Both counts come from file footers and bound the size of the result.
-    most = loaded.count() + increment.count()
-    publish_ab(merged, load.target, partition_by=load.partition_by, files=load.files, rows=most)
+    publish_ab(
+        merged,
+        load.target,
+        partition_by=load.partition_by,
+        files=load.files,
+        # Both counts come from file footers and bound the size of the result.
+        rows=loaded.count() + increment.count(),
+        bucket_by=_buckets(load),
+        # Old rows are read bucket by bucket and the increment was just grouped the same way.
+        grouped=not hot,
+        properties=noted,
+    )
     return "merged"
 
 
+def _watermark(spark: SparkSession, load: RawLoad, loaded: DataFrame) -> Any:
+    """The newest loaded change: as noted by the last merge, else looked up in the table.
+
+    The note spares each increment a pass over the whole table.  It is never newer than the
+    table; where a merge failed to renew it, some rows are merged once more, to no effect.
+    """
+    noted = view_property(spark, load.target, _WATERMARK)
+    if noted is not None:
+        return dt.datetime.fromisoformat(noted)
+    return high_watermark(loaded, _stored(load, load.update_column))
+
+
+def _stored(load: RawLoad, column: str) -> str:
+    return column.lower() if load.normalize else column
+
+
+def _buckets(load: RawLoad) -> tuple[int, str] | None:
+    return (load.buckets, _stored(load, load.key)) if load.buckets and load.key is not None else None
+
+
 def _extract(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: bool = False) -> DataFrame:
     if load.query is not None:
         return extract_query(spark, source, load.query, by_timestamp)
@@ -135,12 +183,21 @@ def _normal(df: DataFrame, source: Source, load: RawLoad) -> DataFrame:
 
 def _audit(spark: SparkSession, source: Source, load: RawLoad) -> None:
     schema_name, _, table_name = load.table.rpartition(".")
-    extract = _normal(_extract(spark, source, load), source, load)
-    loaded = spark.table(load.target.table)
-    audit = reconcile(
-        profile_columns(extract, (source.dialect or "lake").lower(), schema_name, table_name),
-        profile_columns(loaded, "lake", load.target.database, load.target.name),
-        load.request_id,
-    )
+    label, loaded = (source.dialect or "lake").lower(), spark.table(load.target.table)
+    if isinstance(source, JdbcSource):
+        # Aggregated by the database: one row travels, not the table.
+        columns = extract_table(spark, source, load.table).columns
+        summary = source.summary(spark, load.table, columns)
+        before = profile_from_summary(summary, [_stored(load, c) for c in columns], label, schema_name, table_name)
+    else:
+        extract = _normal(_extract(spark, source, load), source, load)
+        before = profile_columns(extract, label, schema_name, table_name)
+    after = profile_columns(loaded, "lake", load.target.database, load.target.name)
     parent = load.target.path.rpartition("/")[0]
-    write_table(audit, f"{load.target.database}.{AUDIT_TABLE}", f"{parent}/{AUDIT_TABLE}", mode="append", files=1)
+    write_table(
+        reconcile(before, after, load.request_id),
+        f"{load.target.database}.{AUDIT_TABLE}",
+        f"{parent}/{AUDIT_TABLE}",
+        mode="append",
+        rows=len(loaded.columns) * 2,
+    )

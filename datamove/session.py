@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -20,13 +21,22 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(app_name: str = "datamove", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with ``SESSION_DEFAULTS``; ``conf`` keys use ``__`` for dots."""
+def build_session(
+    app_name: str = "datamove",
+    master: str | None = None,
+    hive: bool = False,
+    conf: Mapping[str, str] | None = None,
+) -> SparkSession:
+    """A session with ``SESSION_DEFAULTS`` and ``conf`` on top.
+
+    ``hive`` keeps tables, and with them which copy is published, beyond the session.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = SESSION_DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}
-    for name, value in settings.items():
+    if hive:
+        builder = builder.enableHiveSupport()
+    for name, value in (SESSION_DEFAULTS | dict(conf or {})).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

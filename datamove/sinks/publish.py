@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -45,7 +46,9 @@ def publish_ab(
     files: int = 0,
     rows: int | None = None,
     bucket_by: tuple[int, str] | None = None,
+    grouped: bool = False,
     allow_empty: bool = False,
+    properties: Mapping[str, str] | None = None,
 ) -> str:
     """Write ``df`` to the idle copy of ``place`` and repoint its view; returns the suffix.
 
@@ -53,6 +56,7 @@ def publish_ab(
     repointing is one catalog operation that also carries the flip: readers see the old
     copy or the new one, and a failed write changes nothing.  The previous copy stays for
     rollback until the next publish.  An empty result is refused unless ``allow_empty``.
+    ``properties`` are put on the view in the same operation.
     """
     spark = df.sparkSession
     active = active_copy(spark, place)
@@ -69,10 +73,11 @@ def publish_ab(
         files=files,
         rows=rows,
         bucket_by=bucket_by,
+        grouped=grouped,
     )
     if not allow_empty and spark.table(physical).isEmpty():
         raise ValueError(f"refusing to publish an empty {place.table}")
-    _repoint(spark, place, physical, copy)
+    _repoint(spark, place, physical, copy, properties)
     return copy
 
 
@@ -140,7 +145,8 @@ def bare_columns(columns: str) -> str:
     return text[1:-1] if text.startswith("(") and text.endswith(")") else text
 
 
-def _repoint(spark: SparkSession, place: Place, physical: str, copy: str) -> None:
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {place.table} TBLPROPERTIES ('{_ACTIVE}' = '{copy}') AS SELECT * FROM {physical}"
-    )
+def _repoint(
+    spark: SparkSession, place: Place, physical: str, copy: str, properties: Mapping[str, str] | None = None
+) -> None:
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in ({_ACTIVE: copy} | dict(properties or {})).items())
+    spark.sql(f"CREATE OR REPLACE VIEW {place.table} TBLPROPERTIES ({listed}) AS SELECT * FROM {physical}")

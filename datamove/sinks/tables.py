@@ -33,6 +33,7 @@ def write_table(
     files: int = 0,
     rows: int | None = None,
     bucket_by: tuple[int, str] | None = None,
+    grouped: bool = False,
 ) -> None:
     """Write ``df`` as the external Parquet table ``database.name`` at ``path``.
 
@@ -41,23 +42,26 @@ def write_table(
 
     ``files`` fixes the number of writing tasks; with 0 it follows from ``rows`` by
     ``plan_output_files``.  Neither ever raises the number of tasks.  Where the row count is
-    unknown, or so large that the rule's cap would make the tasks huge, the frame's own
-    partitions are kept; a partitioned table is then regrouped by partition value, which
-    Spark splits again where one value is oversized.
+    unknown, or beyond what the rule's cap can hold in reasonable files, the frame's own
+    partitions are kept.  A partitioned table of more than one file's rows is regrouped by
+    partition value instead, and Spark splits a value again that is oversized.
 
     ``bucket_by`` (count, column) stores rows grouped by key, so later merges on that key
-    do not have to shuffle the table.
+    do not have to shuffle the table; ``grouped`` says the frame already is.
     """
     spark = df.sparkSession
     if mode not in ("overwrite", "append", "dynamic"):
         raise ValueError(f"unknown write mode {mode!r}")
     ensure_database(spark, table.split(".")[0])
-    if files or (rows is not None and rows <= ROWS_PER_FILE * MOST_FILES and bucket_by is None):
-        df = df.coalesce(plan_output_files(rows or 0, files))
-    elif bucket_by is not None:
-        df = df.repartition(bucket_by[0], bucket_by[1])
-    elif partition_by is not None:
+    small = rows is not None and rows <= ROWS_PER_FILE
+    if bucket_by is not None:
+        df = df if grouped else df.repartition(*bucket_by)
+    elif files:
+        df = df.coalesce(files)
+    elif partition_by is not None and not small:
         df = df.hint("rebalance", partition_by)
+    elif rows is not None and rows <= ROWS_PER_FILE * MOST_FILES:
+        df = df.coalesce(plan_output_files(rows))
     if mode == "dynamic" and partition_by is None:
         raise ValueError("mode 'dynamic' needs partition_by")
     if mode == "dynamic" and spark.catalog.tableExists(table):
@@ -109,7 +113,7 @@ def merge_into_partitions(
     if column_diff(old, new)[0] or partition_by not in new.columns:
         return False
     place = F.col(partition_by).cast("string").alias(partition_by)
-    touched = _values(touched_partitions(old, new, key, partition_by).select(place), most + 1)
+    touched = _values(touched_partitions(old, new, key, partition_by, broadcast_keys).select(place), most + 1)
     if len(touched) > most:
         return False
     here = F.col(partition_by).isin([_typed(v, old, partition_by) for v in touched if v is not None])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
@@ -65,6 +65,11 @@ class JdbcSource:
         # Asked of the database, so one row travels instead of the key column.
         return self.query(spark, f"SELECT MIN({key}) AS lo, MAX({key}) AS hi, COUNT(*) AS n FROM {table}")
 
+    def summary(self, spark: SparkSession, table: str, columns: Sequence[str]) -> DataFrame:
+        """One row with ``lo0, hi0, n0, lo1, ...``, aggregated by the database."""
+        parts = [f"MIN({c}) AS lo{i}, MAX({c}) AS hi{i}, COUNT(DISTINCT {c}) AS n{i}" for i, c in enumerate(columns)]
+        return self.query(spark, f"SELECT {', '.join(parts)} FROM {table}")
+
     def ranges(
         self, spark: SparkSession, table: str, key: str, bounds: Bounds, partitions: int, by_timestamp: bool = False
     ) -> DataFrame:
