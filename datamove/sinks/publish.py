@@ -119,7 +119,7 @@ class JdbcWarehouse:
         options = self.connection.connection() | {"dbtable": table, "truncate": "true"}
         if columns is not None:
             options["createTableColumnTypes"] = bare_columns(columns)
-        df.write.format("jdbc").options(**options).mode("overwrite").save()
+        self._load(df, options)
         loaded = self.connection.query(spark, f"SELECT COUNT(*) AS n FROM {table}").first()[0]
         expected = df.agg(F.count(F.lit(1))).first()[0]
         if int(loaded) != expected:
@@ -127,6 +127,9 @@ class JdbcWarehouse:
         self._execute(spark, f"CREATE OR REPLACE VIEW {self.schema}.{view} AS SELECT * FROM {table}")
         return copy
 
+    def _load(self, df: DataFrame, options: Mapping[str, str]) -> None:
+        df.write.format("jdbc").options(**options).mode("overwrite").save()
+
     def _execute(self, spark: SparkSession, statement: str) -> None:
         # Spark writes tables over JDBC but has no call for a view, so the statement goes
         # through the driver's own connection.

@@ -167,5 +167,7 @@ def key_range(key: str, bounds: Bounds, partitions: int) -> Column:
     if bounds.lower is None:
         return F.lit(0)
     stride = (bounds.upper - bounds.lower) // partitions + 1
-    place = F.floor((F.col(key) - F.lit(bounds.lower)) / F.lit(stride))
-    return F.coalesce(F.greatest(F.lit(0), F.least(place, F.lit(partitions - 1))), F.lit(0)).cast("int")
+    # Whole-number division: keys beyond 2^53 would not survive a double.
+    place = F.expr(f"(`{key}` - {bounds.lower}L) div {stride}L")
+    within = F.greatest(F.lit(0), F.least(place, F.lit(partitions - 1)))
+    return F.when(F.col(key).isNull(), 0).otherwise(within).cast("int")
