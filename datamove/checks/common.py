@@ -43,6 +43,13 @@ def scratch_layout(spark: SparkSession, group: str) -> Layout:
     return layout
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """A written copy in the shared folder, for a frame that is read more than once."""
+    path = scratch_path(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def day_text(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd").alias(column)
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.checks.common import EVENTS_CUT, ORDERS_CUT, day_text, load, moment_text, readable
-from datamove.operators import changed_rows, frequent_keys, high_watermark, latest_per_key, merge_upsert
+from datamove.checks.common import EVENTS_CUT, ORDERS_CUT, day_text, load, moment_text, readable, staged
+from datamove.operators import align_schemas, changed_rows, frequent_keys, high_watermark, latest_per_key, merge_upsert
 
 SUPPLIERS_CUT = "2001-10-15"
 
@@ -40,7 +40,7 @@ def orders_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     watermark = high_watermark(orders_loaded(spark, sf_dir))
-    return changed_rows(orders_now(spark, sf_dir), watermark)
+    return staged(changed_rows(orders_now(spark, sf_dir), watermark))
 
 
 def watermark_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,9 +92,19 @@ def merged_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumn("l_shipdate", day_text("l_shipdate"))
 
 
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load(spark, sf_dir, "orders")
+    cut = F.lit(ORDERS_CUT).cast("timestamp_ntz")
+    old = orders.where(F.col("o_orderdate") <= cut).drop("o_orderpriority")
+    new = orders.where(F.col("o_orderdate") > cut).drop("o_orderstatus")
+    before, after = align_schemas(old, new)
+    return readable(before.unionByName(after))
+
+
 QUERIES = {
     "high_watermark": watermark_of_events,
     "changed_rows": events_changed,
+    "align_schemas": aligned,
     "merge_upsert": merged_orders,
     "merge_schema_new": merged_new_column,
     "merge_schema_dropped": merged_dropped_column,
@@ -133,6 +143,12 @@ ORACLES = {
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
         FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{EVENTS_CUT}')
     """,
+    "align_schemas": f"""
+        SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate <= TIMESTAMP '{ORDERS_CUT}' THEN o_orderstatus END AS o_orderstatus,
+               o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+               CASE WHEN o_orderdate > TIMESTAMP '{ORDERS_CUT}' THEN o_orderpriority END AS o_orderpriority
+        FROM orders
+    """,
     "merge_upsert": _merged("o_orderpriority", "o_orderpriority"),
     "merge_schema_new": _merged(
         "o_orderpriority, CAST(NULL AS BOOLEAN) AS late", f"o_orderpriority, {_LATE} AS late"

@@ -47,9 +47,7 @@ def merged_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(orders_loaded(spark, sf_dir), place.table, place.path, partition_by="o_orderstatus")
     # Filled orders that shipped again move to a partition of their own.
     moved = F.when(F.col("o_orderstatus") == "F", "S").otherwise(F.col("o_orderstatus"))
-    staged = scratch_path(spark, "increment")
-    orders_changed(spark, sf_dir).withColumn("o_orderstatus", moved).write.parquet(staged)
-    increment = spark.read.parquet(staged)
+    increment = orders_changed(spark, sf_dir).withColumn("o_orderstatus", moved)
     if not merge_into_partitions(
         place.table, increment, "o_orderkey", "o_orderstatus", scratch_path(spark, "backup")
     ):

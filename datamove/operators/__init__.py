@@ -6,6 +6,7 @@ from datamove.operators.incremental import (
     fits_broadcast,
     frequent_keys,
     high_watermark,
+    key_bytes,
     latest_per_key,
     merge_upsert,
     touched_partitions,
@@ -21,6 +22,7 @@ __all__ = [
     "fits_broadcast",
     "frequent_keys",
     "high_watermark",
+    "key_bytes",
     "latest_per_key",
     "merge_upsert",
     "profile_columns",

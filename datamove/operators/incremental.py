@@ -147,15 +147,19 @@ def frequent_keys(df: DataFrame, key: str, share: float = 0.01) -> list[Any]:
     return sorted(v for v in found if v is not None)
 
 
-def fits_broadcast(df: DataFrame, key: str | Sequence[str], limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the key columns of ``df`` are proven to stay below ``limit`` bytes in memory."""
+def key_bytes(key: str | Sequence[str]) -> Column:
+    """Aggregate: bytes a hash table of the key columns needs at most, null for no rows."""
     keys = [key] if isinstance(key, str) else list(key)
     # Hash-table entry, row header and one word per column, besides the bytes of the text.
-    fixed = 48 + 16 * len(keys)
-    width = F.lit(fixed)
+    width = F.lit(48 + 16 * len(keys)).cast("long")
     for k in keys:
         width = width + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
-    size = df.agg(F.sum(width.cast("long"))).first()[0]
+    return F.sum(width)
+
+
+def fits_broadcast(df: DataFrame, key: str | Sequence[str], limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the key columns of ``df`` are proven to stay below ``limit`` bytes in memory."""
+    size = df.agg(key_bytes(key)).first()[0]
     return size is None or size <= limit
 
 

@@ -6,13 +6,20 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from datamove.functions.normalize import normalize_types
 from datamove.layout import Place, backup_path
 from datamove.operators.audit import profile_columns, profile_from_summary, reconcile
-from datamove.operators.incremental import changed_rows, fits_broadcast, frequent_keys, high_watermark, merge_upsert
-from datamove.session import scratch_path
+from datamove.operators.incremental import (
+    BROADCAST_BYTES,
+    changed_rows,
+    frequent_keys,
+    high_watermark,
+    key_bytes,
+    merge_upsert,
+)
+from datamove.session import drop_path, scratch_path
 from datamove.sinks.publish import active_copy, publish_ab, view_property
 from datamove.sinks.tables import merge_into_partitions, write_table
 from datamove.sources.extract import JdbcSource, Source, extract_keyrange, extract_query, extract_table, key_bounds
@@ -30,7 +37,8 @@ class RawLoad:
     makes a full load read in ``source_partitions`` parallel key ranges.  ``normalize``
     brings the types to what the lake stores.  ``partition_by`` and ``files`` shape the
     target; ``in_partitions`` merges by rewriting only the touched partitions, and
-    ``spread_hot_keys`` looks for keys that own many of the loaded rows before merging.
+    ``spread_hot_keys`` looks, before a merge too large to broadcast, for keys that own many
+    of the loaded rows, at the price of reading the key column once.
     ``buckets`` stores the target in that many buckets of the key, so merges leave it
     unshuffled.  ``overlap`` re-reads that much before the watermark.  ``audit`` profiles
     source and target into ``meta_audit_table`` under ``request_id``.
@@ -48,7 +56,7 @@ class RawLoad:
     partition_by: str | None = None
     files: int = 0
     in_partitions: bool = False
-    spread_hot_keys: bool = False
+    spread_hot_keys: bool = True
     buckets: int = 0
     audit: bool = False
     request_id: int = 0
@@ -105,21 +113,29 @@ def _full(spark: SparkSession, source: Source, load: RawLoad) -> None:
 
 def _increment(spark: SparkSession, source: Source, load: RawLoad) -> str:
     loaded = spark.table(load.target.table)
-    key, column = _stored(load, load.key), _stored(load, load.update_column)
     watermark = _watermark(spark, load, loaded)
     changed = changed_rows(_extract(spark, source, load, by_timestamp=True), watermark, load.update_column, load.overlap)
     # The merge reads the increment more than once; a copy in the shared folder makes that
     # one read of the source, of one consistent state, that survives lost executors.
     staged = scratch_path(spark, "increment")
-    _normal(changed, source, load).write.parquet(staged)
-    increment = spark.read.parquet(staged)
-    if increment.isEmpty():
+    try:
+        _normal(changed, source, load).write.parquet(staged)
+        return _merge(spark, load, loaded, spark.read.parquet(staged), watermark)
+    finally:
+        drop_path(spark, staged)
+
+
+def _merge(spark: SparkSession, load: RawLoad, loaded: DataFrame, increment: DataFrame, watermark: Any) -> str:
+    key, column = _stored(load, load.key), _stored(load, load.update_column)
+    found = increment.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(column).alias("newest"), key_bytes(key).alias("bytes")
+    ).first()
+    if found.rows == 0:
         return "unchanged"
-    newest = high_watermark(increment, column)
-    if watermark is not None and newest is not None:
-        newest = max(watermark, newest)
-    noted = {_WATERMARK: newest.isoformat()} if isinstance(newest, dt.datetime) else {}
-    small = fits_broadcast(increment, key)
+    noted = {}
+    if isinstance(found.newest, dt.datetime):
+        noted[_WATERMARK] = (found.newest if watermark is None else max(watermark, found.newest)).isoformat()
+    small = found.bytes <= BROADCAST_BYTES
     if load.in_partitions and load.partition_by is not None:
         table = f"{load.target.database}.{load.target.name}{active_copy(spark, load.target)}"
         backup = backup_path(load.target.path, dt.datetime.now(dt.timezone.utc))
@@ -128,20 +144,21 @@ def _increment(spark: SparkSession, source: Source, load: RawLoad) -> str:
             for name, value in noted.items():
                 spark.sql(f"ALTER VIEW {load.target.table} SET TBLPROPERTIES ('{name}' = '{value}')")
             return "merged"
-    hot = frequent_keys(loaded, key) if load.spread_hot_keys and not small else []
+    hot = []
     if load.buckets:
         increment = increment.repartition(load.buckets, key)
-    merged = merge_upsert(loaded, increment, key, broadcast_keys=small, hot_keys=hot)
+    elif load.spread_hot_keys and not small:
+        hot = frequent_keys(loaded, key)
     publish_ab(
-        merged,
+        merge_upsert(loaded, increment, key, broadcast_keys=small, hot_keys=hot),
         load.target,
         partition_by=load.partition_by,
         files=load.files,
-        # Both counts come from file footers and bound the size of the result.
-        rows=loaded.count() + increment.count(),
+        # The loaded rows are counted in file footers; together they bound the result.
+        rows=loaded.count() + found.rows,
         bucket_by=_buckets(load),
         # Old rows are read bucket by bucket and the increment was just grouped the same way.
-        grouped=not hot,
+        grouped=True,
         properties=noted,
     )
     return "merged"
@@ -151,7 +168,8 @@ def _watermark(spark: SparkSession, load: RawLoad, loaded: DataFrame) -> Any:
     """The newest loaded change: as noted by the last merge, else looked up in the table.
 
     The note spares each increment a pass over the whole table.  It is never newer than the
-    table; where a merge failed to renew it, some rows are merged once more, to no effect.
+    table; where a merge in partitions failed to renew it, some rows are merged once more,
+    which replaces them by themselves as long as they have a key.
     """
     noted = view_property(spark, load.target, _WATERMARK)
     if noted is not None:

@@ -51,3 +51,9 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="datamove-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete files this library wrote, on whatever file system holds them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
