@@ -80,7 +80,8 @@ def merged_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = events.where(F.col("ts") <= F.lit(EVENTS_CUT).cast("timestamp_ntz"))
     changed = changed_rows(events, high_watermark(loaded, "ts"), "ts")
     order = ["ts", "event_id"]
-    merged = merge_upsert(latest_per_key(loaded, "user_id", order), latest_per_key(changed, "user_id", order), "user_id")
+    increment = staged(latest_per_key(changed, "user_id", order))
+    merged = merge_upsert(latest_per_key(loaded, "user_id", order), increment, "user_id")
     return merged.withColumn("ts", moment_text("ts"))
 
 

@@ -6,13 +6,14 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # Pieces a hot key is spread over, and the largest key set worth sending to every executor.
 HOT_KEY_PIECES = 64
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 _PIECE = "__piece"
+_PLACE = "__place"
 _TEXT = (T.StringType, T.CharType, T.VarcharType)
 _MOMENTS = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -83,54 +84,46 @@ def merge_upsert(
     key: str | Sequence[str],
     broadcast_keys: bool = False,
     hot_keys: Iterable[Any] = (),
+    co_located: bool = False,
 ) -> DataFrame:
     """Old rows whose key is not in ``new``, plus every row of ``new``.
 
     Null keys match nothing: old rows without a key are kept, and new ones are added.
     Columns may have come or gone on either side (see ``align_schemas``).
 
-    The increment's keys are reduced to one row each before they meet the old rows, and old
-    rows without a key bypass the shuffle, so neither repeated nor missing keys pile up in
-    one task.  ``broadcast_keys`` keeps the old rows where they are; set it only after
-    ``fits_broadcast``.  ``hot_keys`` (single-column keys) names values that own a large
-    share of the old rows: their rows are spread over several tasks.  A table stored in
-    buckets of the key is not shuffled either.
+    The increment's keys are reduced to one row each before they meet the old rows, which
+    are read once.  Old rows that would pile up in one task, those without a key and those
+    of ``hot_keys`` (values of a single-column key that own many rows), are dealt out over
+    several tasks by a hash of the row.  ``broadcast_keys`` leaves the old rows where they
+    are; set it only after ``fits_broadcast``.  So does ``co_located``, for an old table
+    stored in buckets of the key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    hot = list(hot_keys)
     old, new = align_schemas(old, new)
-    complete = _all_present(keys)
-    replaced = new.select(*keys).where(complete).distinct()
+    replaced = new.select(*keys).where(_all_present(keys)).distinct()
     if broadcast_keys:
-        # Nothing is shuffled, so rows without a key need no path of their own.
-        return old.join(F.broadcast(replaced), keys, "left_anti").select(*old.columns).unionByName(new)
-    keyed = old.where(complete)
-    kept = _anti_join_spread(keyed, replaced, keys, hot) if hot else keyed.join(replaced, keys, "left_anti")
-    kept = kept.select(*old.columns)
-    if any(old.schema[k].nullable for k in keys):
-        kept = kept.unionByName(old.where(~complete))
-    return kept.unionByName(new)
+        kept = old.join(F.broadcast(replaced), keys, "left_anti")
+    elif co_located:
+        kept = old.join(replaced, keys, "left_anti")
+    else:
+        kept = _anti_join_spread(old, replaced, keys, list(hot_keys))
+    return kept.select(*old.columns).unionByName(new)
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """One row per key, the one greatest in ``order_by``; rows without a key are all kept.
 
-    An aggregate rather than a window: each task first reduces its own rows, so a key that
-    owns a third of the table sends one row per task instead of all of them.  Equal rows in
-    ``order_by`` are told apart by a hash of the row, so the choice does not depend on
-    task order.
+    A ranking cut at one row per key: Spark applies the cut inside each task before it
+    shuffles, so a key that owns a third of the table sends one row per task instead of all
+    of them.  Equal rows in ``order_by`` are told apart by a hash of the row, so the choice
+    does not depend on task order.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     complete = _all_present(keys)
-    row = F.struct(*[F.col(_quoted(c)) for c in df.columns])
-    rank = F.struct(*order, _row_hash(df))
-    latest = (
-        df.where(complete)
-        .groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)])
-        .agg(F.max_by(row, rank).alias("__row"))
-        .select("__row.*")
-    )
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order], _row_hash(df).desc())
+    latest = df.where(complete).withColumn(_PLACE, F.row_number().over(newest_first))
+    latest = latest.where(F.col(_PLACE) == 1).drop(_PLACE)
     if any(df.schema[k].nullable for k in keys):
         latest = latest.unionByName(df.where(~complete))
     return latest
@@ -178,16 +171,21 @@ def touched_partitions(
     return left.unionByName(new.select(partition_by)).distinct()
 
 
-def _anti_join_spread(keyed: DataFrame, replaced: DataFrame, keys: list[str], hot: list[Any]) -> DataFrame:
-    """Anti join in which rows of the hot keys are dealt out by a hash of the whole row."""
-    if len(keys) != 1:
-        raise ValueError("hot keys can be named for a single key column only")
-    is_hot = F.col(keys[0]).isin(hot)
-    spread = F.pmod(_row_hash(keyed), F.lit(HOT_KEY_PIECES))
-    pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_KEY_PIECES - 1))).otherwise(F.array(F.lit(0)))
-    return keyed.withColumn(_PIECE, F.when(is_hot, spread).otherwise(0).cast("int")).join(
-        replaced.withColumn(_PIECE, F.explode(pieces)), [*keys, _PIECE], "left_anti"
-    )
+def _anti_join_spread(old: DataFrame, replaced: DataFrame, keys: list[str], hot: list[Any]) -> DataFrame:
+    """Anti join on the key and a piece number, which is 0 but for rows to be dealt out."""
+    spread = F.pmod(_row_hash(old), F.lit(HOT_KEY_PIECES)).cast("int")
+    piece = F.when(~_all_present(keys), spread)
+    if hot:
+        if len(keys) != 1:
+            raise ValueError("hot keys can be named for a single key column only")
+        is_hot = F.col(keys[0]).isin(hot)
+        piece = piece.when(is_hot, spread)
+        # A hot key must be met in each of its pieces.
+        pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_KEY_PIECES - 1))).otherwise(F.array(F.lit(0)))
+        replaced = replaced.withColumn(_PIECE, F.explode(pieces))
+    else:
+        replaced = replaced.withColumn(_PIECE, F.lit(0))
+    return old.withColumn(_PIECE, piece.otherwise(0)).join(replaced, [*keys, _PIECE], "left_anti")
 
 
 def _row_hash(df: DataFrame) -> Column:

@@ -17,6 +17,7 @@ from datamove.operators.incremental import (
     frequent_keys,
     high_watermark,
     key_bytes,
+    latest_per_key,
     merge_upsert,
 )
 from datamove.session import drop_path, scratch_path
@@ -51,6 +52,7 @@ class RawLoad:
     incremental: bool = False
     update_column: str = "update_timestamp"
     overlap: dt.timedelta | None = None
+    latest_only: bool = False
     normalize: bool = False
     source_partitions: int = 1
     partition_by: str | None = None
@@ -119,7 +121,10 @@ def _increment(spark: SparkSession, source: Source, load: RawLoad) -> str:
     # one read of the source, of one consistent state, that survives lost executors.
     staged = scratch_path(spark, "increment")
     try:
-        _normal(changed, source, load).write.parquet(staged)
+        increment = _normal(changed, source, load)
+        if load.latest_only:
+            increment = latest_per_key(increment, _stored(load, load.key), _stored(load, load.update_column))
+        increment.write.parquet(staged)
         return _merge(spark, load, loaded, spark.read.parquet(staged), watermark)
     finally:
         drop_path(spark, staged)
@@ -150,7 +155,9 @@ def _merge(spark: SparkSession, load: RawLoad, loaded: DataFrame, increment: Dat
     elif load.spread_hot_keys and not small:
         hot = frequent_keys(loaded, key)
     publish_ab(
-        merge_upsert(loaded, increment, key, broadcast_keys=small, hot_keys=hot),
+        merge_upsert(
+            loaded, increment, key, broadcast_keys=small, hot_keys=hot, co_located=load.buckets > 0
+        ),
         load.target,
         partition_by=load.partition_by,
         files=load.files,

@@ -122,7 +122,9 @@ def merge_into_partitions(
     old.where(here).write.mode("overwrite").partitionBy(partition_by).parquet(backup)
     before = spark.read.schema(old.schema).parquet(backup).select(*old.columns)
     merged = merge_upsert(before, new, key, broadcast_keys=broadcast_keys)
-    remaining = _values(merged.select(place).distinct(), most + 1)
+    keys = [key] if isinstance(key, str) else list(key)
+    placed = [frame.select(*keys, partition_by) for frame in (before, new)]
+    remaining = _values(merge_upsert(*placed, key, broadcast_keys=broadcast_keys).select(place).distinct(), most + 1)
     write_table(merged, table, _location(spark, table), mode="dynamic", partition_by=partition_by)
     for value in set(touched) - set(remaining):
         _empty_partition(old, table, partition_by, value)

@@ -50,6 +50,15 @@ def test_merge_without_broadcast(spark, place, tmp_path, monkeypatch, no_broadca
     assert table.where("id = 45").first().v == "n" and table.groupBy("v").count().count() == 2
 
 
+def test_newest_of_several_changes(spark, place, tmp_path):
+    load = RawLoad("db.t", place, key="id", incremental=True, latest_only=True)
+    schema = "id long, v string, update_timestamp timestamp"
+    load_raw(spark, source(spark, f"{tmp_path}/1", [(1, "a", DAY)], schema), load)
+    changes = [(1, f"v{n}", DAY + dt.timedelta(n)) for n in (1, 3, 2)]
+    assert load_raw(spark, source(spark, f"{tmp_path}/2", changes, schema), load).rows == 1
+    assert spark.table(place.table).first().v == "v3"
+
+
 def test_columns_come_and_go(spark, place, tmp_path):
     load = RawLoad("db.t", place, key="id", incremental=True)
     schema = "id long, v string, update_timestamp timestamp"

@@ -108,7 +108,7 @@ def test_bucketed_table_is_not_shuffled_by_a_merge(spark, place, plan, no_broadc
     write_table(old, place.table, place.path, bucket_by=(4, "id"))
     assert len(files(place.path)) == 4
     new = spark.range(50, 60).withColumn("v", F.lit("n"))
-    join = plan(merge_upsert(spark.table(place.table), new, "id")).split("LeftAnti")[1]
+    join = plan(merge_upsert(spark.table(place.table), new, "id", co_located=True)).split("LeftAnti")[1]
     left = join.split("Bucketed: true")[0]
     assert "Exchange" not in left
 
