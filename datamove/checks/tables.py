@@ -19,8 +19,7 @@ def written_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def written_sized(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = scratch_place(spark, "lineitem")
     lines = load(spark, sf_dir, "lineitem")
-    # Sixteen tasks, so that the size rule has something to reduce.
-    write_table(lines.repartition(16), place.table, place.path, rows=lines.count())
+    write_table(lines, place.table, place.path, rows=lines.count())
     return (
         spark.table(place.table)
         .withColumn("file", F.input_file_name())

@@ -189,14 +189,14 @@ def _anti_join_spread(old: DataFrame, replaced: DataFrame, keys: list[str], hot:
 
 
 def _row_hash(df: DataFrame) -> Column:
-    """A hash of the whole row; maps, which Spark does not hash, enter as JSON text."""
+    """A hash of the whole row; types Spark does not hash enter as JSON text."""
 
     def hashable(kind: T.DataType) -> bool:
         if isinstance(kind, T.StructType):
             return all(hashable(f.dataType) for f in kind.fields)
         if isinstance(kind, T.ArrayType):
             return hashable(kind.elementType)
-        return not isinstance(kind, T.MapType)
+        return not isinstance(kind, (T.MapType, T.VariantType))
 
     columns = [(F.col(_quoted(f.name)), f.dataType) for f in df.schema.fields]
     return F.xxhash64(*[c if hashable(kind) else F.to_json(F.struct(c)) for c, kind in columns])

@@ -36,13 +36,15 @@ class RawLoad:
 
     ``query`` replaces ``table`` as what is extracted.  ``key`` is needed for increments and
     makes a full load read in ``source_partitions`` parallel key ranges.  ``normalize``
-    brings the types to what the lake stores.  ``partition_by`` and ``files`` shape the
-    target; ``in_partitions`` merges by rewriting only the touched partitions, and
-    ``spread_hot_keys`` looks, before a merge too large to broadcast, for keys that own many
-    of the loaded rows, at the price of reading the key column once.
-    ``buckets`` stores the target in that many buckets of the key, so merges leave it
-    unshuffled.  ``overlap`` re-reads that much before the watermark.  ``audit`` profiles
-    source and target into ``meta_audit_table`` under ``request_id``.
+    brings the types to what the lake stores.  ``overlap`` re-reads that much before the
+    watermark; ``latest_only`` keeps the newest of several changes to one key.
+
+    ``partition_by`` and ``files`` shape the target, ``in_partitions`` merges by rewriting
+    only the touched partitions, and ``buckets`` stores the target in that many buckets of
+    the key, so merges leave it unshuffled.  ``spread_hot_keys`` looks, before a merge too
+    large to broadcast, for keys that own many of the loaded rows, at the price of reading
+    the key column once.  ``audit`` profiles source and target into ``meta_audit_table``
+    under ``request_id``.
     """
 
     table: str

@@ -47,7 +47,8 @@ def write_table(
     partition value instead, and Spark splits a value again that is oversized.
 
     ``bucket_by`` (count, column) stores rows grouped by key, so later merges on that key
-    do not have to shuffle the table; ``grouped`` says the frame already is.
+    do not have to shuffle the table; ``grouped`` says the frame already is.  One key is
+    always in one bucket, so leave it where few keys own most rows.
     """
     spark = df.sparkSession
     if mode not in ("overwrite", "append", "dynamic"):
