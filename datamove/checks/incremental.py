@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from datamove.checks.common import EVENTS_CUT, ORDERS_CUT, day_text, load, moment_text, readable, staged
-from datamove.operators import align_schemas, changed_rows, frequent_keys, high_watermark, latest_per_key, merge_upsert
+from datamove.operators import (
+    align_schemas,
+    changed_rows,
+    frequent_keys,
+    high_watermark,
+    latest_per_key,
+    merge_upsert,
+    watermark_literal,
+)
 
 SUPPLIERS_CUT = "2001-10-15"
 
@@ -46,7 +54,7 @@ def orders_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watermark_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = load(spark, sf_dir, "events").where(F.col("ts") <= F.lit(EVENTS_CUT).cast("timestamp_ntz"))
     found = high_watermark(loaded, "ts")
-    return spark.range(1).select(F.lit(found).cast("timestamp_ntz").alias("ts")).select(moment_text("ts"))
+    return spark.range(1).select(watermark_literal(found, loaded.schema["ts"].dataType).alias("ts")).select(moment_text("ts"))
 
 
 def events_changed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from datamove.operators.incremental import (
     latest_per_key,
     merge_upsert,
     touched_partitions,
+    watermark_literal,
 )
 from datamove.operators.lookups import Lookup, resolve_lookups
 
@@ -30,4 +31,5 @@ __all__ = [
     "reconcile",
     "resolve_lookups",
     "touched_partitions",
+    "watermark_literal",
 ]

@@ -39,7 +39,15 @@ def changed_rows(
         return df
     if overlap is not None:
         watermark = watermark - overlap
-    return df.where(F.col(column) > F.lit(watermark).cast(df.schema[column].dataType))
+    return df.where(F.col(column) > watermark_literal(watermark, df.schema[column].dataType))
+
+
+def watermark_literal(watermark: Any, kind: T.DataType) -> Column:
+    """A watermark read to the driver, as a literal of the column's type."""
+    if isinstance(kind, T.TimestampNTZType):
+        # A wall-clock time; a plain literal would read it in the driver's own time zone.
+        return F.lit(watermark.isoformat(sep=" ")).cast(kind)
+    return F.lit(watermark).cast(kind)
 
 
 def column_diff(old: DataFrame, new: DataFrame) -> tuple[list[str], list[str], list[str]]:

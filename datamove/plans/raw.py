@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from datamove.functions.normalize import normalize_types
 from datamove.layout import Place, backup_path
@@ -94,14 +94,12 @@ def load_raw(spark: SparkSession, source: Source, load: RawLoad) -> LoadResult:
 
 
 def _full(spark: SparkSession, source: Source, load: RawLoad) -> None:
-    rows = None
-    if load.query is None and load.key is not None:
+    rows, extract = None, _whole(spark, source, load)
+    if load.query is None and load.key is not None and _is_number(extract, load.key):
         bounds = key_bounds(spark, source, load.table, load.key)
-        rows = bounds.rows
+        rows, empty = bounds.rows, bounds.rows == 0
         extract = extract_keyrange(spark, source, load.table, load.key, load.source_partitions, bounds)
-        empty = rows == 0
     else:
-        extract = _extract(spark, source, load)
         empty = extract.isEmpty()
     if empty:
         raise ValueError(f"no rows extracted from {load.table}")
@@ -139,9 +137,8 @@ def _merge(spark: SparkSession, load: RawLoad, loaded: DataFrame, increment: Dat
     ).first()
     if found.rows == 0:
         return "unchanged"
-    noted = {}
-    if isinstance(found.newest, dt.datetime):
-        noted[_WATERMARK] = (found.newest if watermark is None else max(watermark, found.newest)).isoformat()
+    newest = found.newest if watermark is None else max(watermark, found.newest or watermark)
+    noted = _note(newest, increment.schema[column].dataType)
     small = found.bytes <= BROADCAST_BYTES
     if load.in_partitions and load.partition_by is not None:
         table = f"{load.target.database}.{load.target.name}{active_copy(spark, load.target)}"
@@ -180,10 +177,20 @@ def _watermark(spark: SparkSession, load: RawLoad, loaded: DataFrame) -> Any:
     table; where a merge in partitions failed to renew it, some rows are merged once more,
     which replaces them by themselves as long as they have a key.
     """
+    column = _stored(load, load.update_column)
     noted = view_property(spark, load.target, _WATERMARK)
-    if noted is not None:
-        return dt.datetime.fromisoformat(noted)
-    return high_watermark(loaded, _stored(load, load.update_column))
+    if noted is None:
+        return high_watermark(loaded, column)
+    moment = dt.datetime.fromisoformat(noted)
+    # As Spark hands it out: in the driver's local time.
+    return moment if moment.tzinfo is None else moment.astimezone().replace(tzinfo=None)
+
+
+def _note(newest: Any, kind: T.DataType) -> dict[str, str]:
+    """The property that notes a watermark: an instant in UTC, or a wall-clock time as it is."""
+    if isinstance(newest, dt.datetime) and isinstance(kind, T.TimestampType):
+        newest = newest.astimezone(dt.timezone.utc)
+    return {_WATERMARK: newest.isoformat()} if isinstance(newest, dt.datetime) else {}
 
 
 def _stored(load: RawLoad, column: str) -> str:
@@ -194,14 +201,23 @@ def _buckets(load: RawLoad) -> tuple[int, str] | None:
     return (load.buckets, _stored(load, load.key)) if load.buckets and load.key is not None else None
 
 
-def _extract(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: bool = False) -> DataFrame:
+def _whole(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: bool = False) -> DataFrame:
     if load.query is not None:
         return extract_query(spark, source, load.query, by_timestamp)
-    if load.key is not None and load.source_partitions > 1:
+    return extract_table(spark, source, load.table, by_timestamp)
+
+
+def _extract(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: bool = False) -> DataFrame:
+    whole = _whole(spark, source, load, by_timestamp)
+    if load.query is None and load.key is not None and load.source_partitions > 1 and _is_number(whole, load.key):
         return extract_keyrange(
             spark, source, load.table, load.key, load.source_partitions, by_timestamp=by_timestamp
         )
-    return extract_table(spark, source, load.table, by_timestamp)
+    return whole
+
+
+def _is_number(df: DataFrame, key: str) -> bool:
+    return any(f.name.lower() == key.lower() and isinstance(f.dataType, T.NumericType) for f in df.schema.fields)
 
 
 def _normal(df: DataFrame, source: Source, load: RawLoad) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from datamove.operators.incremental import column_diff, merge_upsert, touched_partitions
+from datamove.operators.incremental import merge_upsert, touched_partitions
 
 # Fixed values of the sizing rule: rows per output file, and most files it asks for.
 ROWS_PER_FILE = 1_000_000
@@ -106,12 +106,13 @@ def merge_into_partitions(
     The touched partitions are first copied to ``backup``; the merge reads that copy, so
     nothing is read from where it is written, and the copy remains for rollback.  Partitions
     all of whose rows moved elsewhere are emptied.  Returns False, having changed nothing,
-    where the increment adds columns or touches more than ``most`` partitions: then the
-    whole table has to be rewritten.
+    where the increment adds columns, changes types or touches more than ``most`` partitions:
+    then the whole table has to be rewritten.
     """
     spark = new.sparkSession
     old = spark.table(table)
-    if column_diff(old, new)[0] or partition_by not in new.columns:
+    kinds = {f.name.lower(): f.dataType for f in old.schema.fields}
+    if partition_by not in new.columns or any(kinds.get(f.name.lower()) != f.dataType for f in new.schema.fields):
         return False
     place = F.col(partition_by).cast("string").alias(partition_by)
     touched = _values(touched_partitions(old, new, key, partition_by, broadcast_keys).select(place), most + 1)
@@ -136,7 +137,8 @@ def _overwrite_partitions(df: DataFrame, table: str, partition_by: str) -> None:
     # A write to the table's files: inserting by table name does not take the per-write
     # overwrite mode, and saving as a table would drop and recreate its catalog entry.
     spark = df.sparkSession
-    writer = df.select(*spark.table(table).columns).write.partitionBy(partition_by).mode("overwrite")
+    typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in spark.table(table).schema.fields]
+    writer = df.select(*typed).write.partitionBy(partition_by).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(_location(spark, table))
     spark.catalog.refreshTable(table)
     spark.sql(f"MSCK REPAIR TABLE {table}")

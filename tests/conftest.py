@@ -2,10 +2,15 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 import uuid
 
 import pytest
 
+# Timestamps are written in these tests as the driver's local time.
+os.environ.setdefault("TZ", "UTC")
+time.tzset()
+
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
 from datamove.layout import Layout, Place  # noqa: E402

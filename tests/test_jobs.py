@@ -50,6 +50,22 @@ def test_merge_without_broadcast(spark, place, tmp_path, monkeypatch, no_broadca
     assert table.where("id = 45").first().v == "n" and table.groupBy("v").count().count() == 2
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_noted_watermark_is_the_newest_change(spark, place, tmp_path, kind, monkeypatch):
+    import datamove.plans.raw as module
+
+    load = RawLoad("db.t", place, key="id", incremental=True)
+    schema = f"id string, update_timestamp {kind}"
+    load_raw(spark, source(spark, f"{tmp_path}/1", [("a", DAY)], schema), load)
+    second = source(spark, f"{tmp_path}/2", [("b", DAY + dt.timedelta(hours=1)), ("c", None)], schema)
+    assert load_raw(spark, second, load).kind == "merged"
+    # From here on the note is used, not the table.
+    monkeypatch.setattr(module, "high_watermark", None)
+    assert load_raw(spark, second, load).kind == "unchanged"
+    third = source(spark, f"{tmp_path}/3", [("d", DAY + dt.timedelta(hours=1, microseconds=1))], schema)
+    assert load_raw(spark, third, load).rows == 3
+
+
 def test_newest_of_several_changes(spark, place, tmp_path):
     load = RawLoad("db.t", place, key="id", incremental=True, latest_only=True)
     schema = "id long, v string, update_timestamp timestamp"

@@ -98,6 +98,8 @@ def test_partition_merge_declines_what_it_cannot_do(spark, place, tmp_path):
     write_table(old, place.table, place.path, partition_by="p")
     more = spark.createDataFrame([(1, "a", 5)], "id int, p string, extra int")
     assert not merge_into_partitions(place.table, more, "id", "p", f"{tmp_path}/b1")
+    other = spark.createDataFrame([(1, "a")], "id long, p string")
+    assert not merge_into_partitions(place.table, other, "id", "p", f"{tmp_path}/b3")
     wide = spark.createDataFrame([(1, "c"), (2, "d")], "id int, p string")
     assert not merge_into_partitions(place.table, wide, "id", "p", f"{tmp_path}/b2", most=3)
     assert rows(spark.table(place.table)) == rows(old)
