@@ -30,7 +30,8 @@ def orders_now(spark: SparkSession, sf_dir: str) -> DataFrame:
         load(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
-            F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double").alias("shipped_value"),
+            # In whole cents, so the sum does not depend on the order of the rows.
+            (F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).cast("double") / 100).alias("shipped_value"),
             F.max("l_shipdate").alias("shipped_on"),
         )
     )
@@ -124,7 +125,7 @@ QUERIES = {
 
 ORDERS_SQL = f"""
     shipped AS (
-        SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(12, 2))) AS DOUBLE) AS shipped_value,
+        SELECT l_orderkey, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS shipped_value,
                max(l_shipdate) AS shipped_on
         FROM lineitem GROUP BY l_orderkey),
     loaded AS (SELECT *, o_orderdate AS upd FROM orders WHERE o_orderdate <= TIMESTAMP '{ORDERS_CUT}'),
