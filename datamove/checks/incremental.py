@@ -8,6 +8,7 @@ from datamove.checks.common import EVENTS_CUT, ORDERS_CUT, day_text, load, momen
 from datamove.operators import (
     align_schemas,
     changed_rows,
+    fits_broadcast,
     frequent_keys,
     high_watermark,
     latest_per_key,
@@ -90,7 +91,8 @@ def merged_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = changed_rows(events, high_watermark(loaded, "ts"), "ts")
     order = ["ts", "event_id"]
     increment = staged(latest_per_key(changed, "user_id", order))
-    merged = merge_upsert(latest_per_key(loaded, "user_id", order), increment, "user_id")
+    small = fits_broadcast(increment, "user_id")
+    merged = merge_upsert(latest_per_key(loaded, "user_id", order), increment, "user_id", broadcast_keys=small)
     return merged.withColumn("ts", moment_text("ts"))
 
 

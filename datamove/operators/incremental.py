@@ -151,11 +151,12 @@ def frequent_keys(df: DataFrame, key: str, share: float = 0.01) -> list[Any]:
 def key_bytes(key: str | Sequence[str]) -> Column:
     """Aggregate: bytes a hash table of the key columns needs at most, null for no rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    # Hash-table entry, row header and one word per column, besides the bytes of the text.
-    width = F.lit(48 + 16 * len(keys)).cast("long")
+    # Key and value row, each with two words per column and the bytes of its text, and the
+    # table's own entry.
+    text = F.lit(0)
     for k in keys:
-        width = width + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
-    return F.sum(width)
+        text = text + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
+    return F.sum((F.lit(128 + 32 * len(keys)) + 2 * text).cast("long"))
 
 
 def fits_broadcast(df: DataFrame, key: str | Sequence[str], limit: int = BROADCAST_BYTES) -> bool:

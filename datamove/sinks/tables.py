@@ -73,9 +73,8 @@ def write_table(
         writer = writer.partitionBy(partition_by)
     if bucket_by is not None:
         writer = writer.bucketBy(*bucket_by)
+    # Saving as a table also registers its partitions.
     writer.saveAsTable(table)
-    if partition_by is not None:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
 def snapshot_copy(spark: SparkSession, path: str, target: str, partition_by: Sequence[str] = ()) -> None:

@@ -94,6 +94,8 @@ def _run(
         # The batch's own time, which a repeated batch repeats.
         arrived = arrived.withColumn(stamp, F.current_timestamp())
     writer = arrived.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    if stamp is not None:
+        writer = writer.partitionBy(stamp)
     writer.trigger(availableNow=True).toTable(table).awaitTermination()
     # The sink adds files behind the catalog's back.
     spark.catalog.refreshTable(table)

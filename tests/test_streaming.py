@@ -81,6 +81,20 @@ def test_replacing_shows_the_new_files_only(spark, place, tmp_path):
     assert values(ingest()) == [3]
 
 
+def test_replacing_reads_the_new_batch_only(spark, place, tmp_path, plan):
+    from pyspark.sql import functions as F
+
+    landing = Landing(f"{tmp_path}/landing", "CSV", schema="v int")
+    for i in range(3):
+        drop(landing.path, f"{i}.csv", f"v\n{i}\n")
+        replace_with_new_files(spark, landing, place, f"{tmp_path}/checkpoint")
+    arrivals = spark.table(f"{place.database}.{place.name}_arrivals")
+    newest = arrivals.agg(F.max("arrived_batch").cast("string")).first()[0]
+    one = arrivals.where(F.col("arrived_batch") == F.lit(newest).cast("timestamp"))
+    assert "PartitionFilters: [isnotnull(arrived_batch" in plan(one)
+    assert values(one) == [2] and arrivals.count() == 3
+
+
 def test_replacing_makes_up_for_a_failed_publish(spark, place, tmp_path, monkeypatch):
     import datamove.streaming.files_once as module
 
