@@ -82,6 +82,8 @@ def load_raw(spark: SparkSession, source: Source, load: RawLoad) -> LoadResult:
     """
     if load.incremental and load.key is None:
         raise ValueError(f"incremental load of {load.table} needs a key")
+    if load.in_partitions and load.buckets:
+        raise ValueError("a table is merged by partition or by bucket, not both")
     if load.incremental and spark.catalog.tableExists(load.target.table):
         kind = _increment(spark, source, load)
     else:
@@ -139,7 +141,8 @@ def _merge(spark: SparkSession, load: RawLoad, loaded: DataFrame, increment: Dat
         return "unchanged"
     newest = found.newest if watermark is None else max(watermark, found.newest or watermark)
     noted = _note(newest, increment.schema[column].dataType)
-    small = found.bytes <= BROADCAST_BYTES
+    # A bucketed table is joined bucket by bucket, which does not move it either.
+    small = found.bytes <= BROADCAST_BYTES and not load.buckets
     if load.in_partitions and load.partition_by is not None:
         table = f"{load.target.database}.{load.target.name}{active_copy(spark, load.target)}"
         backup = backup_path(load.target.path, dt.datetime.now(dt.timezone.utc))

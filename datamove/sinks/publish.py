@@ -59,6 +59,7 @@ def publish_ab(
     ``properties`` are put on the view in the same operation.
     """
     spark = df.sparkSession
+    _check_name(spark, place)
     active = active_copy(spark, place)
     if incremental and active is not None:
         loaded, added = align_schemas(spark.table(place.table), df)
@@ -90,6 +91,7 @@ def publish_warehouse(df: DataFrame, place: Place, columns: str) -> str:
     """
     spark = df.sparkSession
     ensure_database(spark, place.database)
+    _check_name(spark, place)
     copy = next_copy(active_copy(spark, place))
     physical = f"{place.database}.{place.name}{copy}"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {physical} ({bare_columns(columns)}) USING parquet LOCATION '{place.path}{copy}'")
@@ -148,6 +150,11 @@ def bare_columns(columns: str) -> str:
     return text[1:-1] if text.startswith("(") and text.endswith(")") else text
 
 
+def _check_name(spark: SparkSession, place: Place) -> None:
+    if spark.catalog.tableExists(place.table) and spark.catalog.getTable(place.table).tableType != "VIEW":
+        raise ValueError(f"{place.table} is a table; rename it before publishing a view under its name")
+
+
 def _repoint(
     spark: SparkSession, place: Place, physical: str, copy: str, properties: Mapping[str, str] | None = None
 ) -> None:

@@ -34,6 +34,12 @@ def test_empty_is_refused_unless_allowed(spark, place):
     assert spark.table(place.table).isEmpty()
 
 
+def test_name_taken_by_a_table(spark, place):
+    spark.range(1).write.saveAsTable(place.table)
+    with pytest.raises(ValueError, match="is a table"):
+        publish_ab(spark.range(2), place)
+
+
 def test_incremental_publish_survives_the_flip_and_new_columns(spark, place):
     publish_ab(spark.range(2), place)
     publish_ab(spark.range(2, 4), place, incremental=True)
