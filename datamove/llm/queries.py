@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.llm import bpe, decontaminate, urlfilter
+from datamove.llm import bpe, decontaminate, html_text, language, licenses, neighbours, quality, toxicity, urlfilter
 from datamove.llm.arrow import fold
 
 
@@ -26,6 +26,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = fold("doc_id") != 1
+    model = toxicity.learn_toxicity(docs.where(learnt), _read(spark, sf_dir, "labels").where(learnt))
+    scored = toxicity.score_toxicity(docs, model, ["doc_id"])
+    return scored.select("doc_id", (fold("doc_id") == 1).alias("held_out"), "score", "predicted")
+
+
 # Host labels of the sites whose pages make up the list.
 LISTED_SITES = r"(^|\.)(spam-farm|casino-win|cheap-pills|ads-track|free-bets|adult-x)\."
 
@@ -36,6 +44,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(pages, pages.where(host.rlike(LISTED_SITES)), ["page_id"])
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_text(_read(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def tokenized(docs: DataFrame, keep: list[str]) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode_texts(docs, keep, ranks=ranks, pattern=public_tokenizers.PATTERN)
@@ -52,6 +65,39 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenized(_read(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_url_filter, op6_bpe)}
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_read(spark, sf_dir, "documents"), ["doc_id"])
+    return found.withColumns({c: F.concat_ws(",", c) for c in ("base_labels", "labels")}).drop("matches")
+
+
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.learn_languages(docs.where(fold("doc_id") != 1))
+    told = language.tell_languages(docs, model, ["doc_id"])
+    return told.select("doc_id", (fold("doc_id") == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op10_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.resample(docs, _read(spark, sf_dir, "labels"), ["doc_id"])
+
+
+_ALL = (
+    op1_decontaminate,
+    op2_toxicity,
+    op3_url_filter,
+    op5_html_text,
+    op6_bpe,
+    op7_neighbours,
+    op8_license_scan,
+    op9_language_mixture,
+    op10_importance_resample,
+)
+
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLES = {}
