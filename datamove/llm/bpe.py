@@ -1,33 +1,55 @@
 """Byte-level BPE: every distinct word of the corpus is encoded once.
 
 Tasks cut texts into pre-tokens and number the distinct ones of a block of texts; a text becomes
-the numbers in order.  The distinct words of all blocks meet in one shuffle by the word, which
-encodes each word once and hands its ids to every block that asked; a second shuffle by block
-puts them back in place.  A frequent word costs a row for each block, never for each use.
+the numbers in order.  The distinct words of all blocks meet in one shuffle by a hash of the word,
+packed into one row for a block and hash; there each word is encoded once and its ids handed to
+every block that asked.  A second shuffle by block puts them back in place.  A frequent word
+costs an entry for each block, never for each use.
 """
 
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import tiktoken
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from datamove.llm.arrow import TEXT, quoted, ship_code
+from datamove.llm.arrow import TEXT, quoted, ship_code, text_slices
+from datamove.llm.words import hashes
 
-# Characters of text in a block, over which distinct words are shared; a longer text is its own.
-BLOCK_CHARS = 24_000_000
+# Bytes of text in a block, over which distinct words are shared; a longer text is its own.
+BLOCK_BYTES = 12 << 20
+
+# Hash values of words for each shuffle partition; a task remembers the words of one at a time.
+HASHES_PER_PARTITION = 4
+
+# Bytes that may end, and may begin, a character of white space.
+ENDS_BLANK, BEGINS_BLANK = np.zeros(256, bool), np.zeros(256, bool)
+ENDS_BLANK[[*range(9, 14), *range(28, 33), *range(128, 192)]] = True
+BEGINS_BLANK[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 # A byte vocabulary beyond this is not sent to the tasks.
 VOCABULARY_LIMIT = 64 << 20
 
-BLOCK, NUMBER, WORD, IDS, SEQUENCES = "__block__", "__number__", "__word__", "__ids__", "__sequences__"
+BLOCK, HASH, WORDS, LENGTHS, IDS, SEQUENCES, HASHES = (f"__{n}__" for n in ("block", "hash", "words", "lengths", "ids", "sequences", "hashes"))
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """32-bit numbers, compressed byte plane by byte plane."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def expanded(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,55 +61,60 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-class PreTokens:
-    """Pre-tokens of texts, numbered as they first occur.
+class Block:
+    """Pre-tokens of some texts, numbered as they first occur, and the texts as numbers.
 
-    A text without two spaces in a row, and without one at its end, falls apart at its spaces
-    into pieces whose pre-tokens do not depend on each other: white space before a space is
-    its own match, and a space goes with what follows it.  So each distinct piece is matched
-    against the pattern once.
+    A text falls apart before each of its spaces into pieces whose pre-tokens do not depend on
+    each other, unless a space has white space before it and white space or the end after it.
+    A text with such a space is one piece.
+    Each distinct piece, told by a 64-bit hash, is matched against the pattern once.
     """
 
     def __init__(self, pattern: str):
         self.match = regex.compile(pattern).findall
-        self.reset()
-
-    def reset(self) -> None:
         self.words: dict[str, int] = {}
-        self.pieces: dict[str, int] = {}
+        self.pieces: dict[int, int] = {}
         self.parts: list[list[int]] = []
-
-    def _numbers(self, text: str) -> list[int]:
-        return [self.words.setdefault(w, len(self.words)) for w in self.match(text)]
-
-    def _piece(self, piece: str) -> int:
-        at = self.pieces[piece] = len(self.parts)
-        self.parts.append(self._numbers(" " + piece))
-        return at
-
-    def number(self, text: str) -> tuple[bool, list[int]]:
-        """Numbers of pieces (and True) where the text falls apart, else of pre-tokens."""
-        if "  " in text or text.endswith(" ") or " " not in text:
-            return False, self._numbers(text)
-        first, *rest = text.split(" ")
-        known = self.pieces
-        found = [known[p] if p in known else self._piece(p) for p in rest]
-        # The first piece has no space before it.
-        start = "\0" + first
-        if start not in known:
-            known[start] = len(self.parts)
-            self.parts.append(self._numbers(first))
-        return True, [known[start], *found]
-
-    def sequences(self, numbered: list[tuple[bool, list[int]]]) -> list[np.ndarray]:
+        self.texts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        self.size += len(data)
+        sizes = np.diff(offsets)
+        space = data == 32
+        begins = space.copy()
+        begins[offsets[:-1][sizes > 0]] = True
+        last, first = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        last[(offsets[1:] - 1)[sizes > 0]] = True
+        first[offsets[:-1][sizes > 0]] = True
+        before = ENDS_BLANK[np.append(data[:1], data[:-1])] & ~first
+        after = BEGINS_BLANK[np.append(data[1:], data[:1])] | last
+        odd = np.flatnonzero(space & before & after)
+        for text in np.unique(np.searchsorted(offsets, odd, "right") - 1).tolist():
+            begins[offsets[text] + 1 : offsets[text + 1]] = False
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        found, first, back = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
+        raw, numbers = data.tobytes(), np.empty(len(found), np.int64)
+        for i, (key, at) in enumerate(zip(found.tolist(), first.tolist())):
+            number = self.pieces.get(key)
+            if number is None:
+                number = self.pieces[key] = len(self.parts)
+                words = self.match(raw[starts[at] : ends[at]].decode())
+                self.parts.append([self.words.setdefault(w, len(self.words)) for w in words])
+            numbers[i] = number
+        self.texts += np.split(numbers[back.reshape(-1)], np.searchsorted(starts, offsets[1:-1]))
+
+    def sequences(self) -> list[np.ndarray]:
         lengths = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
         flat = np.fromiter((x for part in self.parts for x in part), np.uint32, int(lengths.sum()))
         begins = np.cumsum(lengths) - lengths
-        out = []
-        for pieces, numbers in numbered:
-            numbers = np.array(numbers, np.int64)
-            out.append(gathered(flat, begins, lengths, numbers) if pieces else numbers.astype(np.uint32))
-        return out
+        return [gathered(flat, begins, lengths, pieces) for pieces in self.texts]
+
+    def name(self, index: int) -> str:
+        """Its task, its rank there, and its content, on which both readings must agree."""
+        content = zlib.crc32("\0".join(self.words).encode(), len(self.texts))
+        return f"{TaskContext.get().partitionId()}-{index}-{len(self.words)}-{content}"
 
 
 def gathered(flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -97,32 +124,18 @@ def gathered(flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray, which: n
     return flat[np.arange(int(many.sum())) + np.repeat(shift, many)]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, width: int) -> Iterator[tuple[list[pa.RecordBatch], list[str], list[np.ndarray]]]:
-    """Kept columns, distinct words and sequences of one block after another."""
-    tokens, rows, numbered, size = PreTokens(pattern), [], [], 0
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, width: int) -> Iterator[tuple[list[pa.RecordBatch], Block]]:
+    """The kept columns and the numbered texts of one block after another."""
+    rows, block = [], Block(pattern)
     for batch in batches:
-        begun = 0
-        for at, text in enumerate(batch.column(width)):
-            text = text.as_py() or ""
-            numbered.append(tokens.number(text))
-            size += len(text)
-            if size >= BLOCK_CHARS:
-                rows.append(batch.slice(begun, at + 1 - begun))
-                yield rows, list(tokens.words), tokens.sequences(numbered)
-                tokens.reset()
-                rows, numbered, size, begun = [], [], 0, at + 1
-        if begun < batch.num_rows:
-            rows.append(batch.slice(begun))
-    if numbered:
-        yield rows, list(tokens.words), tokens.sequences(numbered)
-
-
-def _named(index: int, words: list[str], sequences: list[np.ndarray]) -> str:
-    """A block's name: its task, its rank there, and its content, which both branches must agree on."""
-    from pyspark import TaskContext
-
-    content = sum(map(len, words)) * 1_000_003 + sum(map(len, sequences))
-    return f"{TaskContext.get().partitionId()}-{index}-{len(words)}-{content}"
+        for i, j, data, offsets in text_slices(batch.column(width)):
+            block.add(data, offsets)
+            rows.append(batch.slice(i, j - i))
+            if block.size >= BLOCK_BYTES:
+                yield rows, block
+                rows, block = [], Block(pattern)
+    if rows:
+        yield rows, block
 
 
 def encode_texts(docs: DataFrame, keep: Sequence[str], *, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
@@ -138,57 +151,81 @@ def encode_texts(docs: DataFrame, keep: Sequence[str], *, ranks: dict[bytes, int
     source = docs.select(*[quoted(c) for c in keep], quoted(text).cast("string").alias(TEXT))
     width = len(keep)
     kept = source.schema.fields[:-1]
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for index, (_, found, sequences) in enumerate(_blocks(batches, pattern, width)):
-            name = _named(index, found, sequences)
-            for i in range(0, len(found), 50_000):
-                part = found[i : i + 50_000]
-                numbers = pa.array(np.arange(i, i + len(part), dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), numbers, pa.array(part, pa.string())], names=[BLOCK, NUMBER, WORD])
-
-    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for index, (rows, found, made) in enumerate(_blocks(batches, pattern, width)):
-            name = _named(index, found, made)
-            columns = pa.Table.from_batches(rows).select(list(range(width))).combine_chunks()
-            arrays = [c.combine_chunks() for c in columns.columns]
-            arrays = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in arrays]
-            packed = pa.array([squeeze(s.tobytes()) for s in made], pa.binary())
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array([name] * len(made)), packed], names=[*columns.column_names, BLOCK, SEQUENCES])
+    n_hashes = HASHES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def hashed(block: Block) -> np.ndarray:
+        return np.fromiter((zlib.crc32(w.encode()) % n_hashes for w in block.words), np.uint32, len(block.words))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for index, (_, block) in enumerate(_blocks(batches, pattern, width)):
+            of, words = hashed(block), np.array([w.encode() for w in block.words], object)
+            order = np.argsort(of, kind="stable")
+            values, first = np.unique(of[order], return_index=True)
+            columns = [[], []]
+            for part in np.split(words[order], first[1:]) if len(values) else []:
+                columns[0].append(zstandard.ZstdCompressor(level=3).compress(b"".join(part)))
+                columns[1].append(squeezed(np.fromiter(map(len, part), np.uint32, len(part))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block.name(index)] * len(values)), pa.array(values.astype(np.int32)), *[pa.array(c, pa.binary()) for c in columns]],
+                names=[BLOCK, HASH, WORDS, LENGTHS],
+            )
 
     shared = spark.sparkContext.broadcast(ranks)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
-        last, ids = None, b""
+        current, known = None, {}
         for batch in batches:
-            out = []
-            for word in batch.column(2).to_pylist():
-                if word != last:  # rows come sorted by word
-                    last, ids = word, np.array(encoding.encode_ordinary(word), np.uint32).tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=[BLOCK, NUMBER, IDS])
-
-    def in_place(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = right.column(NUMBER).to_numpy()
-        parts = right.column(IDS).combine_chunks()
-        if len(left) and len(order) != int(left.column(BLOCK)[0].as_py().split("-")[2]):
+            columns = [[], []]
+            for value, packed, sizes in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if value != current:  # rows come sorted by hash
+                    current, known = value, {}
+                raw, ends = zstandard.ZstdDecompressor().decompress(packed), np.cumsum(expanded(sizes), dtype=np.int64).tolist()
+                ids = []
+                for begin, end in zip([0, *ends], ends):
+                    word = raw[begin:end]
+                    if word not in known:
+                        known[word] = encoding.encode_ordinary(word.decode())
+                    ids.append(known[word])
+                columns[0].append(squeezed(np.fromiter((i for part in ids for i in part), np.uint32)))
+                columns[1].append(squeezed(np.fromiter(map(len, ids), np.uint32, len(ids))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.binary()) for c in columns]], names=[BLOCK, HASH, IDS, LENGTHS])
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for index, (rows, block) in enumerate(_blocks(batches, pattern, width)):
+            name, head = block.name(index), squeezed(hashed(block))
+            made = block.sequences()
+            for batch in rows:
+                here, made = made[: batch.num_rows], made[batch.num_rows :]
+                columns = [pa.array([name] * len(here)), pa.array([head] + [None] * (len(here) - 1), pa.binary()), pa.array([squeezed(s) for s in here], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names=[*batch.schema.names[:width], BLOCK, HASHES, SEQUENCES])
+                head = None
+
+    def put_back(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left):
             raise RuntimeError("the documents changed between two readings")
-        place = np.argsort(order)
-        lengths = pc.binary_length(parts).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-        flat = np.frombuffer(b"".join(parts.to_pylist()), np.uint32)
-        begins = np.cumsum(lengths) - lengths
-        begins, lengths = begins[place], lengths[place]
-        expand = zstandard.ZstdDecompressor().decompress
-        ids = [gathered(flat, begins, lengths, np.frombuffer(expand(s.as_py()), np.uint32).astype(np.int64)).tobytes() for s in left.column(SEQUENCES)]
+        of = expanded(next(h for h in left.column(HASHES).to_pylist() if h is not None))
+        order = np.argsort(np.array(right.column(HASH).to_pylist(), np.int64), kind="stable")
+        lengths, flat = (
+            np.concatenate([np.zeros(0, np.uint32), *[expanded(right.column(c)[i].as_py()) for i in order.tolist()]]) for c in (LENGTHS, IDS)
+        )
+        if len(lengths) != len(of):
+            raise RuntimeError("the documents changed between two readings")
+        # Answers stand by hash, then as the words first occurred.
+        place = np.empty(len(of), np.int64)
+        place[np.argsort(of, kind="stable")] = np.arange(len(of))
+        lengths = lengths.astype(np.int64)
+        begins = (np.cumsum(lengths) - lengths)[place]
+        lengths = lengths[place]
+        ids = [gathered(flat, begins, lengths, expanded(s.as_py()).astype(np.int64)).astype("<u4").tobytes() for s in left.column(SEQUENCES)]
         return left.select(list(range(width))).append_column("ids", pa.array(ids, pa.binary()))
 
-    asked = source.mapInArrow(words, f"{BLOCK} string, {NUMBER} int, {WORD} string")
-    answered = asked.repartition(F.col(WORD)).sortWithinPartitions(WORD).mapInArrow(encode, f"{BLOCK} string, {NUMBER} int, {IDS} binary")
-    held = source.mapInArrow(sequences, T.StructType([*kept, T.StructField(BLOCK, T.StringType()), T.StructField(SEQUENCES, T.BinaryType())]))
+    asked = source.mapInArrow(ask, f"{BLOCK} string, {HASH} int, {WORDS} binary, {LENGTHS} binary")
+    answered = asked.repartition(F.col(HASH)).sortWithinPartitions(HASH).mapInArrow(answer, f"{BLOCK} string, {HASH} int, {IDS} binary, {LENGTHS} binary")
+    inner = [T.StructField(BLOCK, T.StringType()), T.StructField(HASHES, T.BinaryType()), T.StructField(SEQUENCES, T.BinaryType())]
+    held = source.mapInArrow(hold, T.StructType([*kept, *inner]))
     out = T.StructType([*kept, T.StructField("ids", T.BinaryType())])
-    return held.groupBy(BLOCK).cogroup(answered.groupBy(BLOCK)).applyInArrow(in_place, out)
+    return held.groupBy(BLOCK).cogroup(answered.groupBy(BLOCK)).applyInArrow(put_back, out)
 
 
 def decode_ids(encoded: DataFrame, keep: Sequence[str], *, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:

@@ -120,12 +120,15 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
 def nearest(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query the rows of its ``k`` nearest and their distances, ties by id."""
     wide = min(len(ids), k + 1 + SLACK)
+    longest = (vectors * vectors).sum(1).max(initial=0.0)
     for begin in range(0, len(queries), 128):
         part = queries[begin : begin + 128]
         rough = squared(part, vectors)
         if wide < len(ids):
             cut = np.partition(rough, wide - 1, axis=1)[:, wide - 1 : wide]
-            candidates = [np.flatnonzero(row <= edge * (1 + 1e-9) + 1e-12) for row, edge in zip(rough, cut[:, 0])]
+            # What rounding may hide in the expanded square is measured too.
+            slack = 1e-12 * (longest + (part * part).sum(1))
+            candidates = [np.flatnonzero(row <= edge) for row, edge in zip(rough, cut[:, 0] + slack)]
         else:
             candidates = [np.arange(len(ids))] * len(part)
         for i, at in enumerate(candidates):
@@ -140,6 +143,10 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
+def _up_to(n: Column) -> Column:
+    return F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+
+
 def search(
     vectors: DataFrame,
     is_query: Column,
@@ -220,8 +227,9 @@ def search(
         return F.array(*[F.lit(max(1, math.ceil(counts.get(i, 0) / cell))) for i in range(tree.value.n_leaves)])
 
     own, other = F.get(pieces(rows), F.col("leaf")), F.get(pieces(asked), F.col("leaf"))
-    placed = indexed.select("id", "v", "leaf", F.pmod(F.xxhash64("id"), own).alias("a"), F.explode(F.sequence(F.lit(0), other - 1)).alias("b"))
-    sent = routed.select("id", "v", "leaf", F.explode(F.sequence(F.lit(0), own - 1)).cast("long").alias("a"), F.pmod(F.xxhash64("id"), other).cast("int").alias("b"))
+    part = F.xxhash64("id")
+    placed = indexed.select("id", "v", "leaf", F.pmod(part, own).alias("a"), F.explode(_up_to(other)).alias("b"))
+    sent = routed.select("id", "v", "leaf", F.explode(_up_to(own)).alias("a"), F.pmod(part, other).alias("b"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [[], [], []]
