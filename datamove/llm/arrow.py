@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from datamove.session import scratch_path
 
 # Bytes of text that a task holds as arrays at a time; one longer text is taken alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 # Name under which the text travels, so that no column of the caller's can clash with it.
 TEXT = "__text__"
@@ -41,7 +41,9 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
     """Runs of rows ``[i, j)`` with their bytes and the n + 1 offsets into these; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
     n = len(column)
     if not n:
         return
@@ -68,9 +70,12 @@ def map_texts(
     ``work`` turns a stream of text columns into a stream of lists of columns as long as those.
     """
     ship_code(df.sparkSession)
-    source = df.select(*[quoted(c) for c in keep], quoted(text).cast("string").alias(TEXT))
-    schema = T.StructType(source.schema.fields[:-1] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
+    # A text that is kept is not sent twice.
+    sent_with = text in keep and df.schema[text].dataType == T.StringType()
+    source = df.select(*[quoted(c) for c in keep], *[quoted(text).cast("string").alias(TEXT)] * (not sent_with))
+    schema = T.StructType(source.schema.fields[: len(keep)] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
     width = len(keep)
+    at = list(keep).index(text) if sent_with else width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[list[pa.Array]] = []
@@ -78,7 +83,7 @@ def map_texts(
         def texts() -> Iterator[pa.Array]:
             for batch in batches:
                 kept.append([batch.column(i) for i in range(width)])
-                yield batch.column(width)
+                yield batch.column(at)
 
         for made in work(texts()):
             yield pa.RecordBatch.from_arrays(kept.pop(0) + made, names=schema.names)

@@ -25,10 +25,10 @@ from datamove.llm.arrow import TEXT, quoted, ship_code, text_slices
 from datamove.llm.words import hashes
 
 # Bytes of text in a block, over which distinct words are shared; a longer text is its own.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 
 # Hash values of words for each shuffle partition; a task remembers the words of one at a time.
-HASHES_PER_PARTITION = 4
+HASHES_PER_PARTITION = 1
 
 # Bytes that may end, and may begin, a character of white space.
 ENDS_BLANK, BEGINS_BLANK = np.zeros(256, bool), np.zeros(256, bool)
@@ -38,18 +38,24 @@ BEGINS_BLANK[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 # A byte vocabulary beyond this is not sent to the tasks.
 VOCABULARY_LIMIT = 64 << 20
 
-BLOCK, HASH, WORDS, LENGTHS, IDS, SEQUENCES, HASHES = (f"__{n}__" for n in ("block", "hash", "words", "lengths", "ids", "sequences", "hashes"))
+BLOCK, HASH, WORDS, LENGTHS, IDS, ROWS, HASHES = (f"__{n}__" for n in ("block", "hash", "words", "lengths", "ids", "rows", "hashes"))
 
 
-def squeezed(values: np.ndarray) -> bytes:
-    """32-bit numbers, compressed byte plane by byte plane."""
-    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+class Packer:
+    """Compression with contexts made once."""
 
+    def __init__(self) -> None:
+        self.pack = zstandard.ZstdCompressor(level=3).compress
+        self.unpack = zstandard.ZstdDecompressor().decompress
 
-def expanded(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+    def squeeze(self, values: np.ndarray) -> bytes:
+        """32-bit numbers, compressed byte plane by byte plane."""
+        planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+        return self.pack(planes.tobytes())
+
+    def expand(self, data: bytes) -> np.ndarray:
+        planes = np.frombuffer(self.unpack(data), np.uint8).reshape(4, -1)
+        return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -75,7 +81,7 @@ class Block:
         self.words: dict[str, int] = {}
         self.pieces: dict[int, int] = {}
         self.parts: list[list[int]] = []
-        self.texts: list[np.ndarray] = []
+        self.slices: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
     def add(self, data: np.ndarray, offsets: np.ndarray) -> None:
@@ -103,17 +109,20 @@ class Block:
                 words = self.match(raw[starts[at] : ends[at]].decode())
                 self.parts.append([self.words.setdefault(w, len(self.words)) for w in words])
             numbers[i] = number
-        self.texts += np.split(numbers[back.reshape(-1)], np.searchsorted(starts, offsets[1:-1]))
+        self.slices.append((numbers[back.reshape(-1)].astype(np.int32), np.searchsorted(starts, offsets)))
 
-    def sequences(self) -> list[np.ndarray]:
+    def sequences(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each slice of texts its word numbers in a row, and how many are each text's."""
         lengths = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
         flat = np.fromiter((x for part in self.parts for x in part), np.uint32, int(lengths.sum()))
         begins = np.cumsum(lengths) - lengths
-        return [gathered(flat, begins, lengths, pieces) for pieces in self.texts]
+        for pieces, of in self.slices:
+            ends = np.append(0, np.cumsum(lengths[pieces]))[of]
+            yield gathered(flat, begins, lengths, pieces), np.diff(ends)
 
     def name(self, index: int) -> str:
         """Its task, its rank there, and its content, on which both readings must agree."""
-        content = zlib.crc32("\0".join(self.words).encode(), len(self.texts))
+        content = zlib.crc32("\0".join(self.words).encode(), len(self.slices))
         return f"{TaskContext.get().partitionId()}-{index}-{len(self.words)}-{content}"
 
 
@@ -124,17 +133,26 @@ def gathered(flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray, which: n
     return flat[np.arange(int(many.sum())) + np.repeat(shift, many)]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, width: int) -> Iterator[tuple[list[pa.RecordBatch], Block]]:
-    """The kept columns and the numbered texts of one block after another."""
+def _packed_rows(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, width: int, carry: bool) -> Iterator[tuple[list[bytes], Block]]:
+    """The kept columns, if asked for, and the numbered texts of one block after another."""
     rows, block = [], Block(pattern)
     for batch in batches:
+        kept = batch.select(list(range(width))) if width else None
         for i, j, data, offsets in text_slices(batch.column(width)):
             block.add(data, offsets)
-            rows.append(batch.slice(i, j - i))
+            if carry:
+                rows.append(_packed_rows(kept.slice(i, j - i)) if width else b"")
             if block.size >= BLOCK_BYTES:
                 yield rows, block
                 rows, block = [], Block(pattern)
-    if rows:
+    if block.slices:
         yield rows, block
 
 
@@ -157,58 +175,53 @@ def encode_texts(docs: DataFrame, keep: Sequence[str], *, ranks: dict[bytes, int
         return np.fromiter((zlib.crc32(w.encode()) % n_hashes for w in block.words), np.uint32, len(block.words))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for index, (_, block) in enumerate(_blocks(batches, pattern, width)):
+        packer = Packer()
+        for index, (_, block) in enumerate(_blocks(batches, pattern, width, carry=False)):
             of, words = hashed(block), np.array([w.encode() for w in block.words], object)
             order = np.argsort(of, kind="stable")
             values, first = np.unique(of[order], return_index=True)
-            columns = [[], []]
-            for part in np.split(words[order], first[1:]) if len(values) else []:
-                columns[0].append(zstandard.ZstdCompressor(level=3).compress(b"".join(part)))
-                columns[1].append(squeezed(np.fromiter(map(len, part), np.uint32, len(part))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block.name(index)] * len(values)), pa.array(values.astype(np.int32)), *[pa.array(c, pa.binary()) for c in columns]],
-                names=[BLOCK, HASH, WORDS, LENGTHS],
-            )
+            parts = np.split(words[order], first[1:]) if len(values) else []
+            packed = [packer.pack(b"".join(part)) for part in parts]
+            sizes = [packer.squeeze(np.fromiter(map(len, part), np.uint32, len(part))) for part in parts]
+            columns = [pa.array([block.name(index)] * len(values), pa.string()), pa.array(values.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary()), pa.array(sizes, pa.binary())], names=[BLOCK, HASH, WORDS, LENGTHS])
 
     shared = spark.sparkContext.broadcast(ranks)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
-        current, known = None, {}
+        current, known, packer = None, {}, Packer()
         for batch in batches:
             columns = [[], []]
             for value, packed, sizes in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 if value != current:  # rows come sorted by hash
                     current, known = value, {}
-                raw, ends = zstandard.ZstdDecompressor().decompress(packed), np.cumsum(expanded(sizes), dtype=np.int64).tolist()
+                raw, ends = packer.unpack(packed), np.cumsum(packer.expand(sizes), dtype=np.int64).tolist()
                 ids = []
                 for begin, end in zip([0, *ends], ends):
                     word = raw[begin:end]
                     if word not in known:
-                        known[word] = encoding.encode_ordinary(word.decode())
+                        known[word] = np.array(encoding.encode_ordinary(word.decode()), np.uint32).tobytes()
                     ids.append(known[word])
-                columns[0].append(squeezed(np.fromiter((i for part in ids for i in part), np.uint32)))
-                columns[1].append(squeezed(np.fromiter(map(len, ids), np.uint32, len(ids))))
+                columns[0].append(packer.squeeze(np.frombuffer(b"".join(ids), np.uint32)))
+                columns[1].append(packer.squeeze(np.fromiter(map(len, ids), np.uint32, len(ids)) // 4))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.binary()) for c in columns]], names=[BLOCK, HASH, IDS, LENGTHS])
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for index, (rows, block) in enumerate(_blocks(batches, pattern, width)):
-            name, head = block.name(index), squeezed(hashed(block))
-            made = block.sequences()
-            for batch in rows:
-                here, made = made[: batch.num_rows], made[batch.num_rows :]
-                columns = [pa.array([name] * len(here)), pa.array([head] + [None] * (len(here) - 1), pa.binary()), pa.array([squeezed(s) for s in here], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names=[*batch.schema.names[:width], BLOCK, HASHES, SEQUENCES])
-                head = None
+        packer = Packer()
+        for index, (rows, block) in enumerate(_blocks(batches, pattern, width, carry=True)):
+            made = [(packer.squeeze(numbers), packer.squeeze(counts)) for numbers, counts in block.sequences()]
+            heads = [packer.squeeze(hashed(block))] + [None] * (len(rows) - 1)
+            columns = [pa.array(c, pa.binary()) for c in (rows, [m[1] for m in made], [m[0] for m in made], heads)]
+            yield pa.RecordBatch.from_arrays([pa.array([block.name(index)] * len(rows)), *columns], names=[BLOCK, ROWS, LENGTHS, IDS, HASHES])
 
     def put_back(left: pa.Table, right: pa.Table) -> pa.Table:
+        packer = Packer()
         if not len(left):
             raise RuntimeError("the documents changed between two readings")
-        of = expanded(next(h for h in left.column(HASHES).to_pylist() if h is not None))
-        order = np.argsort(np.array(right.column(HASH).to_pylist(), np.int64), kind="stable")
-        lengths, flat = (
-            np.concatenate([np.zeros(0, np.uint32), *[expanded(right.column(c)[i].as_py()) for i in order.tolist()]]) for c in (LENGTHS, IDS)
-        )
+        of = packer.expand(next(h for h in left.column(HASHES).to_pylist() if h is not None))
+        order = np.argsort(np.array(right.column(HASH).to_pylist(), np.int64), kind="stable").tolist()
+        lengths, flat = (np.concatenate([np.zeros(0, np.uint32), *[packer.expand(right.column(c)[i].as_py()) for i in order]]) for c in (LENGTHS, IDS))
         if len(lengths) != len(of):
             raise RuntimeError("the documents changed between two readings")
         # Answers stand by hash, then as the words first occurred.
@@ -217,13 +230,19 @@ def encode_texts(docs: DataFrame, keep: Sequence[str], *, ranks: dict[bytes, int
         lengths = lengths.astype(np.int64)
         begins = (np.cumsum(lengths) - lengths)[place]
         lengths = lengths[place]
-        ids = [gathered(flat, begins, lengths, expanded(s.as_py()).astype(np.int64)).astype("<u4").tobytes() for s in left.column(SEQUENCES)]
-        return left.select(list(range(width))).append_column("ids", pa.array(ids, pa.binary()))
+        done = []
+        for rows, counts, numbers in zip(*(left.column(c).to_pylist() for c in (ROWS, LENGTHS, IDS))):
+            numbers, counts = packer.expand(numbers).astype(np.int64), packer.expand(counts)
+            ids = gathered(flat, begins, lengths, numbers).astype("<u4")
+            ends = np.append(0, np.cumsum(lengths[numbers]))[np.append(0, np.cumsum(counts, dtype=np.int64))]
+            made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(4 * ends), pa.py_buffer(ids)])
+            kept = pa.ipc.open_stream(rows).read_all().columns if width else []
+            done.append(pa.table([*kept, made.cast(pa.binary())], names=out.names))
+        return pa.concat_tables(done).combine_chunks()
 
     asked = source.mapInArrow(ask, f"{BLOCK} string, {HASH} int, {WORDS} binary, {LENGTHS} binary")
     answered = asked.repartition(F.col(HASH)).sortWithinPartitions(HASH).mapInArrow(answer, f"{BLOCK} string, {HASH} int, {IDS} binary, {LENGTHS} binary")
-    inner = [T.StructField(BLOCK, T.StringType()), T.StructField(HASHES, T.BinaryType()), T.StructField(SEQUENCES, T.BinaryType())]
-    held = source.mapInArrow(hold, T.StructType([*kept, *inner]))
+    held = source.mapInArrow(hold, f"{BLOCK} string, {ROWS} binary, {LENGTHS} binary, {IDS} binary, {HASHES} binary")
     out = T.StructType([*kept, T.StructField("ids", T.BinaryType())])
     return held.groupBy(BLOCK).cogroup(answered.groupBy(BLOCK)).applyInArrow(put_back, out)
 

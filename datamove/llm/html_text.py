@@ -160,8 +160,12 @@ def content_blocks(html: str) -> list[str]:
     lines = parser.lines
     if not any(line.inside for line in lines):
         return []
-    ratios = smoothed(np.array([len(line.text) / max(1, line.tags) for line in lines]))
+    raw = np.array([len(line.text) / max(1, line.tags) for line in lines])
+    ratios = smoothed(raw)
     threshold = LAMBDA * ratios.std()
+    # Smoothing lifts the neighbours of content over the threshold; a line that opens a region
+    # as content must be over it by itself too.
+    ratios = np.minimum(ratios, raw)
     # Where the page marks its article, only that is asked about.
     marked = any(line.inside and line.article for line in lines)
     dense: dict[int, float] = {}

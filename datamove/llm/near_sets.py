@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from datamove.llm.arrow import TEXT, map_texts, quoted, ship_code, staged, text_slices
 from datamove.llm.words import LOWER, SOLID, U, hashes, joined, mix, spans
@@ -82,7 +82,7 @@ def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     no empty group: in the first such cut of either set, what both share is not empty.
     """
     sizes = np.diff(offsets)
-    starts = class_starts(int(sizes.max(initial=0)))
+    starts = class_starts(int(sizes.max(initial=0)) * 10 // 9)
     own = np.searchsorted(starts, sizes, "right") - 1
     upper = np.searchsorted(starts, sizes * 10 // 9, "right") - 1
     sets = np.concatenate((np.flatnonzero(own >= 0), np.flatnonzero((upper > own) & (sizes > 0))))
@@ -247,7 +247,6 @@ def _meetings(docs: DataFrame, text: str, seed: int) -> DataFrame:
     """Sets that share a group: the smallest set of all that do, with each other one."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
                 keys, of = shingle_sets(data, offsets)
@@ -268,8 +267,6 @@ def _meetings(docs: DataFrame, text: str, seed: int) -> DataFrame:
                     for i in range(0, len(columns[0]), 100_000):
                         yield pa.RecordBatch.from_arrays([c[i : i + 100_000] for c in columns], names=["g", "a", "b"])
 
-    from pyspark.sql import Window
-
     rows = docs.select(quoted(text).cast("string").alias(TEXT)).mapInArrow(meet, "g bigint, a bigint, b bigint")
     lead = F.min("a").over(Window.partitionBy("g"))
     return rows.select("a", F.coalesce("b", lead).alias("b")).where("a <> b").distinct()
@@ -288,9 +285,9 @@ def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, seed: int)
             names.append(set_hashes(keys, of, seed))
             parts += [keys[x:y] for x, y in zip(of[:-1], of[1:])]
         names = np.concatenate(names)
-        wanted = table.column("__set__").to_numpy()
-        _, rows = np.unique(names, return_index=True)
-        rows = rows[(names == wanted)[rows]]
+        # A key that stands for several texts brings them all; only the one meant counts.
+        rows = np.flatnonzero(names == table.column("__set__").to_numpy())
+        rows = rows[np.unique(names[rows], return_index=True)[1]]
         offsets = np.concatenate(([0], np.cumsum([len(parts[i]) for i in rows])))
         root = linked(np.concatenate([np.zeros(0, U), *[parts[i] for i in rows]]), offsets)
         return pa.table({"a": names[rows], "b": names[rows][root]})
@@ -299,57 +296,71 @@ def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, seed: int)
     return tasks.join(texts, "__id__").groupBy("__task__").applyInArrow(compare, "a bigint, b bigint").where("a <> b")
 
 
-def near_copies(
-    docs: DataFrame,
-    keep: list[str],
-    *,
-    key: str = "doc_id",
-    text: str = "text",
-    cell_shingles: int = CELL_SHINGLES,
-) -> DataFrame:
+def _across(docs: DataFrame, key: str, text: str, wide: DataFrame, links: DataFrame, cell_shingles: int, seed: int) -> DataFrame:
+    """Links in the cells of several tasks between the largest component so far and all else."""
+    labelled = wide.join(links, wide["__set__"] == links["a"], "left").withColumn("__label__", F.coalesce("b", "__set__")).drop("a", "b")
+    by_label = labelled.groupBy("__cell__", "__label__").agg(F.sum("__size__").alias("n"))
+    main = by_label.groupBy("__cell__").agg(F.max_by("__label__", F.struct("n", "__label__")).alias("__main__"))
+    rest = labelled.join(main, "__cell__").where("__label__ <> __main__")
+    loads = rest.groupBy("__cell__").agg(F.ceil(F.sum("__size__") / cell_shingles).cast("int").alias("__rests__"))
+    rest = rest.join(loads, "__cell__").withColumn("__rest__", F.pmod(F.xxhash64("__set__", F.lit(1)), F.col("__rests__")).cast("int"))
+    every = labelled.join(loads, "__cell__")
+
+    def tasks(rows: DataFrame, part: Column, rest: Column) -> DataFrame:
+        rows = rows.select("__id__", "__set__", "__cell__", part.alias("__part__"), rest.alias("r"))
+        return rows.select("__id__", "__set__", F.struct("__cell__", "__part__", "r").alias("__task__"))
+
+    one = tasks(rest, F.explode(F.sequence(F.lit(0), F.col("__parts__") - 1)), F.col("__rest__"))
+    two = tasks(every, F.col("__part__"), F.explode(F.sequence(F.lit(0), F.col("__rests__") - 1)))
+    return _compared(docs, key, text, one.unionByName(two).distinct(), seed)
+
+
+def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", cell_shingles: int = CELL_SHINGLES) -> DataFrame:
     """The component of links that each document is in.
 
-    Returns the ``keep`` columns with ``n_shingles``, the size of the document's set of distinct
-    word trigrams, and ``component_id``, the smallest key reachable by links.
+    Returns the key with ``n_shingles``, the size of the document's set of distinct word trigrams,
+    and ``component_id``, the smallest key reachable by links.
 
     Fewer than three words are one shingle together.  A null or empty text, or one of white
     space, has an empty set and links with nothing, so its component is its own key; a row
     with a null key has component null and links with nothing.  Repeated rows are each returned, in
-    the same component.  Equal sets always link, and are compared once.
+    the same component.  Equal sets always link, and are compared once; a key that repeats with
+    several texts stands in the component of each.  The table is read more than once, so it must
+    be one that reads the same each time.
     """
     ship_code(docs.sparkSession)
-    docs = docs.where(quoted(key).isNotNull()), docs.where(quoted(key).isNull())
-    docs, nameless = docs
+    named = docs.where(quoted(key).isNotNull())
     seed = 1
     while True:
         sets = staged(_sets(docs, key, text, seed), "sets")
-        reps = sets.where("__size__ > 0").groupBy("__set__").agg(
-            F.min(quoted(key)).alias("__id__"), F.max("__size__").alias("__size__"), (F.min("__check__") != F.max("__check__")).alias("__clash__")
-        )
+        kept = sets.where((F.col("__size__") > 0) & quoted(key).isNotNull())
+        clash = (F.min("__check__") != F.max("__check__")).alias("__clash__")
+        reps = kept.groupBy("__set__").agg(F.min(quoted(key)).alias("__id__"), F.max("__size__").alias("__size__"), clash)
         reps = staged(reps, "reps")
         if not reps.where("__clash__").head(1):
             break
         seed += 1  # two different sets had one name
-    cells = staged(components(_meetings(docs, text, seed)), "cells")
-    cells = cells.unionByName(cells.select(F.col("label").alias("node"), "label").distinct())
+    found = components(_meetings(named, text, seed))
+    cells = found.unionByName(found.select(F.col("label").alias("node"), "label").distinct())
     members = cells.select(F.col("node").alias("__set__"), F.col("label").alias("__cell__")).join(reps, "__set__")
     loads = members.groupBy("__cell__").agg(F.ceil(F.sum("__size__") / cell_shingles).cast("int").alias("__parts__"))
-    members = members.join(loads, "__cell__").withColumn("__part__", F.pmod(F.xxhash64("__set__"), F.col("__parts__")).cast("int"))
+    chance = F.xxhash64("__set__")
+    members = members.join(loads, "__cell__").withColumn("__part__", F.pmod(chance, F.col("__parts__")).cast("int"))
     members = staged(members, "members")
-    tasks = members.select("__id__", "__set__", F.struct("__cell__", "__part__", F.lit(0).alias("r")).alias("__task__"))
-    links = staged(_compared(docs, key, text, tasks, seed), "links")
+    # Some sets of a divided cell go to each of its tasks, so that what is alike there meets.
+    shared = (F.col("__parts__") > 1) & (F.pmod(F.shiftright(chance, 20), 10 * F.col("__parts__")) == 0)
+    parts = F.when(shared, F.sequence(F.lit(0), F.col("__parts__") - 1)).otherwise(F.array("__part__"))
+    tasks = members.select("__id__", "__set__", "__cell__", F.explode(parts).alias("__part__"))
+    tasks = tasks.select("__id__", "__set__", F.struct("__cell__", "__part__", F.lit(-1).alias("r")).alias("__task__"))
+    links = staged(_compared(named, key, text, tasks, seed), "links")
     wide = members.where("__parts__ > 1")
     if wide.head(1):
-        links = staged(links.unionByName(_across(docs, key, text, wide, links, cell_shingles, seed)), "links")
-        links = components(links).select(F.col("node").alias("a"), F.col("label").alias("b"))
+        near = components(links).select(F.col("node").alias("a"), F.col("label").alias("b"))
+        far = _across(named, key, text, wide, near, cell_shingles, seed)
+        links = components(near.unionByName(far)).select(F.col("node").alias("a"), F.col("label").alias("b"))
     labels = reps.join(links, reps["__set__"] == links["a"], "left").select("__set__", "__id__", F.coalesce("b", "__set__").alias("__label__"))
     smallest = labels.groupBy("__label__").agg(F.min("__id__").alias("__component__"))
-    named = labels.join(smallest, "__label__").select("__set__", "__component__")
-    shown = [quoted(c) for c in keep]
-    if set(keep) - {key}:
-        sets = _sets_with(docs, keep, key, text, seed)
-    full, empty = sets.where("__size__ > 0"), sets.where("__size__ = 0")
-    out = full.join(named, "__set__", "left").select(*shown, F.col("__size__").alias("n_shingles"), F.col("__component__").alias("component_id"))
-    out = out.unionByName(empty.select(*shown, F.col("__size__").alias("n_shingles"), quoted(key).alias("component_id")))
-    rest = _sets_with(nameless, keep, key, text, seed)
-    return out.unionByName(rest.select(*shown, F.col("__size__").alias("n_shingles"), quoted(key).alias("component_id")))
+    known = labels.join(smallest, "__label__").select("__set__", "__component__")
+    alone = sets.where((F.col("__size__") == 0) | quoted(key).isNull())
+    linked_sets = kept.join(known, "__set__").select(quoted(key), F.col("__size__").alias("n_shingles"), F.col("__component__").alias("component_id"))
+    return linked_sets.unionByName(alone.select(quoted(key), F.col("__size__").alias("n_shingles"), quoted(key).alias("component_id")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.llm import bpe, decontaminate, html_text, language, licenses, neighbours, quality, toxicity, urlfilter
+from datamove.llm import bpe, decontaminate, html_text, language, licenses, near_sets, neighbours, quality, toxicity, urlfilter
 from datamove.llm.arrow import fold
 
 
@@ -44,6 +44,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(pages, pages.where(host.rlike(LISTED_SITES)), ["page_id"])
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_sets.near_copies(_read(spark, sf_dir, "documents"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract_text(_read(spark, sf_dir, "pages"), ["page_id", "url"])
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -90,6 +94,7 @@ _ALL = (
     op1_decontaminate,
     op2_toxicity,
     op3_url_filter,
+    op4_ngram_jaccard,
     op5_html_text,
     op6_bpe,
     op7_neighbours,

@@ -1,22 +1,42 @@
-"""The stages of the corpus pipeline; each takes (spark, docs, sf_dir)."""
+"""The stages of the corpus pipeline; each takes (spark, docs, sf_dir) and judges all of ``docs``.
+
+All but the last return the columns of documents, less the rows they reject.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from datamove.llm import decontaminate, language, near_sets, quality, queries
+from datamove.llm.arrow import fold
 
-from datamove.llm import bpe, decontaminate, queries
+# Share of the text that its main language must have.
+MAIN_LANGUAGE = 0.5
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents drawn for their likeness to good text."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.resample(docs, labels, docs.columns).where("kept").select(*docs.columns)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents with one main language; those without a letter, or of several without one, go."""
+    model = language.learn_languages(docs.where(fold("doc_id") != 1))
+    told = language.tell_languages(docs, model, docs.columns)
+    return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MAIN_LANGUAGE)).select(*docs.columns)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Of each group of near copies the document with the smallest id; a repeated id counts once.
+
+    Rows without an id stay.
+    """
+    named = near_sets.near_copies(docs)
+    first = named.where("component_id = doc_id").select("doc_id").distinct()
+    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    kept = docs.join(first, "doc_id").withColumn("__rank__", once).where("__rank__ = 1").select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,5 +47,5 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and the digest of what they decode to."""
+    """Token ids of each text, counted and digested, and the digest of what they decode to."""
     return queries.tokenized(docs, ["doc_id", "lang", "source"])

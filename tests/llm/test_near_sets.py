@@ -1,0 +1,110 @@
+"""Near copies against every pair compared."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from datamove.llm import near_sets
+from datamove.llm.arrow import text_slices
+from datamove.llm.near_sets import CountTree, count_vectors, group_hashes, near_copies, shingle_sets
+
+SCHEMA = "doc_id long, text string, component_id string, n_shingles string"
+
+
+def shingles(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set())
+
+
+def brute(rows):
+    sets = [(k, shingles(t)) for k, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (k, a) in enumerate(sets):
+        for j, (m, b) in enumerate(sets[:i]):
+            if k is not None and m is not None and a and b and 100 * len(a & b) >= 90 * len(a | b):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (k, _) in enumerate(sets):
+        if k is not None:
+            least[find(i)] = min(k, least.get(find(i), k))
+    return sorted(((k, len(s), least[find(i)] if k is not None else None) for i, (k, s) in enumerate(sets)), key=repr)
+
+
+def corpus(rng, groups, sizes, copies):
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = []
+    for _ in range(groups):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice(sizes))]
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+                kind = rng.random()
+                if kind < 0.4:
+                    text[rng.randrange(len(text))] = rng.choice(vocabulary).upper()
+                elif kind < 0.7:
+                    text.append(rng.choice(vocabulary))
+                elif len(text) > 1:
+                    text.pop()
+            texts.append(rng.choice([" ", "\n"]).join(text))
+    return texts
+
+
+def found(spark, rows, **options):
+    frame = spark.createDataFrame([(k, t, "x", "y") for k, t in rows], SCHEMA)
+    return sorted((tuple(r) for r in near_copies(frame, **options).collect()), key=repr)
+
+
+@pytest.mark.parametrize("cell", [2_000_000, 300])
+def test_matches_every_pair(spark, cell):
+    rng = random.Random(11)
+    texts = corpus(rng, 40, [1, 2, 3, 5, 11, 12, 13, 14, 20, 30, 60, 150], 6)
+    rows = list(zip(rng.sample(range(1000), len(texts)), texts))
+    rows += [(2000, None), (2001, ""), (2002, " \t\n"), (None, texts[0]), (None, None), rows[5], rows[5], (2003, texts[5])]
+    assert found(spark, rows, cell_shingles=cell) == brute(rows)
+
+
+def test_chain_of_links_in_a_divided_cell(spark):
+    words = [f"v{i}" for i in range(400)]
+    rows = [(i, " ".join(words[3 * i : 3 * i + 100])) for i in range(60)]
+    assert found(spark, rows, cell_shingles=400) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert found(spark, []) == []
+
+
+def test_linking_sets_share_a_group():
+    rng = random.Random(2)
+    (_, _, data, offsets), = text_slices(pa.array(corpus(rng, 60, [8, 9, 10, 11, 14, 15, 25, 40, 90], 5)), most=1 << 30)
+    keys, of = shingle_sets(data, offsets)
+    groups, owner = group_hashes(keys, of)
+    asked = [set(groups[owner == i].tolist()) for i in range(len(of) - 1)]
+    sets = [set(keys[a:b].tolist()) for a, b in zip(of, of[1:])]
+    pairs = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and a != b and 100 * len(a & b) >= 90 * len(a | b):
+                pairs += 1
+                assert asked[i] & asked[j]
+    assert pairs > 50
+
+
+def test_tree_passes_over_what_cannot_link():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64)) for _ in range(200)]
+    sets[150] = np.unique(np.concatenate((sets[3][5:], sets[9][:5])))
+    offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    tree = CountTree(count_vectors(np.concatenate(sets), offsets), np.diff(offsets))
+    candidates = list(tree.candidates(3, np.arange(200)))
+    assert 150 in candidates and len(candidates) < 20
+    assert near_sets.linked(np.concatenate(sets), offsets)[150] == 3
