@@ -25,7 +25,7 @@ from datamove.llm.arrow import TEXT, quoted, ship_code, text_slices
 from datamove.llm.words import hashes
 
 # Bytes of text in a block, over which distinct words are shared; a longer text is its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 
 # Hash values of words for each shuffle partition; a task remembers the words of one at a time.
 HASHES_PER_PARTITION = 1
@@ -35,6 +35,17 @@ ENDS_BLANK, BEGINS_BLANK = np.zeros(256, bool), np.zeros(256, bool)
 ENDS_BLANK[[*range(9, 14), *range(28, 33), *range(128, 192)]] = True
 BEGINS_BLANK[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
+# The pattern that the rules for cutting texts below are made for, a fixed value.
+PLAIN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+# Plain bytes: ASCII letters and the first of two-byte ones, digits, and marks but the apostrophe
+# with which the pattern's contractions begin; a space stands before what it goes with.
+KINDS = np.zeros(256, np.uint8)
+KINDS[[*range(65, 91), *range(97, 123), 0xC3]] = 1
+KINDS[48:58] = 2
+KINDS[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = 3
+KINDS[32] = 4
+
 # A byte vocabulary beyond this is not sent to the tasks.
 VOCABULARY_LIMIT = 64 << 20
 
@@ -71,50 +82,85 @@ class Block:
     """Pre-tokens of some texts, numbered as they first occur, and the texts as numbers.
 
     A text falls apart before each of its spaces into pieces whose pre-tokens do not depend on
-    each other, unless a space has white space before it and white space or the end after it.
-    A text with such a space is one piece.
-    Each distinct piece, told by a 64-bit hash, is matched against the pattern once.
+    each other, unless a space has white space before it and white space or the end after it;
+    a text with such a space is one piece.  A piece of nothing but letters, digits and marks that
+    are plain (see ``KINDS``) falls apart where these change, its space going with what follows;
+    other pieces go through the pattern.  Either way each distinct unit, told by a 64-bit
+    hash, is looked at once.  Under any other pattern than ``PLAIN_PATTERN`` a text is one piece.
     """
 
     def __init__(self, pattern: str):
         self.match = regex.compile(pattern).findall
+        self.plain = pattern == PLAIN_PATTERN
         self.words: dict[str, int] = {}
-        self.pieces: dict[int, int] = {}
-        self.parts: list[list[int]] = []
+        self.units: dict[int, int] = {}
+        self.flat: list[int] = []
+        self.lengths: list[int] = []
         self.slices: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, data: np.ndarray, offsets: np.ndarray) -> None:
-        self.size += len(data)
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where units start, and which of them go through the pattern."""
         sizes = np.diff(offsets)
         space = data == 32
-        begins = space.copy()
-        begins[offsets[:-1][sizes > 0]] = True
         last, first = np.zeros(len(data), bool), np.zeros(len(data), bool)
         last[(offsets[1:] - 1)[sizes > 0]] = True
         first[offsets[:-1][sizes > 0]] = True
         before = ENDS_BLANK[np.append(data[:1], data[:-1])] & ~first
         after = BEGINS_BLANK[np.append(data[1:], data[:1])] | last
-        odd = np.flatnonzero(space & before & after)
-        for text in np.unique(np.searchsorted(offsets, odd, "right") - 1).tolist():
+        begins = space | first
+        for text in np.unique(np.searchsorted(offsets, np.flatnonzero(space & before & after), "right") - 1).tolist():
             begins[offsets[text] + 1 : offsets[text + 1]] = False
         starts = np.flatnonzero(begins)
-        ends = np.append(starts[1:], len(data)) if len(starts) else starts
-        found, first, back = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
-        raw, numbers = data.tobytes(), np.empty(len(found), np.int64)
-        for i, (key, at) in enumerate(zip(found.tolist(), first.tolist())):
-            number = self.pieces.get(key)
-            if number is None:
-                number = self.pieces[key] = len(self.parts)
-                words = self.match(raw[starts[at] : ends[at]].decode())
-                self.parts.append([self.words.setdefault(w, len(self.words)) for w in words])
-            numbers[i] = number
-        self.slices.append((numbers[back.reshape(-1)].astype(np.int32), np.searchsorted(starts, offsets)))
+        kind = KINDS[data]
+        # A two-byte letter is one by its second byte too.
+        second = np.append(False, data[:-1] == 0xC3) & (data >= 0x80) & (data < 0xC0) & (data != 0x97) & (data != 0xB7)
+        kind[second] = 1
+        pair = np.flatnonzero(data == 0xC3)
+        kind[pair[~np.append(second, False)[pair + 1]]] = 0
+        odd = kind == 0
+        odd |= space & (~begins | np.append(begins[1:], True))
+        complex_ = np.add.reduceat(odd, starts) > 0
+        change = np.append(False, kind[1:] != kind[:-1]) & ~np.append(False, (space & begins)[:-1])
+        change &= ~np.repeat(complex_, np.diff(np.append(starts, len(data))))
+        whole = np.zeros(len(data), bool)
+        whole[starts[complex_]] = True
+        starts = np.flatnonzero(begins | change)
+        return starts, whole[starts]
+
+    def add(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        self.size += len(data)
+        if not len(data):
+            self.slices.append((np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)))
+            return
+        if self.plain:
+            starts, complex_ = self._cut(data, offsets)
+        else:
+            starts = offsets[:-1][np.diff(offsets) > 0]
+            complex_ = np.ones(len(starts), bool)
+        ends = np.append(starts[1:], len(data))
+        keys = hashes(data, starts, ends) + complex_.astype(np.uint64)
+        found, at, back = np.unique(keys, return_index=True, return_inverse=True)
+        raw, found = data.tobytes(), found.tolist()
+        numbers = np.array(list(map(self.units.get, found, [-1] * len(found))), np.int32)
+        words, new = self.words, np.flatnonzero(numbers < 0)
+        at = at[new]
+        for i, start, end, by_pattern in zip(new.tolist(), starts[at].tolist(), ends[at].tolist(), complex_[at].tolist()):
+            self.units[found[i]] = len(self.lengths)
+            text = raw[start:end].decode()
+            if by_pattern:
+                parts = self.match(text)
+                self.flat += [words.setdefault(w, len(words)) for w in parts]
+                self.lengths.append(len(parts))
+            else:
+                self.flat.append(words.setdefault(text, len(words)))
+                self.lengths.append(1)
+        numbers[new] = np.arange(len(self.lengths) - len(new), len(self.lengths))
+        self.slices.append((numbers[back.reshape(-1)], np.searchsorted(starts, offsets)))
 
     def sequences(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each slice of texts its word numbers in a row, and how many are each text's."""
-        lengths = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-        flat = np.fromiter((x for part in self.parts for x in part), np.uint32, int(lengths.sum()))
+        lengths, flat = np.array(self.lengths, np.int64), np.array(self.flat, np.uint32)
         begins = np.cumsum(lengths) - lengths
         for pieces, of in self.slices:
             ends = np.append(0, np.cumsum(lengths[pieces]))[of]
@@ -151,6 +197,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, width: int, carry:
                 rows.append(_packed_rows(kept.slice(i, j - i)) if width else b"")
             if block.size >= BLOCK_BYTES:
                 yield rows, block
+                pa.default_memory_pool().release_unused()
                 rows, block = [], Block(pattern)
     if block.slices:
         yield rows, block
