@@ -16,7 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import zstandard
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from datamove.llm.arrow import TEXT, map_texts, quoted, ship_code, staged, text_slices
 from datamove.llm.words import LOWER, SOLID, U, hashes, joined, mix, spans
@@ -78,8 +79,9 @@ def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
     A set is cut into groups for its own class of sizes and, where a larger partner may be in
     the next class, for that one too; there are more groups than shingles that two linking
-    sets of the class may differ in.  Where a group is empty, another cut is added, until one has
-    no empty group: in the first such cut of either set, what both share is not empty.
+    sets of the class may differ in.  Empty groups say nothing, so a set left with no more groups
+    than shingles it may differ in is cut anew as well: of two linking sets either one has
+    groups enough in the first cut, and so one in common, or both are in the next.
     """
     sizes = np.diff(offsets)
     starts = class_starts(int(sizes.max(initial=0)) * 10 // 9)
@@ -89,7 +91,7 @@ def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     classes = np.concatenate((own[own >= 0], upper[(upper > own) & (sizes > 0)]))
     found, owner, cut = [np.zeros(0, U)], [np.zeros(0, np.int64)], 1
     while len(sets):
-        n_groups = 2 * (starts[classes + 1] - 1) // 19 + 1
+        n_groups = 2 * (starts[classes + 1] - 1) // 19 + 2
         many = sizes[sets]
         row = np.repeat(np.arange(len(sets)), many)
         at = offsets[:-1][sets][row] + np.arange(len(row)) - (np.cumsum(many) - many)[row]
@@ -106,7 +108,7 @@ def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         which = (place - begins[whose]).astype(U) * U(1 << 20) + (n_groups[whose] * 64 + min(cut, 63)).astype(U)
         found.append(joined(total, count.astype(U), which))
         owner.append(sets[whose])
-        full = np.bincount(whose, minlength=len(sets)) == n_groups
+        full = np.bincount(whose, minlength=len(sets)) > (many + many * 10 // 9) // 19
         sets, classes, cut = sets[~full], classes[~full], cut + 1
     return np.concatenate(found), np.concatenate(owner)
 
@@ -280,7 +282,8 @@ def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, seed: int)
 
     def compare(table: pa.Table) -> pa.Table:
         parts, names = [], []
-        for _, _, data, offsets in text_slices(table.column(TEXT)):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for _, _, data, offsets in text_slices(pa.array([unpack(t) for t in table.column(TEXT).to_pylist()], pa.large_binary())):
             keys, of = shingle_sets(data, offsets)
             names.append(set_hashes(keys, of, seed))
             parts += [keys[x:y] for x, y in zip(of[:-1], of[1:])]
@@ -292,8 +295,17 @@ def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, seed: int)
         root = linked(np.concatenate([np.zeros(0, U), *[parts[i] for i in rows]]), offsets)
         return pa.table({"a": names[rows], "b": names[rows][root]})
 
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [pack(t.as_buffer() or b"") for t in batch.column(1).cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["__id__", TEXT])
+
+    # Texts are packed for the shuffle by key, which is asked for at every size alike.
     texts = docs.select(quoted(key).alias("__id__"), quoted(text).cast("string").alias(TEXT))
-    return tasks.join(texts, "__id__").groupBy("__task__").applyInArrow(compare, "a bigint, b bigint").where("a <> b")
+    schema = T.StructType([texts.schema["__id__"], T.StructField(TEXT, T.BinaryType())])
+    texts = texts.mapInArrow(packed, schema)
+    return tasks.join(texts.hint("merge"), "__id__").groupBy("__task__").applyInArrow(compare, "a bigint, b bigint").where("a <> b")
 
 
 def _across(docs: DataFrame, key: str, text: str, wide: DataFrame, links: DataFrame, cell_shingles: int, seed: int) -> DataFrame:
