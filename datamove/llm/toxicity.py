@@ -1,8 +1,9 @@
 """Toxicity of texts from subword embeddings, averaged, under a linear softmax.
 
-A word is the mean of the vectors of its character n-grams, a text the mean of its words, and
-a linear softmax over that gives the probability.  Vectors and softmax are trained together, so
-a misspelling that was never seen stands near the words it shares n-grams with.
+A word is the mean of the vectors of its character n-grams, a window of a few words the mean of
+these, and a linear softmax over that gives its odds.  Vectors and softmax are trained together,
+so a misspelling that was never seen stands near the words it shares n-grams with.  A text is as
+toxic as its worst window: a mean over all of it would lose one insult among thousands of words.
 """
 
 from __future__ import annotations
@@ -23,9 +24,13 @@ BUCKETS = 1 << 17
 WIDTH = 8
 SHORTEST, LONGEST = 3, 5
 
+# Words that are averaged, and the share of the sample that sets the scale of the odds.
+WINDOW = 8
+HELD_BACK = 4
+
 # The sample that the model is fitted on: labelled rows of each class, and characters in all.
-MOST_ROWS = 3_000
-MOST_CHARS = 48_000_000
+MOST_ROWS = 2_000
+MOST_CHARS = 24_000_000
 
 # Words whose score a task remembers before it starts afresh.
 MOST_KNOWN = 500_000
@@ -41,7 +46,9 @@ def buckets(word: str) -> list[int]:
 
 
 def tokens(text: str) -> list[str]:
-    return text.lower().split()
+    """Words in order; one that follows itself counts once."""
+    words = text.lower().split()
+    return [w for w, before in zip(words, ["", *words]) if w != before]
 
 
 def bare(token: str) -> str:
@@ -50,36 +57,46 @@ def bare(token: str) -> str:
 
 @dataclass
 class Toxicity:
-    """The vectors of all buckets, the softmax's two rows, and its biases."""
+    """The vectors of all buckets, the softmax's two rows and biases, and the scale of the odds."""
 
     vectors: np.ndarray
     softmax: np.ndarray
     bias: np.ndarray
+    slope: float = 1.0
+    shift: float = 0.0
 
-    def bucket_scores(self) -> np.ndarray:
-        """What each bucket adds to the log odds; means of these are the log odds of means."""
-        return self.vectors @ (self.softmax[1] - self.softmax[0])
+    def word_scores(self) -> "WordScores":
+        # What each bucket adds to the odds; means of these are the odds of means.
+        return WordScores(self.vectors @ (self.softmax[1] - self.softmax[0]), float(self.bias[1] - self.bias[0]))
 
-    def odds(self) -> float:
-        return float(self.bias[1] - self.bias[0])
+    def chances(self, odds: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * odds + self.shift, -60, 60)))
 
 
 class WordScores(dict):
-    """Log odds of tokens as they stand in texts, worked out when first asked for."""
+    """Odds of tokens as they stand in texts, worked out when first asked for; None if no word."""
 
-    def __init__(self, scores: np.ndarray):
-        self.scores = scores
+    def __init__(self, scores: np.ndarray, bias: float):
+        self.scores, self.bias = scores, bias
 
-    def __missing__(self, token: str) -> float:
+    def __missing__(self, token: str) -> float | None:
         word = bare(token)
-        value = float(self.scores[buckets(word)].mean()) if word else 0.0
+        value = float(self.scores[buckets(word)].mean()) if word else None
         if len(self) >= MOST_KNOWN:
             self.clear()
         self[token] = value
         return value
 
+    def text(self, text: str) -> float:
+        """The odds of the worst window of a text; without words, the bias alone."""
+        found = np.array([v for v in map(self.__getitem__, tokens(text)) if v is not None])
+        if not len(found):
+            return self.bias
+        # A short window is averaged as if the words that it lacks said nothing.
+        return float(np.add.reduceat(found, np.arange(0, len(found), WINDOW)).max()) / WINDOW + self.bias
+
 
-def _runs(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that sorts by key, and the keys that occur with where their runs begin."""
     order = np.argsort(keys, kind="stable")
     found = np.flatnonzero(np.concatenate(([True], np.diff(keys[order]) > 0))) if len(keys) else np.zeros(0, np.int64)
@@ -93,52 +110,81 @@ def _summed(values: np.ndarray, keys: np.ndarray, order: np.ndarray, begins: np.
     return out
 
 
-def fit(texts: Sequence[str], toxic: Sequence[int], prior: float, *, rounds: int = 60, rate: float = 0.1, decay: float = 3e-3, seed: int = 7, width: int = WIDTH) -> Toxicity:
-    """Train on texts of both classes in even weight, then shift to the share ``prior`` of toxic ones.
+def fit(texts: Sequence[str], toxic: Sequence[int], prior: float, *, rounds: int = 60, rate: float = 0.1, seed: int = 7, width: int = WIDTH) -> Toxicity:
+    """Train on the windows of texts of both classes in even weight, each with its text's label.
 
-    Words of a single text are left out: they tell nothing about others.
+    Words of a single text are left out: they tell nothing about others.  Every
+    ``HELD_BACK``-th text is not trained on; these set the scale of the odds, for a share ``prior`` of
+    toxic texts.  Too few texts for that are used for both.
     """
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / width, 1 / width, (BUCKETS, width)).astype(np.float32)
-    softmax = rng.normal(0, 1, (2, width)).astype(np.float32)
-    bias = np.zeros(2, np.float32)
+    vectors = rng.uniform(-0.3 / width, 0.3 / width, (BUCKETS, width)).astype(np.float32)
+    softmax, bias = rng.normal(0, 1, (2, width)).astype(np.float32), np.zeros(2, np.float32)
     labels = np.array(toxic, np.int64)
-    base = np.array([0, np.log(max(prior, 1e-4) / max(1 - prior, 1e-4))], np.float32)
+    prior = min(max(prior, 1e-4), 1 - 1e-4)
+    flat = Toxicity(vectors * 0, softmax, bias, 0.0, float(np.log(prior / (1 - prior))))
     if not len(labels) or labels.min() == labels.max():
-        return Toxicity(vectors * 0, softmax, base)
-    bags = [Counter(w for w in map(bare, tokens(t)) if w) for t in texts]
-    seen = Counter(w for bag in bags for w in bag)
+        return flat
+    held = np.arange(len(labels)) % HELD_BACK == HELD_BACK - 1
+    if min((labels[held] == 1).sum(), (labels[held] == 0).sum()) < 10:
+        held[:] = False
+    bags = [[w for w in map(bare, tokens(t)) if w] for t, out in zip(texts, held) if not out]
+    seen = Counter(w for bag in bags for w in set(bag))
     number = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n > 1))}
+    windows = [[number[w] for w in dict.fromkeys(bag[i : i + WINDOW]) if w in number] for bag in bags for i in range(0, len(bag), WINDOW)]
+    per_text = np.array([-(-len(bag) // WINDOW) for bag in bags])
+    if not number:
+        return flat
     parts = [buckets(w) for w in number]
-    gram_word = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    gram = np.array([b for p in parts for b in p], np.int64)
-    share = (1 / np.array([len(p) for p in parts], np.float32))[gram_word][:, None] if len(parts) else np.zeros((0, 1), np.float32)
-    pairs = [(d, number[w], n / bag.total()) for d, bag in enumerate(bags) for w, n in bag.items() if w in number]
-    doc, word = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
-    weight = np.array([p[2] for p in pairs], np.float32)[:, None]
-    if not len(pairs):
-        return Toxicity(vectors * 0, softmax, base)
-    by_word_g, by_gram, by_doc, by_word = _runs(gram_word, 0), _runs(gram, 0), _runs(doc, 0), _runs(word, 0)
-    even = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum()).astype(np.float32)
-    target = np.eye(2, dtype=np.float32)[labels]
+    gram_word, gram = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.array([b for p in parts for b in p], np.int64)
+    share = (1 / np.array([len(p) for p in parts], np.float32))[gram_word][:, None]
+    sizes = np.array([len(w) for w in windows])
+    window, word = np.repeat(np.arange(len(windows)), sizes), np.array([n for w in windows for n in w], np.int64)
+    weight = np.float32(1 / WINDOW)
+    answer = np.repeat(labels[~held], per_text)
+    # A long text counts for more than a short one, but not for all its windows.
+    trust = np.repeat(1 / np.sqrt(np.maximum(per_text, 1)), per_text)
+    even = (trust * np.where(answer == 1, 0.5 / trust[answer == 1].sum(), 0.5 / trust[answer == 0].sum())).astype(np.float32)
+    target = np.eye(2, dtype=np.float32)[answer]
+    by_gram_word, by_gram, by_window, by_word = _runs(gram_word), _runs(gram), _runs(window), _runs(word)
     state = [vectors, softmax, bias]
     first, second = [np.zeros_like(x) for x in state], [np.zeros_like(x) for x in state]
     for step in range(1, rounds + 1):
-        words = _summed(vectors[gram] * share, gram_word, *by_word_g, len(parts))
-        means = _summed(words[word] * weight, doc, *by_doc, len(labels))
+        words = _summed(vectors[gram] * share, gram_word, *by_gram_word, len(parts))
+        means = _summed(words[word] * weight, window, *by_window, len(windows))
         logits = means @ softmax.T + bias
         chance = np.exp(logits - logits.max(1, keepdims=True))
         chance /= chance.sum(1, keepdims=True)
         wrong = (chance - target) * even[:, None]
         d_means = wrong @ softmax
-        d_words = _summed(d_means[doc] * weight, word, *by_word, len(parts))
-        d_vectors = _summed(d_words[gram_word] * share, gram, *by_gram, BUCKETS) + decay * vectors / BUCKETS
-        slopes = [d_vectors, wrong.T @ means + 1e-4 * softmax, wrong.sum(0)]
+        d_words = _summed(d_means[window] * weight, word, *by_word, len(parts))
+        slopes = [_summed(d_words[gram_word] * share, gram, *by_gram, BUCKETS), wrong.T @ means, wrong.sum(0)]
         for x, slope, m, v in zip(state, slopes, first, second):
             m += 0.1 * (slope - m)
-            v += 0.01 * (slope * slope - v)
-            x -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return Toxicity(vectors, softmax, bias + base)
+            v += 0.05 * (slope * slope - v)
+            square = v / (1 - 0.95**step)
+            # Rare n-grams, whose slopes are small, move less than frequent ones.
+            least = np.sqrt(square[square > 0].mean()) if x is vectors and square.any() else 0.0
+            x -= rate * (m / (1 - 0.9**step)) / (np.sqrt(square) + least + 1e-12)
+    model = Toxicity(vectors, softmax, bias)
+    check = held if held.any() else ~held
+    scores = model.word_scores()
+    odds = np.array([scores.text(t) for t, use in zip(texts, check) if use])
+    model.slope, model.shift = _scale(odds, labels[check], prior)
+    return model
+
+
+def _scale(odds: np.ndarray, truth: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and shift that make the odds fit the truth best, for a share ``prior`` of toxic texts."""
+    weight = np.where(truth == 1, prior / max(1, (truth == 1).sum()), (1 - prior) / max(1, (truth == 0).sum()))
+    middle, spread = odds.mean(), odds.std() + 1e-9
+    x = np.stack(((odds - middle) / spread, np.ones(len(odds))), axis=1)
+    theta = np.array([1.0, np.log(prior / (1 - prior))])
+    for _ in range(50):
+        chance = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
+        curve = (x * (weight * chance * (1 - chance))[:, None]).T @ x + 1e-4 * np.eye(2)
+        theta += np.clip(np.linalg.solve(curve, x.T @ (weight * (truth - chance)) - 1e-4 * theta * [1, 0]), -2, 2)
+    return float(theta[0] / spread), float(theta[1] - theta[0] * middle / spread)
 
 
 def learn_toxicity(
@@ -177,17 +223,15 @@ def score_toxicity(docs: DataFrame, model: Toxicity, keep: Sequence[str], *, tex
     A null text, an empty one and one without words have the score of the biases alone.  Repeated
     rows are each scored; nothing moves but the model, whose size is fixed.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.bucket_scores(), model.odds()))
+    # Tasks need the sum over the softmax alone.
+    small = Toxicity(model.vectors @ (model.softmax[1] - model.softmax[0])[:, None], np.array([[0.0], [1.0]]), model.bias, model.slope, model.shift)
+    shared = docs.sparkSession.sparkContext.broadcast(small)
 
     def work(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
-        scores, odds = shared.value
-        known = WordScores(scores)
+        model = shared.value
+        known = model.word_scores()
         for column in columns:
-            sums = np.zeros(len(column))
-            for i, value in enumerate(column):
-                words = tokens(value.as_py() or "")
-                sums[i] = sum(map(known.__getitem__, words)) / len(words) if words else 0.0
-            chance = 1 / (1 + np.exp(-np.clip(sums + odds, -60, 60)))
+            chance = model.chances(np.array([known.text(value.as_py() or "") for value in column], np.float64))
             yield [pa.array(chance), pa.array((chance >= threshold).astype(np.int32))]
 
     return map_texts(docs, text, keep, [("score", "double"), ("predicted", "int")], work)
