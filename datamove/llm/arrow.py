@@ -16,6 +16,9 @@ from datamove.session import scratch_path
 # Bytes of text that a task holds as arrays at a time; one longer text is taken alone.
 SLICE_BYTES = 1 << 20
 
+# Bytes that Spark sends a task at a time.
+BATCH_BYTES = 4 << 20
+
 # Name under which the text travels, so that no column of the caller's can clash with it.
 TEXT = "__text__"
 
@@ -28,8 +31,12 @@ _shipped: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Let executors import this package: Spark sends them a zip of it, once a session."""
+    """Let executors import this package: Spark sends them a zip of it, once a session.
+
+    Texts reach tasks in batches by their bytes, not their number, as some are long.
+    """
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         folder, name = os.path.split(package)
