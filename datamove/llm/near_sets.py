@@ -108,7 +108,9 @@ def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         which = (place - begins[whose]).astype(U) * U(1 << 20) + (n_groups[whose] * 64 + min(cut, 63)).astype(U)
         found.append(joined(total, count.astype(U), which))
         owner.append(sets[whose])
-        full = np.bincount(whose, minlength=len(sets)) > (many + many * 10 // 9) // 19
+        # No partner is larger than the class, or than ten ninths of the set.
+        differ = (many + np.minimum(many * 10 // 9, starts[classes + 1] - 1)) // 19
+        full = np.bincount(whose, minlength=len(sets)) > differ
         sets, classes, cut = sets[~full], classes[~full], cut + 1
     return np.concatenate(found), np.concatenate(owner)
 
