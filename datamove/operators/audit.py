@@ -19,6 +19,7 @@ def profile_columns(
     table_name: str,
     columns: Sequence[str] | None = None,
     approximate: bool = False,
+    text_limit: int | None = TEXT_LIMIT,
 ) -> DataFrame:
     """One row per column: smallest and largest value as text, and the distinct count.
 
@@ -26,19 +27,20 @@ def profile_columns(
     values, first inside each task and then across tasks; minimum, maximum and count follow
     from those.  A value that fills a third of the column so travels once per task, and no
     row is multiplied by the number of columns as it is with several distinct counts in one
-    aggregate.  ``approximate`` counts with a sketch instead, all columns in one pass.
+    aggregate.  ``approximate`` counts with a sketch instead, all columns in one pass.  Give a stored
+    table: a view, query or text file is read once for each column, so write it first.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     names = list(columns) if columns is not None else df.columns
     if approximate:
         values = df.select(*[_comparable(n, kinds[n]).alias(n) for n in names])
-        rows = values.agg(*[_summary(n, n, F.approx_count_distinct).alias(f"p{i}") for i, n in enumerate(names)])
+        rows = values.agg(*[_summary(n, n, F.approx_count_distinct, text_limit).alias(f"p{i}") for i, n in enumerate(names)])
         profile = rows.select(F.inline(F.array(*rows.columns)))
     else:
         profile = reduce(
             DataFrame.unionByName,
             [
-                df.select(_comparable(n, kinds[n]).alias("value")).distinct().agg(_summary("value", n, F.count).alias("p"))
+                df.select(_comparable(n, kinds[n]).alias("value")).distinct().agg(_summary("value", n, F.count, text_limit).alias("p"))
                 for n in names
             ],
         ).select("p.*")
@@ -75,7 +77,8 @@ def reconcile(source: DataFrame, target: DataFrame, request_id: int) -> DataFram
 def audit_differences(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source and target profiles side by side per column, with a ``matches`` flag.
 
-    A column only one side has shows nulls for the other and does not match.
+    A column only one side has shows nulls for the other and does not match.  Texts match as
+    far as the profiles kept them; ``profile_columns`` with ``text_limit=None`` keeps them whole.
     """
 
     def side(profile: DataFrame, name: str) -> DataFrame:
@@ -101,18 +104,19 @@ def _labelled(profile: DataFrame, source: str, schema_name: str, table_name: str
     )
 
 
-def _summary(value: str, name: str, count: Callable[[Column], Column]) -> Column:
+def _summary(value: str, name: str, count: Callable[[Column], Column], limit: int | None) -> Column:
     value = F.col(_quoted(value))
     return F.struct(
         F.lit(name).alias("column_name"),
-        _text(F.min(value)).alias("min"),
-        _text(F.max(value)).alias("max"),
+        _text(F.min(value), limit).alias("min"),
+        _text(F.max(value), limit).alias("max"),
         count(value).alias("count"),
     )
 
 
-def _text(extreme: Column) -> Column:
-    return F.substring(extreme.cast("string"), 1, TEXT_LIMIT)
+def _text(extreme: Column, limit: int | None = TEXT_LIMIT) -> Column:
+    text = extreme.cast("string")
+    return text if limit is None else F.substring(text, 1, limit)
 
 
 def _comparable(name: str, kind: T.DataType) -> Column:

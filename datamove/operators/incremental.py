@@ -8,8 +8,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-# Pieces a hot key is spread over, and the largest key set worth sending to every executor.
-HOT_KEY_PIECES = 64
+# Rows of one key, or without a key, that one task takes, and the largest key set worth sending
+# to every executor.
+TASK_ROWS = 5_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 _PIECE = "__piece"
@@ -93,6 +94,7 @@ def merge_upsert(
     broadcast_keys: bool = False,
     hot_keys: Iterable[Any] = (),
     co_located: bool = False,
+    broadcast_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Old rows whose key is not in ``new``, plus every row of ``new``.
 
@@ -100,22 +102,22 @@ def merge_upsert(
     Columns may have come or gone on either side (see ``align_schemas``).
 
     The increment's keys are reduced to one row each before they meet the old rows, which
-    are read once.  Old rows that would pile up in one task, those without a key and those
-    of ``hot_keys`` (values of a single-column key that own many rows), are dealt out over
-    several tasks by a hash of the row.  ``broadcast_keys`` leaves the old rows where they
-    are; set it only after ``fits_broadcast``.  So does ``co_located``, for an old table
-    stored in buckets of the key.
+    are read once.  Old rows without a key are dealt out over all tasks by a hash of the row.
+    Those of ``hot_keys`` (see ``frequent_keys``; values of a single-column key) are counted and
+    dealt out over all tasks too, or over more where their rows need more.  ``broadcast_keys`` leaves the old rows where they
+    are, if the keys are measured to stay below ``broadcast_limit`` bytes.  So does
+    ``co_located``, for an old table stored in buckets of the key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     old, new = align_schemas(old, new)
-    replaced = new.select(*keys).where(_all_present(keys)).distinct()
-    if broadcast_keys:
+    replaced = new.select(*map(_quoted, keys)).where(_all_present(keys)).distinct()
+    if broadcast_keys and fits_broadcast(replaced, keys, broadcast_limit):
         kept = old.join(F.broadcast(replaced), keys, "left_anti")
     elif co_located:
         kept = old.join(replaced, keys, "left_anti")
     else:
         kept = _anti_join_spread(old, replaced, keys, list(hot_keys))
-    return kept.select(*old.columns).unionByName(new)
+    return kept.select(*map(_quoted, old.columns)).unionByName(new)
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
@@ -129,22 +131,24 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequ
     keys = [key] if isinstance(key, str) else list(key)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     complete = _all_present(keys)
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order], _row_hash(df).desc())
+    newest_first = Window.partitionBy(*map(_quoted, keys)).orderBy(*[F.desc(_quoted(c)) for c in order], _row_hash(df).desc())
     latest = df.where(complete).withColumn(_PLACE, F.row_number().over(newest_first))
     latest = latest.where(F.col(_PLACE) == 1).drop(_PLACE)
-    if any(df.schema[k].nullable for k in keys):
+    if any(df.schema[_stored_name(df, k)].nullable for k in keys):
         latest = latest.unionByName(df.where(~complete))
     return latest
 
 
-def frequent_keys(df: DataFrame, key: str, share: float = 0.01) -> list[Any]:
+def frequent_keys(df: DataFrame, key: str, share: float | None = None) -> list[Any]:
     """Candidate values of ``key`` that may own more than ``share`` of the rows.
 
-    One pass over one column with a fixed-size counter table; at most ``1/share`` values
-    come back and every value above the share is among them.  The result only steers how
-    rows are spread, never which rows are kept.
+    Without a share, those with more rows than one task takes.  One pass over one column with a
+    fixed-size counter table; at most ``1/share`` values come back and every value above the
+    share is among them.  The result only steers how rows are spread, never which rows are kept.
     """
-    found = df.where(F.col(key).isNotNull()).select(key).stat.freqItems([key], share).first()[0]
+    if share is None:
+        share = min(0.5, TASK_ROWS / max(1, df.count()))
+    found = df.where(F.col(_quoted(key)).isNotNull()).select(F.col(_quoted(key)).alias("value")).stat.freqItems(["value"], share).first()[0]
     return sorted(v for v in found if v is not None)
 
 
@@ -155,7 +159,7 @@ def key_bytes(key: str | Sequence[str]) -> Column:
     # table's own entry.
     text = F.lit(0)
     for k in keys:
-        text = text + F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
+        text = text + F.coalesce(F.octet_length(F.col(_quoted(k)).cast("string")), F.lit(0))
     return F.sum((F.lit(128 + 32 * len(keys)) + 2 * text).cast("long"))
 
 
@@ -173,28 +177,36 @@ def touched_partitions(
     Reads only the key and the partition column of the old table.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    replaced = new.select(*keys).where(_all_present(keys)).distinct()
-    if broadcast_keys:
+    replaced = new.select(*map(_quoted, keys)).where(_all_present(keys)).distinct()
+    if broadcast_keys and fits_broadcast(replaced, keys):
         replaced = F.broadcast(replaced)
-    left = old.select(*keys, partition_by).join(replaced, keys, "left_semi").select(partition_by)
-    return left.unionByName(new.select(partition_by)).distinct()
+    left = old.select(*map(_quoted, [*keys, partition_by])).join(replaced, keys, "left_semi").select(_quoted(partition_by))
+    return left.unionByName(new.select(_quoted(partition_by))).distinct()
 
 
 def _anti_join_spread(old: DataFrame, replaced: DataFrame, keys: list[str], hot: list[Any]) -> DataFrame:
     """Anti join on the key and a piece number, which is 0 but for rows to be dealt out."""
-    spread = F.pmod(_row_hash(old), F.lit(HOT_KEY_PIECES)).cast("int")
-    piece = F.when(~_all_present(keys), spread)
+    # Rows without a key match nothing, so their pieces need no partner.
+    piece = F.when(~_all_present(keys), _row_hash(old).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     if hot:
         if len(keys) != 1:
             raise ValueError("hot keys can be named for a single key column only")
-        is_hot = F.col(keys[0]).isin(hot)
-        piece = piece.when(is_hot, spread)
+        key = F.col(_quoted(keys[0]))
+        tasks = int(old.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pieces = F.lit(1)
+        for row in old.where(key.isin(hot)).groupBy(key.alias("value")).count().collect():
+            pieces = F.when(key == F.lit(row["value"]), max(8 * tasks, -(-row["count"] // TASK_ROWS))).otherwise(pieces)
+        piece = piece.otherwise(F.pmod(_row_hash(old), pieces).cast("int"))
         # A hot key must be met in each of its pieces.
-        pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_KEY_PIECES - 1))).otherwise(F.array(F.lit(0)))
-        replaced = replaced.withColumn(_PIECE, F.explode(pieces))
+        replaced = replaced.withColumn(_PIECE, F.explode(F.sequence(F.lit(0), (pieces - 1).cast("int"))))
     else:
+        piece = piece.otherwise(0)
         replaced = replaced.withColumn(_PIECE, F.lit(0))
-    return old.withColumn(_PIECE, piece.otherwise(0)).join(replaced, [*keys, _PIECE], "left_anti")
+    return old.withColumn(_PIECE, piece).join(replaced, [*keys, _PIECE], "left_anti")
+
+
+def _stored_name(df: DataFrame, name: str) -> str:
+    return next((c for c in df.columns if c.lower() == name.lower()), name)
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -214,16 +226,45 @@ def _row_hash(df: DataFrame) -> Column:
 def _all_present(keys: list[str]) -> Column:
     present = F.lit(True)
     for k in keys:
-        present = present & F.col(k).isNotNull()
+        present = present & F.col(_quoted(k)).isNotNull()
     return present
 
 
 def _compatible(a: T.DataType, b: T.DataType) -> bool:
+    """Whether every value of either type keeps its value in a type that holds both."""
     if a == b or isinstance(a, T.NullType) or isinstance(b, T.NullType):
         return True
-    return any(isinstance(a, kind) and isinstance(b, kind) for kind in (T.NumericType, _TEXT, _MOMENTS)) or (
-        type(a) is type(b) and isinstance(a, (T.StructType, T.ArrayType, T.MapType))
-    )
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        floating = [k for k in (a, b) if type(k) in _EXACT]
+        if len(floating) == 1:
+            other = b if floating[0] is a else a
+            return _whole_digits(other) + getattr(other, "scale", 0) <= _EXACT[type(floating[0])]
+        return bool(floating) or _one_holds_both(a, b)
+    if type(a) is type(b) and isinstance(a, T.ArrayType):
+        return _compatible(a.elementType, b.elementType)
+    if type(a) is type(b) and isinstance(a, T.MapType):
+        return a.keyType == b.keyType and _compatible(a.valueType, b.valueType)
+    if type(a) is type(b) and isinstance(a, T.StructType):
+        return [f.name for f in a.fields] == [f.name for f in b.fields] and all(
+            _compatible(x.dataType, y.dataType) for x, y in zip(a.fields, b.fields)
+        )
+    return any(isinstance(a, kind) and isinstance(b, kind) for kind in (_TEXT, _MOMENTS))
+
+
+# Decimal digits a whole number needs, and those a floating-point one holds without rounding.
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_EXACT = {T.FloatType: 7, T.DoubleType: 15}
+
+
+def _whole_digits(kind: T.DataType) -> int | None:
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale
+    return _WHOLE.get(type(kind))
+
+
+def _one_holds_both(a: T.DataType, b: T.DataType) -> bool:
+    whole = max(_whole_digits(a), _whole_digits(b))
+    return whole + max(getattr(a, "scale", 0), getattr(b, "scale", 0)) <= 38
 
 
 def _lowered(names: Iterable[str]) -> set[str]:

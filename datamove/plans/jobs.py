@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from datamove.layout import Layout
+from datamove.layout import Layout, Place
 from datamove.operators.incremental import merge_upsert
 from datamove.operators.lookups import Lookup, resolve_lookups
 from datamove.plans.raw import RawLoad, load_raw
@@ -52,10 +52,11 @@ class Job:
 
 @dataclass(frozen=True)
 class Outcome:
-    """A job that ran, and the error that stopped it, if any."""
+    """A job that ran, what it returned, and the error that stopped it, if any."""
 
     job: Job
     error: Exception | None = None
+    result: Any = None
 
 
 def jobs_for_group(control: Mapping[str, DataFrame], group_id: str) -> DataFrame:
@@ -157,16 +158,50 @@ def record_flip(flips: DataFrame, job: Job, suffix: str, column: str = "pb_flip"
     return merge_upsert(flips, changed, key)
 
 
-def run_group(control: Mapping[str, DataFrame], group_id: str, run: Callable[[Job], Any]) -> list[Outcome]:
-    """Call ``run`` for each job of a group in priority order; a failed one does not stop the rest."""
+@dataclass(frozen=True)
+class Flips:
+    """The published copy of each warehouse target, in a table that outlives the run."""
+
+    spark: SparkSession
+    place: Place
+
+    def table(self) -> DataFrame:
+        if self.spark.catalog.tableExists(self.place.table):
+            return self.spark.table(self.place.table)
+        return self.spark.createDataFrame([], "target_obj_schema string, target_obj_name string, pb_flip string")
+
+    def active(self, job: Job) -> str | None:
+        mine = (F.col("target_obj_schema") == job.target_obj_schema) & (F.col("target_obj_name") == job.target_obj_name)
+        found = self.table().where(mine).select("pb_flip").first()
+        return job.pb_flip if found is None else found[0]
+
+    def record(self, job: Job, suffix: str) -> None:
+        publish_ab(record_flip(self.table(), job, suffix), self.place)
+
+
+def run_group(
+    control: Mapping[str, DataFrame],
+    group_id: str,
+    run: Callable[[Job], Any],
+    flips: Flips | None = None,
+) -> list[Outcome]:
+    """Call ``run`` for each job of a group in priority order; a failed one does not stop the rest.
+
+    With ``flips`` a job that publishes to a warehouse sees the copy noted there when it runs,
+    not when the group was resolved, and the suffix it returns is noted at once.
+    """
     jobs = to_jobs(jobs_for_group(control, group_id))
     if not jobs:
         raise ValueError(f"group {group_id!r} has no valid jobs")
     outcomes = []
     for job in jobs:
         try:
-            run(job)
-            outcomes.append(Outcome(job))
+            if flips is not None and job.storage_layer == "P":
+                job = replace(job, pb_flip=flips.active(job))
+            result = run(job)
+            if flips is not None and job.storage_layer == "P" and isinstance(result, str):
+                flips.record(job, result)
+            outcomes.append(Outcome(job, result=result))
         except Exception as error:  # noqa: BLE001 - reported in the outcome
             outcomes.append(Outcome(job, error))
     return outcomes

@@ -21,9 +21,9 @@ from datamove.operators.incremental import (
     merge_upsert,
 )
 from datamove.session import drop_path, scratch_path
-from datamove.sinks.publish import active_copy, publish_ab, view_property
+from datamove.sinks.publish import EmptyResult, active_copy, publish_ab, view_property
 from datamove.sinks.tables import merge_into_partitions, write_table
-from datamove.sources.extract import JdbcSource, Source, extract_keyrange, extract_query, extract_table, key_bounds
+from datamove.sources.extract import JdbcSource, Source, extract_keyrange, extract_query, extract_table
 
 AUDIT_TABLE = "meta_audit_table"
 # View property that notes the newest change merged.
@@ -35,12 +35,15 @@ class RawLoad:
     """What to load and how.
 
     ``query`` replaces ``table`` as what is extracted.  ``key`` is needed for increments and
-    makes a full load read in ``source_partitions`` parallel key ranges.  ``normalize``
-    brings the types to what the lake stores.  ``overlap`` re-reads that much before the
+    makes a full load read in ``source_partitions`` parallel ranges of ``split_by``, a number,
+    date or timestamp, which is the key unless another column is named.  ``normalize`` brings the
+    types to what the lake stores, with its columns of numbers without a precision
+    (``unbounded``), row ids and ``dates`` without time of day.  ``overlap`` re-reads that much before the
     watermark; ``latest_only`` keeps the newest of several changes to one key.
 
     ``partition_by`` and ``files`` shape the target, ``in_partitions`` merges by rewriting
-    only the touched partitions, and ``buckets`` stores the target in that many buckets of
+    only the touched partitions, ``broadcast_bytes`` is how large the increment's keys may be
+    in memory to be sent to every executor, and ``buckets`` stores the target in that many buckets of
     the key, so merges leave it unshuffled.  ``spread_hot_keys`` looks, before a merge too
     large to broadcast, for keys that own many of the loaded rows, at the price of reading
     the key column once.  ``audit`` profiles source and target into ``meta_audit_table``
@@ -57,6 +60,11 @@ class RawLoad:
     latest_only: bool = False
     normalize: bool = False
     source_partitions: int = 1
+    split_by: str | None = None
+    unbounded: tuple[str, ...] = ()
+    row_ids: tuple[str, ...] = ()
+    dates: tuple[str, ...] = ()
+    broadcast_bytes: int = BROADCAST_BYTES
     partition_by: str | None = None
     files: int = 0
     in_partitions: bool = False
@@ -96,23 +104,12 @@ def load_raw(spark: SparkSession, source: Source, load: RawLoad) -> LoadResult:
 
 
 def _full(spark: SparkSession, source: Source, load: RawLoad) -> None:
-    rows, extract = None, _whole(spark, source, load)
-    if load.query is None and load.key is not None and _is_number(extract, load.key):
-        bounds = key_bounds(spark, source, load.table, load.key)
-        rows, empty = bounds.rows, bounds.rows == 0
-        extract = extract_keyrange(spark, source, load.table, load.key, load.source_partitions, bounds)
-    else:
-        empty = extract.isEmpty()
-    if empty:
-        raise ValueError(f"no rows extracted from {load.table}")
-    publish_ab(
-        _normal(extract, source, load),
-        load.target,
-        partition_by=load.partition_by,
-        files=load.files,
-        rows=rows,
-        bucket_by=_buckets(load),
-    )
+    # Publishing refuses an empty extract, so nothing is read ahead to find out.
+    extract = _normal(_extract(spark, source, load), source, load)
+    try:
+        publish_ab(extract, load.target, partition_by=load.partition_by, files=load.files, bucket_by=_buckets(load))
+    except EmptyResult:
+        raise ValueError(f"no rows extracted from {load.table}") from None
 
 
 def _increment(spark: SparkSession, source: Source, load: RawLoad) -> str:
@@ -123,11 +120,11 @@ def _increment(spark: SparkSession, source: Source, load: RawLoad) -> str:
     # one read of the source, of one consistent state, that survives lost executors.
     staged = scratch_path(spark, "increment")
     try:
-        increment = _normal(changed, source, load)
+        _normal(changed, source, load).write.parquet(staged)
+        increment = spark.read.parquet(staged)
         if load.latest_only:
             increment = latest_per_key(increment, _stored(load, load.key), _stored(load, load.update_column))
-        increment.write.parquet(staged)
-        return _merge(spark, load, loaded, spark.read.parquet(staged), watermark)
+        return _merge(spark, load, loaded, increment, watermark)
     finally:
         drop_path(spark, staged)
 
@@ -142,11 +139,12 @@ def _merge(spark: SparkSession, load: RawLoad, loaded: DataFrame, increment: Dat
     newest = found.newest if watermark is None else max(watermark, found.newest or watermark)
     noted = _note(newest, increment.schema[column].dataType)
     # A bucketed table is joined bucket by bucket, which does not move it either.
-    small = found.bytes <= BROADCAST_BYTES and not load.buckets
+    small = found.bytes <= load.broadcast_bytes and not load.buckets
     if load.in_partitions and load.partition_by is not None:
         table = f"{load.target.database}.{load.target.name}{active_copy(spark, load.target)}"
         backup = backup_path(load.target.path, dt.datetime.now(dt.timezone.utc))
-        if merge_into_partitions(table, increment, key, load.partition_by, backup, broadcast_keys=small):
+        hot = frequent_keys(loaded, key) if load.spread_hot_keys and not small else []
+        if merge_into_partitions(table, increment, key, load.partition_by, backup, broadcast_keys=small, hot_keys=hot):
             spark.catalog.refreshTable(load.target.table)
             for name, value in noted.items():
                 spark.sql(f"ALTER VIEW {load.target.table} SET TBLPROPERTIES ('{name}' = '{value}')")
@@ -158,7 +156,13 @@ def _merge(spark: SparkSession, load: RawLoad, loaded: DataFrame, increment: Dat
         hot = frequent_keys(loaded, key)
     publish_ab(
         merge_upsert(
-            loaded, increment, key, broadcast_keys=small, hot_keys=hot, co_located=load.buckets > 0
+            loaded,
+            increment,
+            key,
+            broadcast_keys=small,
+            hot_keys=hot,
+            co_located=load.buckets > 0,
+            broadcast_limit=load.broadcast_bytes,
         ),
         load.target,
         partition_by=load.partition_by,
@@ -211,20 +215,23 @@ def _whole(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: boo
 
 
 def _extract(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: bool = False) -> DataFrame:
-    whole = _whole(spark, source, load, by_timestamp)
-    if load.query is None and load.key is not None and load.source_partitions > 1 and _is_number(whole, load.key):
-        return extract_keyrange(
-            spark, source, load.table, load.key, load.source_partitions, by_timestamp=by_timestamp
-        )
+    whole, split = _whole(spark, source, load, by_timestamp), load.split_by or load.key
+    # Only a database needs ranges; file splits divide a lake table already.
+    if isinstance(source, JdbcSource) and load.query is None and split is not None and load.source_partitions > 1:
+        if _can_split(whole, split):
+            return extract_keyrange(spark, source, load.table, split, load.source_partitions, by_timestamp=by_timestamp)
     return whole
 
 
-def _is_number(df: DataFrame, key: str) -> bool:
-    return any(f.name.lower() == key.lower() and isinstance(f.dataType, T.NumericType) for f in df.schema.fields)
+def _can_split(df: DataFrame, column: str) -> bool:
+    kinds = (T.NumericType, T.DateType, T.TimestampType)
+    return any(f.name.lower() == column.lower() and isinstance(f.dataType, kinds) for f in df.schema.fields)
 
 
 def _normal(df: DataFrame, source: Source, load: RawLoad) -> DataFrame:
-    return normalize_types(df, source.dialect) if load.normalize else df
+    if not load.normalize:
+        return df
+    return normalize_types(df, source.dialect, unbounded=load.unbounded, row_ids=load.row_ids, dates=load.dates)
 
 
 def _audit(spark: SparkSession, source: Source, load: RawLoad) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -26,9 +27,12 @@ def build_session(
     master: str | None = None,
     hive: bool = False,
     conf: Mapping[str, str] | None = None,
+    shared_dir: str | None = None,
 ) -> SparkSession:
     """A session with ``SESSION_DEFAULTS`` and ``conf`` on top.
 
+    ``shared_dir`` is where the library writes what it needs in between; all executors must
+    see it.
     ``hive`` keeps tables, and with them which copy is published, beyond the session.
     """
     builder = SparkSession.builder.appName(app_name)
@@ -36,7 +40,8 @@ def build_session(
         builder = builder.master(master)
     if hive:
         builder = builder.enableHiveSupport()
-    for name, value in (SESSION_DEFAULTS | dict(conf or {})).items():
+    shared = {"spark.checkpoint.dir": shared_dir} if shared_dir else {}
+    for name, value in (SESSION_DEFAULTS | shared | dict(conf or {})).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
@@ -45,10 +50,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path below the cluster's shared checkpoint folder.
 
     Executors on other machines must see what is written here, so the folder named by
-    ``spark.checkpoint.dir`` is used; a local temporary folder only where it is unset.
+    ``spark.checkpoint.dir`` is used.  Where it is unset, a local session gets a temporary
+    folder of its own, and any other is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="datamove-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from datamove.layout import Place
 from datamove.operators.incremental import align_schemas
@@ -18,6 +18,10 @@ COPIES = ("_a", "_b")
 _ACTIVE = "datamove.active_copy"
 
 
+class EmptyResult(ValueError):
+    """There is nothing to publish."""
+
+
 def next_copy(active: str | None) -> str:
     """The copy to write next: ``_a`` at first, then the other one; a fixed suffix stays."""
     if active is None:
@@ -77,7 +81,7 @@ def publish_ab(
         grouped=grouped,
     )
     if not allow_empty and spark.table(physical).isEmpty():
-        raise ValueError(f"refusing to publish an empty {place.table}")
+        raise EmptyResult(f"refusing to publish an empty {place.table}")
     _repoint(spark, place, physical, copy, properties)
     return copy
 
@@ -86,16 +90,24 @@ def publish_warehouse(df: DataFrame, place: Place, columns: str) -> str:
     """Load ``df`` into the idle warehouse table and repoint the view; returns the suffix.
 
     The table is created from ``columns`` (a DDL column list, with or without its outer
-    parentheses) if it is absent, emptied, and filled by column name; then the view over it
-    is replaced.
+    parentheses) if it is absent or was made from another list, emptied, and filled by column
+    name; then the view over it is replaced.
     """
     spark = df.sparkSession
     ensure_database(spark, place.database)
     _check_name(spark, place)
     copy = next_copy(active_copy(spark, place))
     physical = f"{place.database}.{place.name}{copy}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {physical} ({bare_columns(columns)}) USING parquet LOCATION '{place.path}{copy}'")
+    wanted = T.StructType.fromDDL(bare_columns(columns))
+    if spark.catalog.tableExists(physical) and not _same_columns(spark.table(physical).schema, wanted):
+        # Readers are on the other copy, so this one can be made anew.
+        spark.sql(f"DROP TABLE {physical}")
+    location = _literal(f"{place.path}{copy}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {physical} ({bare_columns(columns)}) USING parquet LOCATION {location}")
     # Overwriting a table in place truncates and loads it in one committed write.
+    missing = {f.name.lower() for f in wanted.fields} - {c.lower() for c in df.columns}
+    if missing:
+        raise ValueError(f"nothing to load into the columns {sorted(missing)}")
     df.select(*spark.table(physical).columns).write.mode("overwrite").insertInto(physical)
     _repoint(spark, place, physical, copy)
     return copy
@@ -145,6 +157,14 @@ class JdbcWarehouse:
             opened.close()
 
 
+def _same_columns(a: T.StructType, b: T.StructType) -> bool:
+    return [(f.name.lower(), f.dataType) for f in a.fields] == [(f.name.lower(), f.dataType) for f in b.fields]
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def bare_columns(columns: str) -> str:
     text = columns.strip()
     return text[1:-1] if text.startswith("(") and text.endswith(")") else text
@@ -158,5 +178,5 @@ def _check_name(spark: SparkSession, place: Place) -> None:
 def _repoint(
     spark: SparkSession, place: Place, physical: str, copy: str, properties: Mapping[str, str] | None = None
 ) -> None:
-    listed = ", ".join(f"'{k}' = '{v}'" for k, v in ({_ACTIVE: copy} | dict(properties or {})).items())
+    listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in ({_ACTIVE: copy} | dict(properties or {})).items())
     spark.sql(f"CREATE OR REPLACE VIEW {place.table} TBLPROPERTIES ({listed}) AS SELECT * FROM {physical}")

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from datamove.operators.incremental import merge_upsert, touched_partitions
+from datamove.operators.incremental import align_schemas, merge_upsert, touched_partitions
 
 # Fixed values of the sizing rule: rows per output file, and most files it asks for.
 ROWS_PER_FILE = 1_000_000
 MOST_FILES = 200
-# Partition values a merge may replace one by one; beyond it the caller rewrites the table.
-MOST_TOUCHED = 10_000
 
 
 def plan_output_files(rows: int, explicit: int = 0, rows_per_file: int = ROWS_PER_FILE, most: int = MOST_FILES) -> int:
@@ -40,11 +39,13 @@ def write_table(
     ``mode`` is ``overwrite`` (the whole table), ``append``, or ``dynamic``: replace only the
     partitions that occur in ``df`` and keep the others.
 
-    ``files`` fixes the number of writing tasks; with 0 it follows from ``rows`` by
-    ``plan_output_files``.  Neither ever raises the number of tasks.  Where the row count is
-    unknown, or beyond what the rule's cap can hold in reasonable files, the frame's own
-    partitions are kept.  A partitioned table of more than one file's rows is regrouped by
-    partition value instead, and Spark splits a value again that is oversized.
+    ``files`` is the most writing tasks, to which the rows are dealt once they are made;
+    ``rows``, where known and within the sizing rule, asks Spark to regroup what is written
+    by its size.  Neither holds up the tasks that read and join.  Without either the frame's own
+    partitions are kept.  A partitioned table is regrouped by partition value, and Spark
+    splits a value again that is oversized.  No file exceeds the rule's rows.
+
+    ``dynamic`` refuses columns the table lacks and values its types do not hold.
 
     ``bucket_by`` (count, column) stores rows grouped by key, so later merges on that key
     do not have to shuffle the table; ``grouped`` says the frame already is.  One key is
@@ -54,21 +55,21 @@ def write_table(
     if mode not in ("overwrite", "append", "dynamic"):
         raise ValueError(f"unknown write mode {mode!r}")
     ensure_database(spark, table.split(".")[0])
-    small = rows is not None and rows <= ROWS_PER_FILE
     if bucket_by is not None:
         df = df if grouped else df.repartition(*bucket_by)
     elif files:
-        df = df.coalesce(files)
-    elif partition_by is not None and not small:
+        # Fewer tasks than the cluster has slots would also read and join in so few.
+        df = df.repartition(files) if files < spark.sparkContext.defaultParallelism else df.coalesce(files)
+    elif partition_by is not None:
         df = df.hint("rebalance", partition_by)
     elif rows is not None and rows <= ROWS_PER_FILE * MOST_FILES:
-        df = df.coalesce(plan_output_files(rows))
+        df = df.hint("rebalance")
     if mode == "dynamic" and partition_by is None:
         raise ValueError("mode 'dynamic' needs partition_by")
     if mode == "dynamic" and spark.catalog.tableExists(table):
         _overwrite_partitions(df, table, partition_by)
         return
-    writer = df.write.format("parquet").option("path", path).mode("append" if mode == "append" else "overwrite")
+    writer = df.write.format("parquet").option("path", path).option("maxRecordsPerFile", ROWS_PER_FILE).mode("append" if mode == "append" else "overwrite")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     if bucket_by is not None:
@@ -98,51 +99,89 @@ def merge_into_partitions(
     partition_by: str,
     backup: str,
     broadcast_keys: bool = False,
-    most: int = MOST_TOUCHED,
+    hot_keys: Iterable[Any] = (),
+    most: int | None = None,
 ) -> bool:
     """Merge ``new`` into a partitioned table by rewriting only the partitions it touches.
 
     The touched partitions are first copied to ``backup``; the merge reads that copy, so
     nothing is read from where it is written, and the copy remains for rollback.  Partitions
-    all of whose rows moved elsewhere are emptied.  Returns False, having changed nothing,
-    where the increment adds columns, changes types or touches more than ``most`` partitions:
-    then the whole table has to be rewritten.
+    all of whose rows moved elsewhere are dropped.  A null and an empty text are one partition,
+    as they are in the table's directories.  Returns False, having changed nothing, where the
+    increment adds columns, changes types, or touches more than ``most`` partitions where the
+    caller sets such a limit: then the whole table has to be rewritten.
     """
     spark = new.sparkSession
     old = spark.table(table)
     kinds = {f.name.lower(): f.dataType for f in old.schema.fields}
     if partition_by not in new.columns or any(kinds.get(f.name.lower()) != f.dataType for f in new.schema.fields):
         return False
-    place = F.col(partition_by).cast("string").alias(partition_by)
-    touched = _values(touched_partitions(old, new, key, partition_by, broadcast_keys).select(place), most + 1)
-    if len(touched) > most:
+    if isinstance(old.schema[partition_by].dataType, T.StringType):
+        place = F.col(_quoted(partition_by))
+        new = new.withColumn(partition_by, F.when(place != "", place))
+    # The touched values stay a frame: they are joined to the old rows, never collected.
+    touched = touched_partitions(old, new, key, partition_by, broadcast_keys)
+    if most is not None and touched.limit(most + 1).count() > most:
         return False
-    here = F.col(partition_by).isin([_typed(v, old, partition_by) for v in touched if v is not None])
-    if None in touched:
-        here = here | F.col(partition_by).isNull()
-    old.where(here).write.mode("overwrite").partitionBy(partition_by).parquet(backup)
-    before = spark.read.schema(old.schema).parquet(backup).select(*old.columns)
-    merged = merge_upsert(before, new, key, broadcast_keys=broadcast_keys)
-    keys = [key] if isinstance(key, str) else list(key)
-    placed = [frame.select(*keys, partition_by) for frame in (before, new)]
-    remaining = _values(merge_upsert(*placed, key, broadcast_keys=broadcast_keys).select(place).distinct(), most + 1)
-    write_table(merged, table, _location(spark, table), mode="dynamic", partition_by=partition_by)
-    for value in set(touched) - set(remaining):
-        _empty_partition(old, table, partition_by, value)
+    here = touched.select(F.col(_quoted(partition_by)).alias("__touched__"))
+    moved = old.join(here, F.col(_quoted(partition_by)).eqNullSafe(F.col("__touched__")), "left_semi")
+    moved.write.mode("overwrite").partitionBy(partition_by).parquet(backup)
+    before = spark.read.schema(old.schema).parquet(backup).select(*map(_quoted, old.columns))
+    merged = merge_upsert(before, new, key, broadcast_keys=broadcast_keys, hot_keys=hot_keys)
+    location = _location(spark, table)
+    write_table(merged, table, location, mode="dynamic", partition_by=partition_by)
+    _drop_emptied(spark, table, partition_by, before, new, key, broadcast_keys)
     return True
 
 
+def _drop_emptied(
+    spark: SparkSession, table: str, partition_by: str, before: DataFrame, new: DataFrame, key: str | Sequence[str], broadcast_keys: bool
+) -> None:
+    """Drop the partitions of ``before`` that the merge left without a row."""
+    keys = [key] if isinstance(key, str) else list(key)
+    placed = [frame.select(*map(_quoted, [*keys, partition_by])) for frame in (before, new)]
+    left = merge_upsert(*placed, key, broadcast_keys=broadcast_keys).select(_quoted(partition_by)).distinct()
+    was, now = (f.select(F.col(_quoted(partition_by)).cast("string").alias("v")).distinct() for f in (placed[0], left))
+    emptied = was.alias("was").join(now.alias("now"), F.col("was.v").eqNullSafe(F.col("now.v")), "left_anti")
+    # One catalog call a partition, as it comes; the list is never held.
+    for row in emptied.toLocalIterator():
+        _empty_partition(spark.table(table), table, partition_by, row["v"])
+
+
 def _overwrite_partitions(df: DataFrame, table: str, partition_by: str) -> None:
     # A write to the table's files: inserting by table name does not take the per-write
     # overwrite mode, and saving as a table would drop and recreate its catalog entry.
     spark = df.sparkSession
-    typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in spark.table(table).schema.fields]
-    writer = df.select(*typed).write.partitionBy(partition_by).mode("overwrite")
+    fields = spark.table(table).schema.fields
+    _, given = align_schemas(spark.table(table), df)
+    extra = [c for c in df.columns if c.lower() not in {f.name.lower() for f in fields}]
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    narrowed = [f.name for f in fields if not holds(f.dataType, kinds.get(f.name.lower(), f.dataType))]
+    if extra or narrowed:
+        raise TypeError(f"{table} lacks the columns {extra} and does not hold the values of {narrowed}")
+    typed = [F.col(_quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields]
+    writer = given.select(*typed).write.partitionBy(partition_by).mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
     writer.option("partitionOverwriteMode", "dynamic").parquet(_location(spark, table))
     spark.catalog.refreshTable(table)
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def holds(kind: T.DataType, given: T.DataType) -> bool:
+    """Whether a column of ``kind`` takes values of type ``given`` as they are."""
+    if kind == given or isinstance(given, T.NullType) or isinstance(kind, T.StringType):
+        return True
+    if type(kind) in _WHOLE and type(given) in _WHOLE:
+        return _WHOLE.index(type(given)) <= _WHOLE.index(type(kind))
+    if isinstance(kind, T.DoubleType):
+        return isinstance(given, (T.FloatType, T.ByteType, T.ShortType, T.IntegerType))
+    if isinstance(kind, T.DecimalType) and isinstance(given, T.DecimalType):
+        return given.scale <= kind.scale and given.precision - given.scale <= kind.precision - kind.scale
+    return isinstance(kind, (T.TimestampType, T.TimestampNTZType)) and isinstance(given, T.DateType)
+
+
 def _location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE EXTENDED {table}")
     return described.where("col_name = 'Location'").first()["data_type"]
@@ -152,16 +191,10 @@ def _empty_partition(old: DataFrame, table: str, partition_by: str, value: str |
     spark = old.sparkSession
     literal = "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
     nothing = spark.createDataFrame([], old.drop(partition_by).schema)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_by} = {literal}) SELECT * FROM {{nothing}}",
-        nothing=nothing,
-    )
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {literal})")
-
-
-def _values(df: DataFrame, most: int) -> list[str | None]:
-    return [row[0] for row in df.limit(most).collect()]
+    place = f"PARTITION ({_quoted(partition_by)} = {literal})"
+    spark.sql(f"INSERT OVERWRITE TABLE {table} {place} SELECT * FROM {{nothing}}", nothing=nothing)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {place}")
 
 
-def _typed(value: str, df: DataFrame, column: str) -> Column:
-    return F.lit(value).cast(df.schema[column].dataType)
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # Driver class per database dialect, rows fetched per round trip, and the
 # timestamp format Oracle sessions need when rows are selected by timestamp.
@@ -24,8 +24,8 @@ ORACLE_TIMESTAMPS = "ALTER SESSION SET NLS_TIMESTAMP_FORMAT = 'YYYY-MM-DD hh24:m
 class Bounds(NamedTuple):
     """Smallest and largest key (None when there is none) and the number of rows."""
 
-    lower: int | None
-    upper: int | None
+    lower: Any
+    upper: Any
     rows: int
 
 
@@ -82,7 +82,7 @@ class JdbcSource:
             partitionColumn=key,
             lowerBound=str(bounds.lower),
             # The upper bound only sets the stride; rows beyond either bound are still read.
-            upperBound=str(bounds.upper + 1),
+            upperBound=str(bounds.upper + 1 if isinstance(bounds.upper, int) else bounds.upper),
             numPartitions=str(partitions),
         )
 
@@ -139,8 +139,11 @@ def extract_query(spark: SparkSession, source: Source, sql: str, by_timestamp: b
 
 
 def key_bounds(spark: SparkSession, source: Source, table: str, key: str) -> Bounds:
-    """Smallest and largest value of a numeric key, and the row count, in one query."""
-    row = source.bounds(spark, table, key).select(F.col("lo").cast("long"), F.col("hi").cast("long"), "n").first()
+    """Smallest and largest value of a number, date or timestamp, and the row count, in one query."""
+    found = source.bounds(spark, table, key)
+    moment = isinstance(found.schema["lo"].dataType, (T.DateType, T.TimestampType))
+    ends = [F.col(c) if moment else F.col(c).cast("long") for c in ("lo", "hi")]
+    row = found.select(*ends, "n").first()
     return Bounds(row[0], row[1], int(row[2]))
 
 

@@ -63,7 +63,9 @@ def delimited_options(kind: str, delimiter: str | None, header: bool) -> dict[st
     found = file_type(kind)
     if found.delimiter is None:
         raise ValueError(f"{found.name} files are not delimited")
-    return {"sep": delimiter or found.delimiter, "header": str(header).lower()}
+    options = {"sep": delimiter or found.delimiter, "header": str(header).lower()}
+    # A header that does not name the columns in the schema's order is an error, not ignored.
+    return options | {"enforceSchema": "false"} if header else options
 
 
 def read_json_flat(
@@ -97,10 +99,26 @@ def read_delimited(
     """CSV, TSV or TXT files; a given delimiter wins over the type's own.
 
     Column types are inferred, at the price of one extra pass, unless ``schema`` is given.
+    Files with a header are bound to a schema by its names, whatever their order; files
+    whose headers differ from each other are an error.
     """
     if schema is None and select_files(spark, path, prefix, kind).isEmpty():
         return spark.createDataFrame([], T.StructType())
     reader = spark.read.options(
         **selection(prefix, file_type(kind).ending), **delimited_options(kind, delimiter, header)
     )
-    return (reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")).csv(path)
+    if schema is None:
+        return reader.option("inferSchema", "true").csv(path)
+    if not header:
+        return reader.schema(schema).csv(path)
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    named = _in_file_order(reader.csv(path).columns, wanted)
+    return reader.schema(named).csv(path).select(*[f"`{f.name}`" for f in wanted.fields])
+
+
+def _in_file_order(header: list[str], schema: T.StructType) -> T.StructType:
+    """The schema's fields as a header lists them; as they are where the header names others."""
+    fields = {f.name.lower(): f for f in schema.fields}
+    if sorted(h.lower() for h in header) != sorted(fields):
+        return schema
+    return T.StructType([fields[h.lower()] for h in header])

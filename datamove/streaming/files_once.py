@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from datamove.functions.flatten import flatten_structs
 from datamove.layout import Place
 from datamove.sinks.publish import publish_ab, view_property
-from datamove.sinks.tables import ensure_database
+from datamove.sinks.tables import ensure_database, holds
 from datamove.sources.files import delimited_options, file_type, json_options, select_files, selection
 
 # Column of the arrivals table that marks the batch, and the view property that names the
@@ -45,7 +45,8 @@ def ingest_files_once(spark: SparkSession, landing: Landing, table: str, path: s
     A file stream that stops when it has caught up: the checkpoint remembers which files
     were taken and the sink's commit log which batches are complete, so a file is loaded
     once even when a run fails half-way and is repeated.  Nothing new is success.  When the
-    table exists, its column types win.
+    table exists, its column types win where they hold the files' values; a table that was not
+    written by such a stream is refused, as the stream's log would hide its rows.
     """
     return _run(spark, landing, table, path, checkpoint, stamp=None)
 
@@ -54,9 +55,9 @@ def replace_with_new_files(spark: SparkSession, landing: Landing, place: Place,
     """Make ``place`` hold just the files that landed since the last call; returns it.
 
     The stream first appends them to an arrivals table, marked with the time of their batch;
-    the newest batch is then published.  What was published is noted on the view, so a run
-    that failed in between is made up for by the next one, and a call without new files
-    leaves the table alone.
+    all batches later than the one noted on the view are then published together, and the
+    last of them is noted in the same operation.  So a run that stopped in between is made up
+    for by the next one, and a call without new files leaves the table alone.
     """
     landing = replace(landing, files_per_batch=None)
     arrivals = f"{place.database}.{place.name}_arrivals"
@@ -64,9 +65,12 @@ def replace_with_new_files(spark: SparkSession, landing: Landing, place: Place,
     newest = arrived.agg(F.max(_BATCH).cast("string")).first()[0] if arrived.columns else None
     if newest is None:
         return arrived.drop(_BATCH)
-    if view_property(spark, place, _PUBLISHED) != newest:
-        publish_ab(arrived.where(F.col(_BATCH) == F.lit(newest).cast("timestamp")).drop(_BATCH), place)
-        spark.sql(f"ALTER VIEW {place.table} SET TBLPROPERTIES ('{_PUBLISHED}' = '{newest}')")
+    published = view_property(spark, place, _PUBLISHED)
+    if published != newest:
+        fresh = arrived
+        if published is not None:
+            fresh = arrived.where(F.col(_BATCH) > F.lit(published).cast("timestamp"))
+        publish_ab(fresh.drop(_BATCH), place, properties={_PUBLISHED: newest})
     return spark.table(place.table)
 
 
@@ -88,6 +92,7 @@ def _run(
     reader = reader.options(**_parsing(landing))
     arrived = flatten_structs(reader.json(landing.path)) if kind.delimiter is None else reader.csv(landing.path)
     if exists:
+        _check_log(spark, table)
         loaded = [f for f in spark.table(table).schema.fields if f.name != stamp]
         arrived = _as_loaded(arrived, loaded)
     if stamp is not None:
@@ -102,6 +107,13 @@ def _run(
     return spark.table(table)
 
 
+def _check_log(spark: SparkSession, table: str) -> None:
+    described = spark.sql(f"DESCRIBE EXTENDED {table}")
+    log = spark._jvm.org.apache.hadoop.fs.Path(described.where("col_name = 'Location'").first()["data_type"], "_spark_metadata")
+    if not log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log) and not spark.table(table).isEmpty():
+        raise ValueError(f"{table} holds rows that no stream wrote; ingest into a table of its own")
+
+
 def _parsing(landing: Landing) -> dict[str, str]:
     if file_type(landing.kind).delimiter is None:
         return json_options(landing.multi_line)
@@ -121,6 +133,10 @@ def _as_loaded(arrived: DataFrame, loaded: list[T.StructField]) -> DataFrame:
     extra = [c for c in arrived.columns if c.lower() not in known]
     if extra:
         raise ValueError(f"files have columns the table lacks: {extra}")
+    kinds = {f.name.lower(): f.dataType for f in arrived.schema.fields}
+    narrowed = [f.name for f in loaded if not holds(f.dataType, kinds.get(f.name.lower(), f.dataType))]
+    if narrowed:
+        raise TypeError(f"the table does not hold the files' values of {narrowed}")
     present = {c.lower() for c in arrived.columns}
     return arrived.select(
         *[
