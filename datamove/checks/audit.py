@@ -9,25 +9,31 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from datamove.checks.common import load
 from datamove.operators import audit_differences, profile_columns, reconcile
 
-# Columns whose text both engines write the same way; fractions are left out.
-PROFILED = {
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"],
-    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
-    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"],
-    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"],
+PROFILED = ("customer", "part", "orders", "lineitem")
+
+# Fractions as decimals, whose text both engines write the same way.
+FRACTIONS = {
+    "customer": ("c_acctbal",),
+    "part": ("p_retailprice",),
+    "orders": ("o_totalprice",),
+    "lineitem": ("l_quantity", "l_extendedprice", "l_discount", "l_tax"),
 }
+EXACT = "decimal(18,4)"
+
+
+def _exact(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return load(spark, sf_dir, table).withColumns({c: F.col(c).cast(EXACT) for c in FRACTIONS[table]})
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(
         DataFrame.unionByName,
-        [profile_columns(load(spark, sf_dir, t), "lake", "sales", t, columns) for t, columns in PROFILED.items()],
+        [profile_columns(_exact(spark, sf_dir, t), "lake", "sales", t) for t in PROFILED],
     )
 
 
 def _source_and_damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    columns = PROFILED["orders"]
-    orders = load(spark, sf_dir, "orders").select(*columns)
+    orders = _exact(spark, sf_dir, "orders")
     damaged = orders.where(F.col("o_orderpriority") != "5-LOW").withColumn(
         "o_orderstatus", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
     )
@@ -55,21 +61,31 @@ QUERIES = {
 def _profile_sql(source: str, schema: str, name: str, relation: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{source}' AS source, '{schema}' AS schema_name, '{name}' AS table_name, '{c}' AS column_name,
-            left(CAST(min({c}) AS VARCHAR), 100) AS min, left(CAST(max({c}) AS VARCHAR), 100) AS max,
-            count(DISTINCT {c}) AS count FROM {relation}"""
+            left(CAST(min({value}) AS VARCHAR), 100) AS min, left(CAST(max({value}) AS VARCHAR), 100) AS max,
+            count(DISTINCT {value}) AS count FROM {relation}"""
         for c in columns
+        for value in [f"CAST({c} AS {EXACT})" if c in _FRACTIONS else c]
     )
 
 
+_COLUMNS = {
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment".split(),
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice".split(),
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split(),
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+    "l_returnflag l_linestatus l_shipdate".split(),
+}
+_FRACTIONS = {c for columns in FRACTIONS.values() for c in columns}
+
 _DAMAGED = """(SELECT * REPLACE (CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus)
     FROM orders WHERE o_orderpriority <> '5-LOW')"""
 _SIDES = (
-    _profile_sql("oracle", "sales", "orders", "orders", PROFILED["orders"]),
-    _profile_sql("lake", "sales_raw", "sales__orders", _DAMAGED, PROFILED["orders"]),
+    _profile_sql("oracle", "sales", "orders", "orders", _COLUMNS["orders"]),
+    _profile_sql("lake", "sales_raw", "sales__orders", _DAMAGED, _COLUMNS["orders"]),
 )
 
 ORACLES = {
-    "profile_columns": " UNION ALL ".join(_profile_sql("lake", "sales", t, t, c) for t, c in PROFILED.items()),
+    "profile_columns": " UNION ALL ".join(_profile_sql("lake", "sales", t, t, c) for t, c in _COLUMNS.items()),
     "reconcile": f"SELECT *, 42 AS request_id FROM ({_SIDES[0]} UNION ALL {_SIDES[1]})",
     "audit_differences": f"""
         SELECT s.column_name, s.min AS source_min, s.max AS source_max, s.count AS source_count,

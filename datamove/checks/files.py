@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.checks.common import EVENTS_CUT, load, scratch_place
+from datamove.checks.common import EVENTS_CUT, load, readable, scratch_place
 from datamove.session import scratch_path
 from datamove.sources import read_delimited, read_json_flat, select_files
-from datamove.streaming import Landing, ingest_files_once, replace_with_new_files
+from datamove.streaming import Landing, files_once, ingest_files_once, replace_with_new_files
 
 EVENT_SCHEMA = """
     event_id long, ts string, who struct<user_id: long>, what struct<event_type: string, value: double, props: string>
 """
 
 
+ORDERS_SCHEMA = (
+    "o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string"
+)
+
+
 def json_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     nation = load(spark, sf_dir, "nation").join(
@@ -30,23 +35,22 @@ def json_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delimited_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
-    load(spark, sf_dir, "orders").drop("o_orderdate").write.option("header", True).csv(landing)
-    return read_delimited(spark, landing, "part", "CSV")
+    readable(load(spark, sf_dir, "orders")).write.option("header", True).csv(landing)
+    return read_delimited(spark, landing, "part", "CSV", schema=ORDERS_SCHEMA)
 
 
 def delimited_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     # Tab-parted, without a header, under a .tsv name.
-    lines = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    lines.write.option("sep", "\t").option("extension", "tsv").csv(landing)
+    parts = load(spark, sf_dir, "part")
+    parts.write.option("sep", "\t").option("extension", "tsv").csv(landing)
     read = read_delimited(spark, landing, "part", "TSV", header=False)
-    return read.toDF("p_partkey", "p_name", "p_brand", "p_size")
+    return read.toDF(*parts.columns)
 
 
 def delimited_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
-    lines = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    lines.write.option("sep", "|").option("header", True).option("extension", "txt").csv(landing)
+    load(spark, sf_dir, "customer").write.option("sep", "|").option("header", True).option("extension", "txt").csv(landing)
     return read_delimited(spark, landing, "part", "TXT", delimiter="|")
 
 
@@ -108,7 +112,32 @@ def replaced_by_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(place.table)
 
 
+def ingested_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in two drops whose headers list the columns in different orders."""
+    orders = readable(load(spark, sf_dir, "orders"))
+    drops = []
+    for i, columns in enumerate((orders.columns, orders.columns[::-1])):
+        landing = scratch_path(spark, "landing")
+        orders.where(F.col("o_orderkey") % 2 == i).select(*columns).write.option("header", True).csv(landing)
+        drops.append(read_delimited(spark, landing, "part", "CSV", schema=ORDERS_SCHEMA))
+    return drops[0].union(drops[1])
+
+
+def replaced_after_a_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that took the first drop but stopped before it published, and one that took the second."""
+    place, drops = scratch_place(spark, "events"), scratch_path(spark, "landing")
+    landing = Landing(drops, "JSON", "part", EVENT_SCHEMA, multi_line=False)
+    early, late = _event_documents(spark, sf_dir)
+    early.write.json(f"{drops}/drop0")
+    arrivals = f"{place.database}.{place.name}_arrivals"
+    files_once._run(spark, landing, arrivals, f"{place.path}_arrivals", f"{place.path}_checkpoint", files_once._BATCH)
+    late.write.json(f"{drops}/drop1")
+    return replace_with_new_files(spark, landing, place, f"{place.path}_checkpoint")
+
+
 QUERIES = {
+    "ingest_reordered_header": ingested_reordered,
+    "replace_after_stopped_run": replaced_after_a_stop,
     "read_json_flat": json_flat,
     "read_delimited_csv": delimited_csv,
     "read_delimited_tsv": delimited_tsv,
@@ -121,16 +150,21 @@ QUERIES = {
 _EVENTS = "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events"
 
 ORACLES = {
+    "ingest_reordered_header": """
+        SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+               o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders
+    """,
+    "replace_after_stopped_run": _EVENTS,
     "read_json_flat": """
         SELECT c_custkey, c_acctbal, c_mktsegment, c_name, n_name, r_name
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     """,
     "read_delimited_csv": """
         SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
-               o_totalprice, o_orderpriority FROM orders
+               o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders
     """,
-    "read_delimited_tsv": "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_size FROM part",
-    "read_delimited_txt": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
+    "read_delimited_tsv": "SELECT * REPLACE (CAST(p_partkey AS INTEGER) AS p_partkey) FROM part",
+    "read_delimited_txt": "SELECT * REPLACE (CAST(c_custkey AS INTEGER) AS c_custkey) FROM customer",
     "select_files": """
         SELECT 'nations with files' AS what, count(DISTINCT c_nationkey) AS n FROM customer
         UNION ALL SELECT 'files of another name or type', 0

@@ -97,7 +97,7 @@ def merged_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    lines = load(spark, sf_dir, "lineitem")
     cut = F.lit(SUPPLIERS_CUT).cast("timestamp_ntz")
     old, new = lines.where(F.col("l_shipdate") <= cut), lines.where(F.col("l_shipdate") > cut)
     merged = merge_upsert(old, new, "l_suppkey", hot_keys=frequent_keys(old, "l_suppkey"))
@@ -176,8 +176,7 @@ ORACLES = {
         WHERE rn = 1
     """,
     "merge_hot_keys": f"""
-        SELECT l_orderkey, l_suppkey, l_extendedprice, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate
-        FROM lineitem
+        SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem
         WHERE l_shipdate > TIMESTAMP '{SUPPLIERS_CUT}'
            OR l_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_shipdate > TIMESTAMP '{SUPPLIERS_CUT}')
     """,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from datamove.checks.common import load, readable, scratch_layout, scratch_place
 from datamove.checks.incremental import ORDERS_SQL, orders_loaded, orders_now
-from datamove.plans import Job, RawLoad, load_raw, run_job
+from datamove.plans import Flips, Job, RawLoad, load_raw, run_group, run_job
 from datamove.session import scratch_path
 from datamove.sources import ParquetSource
 
@@ -97,13 +97,73 @@ def ran_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def loaded_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders under other column names and types, as a database might hand them out."""
+    target, root = scratch_place(spark, "sales__orders"), scratch_path(spark, "source")
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("decimal(38,10)").alias("O_ORDERKEY"),
+        F.col("o_custkey").alias("O_CUSTKEY"),
+        "o_orderstatus",
+        "o_totalprice",
+        (F.col("o_orderdate") + F.expr("interval 13 hours")).alias("O_ORDERDATE"),
+        "o_orderpriority",
+    )
+    orders.write.parquet(f"{root}/sales.orders")
+    task = RawLoad("sales.orders", target, normalize=True, unbounded=("O_ORDERKEY",), row_ids=("o_custkey",), dates=("o_orderdate",))
+    load_raw(spark, ParquetSource(location=f"{root}/{{table}}"), task)
+    loaded = spark.table(target.table)
+    return loaded.withColumns({"o_orderkey": F.col("o_orderkey").cast("long"), "o_orderdate": F.col("o_orderdate").cast("string")})
+
+
+def ran_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A group of control-table rows in the layers R, F, C and P."""
+    layout, source = scratch_layout(spark, "acme"), scratch_path(spark, "source")
+    load(spark, sf_dir, "orders").write.parquet(f"{source}/sales.orders")
+    landing = layout.landing("acme", "crm")
+    load(spark, sf_dir, "customer").write.option("header", True).csv(f"{landing}/drop")
+    orders, customers = layout.raw("acme", "sales", "orders").table, layout.raw("acme", "crm", "customers").table
+    joined = f"SELECT c_mktsegment, count(*) AS n, max(o_orderkey) AS newest FROM {orders} JOIN {customers} ON o_custkey = c_custkey GROUP BY c_mktsegment"
+    # layer, extract type, schema, name, target schema, target name, query
+    table = [
+        ("R", "TB", "sales", "orders", None, None, None),
+        ("F", "CS", "crm", "part", "crm", "customers", None),
+        ("C", None, None, None, None, "segments", joined),
+        ("P", None, None, "segments", "w", "segments", "(c_mktsegment string, n bigint, newest bigint)"),
+    ]
+    head = "storage_layer string, extract_type string, obj_schema string, obj_name string, target_obj_schema string, target_obj_name string, transform_query string"
+    flags = "logical_group_id string, run_priority int, custom_flag boolean, delimiter_val string, inc_header boolean, is_incremental boolean, to_validate boolean, is_valid boolean"
+    rows = [(*row, "g", i, False, None, True, False, False, True) for i, row in enumerate(table)]
+    control = {
+        "meta_table_map": spark.createDataFrame(rows, f"{head}, {flags}"),
+        "meta_logical_map": spark.createDataFrame([("g", "acme", "lake", "lake")], "logical_group_id string, group_name string, obj_source string, obj_target string"),
+        "meta_object_connection_map": spark.createDataFrame([("lake", "LAKE")], "obj_connection string, connection_type string"),
+        "meta_object_flip": spark.createDataFrame([], "target_obj_schema string, target_obj_name string, pb_flip string"),
+        "meta_custom_query": spark.createDataFrame([], "logical_group_id string, obj_schema string, obj_name string, custom_query string"),
+        "meta_raw_properties": spark.createDataFrame(
+            [],
+            "logical_group_id string, obj_schema string, obj_name string, source_partition_flag boolean, source_primary_key string, "
+            "target_partition_flag boolean, target_partition_column string, source_partitions int, target_partitions int",
+        ),
+    }
+    sources = {"lake": ParquetSource(location=f"{source}/{{table}}")}
+    flips = Flips(spark, scratch_place(spark, "flips"))
+    outcomes = run_group(control, "g", lambda job: run_job(spark, job, layout, sources), flips)
+    for outcome in outcomes:
+        if outcome.error is not None:
+            raise outcome.error
+    return outcomes[-1].result
+
+
 def _audited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit rows a load leaves behind, for the text and whole-number columns."""
-    target = scratch_place(spark, "sales__orders")
-    before, _ = _source_states(spark, sf_dir)
-    load_raw(spark, before, RawLoad("sales.orders", target, audit=True, request_id=7))
+    """Audit rows that the load of all orders leaves behind."""
+    target, root = scratch_place(spark, "sales__orders"), scratch_path(spark, "source")
+    # Fractions as decimals, whose text both engines write the same way.
+    orders = load(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,4)"))
+    orders.write.parquet(f"{root}/sales.orders")
+    source = ParquetSource(location=f"{root}/{{table}}")
+    load_raw(spark, source, RawLoad("sales.orders", target, audit=True, request_id=7))
     audit = spark.table(f"{target.database}.meta_audit_table")
-    return audit.where(~F.col("column_name").isin("o_totalprice")).select(
+    return audit.select(
         "source", "table_name", "column_name", "min", "max", "count", "request_id"
     )
 
@@ -112,7 +172,9 @@ QUERIES = {
     "load_raw": loaded_raw,
     "load_raw_in_partitions": loaded_in_partitions,
     "load_raw_audit": _audited,
+    "load_raw_normalized": loaded_normalized,
     "run_jobs": ran_jobs,
+    "run_group": ran_group,
 }
 
 _MERGED = f"""
@@ -124,21 +186,28 @@ _AUDITED = [
     ("o_orderkey", "o_orderkey"),
     ("o_custkey", "o_custkey"),
     ("o_orderstatus", "o_orderstatus"),
+    ("o_totalprice", "CAST(o_totalprice AS DECIMAL(18,4))"),
     ("o_orderdate", "o_orderdate"),
     ("o_orderpriority", "o_orderpriority"),
-    ("update_timestamp", "o_orderdate"),
 ]
 
 ORACLES = {
     "load_raw": _MERGED,
     "load_raw_in_partitions": _MERGED,
-    "load_raw_audit": f"WITH {ORDERS_SQL} "
-    + " UNION ALL ".join(
+    "load_raw_audit": " UNION ALL ".join(
         f"""SELECT s.source, s.table_name, '{name}' AS column_name, CAST(min({column}) AS VARCHAR) AS min,
             CAST(max({column}) AS VARCHAR) AS max, count(DISTINCT {column}) AS count, 7 AS request_id
-            FROM loaded, (VALUES ('lake', 'orders'), ('lake', 'sales__orders')) s(source, table_name)
+            FROM orders, (VALUES ('lake', 'orders'), ('lake', 'sales__orders')) s(source, table_name)
             GROUP BY s.source, s.table_name"""
         for name, column in _AUDITED
     ),
+    "load_raw_normalized": """
+        SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_totalprice,
+               strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders
+    """,
+    "run_group": """
+        SELECT c_mktsegment, count(*) AS n, max(o_orderkey) AS newest
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
+    """,
     "run_jobs": CONFORMED.format(orders="orders"),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.checks.common import load, readable, register
+from datamove.checks.common import day_text, load, readable, register
 from datamove.functions import flatten_structs, normalize_types
 from datamove.sources import (
     CatalogSource,
@@ -70,10 +70,11 @@ def flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = load(spark, sf_dir, "lineitem").select(
         F.struct(
             F.col("l_orderkey").alias("key"),
-            F.struct("l_quantity", F.struct("l_returnflag", "l_linestatus").alias("flags")).alias("detail"),
+            F.struct("l_quantity", "l_extendedprice", F.struct("l_returnflag", "l_linestatus").alias("flags")).alias("detail"),
         ).alias("line"),
         "l_linenumber",
-        F.struct(F.col("l_partkey").alias("key"), "l_suppkey").alias("item"),
+        F.struct(F.col("l_partkey").alias("key"), "l_suppkey", "l_discount", "l_tax").alias("item"),
+        day_text("l_shipdate"),
     )
     return flatten_structs(nested)
 
@@ -120,8 +121,8 @@ ORACLES = {
         FROM moved
     """,
     "flatten_structs": """
-        SELECT l_linenumber, l_orderkey AS line_key, l_partkey AS item_key, l_suppkey, l_quantity,
-               l_returnflag, l_linestatus
+        SELECT l_linenumber, l_orderkey AS line_key, l_partkey AS item_key, l_suppkey, l_quantity, l_extendedprice,
+               l_discount, l_tax, l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate
         FROM lineitem
     """,
 }

@@ -54,6 +54,17 @@ def merged_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readable(spark.table(place.table))
 
 
+def merged_in_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which some have no status, merged with some whose status is empty."""
+    place = scratch_place(spark, "orders")
+    status = F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus"))
+    orders = load(spark, sf_dir, "orders").withColumn("o_orderstatus", status)
+    write_table(orders, place.table, place.path, partition_by="o_orderstatus")
+    emptied = orders.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit(""))
+    merge_into_partitions(place.table, emptied, "o_orderkey", "o_orderstatus", scratch_path(spark, "backup"))
+    return readable(spark.table(place.table))
+
+
 def copied_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     place, copy = scratch_place(spark, "lineitem"), scratch_path(spark, "copy")
     write_table(load(spark, sf_dir, "lineitem"), place.table, place.path, partition_by="l_linenumber")
@@ -67,6 +78,7 @@ QUERIES = {
     "write_bucketed": written_bucketed,
     "overwrite_dynamic": overwritten_dynamic,
     "merge_in_partitions": merged_in_partitions,
+    "merge_in_null_partition": merged_in_null_partition,
     "snapshot_copy": copied_snapshot,
 }
 
@@ -91,5 +103,9 @@ ORACLES = {
             FROM changed)
         SELECT {_ORDERS.format(price='o_totalprice')}, strftime(upd, '%Y-%m-%d') AS update_timestamp FROM merged
     """,
+    "merge_in_null_partition": """
+        SELECT * REPLACE (CASE WHEN o_orderstatus <> 'O' AND o_orderkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus,
+                          strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders
+    """,
     "snapshot_copy": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem",
 }
