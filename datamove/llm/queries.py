@@ -105,4 +105,66 @@ _ALL = (
 
 QUERIES = {f.__name__: f for f in _ALL}
 
-ORACLES = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TEXT = _LOWER.format("coalesce(text, '')")
+_ALNUM = rf"regexp_extract_all({_TEXT}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SOLID = rf"regexp_extract_all({_TEXT}, '[^\x20\x09-\x0D]+')"
+
+ORACLES = {
+    "op1_decontaminate": f"""
+        WITH items AS (SELECT item_id, {_ALNUM} AS w FROM benchmark WHERE item_id IS NOT NULL),
+        docs AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
+        sized AS (SELECT item_id, w, least(10, len(w)) AS n FROM items WHERE len(w) > 0),
+        windows AS (SELECT DISTINCT item_id, n, w[i:i + n - 1] AS part FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+        places AS (
+            SELECT r, n, i, w[i:i + n - 1] AS part
+            FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM sized) WHERE len(w) >= n)),
+        hits AS (SELECT r, i, n, item_id FROM places JOIN windows USING (n, part)),
+        covered AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r),
+        named AS (
+            SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+    """,
+    "op3_url_filter": rf"""
+        WITH p AS (
+            SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages),
+        s AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS front FROM p),
+        h AS (
+            SELECT page_id, {_LOWER.format('front')} AS host, regexp_extract(substr(rest, length(front) + 1), '^[^?#]*') AS path FROM s),
+        r AS (
+            SELECT *, CASE
+                WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule,
+                CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '') END AS canonical
+            FROM h),
+        listed AS (SELECT DISTINCT canonical FROM r WHERE regexp_matches(host, '{LISTED_SITES}'))
+        SELECT page_id, host, path, rule, CASE
+            WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+        FROM r
+    """,
+    "op4_ngram_jaccard": f"""
+        WITH RECURSIVE docs AS (SELECT doc_id, {_SOLID} AS w FROM documents),
+        sets AS (
+            SELECT doc_id, unnest(list_distinct(CASE
+                WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+            FROM docs),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+        both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT doc_id, y FROM reached JOIN both_ways ON other = x)
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """,
+}
