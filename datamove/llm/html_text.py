@@ -42,6 +42,7 @@ NAMES = frozenset(
 )
 
 ARTICLES = frozenset(("article", "main"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 REGIONS = frozenset(("body", "div", "section", "td", "table"))
 CLOSES_P = BLOCKS - {"html", "body", "head"}
 NAME = re.compile(r"[a-z]+")
@@ -93,7 +94,9 @@ class Lines(HTMLParser):
         if tag in ("li", "dd", "dt", "td", "th", "tr", "option"):
             self._close(tag, frozenset(("ul", "ol", "dl", "table", "select")))
         _, outside, region, article = self.open[-1]
-        outside = outside or tag in OUTSIDE or (tag == "header" and not article) or self._named(tag, attrs)
+        # An article's own headings stay, whatever they are called.
+        named = self._named(tag, attrs) and not (article and tag in HEADINGS)
+        outside = outside or tag in OUTSIDE or (tag == "header" and not article) or named
         if not article and (tag in ARTICLES or tag in REGIONS):
             self.regions += 1
             region = self.regions

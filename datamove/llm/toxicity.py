@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import string
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -122,24 +121,30 @@ def fit(texts: Sequence[str], toxic: Sequence[int], prior: float, *, rounds: int
     softmax, bias = rng.normal(0, 1, (2, width)).astype(np.float32), np.zeros(2, np.float32)
     labels = np.array(toxic, np.int64)
     prior = min(max(prior, 1e-4), 1 - 1e-4)
-    flat = Toxicity(vectors * 0, softmax, bias, 0.0, float(np.log(prior / (1 - prior))))
+    untrained = Toxicity(vectors * 0, softmax, bias, 0.0, float(np.log(prior / (1 - prior))))
     if not len(labels) or labels.min() == labels.max():
-        return flat
+        return untrained
     held = np.arange(len(labels)) % HELD_BACK == HELD_BACK - 1
     if min((labels[held] == 1).sum(), (labels[held] == 0).sum()) < 10:
         held[:] = False
-    bags = [[w for w in map(bare, tokens(t)) if w] for t, out in zip(texts, held) if not out]
-    seen = Counter(w for bag in bags for w in set(bag))
-    number = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n > 1))}
-    windows = [[number[w] for w in dict.fromkeys(bag[i : i + WINDOW]) if w in number] for bag in bags for i in range(0, len(bag), WINDOW)]
-    per_text = np.array([-(-len(bag) // WINDOW) for bag in bags])
-    if not number:
-        return flat
-    parts = [buckets(w) for w in number]
+    ids: dict[str, int] = {}
+    bags = [np.array([ids.setdefault(w, len(ids)) for w in map(bare, tokens(t)) if w], np.int64) for t, out in zip(texts, held) if not out]
+    flat, sizes = np.concatenate(bags), np.array([len(bag) for bag in bags])
+    text = np.repeat(np.arange(len(bags)), sizes)
+    seen = np.bincount(np.unique(text * len(ids) + flat) % max(1, len(ids)), minlength=len(ids))
+    number = np.where(seen > 1, np.cumsum(seen > 1) - 1, -1)
+    parts = [buckets(w) for w, i in ids.items() if number[i] >= 0]
+    if not parts:
+        return untrained
+    per_text = -(-sizes // WINDOW)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    window = (np.cumsum(per_text) - per_text)[text] + place // WINDOW
+    known = number[flat] >= 0
+    # A word counts once in a window.
+    window, word = np.divmod(np.unique(window[known] * len(parts) + number[flat[known]]), len(parts))
+    n_windows = int(per_text.sum())
     gram_word, gram = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.array([b for p in parts for b in p], np.int64)
     share = (1 / np.array([len(p) for p in parts], np.float32))[gram_word][:, None]
-    sizes = np.array([len(w) for w in windows])
-    window, word = np.repeat(np.arange(len(windows)), sizes), np.array([n for w in windows for n in w], np.int64)
     weight = np.float32(1 / WINDOW)
     answer = np.repeat(labels[~held], per_text)
     # A long text counts for more than a short one, but not for all its windows.
@@ -151,7 +156,7 @@ def fit(texts: Sequence[str], toxic: Sequence[int], prior: float, *, rounds: int
     first, second = [np.zeros_like(x) for x in state], [np.zeros_like(x) for x in state]
     for step in range(1, rounds + 1):
         words = _summed(vectors[gram] * share, gram_word, *by_gram_word, len(parts))
-        means = _summed(words[word] * weight, window, *by_window, len(windows))
+        means = _summed(words[word] * weight, window, *by_window, n_windows)
         logits = means @ softmax.T + bias
         chance = np.exp(logits - logits.max(1, keepdims=True))
         chance /= chance.sum(1, keepdims=True)
@@ -212,7 +217,8 @@ def learn_toxicity(
     # One text for each id, so repeated rows do not count twice.
     texts = docs.join(F.broadcast(chosen), quoted(key) == F.col("__id__")).groupBy("__id__", "__toxic__").agg(F.max(quoted(text)).alias("__text__"))
     size = F.sum(F.coalesce(F.length("__text__"), F.lit(0))).over(Window.orderBy(F.xxhash64("__id__"), "__id__").rowsBetween(Window.unboundedPreceding, 0))
-    sample = texts.withColumn("__size__", size).where(F.col("__size__") <= most_chars).select("__text__", "__toxic__").collect()
+    sample = texts.withColumn("__size__", size).where(F.col("__size__") <= most_chars).select("__id__", "__text__", "__toxic__").collect()
+    sample.sort(key=lambda r: (str(r["__id__"]), r["__toxic__"]))
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     return fit([r["__text__"] or "" for r in sample], [r["__toxic__"] for r in sample], prior)
 
