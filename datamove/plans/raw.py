@@ -237,7 +237,12 @@ def _normal(df: DataFrame, source: Source, load: RawLoad) -> DataFrame:
 def _audit(spark: SparkSession, source: Source, load: RawLoad) -> None:
     schema_name, _, table_name = load.table.rpartition(".")
     label, loaded = (source.dialect or "lake").lower(), spark.table(load.target.table)
-    if isinstance(source, JdbcSource):
+    if load.query is not None:
+        # A query is asked once: its result is kept while its columns are profiled one by one.
+        kept = scratch_path(spark, "audit")
+        _normal(_whole(spark, source, load), source, load).write.parquet(kept)
+        before = profile_columns(spark.read.parquet(kept), label, schema_name, table_name)
+    elif isinstance(source, JdbcSource):
         # Aggregated by the database: one row travels, not the table.
         columns = extract_table(spark, source, load.table).columns
         summary = source.summary(spark, load.table, columns)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from datamove.layout import Place
 from datamove.operators.incremental import align_schemas
+from datamove.session import drop_path
 from datamove.sinks.tables import ensure_database, write_table
 from datamove.sources.extract import JdbcSource
 
@@ -16,6 +17,10 @@ from datamove.sources.extract import JdbcSource
 COPIES = ("_a", "_b")
 # Property of the stable view that says which copy it shows.
 _ACTIVE = "datamove.active_copy"
+# Property that counts the parts appended to that copy, and how many make a new copy due: until
+# then an append costs its own rows, and every row is rewritten once in so many appends.
+_PARTS = "datamove.appended_parts"
+MOST_PARTS = 32
 
 
 class EmptyResult(ValueError):
@@ -56,7 +61,9 @@ def publish_ab(
 ) -> str:
     """Write ``df`` to the idle copy of ``place`` and repoint its view; returns the suffix.
 
-    ``incremental`` publishes the active rows plus ``df``.  The stable name is a view, so
+    ``incremental`` publishes the active rows plus ``df``: where neither columns nor layout
+    change, ``df`` is written as a further part of the active copy and the view takes it in,
+    until ``MOST_PARTS`` are due to become one copy; else all rows are written anew.  The stable name is a view, so
     repointing is one catalog operation that also carries the flip: readers see the old
     copy or the new one, and a failed write changes nothing.  The previous copy stays for
     rollback until the next publish.  An empty result is refused unless ``allow_empty``.
@@ -66,8 +73,15 @@ def publish_ab(
     _check_name(spark, place)
     active = active_copy(spark, place)
     if incremental and active is not None:
-        loaded, added = align_schemas(spark.table(place.table), df)
+        before = spark.table(place.table)
+        loaded, added = align_schemas(before, df)
+        parts = int(view_property(spark, place, _PARTS) or 0)
         df = loaded.unionByName(added)
+        if partition_by is None and bucket_by is None and parts < MOST_PARTS and _same_columns(before.schema, df.schema):
+            part = f"{active}_p{parts}"
+            write_table(added, f"{place.database}.{place.name}{part}", place.path + part, files=files, rows=rows)
+            _repoint(spark, place, active, parts + 1, properties)
+            return active
     copy = next_copy(active)
     physical = f"{place.database}.{place.name}{copy}"
     write_table(
@@ -82,10 +96,20 @@ def publish_ab(
     )
     if not allow_empty and spark.table(physical).isEmpty():
         raise EmptyResult(f"refusing to publish an empty {place.table}")
-    _repoint(spark, place, physical, copy, properties)
+    # Parts of this copy are from before it was written anew.
+    _drop_parts(spark, place, copy)
+    _repoint(spark, place, copy, 0, properties)
     return copy
 
 
+def _drop_parts(spark: SparkSession, place: Place, copy: str) -> None:
+    part = 0
+    while spark.catalog.tableExists(f"{place.database}.{place.name}{copy}_p{part}"):
+        spark.sql(f"DROP TABLE {place.database}.{place.name}{copy}_p{part}")
+        drop_path(spark, f"{place.path}{copy}_p{part}")
+        part += 1
+
+
 def publish_warehouse(df: DataFrame, place: Place, columns: str) -> str:
     """Load ``df`` into the idle warehouse table and repoint the view; returns the suffix.
 
@@ -109,7 +133,7 @@ def publish_warehouse(df: DataFrame, place: Place, columns: str) -> str:
     if missing:
         raise ValueError(f"nothing to load into the columns {sorted(missing)}")
     df.select(*spark.table(physical).columns).write.mode("overwrite").insertInto(physical)
-    _repoint(spark, place, physical, copy)
+    _repoint(spark, place, copy)
     return copy
 
 
@@ -175,8 +199,9 @@ def _check_name(spark: SparkSession, place: Place) -> None:
         raise ValueError(f"{place.table} is a table; rename it before publishing a view under its name")
 
 
-def _repoint(
-    spark: SparkSession, place: Place, physical: str, copy: str, properties: Mapping[str, str] | None = None
-) -> None:
-    listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in ({_ACTIVE: copy} | dict(properties or {})).items())
-    spark.sql(f"CREATE OR REPLACE VIEW {place.table} TBLPROPERTIES ({listed}) AS SELECT * FROM {physical}")
+def _repoint(spark: SparkSession, place: Place, copy: str, parts: int = 0, properties: Mapping[str, str] | None = None) -> None:
+    noted = {_ACTIVE: copy, _PARTS: str(parts)} | dict(properties or {})
+    listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in noted.items())
+    tables = [f"{place.database}.{place.name}{copy}{part}" for part in ["", *[f"_p{i}" for i in range(parts)]]]
+    rows = " UNION ALL ".join(f"SELECT * FROM {table}" for table in tables)
+    spark.sql(f"CREATE OR REPLACE VIEW {place.table} TBLPROPERTIES ({listed}) AS {rows}")

@@ -159,3 +159,26 @@ def test_flips_outlive_a_run_and_alternate(spark, place, tmp_path):
     finally:
         jobs.to_jobs, jobs.jobs_for_group = before
     assert seen == [None, "_a", "_b"] and results == ["_a", "_b", "_a"]
+
+
+def test_an_append_writes_its_own_rows_only(spark, place, monkeypatch):
+    import glob
+
+    from datamove.sinks import publish
+
+    monkeypatch.setattr(publish, "MOST_PARTS", 2)
+
+    def files():
+        return set(glob.glob(f"{place.path}*/**/*.parquet", recursive=True))
+
+    assert publish.publish_ab(spark.range(1000), place) == "_a"
+    for i in range(2):
+        before = files()
+        assert publish.publish_ab(spark.range(1000 + i, 1001 + i), place, incremental=True) == "_a"
+        assert before < files() and spark.table(place.table).count() == 1001 + i
+    # Two parts are due to become one copy.
+    assert publish.publish_ab(spark.range(1002, 1003), place, incremental=True) == "_b"
+    assert publish.publish_ab(spark.range(1003, 1004), place, incremental=True) == "_b"
+    assert spark.table(place.table).count() == 1004
+    assert publish.publish_ab(spark.range(5), place) == "_a"
+    assert spark.table(place.table).count() == 5 and not spark.catalog.tableExists(f"{place.database}.{place.name}_a_p0")
