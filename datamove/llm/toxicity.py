@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from datamove.llm.arrow import map_texts, quoted
+from datamove.llm.words import U, joined, mix
 
 BUCKETS = 1 << 17
 WIDTH = 8
@@ -31,17 +32,25 @@ HELD_BACK = 4
 MOST_ROWS = 2_000
 MOST_CHARS = 24_000_000
 
-# Words whose score a task remembers before it starts afresh.
+# Words whose score a task remembers before it starts afresh, and texts it looks at together.
 MOST_KNOWN = 500_000
+TEXTS = 100
 
 
-def buckets(word: str) -> list[int]:
-    """Of the n-grams of the word between marks, and of the word itself."""
-    marked = f"<{word}>"
-    parts = {marked}
+def buckets(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the character n-grams of marked words and of the words whole, and each one's word."""
+    marked = [f"<{w}>" for w in words]
+    letters = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U)
+    sizes = np.array([len(w) for w in marked], np.int64)
+    ends, word = np.cumsum(sizes), np.repeat(np.arange(len(marked)), sizes)
+    found, owners = [], []
     for n in range(SHORTEST, LONGEST + 1):
-        parts.update(marked[i : i + n] for i in range(len(marked) - n + 1))
-    return [zlib.crc32(p.encode("utf-8", "replace")) % BUCKETS for p in sorted(parts)]
+        at = np.flatnonzero(np.arange(len(letters)) + n <= ends[word]) if len(letters) else np.zeros(0, np.int64)
+        found.append(mix(joined(*[letters[at + i] for i in range(n)]) + U(n)))
+        owners.append(word[at])
+    found.append(mix(np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in marked], U)))
+    owners.append(np.arange(len(marked)))
+    return (np.concatenate(found) % U(BUCKETS)).astype(np.int64), np.concatenate(owners)
 
 
 def tokens(text: str) -> list[str]:
@@ -72,27 +81,36 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(self.slope * odds + self.shift, -60, 60)))
 
 
-class WordScores(dict):
-    """Odds of tokens as they stand in texts, worked out when first asked for; None if no word."""
+class WordScores:
+    """Odds of tokens as they stand in texts, worked out once for each; NaN where there is no word."""
 
     def __init__(self, scores: np.ndarray, bias: float):
         self.scores, self.bias = scores, bias
-
-    def __missing__(self, token: str) -> float | None:
-        word = bare(token)
-        value = float(self.scores[buckets(word)].mean()) if word else None
-        if len(self) >= MOST_KNOWN:
-            self.clear()
-        self[token] = value
-        return value
-
-    def text(self, text: str) -> float:
-        """The odds of the worst window of a text; without words, the bias alone."""
-        found = np.array([v for v in map(self.__getitem__, tokens(text)) if v is not None])
-        if not len(found):
-            return self.bias
-        # A short window is averaged as if the words that it lacks said nothing.
-        return float(np.add.reduceat(found, np.arange(0, len(found), WINDOW)).max()) / WINDOW + self.bias
+        self.known: dict[str, float] = {}
+
+    def _learn(self, found: set[str]) -> None:
+        if len(self.known) + len(found) > MOST_KNOWN:
+            self.known.clear()
+        words = {token: bare(token) for token in found.difference(self.known)}
+        named = [w for w in words.values() if w]
+        gram, owner = buckets(named)
+        means = np.bincount(owner, self.scores[gram], minlength=len(named)) / np.maximum(1, np.bincount(owner, minlength=len(named)))
+        values = iter(means.tolist())
+        self.known.update((token, next(values) if w else np.nan) for token, w in words.items())
+
+    def texts(self, texts: Sequence[str]) -> np.ndarray:
+        """The odds of the worst window of each text; without words, the bias alone."""
+        out = np.full(len(texts), self.bias)
+        for begin in range(0, len(texts), TEXTS):
+            lists = [tokens(text) for text in texts[begin : begin + TEXTS]]
+            self._learn(set().union(*lists))
+            for i, found in enumerate(lists, begin):
+                odds = np.fromiter(map(self.known.__getitem__, found), np.float64, len(found))
+                odds = odds[odds == odds]
+                if len(odds):
+                    # A short window is averaged as if the words that it lacks said nothing.
+                    out[i] += np.add.reduceat(odds, np.arange(0, len(odds), WINDOW)).max() / WINDOW
+        return out
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,18 +151,18 @@ def fit(texts: Sequence[str], toxic: Sequence[int], prior: float, *, rounds: int
     text = np.repeat(np.arange(len(bags)), sizes)
     seen = np.bincount(np.unique(text * len(ids) + flat) % max(1, len(ids)), minlength=len(ids))
     number = np.where(seen > 1, np.cumsum(seen > 1) - 1, -1)
-    parts = [buckets(w) for w, i in ids.items() if number[i] >= 0]
-    if not parts:
+    n_words = int((number >= 0).sum())
+    if not n_words:
         return untrained
     per_text = -(-sizes // WINDOW)
     place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     window = (np.cumsum(per_text) - per_text)[text] + place // WINDOW
     known = number[flat] >= 0
     # A word counts once in a window.
-    window, word = np.divmod(np.unique(window[known] * len(parts) + number[flat[known]]), len(parts))
+    window, word = np.divmod(np.unique(window[known] * n_words + number[flat[known]]), n_words)
     n_windows = int(per_text.sum())
-    gram_word, gram = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.array([b for p in parts for b in p], np.int64)
-    share = (1 / np.array([len(p) for p in parts], np.float32))[gram_word][:, None]
+    gram, gram_word = buckets([w for w, i in ids.items() if number[i] >= 0])
+    share = (1 / np.bincount(gram_word, minlength=n_words).astype(np.float32))[gram_word][:, None]
     weight = np.float32(1 / WINDOW)
     answer = np.repeat(labels[~held], per_text)
     # A long text counts for more than a short one, but not for all its windows.
@@ -155,14 +173,14 @@ def fit(texts: Sequence[str], toxic: Sequence[int], prior: float, *, rounds: int
     state = [vectors, softmax, bias]
     first, second = [np.zeros_like(x) for x in state], [np.zeros_like(x) for x in state]
     for step in range(1, rounds + 1):
-        words = _summed(vectors[gram] * share, gram_word, *by_gram_word, len(parts))
+        words = _summed(vectors[gram] * share, gram_word, *by_gram_word, n_words)
         means = _summed(words[word] * weight, window, *by_window, n_windows)
         logits = means @ softmax.T + bias
         chance = np.exp(logits - logits.max(1, keepdims=True))
         chance /= chance.sum(1, keepdims=True)
         wrong = (chance - target) * even[:, None]
         d_means = wrong @ softmax
-        d_words = _summed(d_means[window] * weight, word, *by_word, len(parts))
+        d_words = _summed(d_means[window] * weight, word, *by_word, n_words)
         slopes = [_summed(d_words[gram_word] * share, gram, *by_gram, BUCKETS), wrong.T @ means, wrong.sum(0)]
         for x, slope, m, v in zip(state, slopes, first, second):
             m += 0.1 * (slope - m)
@@ -174,7 +192,7 @@ def fit(texts: Sequence[str], toxic: Sequence[int], prior: float, *, rounds: int
     model = Toxicity(vectors, softmax, bias)
     check = held if held.any() else ~held
     scores = model.word_scores()
-    odds = np.array([scores.text(t) for t, use in zip(texts, check) if use])
+    odds = scores.texts([t for t, use in zip(texts, check) if use])
     model.slope, model.shift = _scale(odds, labels[check], prior)
     return model
 
@@ -237,7 +255,7 @@ def score_toxicity(docs: DataFrame, model: Toxicity, keep: Sequence[str], *, tex
         model = shared.value
         known = model.word_scores()
         for column in columns:
-            chance = model.chances(np.array([known.text(value.as_py() or "") for value in column], np.float64))
+            chance = model.chances(known.texts([value or "" for value in column.to_pylist()]))
             yield [pa.array(chance), pa.array((chance >= threshold).astype(np.int32))]
 
     return map_texts(docs, text, keep, [("score", "double"), ("predicted", "int")], work)
