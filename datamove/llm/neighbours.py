@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +30,7 @@ LEAF_SAMPLE = 40
 CALIBRATION = 128
 RECALL = 0.96
 
-# Vectors, and queries, of a leaf that meet in one task; more of either are split.
+# Vectors, and queries, of a bin of leaves that meet in one task; more of either are split.
 CELL = 20_000
 
 # Nearest of a cell that are measured exactly, beyond those asked for.
@@ -117,20 +117,28 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def nearest(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the rows of its ``k`` nearest and their distances, ties by id."""
+def nearest(
+    vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, asked: Callable[[int], np.ndarray] | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query the rows of its ``k`` nearest and their distances, ties by id.
+
+    ``asked`` tells which rows a query asks about, all without it.
+    """
     wide = min(len(ids), k + 1 + SLACK)
     longest = (vectors * vectors).sum(1).max(initial=0.0)
     for begin in range(0, len(queries), 128):
         part = queries[begin : begin + 128]
         rough = squared(part, vectors)
+        if asked is not None:
+            for i in range(len(part)):
+                rough[i, ~asked(begin + i)] = np.inf
         if wide < len(ids):
             cut = np.partition(rough, wide - 1, axis=1)[:, wide - 1 : wide]
             # What rounding may hide in the expanded square is measured too.
             slack = 1e-12 * (longest + (part * part).sum(1))
-            candidates = [np.flatnonzero(row <= edge) for row, edge in zip(rough, cut[:, 0] + slack)]
+            candidates = [np.flatnonzero((row <= edge) & (row < np.inf)) for row, edge in zip(rough, cut[:, 0] + slack)]
         else:
-            candidates = [np.arange(len(ids))] * len(part)
+            candidates = [np.flatnonzero(row < np.inf) for row in rough]
         for i, at in enumerate(candidates):
             at = at[ids[at] != query_ids[begin + i]]
             far = np.sqrt(((vectors[at] - part[i]) ** 2).sum(1))
@@ -213,35 +221,55 @@ def search(
     while needed and np.searchsorted(needed, visits, "right") < recall * len(needed):
         visits += 1
 
-    # Leaves with many vectors or many queries become cells of bounded size.
+    # Neighbouring leaves share a bin of bounded size; a query asks each bin once for all its leaves
+    # there.  Bins with many vectors, as of one large leaf, or many queries are split.
+    rows = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}
+    bins, held = [], []
+    for leaf in range(tree.value.n_leaves):
+        many = rows.get(leaf, 0)
+        if not held or held[-1] + many > cell:
+            held.append(0)
+        held[-1] += many
+        bins.append(len(held) - 1)
+    bin_of = np.array(bins)
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaves = [tree.value.visits(x, visits) for x in matrix(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaves, pa.list_(pa.int32()))], names=["id", "v", "leaves"])
-
-    routed = asking.mapInArrow(route, "id bigint, v array<double>, leaves array<int>").select("id", "v", F.explode("leaves").alias("leaf"))
-    rows = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}
-    asked = {r["leaf"]: r["count"] for r in routed.groupBy("leaf").count().collect()}
+            at, names, lists = [], [], []
+            for i, x in enumerate(matrix(batch.column(1), width)):
+                leaves = np.array(tree.value.visits(x, visits), np.int32)
+                for name in np.unique(bin_of[leaves]):
+                    at.append(i)
+                    names.append(int(name))
+                    lists.append(leaves[bin_of[leaves] == name])
+            kept = [batch.column(c).take(pa.array(at, pa.int64())) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.int32()), pa.array(lists, pa.list_(pa.int32()))], names=["id", "v", "bin", "leaves"])
+
+    routed = asking.mapInArrow(route, "id bigint, v array<double>, bin int, leaves array<int>")
+    asked = {r["bin"]: r["count"] for r in routed.groupBy("bin").count().collect()}
 
     def pieces(counts: dict[int, int]) -> Column:
-        return F.array(*[F.lit(max(1, math.ceil(counts.get(i, 0) / cell))) for i in range(tree.value.n_leaves)])
+        return F.array(*[F.lit(max(1, math.ceil(counts.get(i, 0) / cell))) for i in range(len(held))])
 
-    own, other = F.get(pieces(rows), F.col("leaf")), F.get(pieces(asked), F.col("leaf"))
+    own, other = F.get(pieces(dict(enumerate(held))), F.col("bin")), F.get(pieces(asked), F.col("bin"))
+    indexed = indexed.withColumn("bin", F.get(F.array(*[F.lit(b) for b in bins]), F.col("leaf")))
     part = F.xxhash64("id")
-    placed = indexed.select("id", "v", "leaf", F.pmod(part, own).alias("a"), F.explode(_up_to(other)).alias("b"))
-    sent = routed.select("id", "v", "leaf", F.explode(_up_to(own)).alias("a"), F.pmod(part, other).alias("b"))
+    placed = indexed.select("id", "v", "leaf", "bin", F.pmod(part, own).alias("a"), F.explode(_up_to(other)).alias("b"))
+    sent = routed.select("id", "v", "leaves", "bin", F.explode(_up_to(own)).alias("a"), F.pmod(part, other).alias("b"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [[], [], []]
         if len(left) and len(right):
             ids, query_ids = left.column("id").to_numpy(), right.column("id").to_numpy()
-            for q, at, far in nearest(matrix(left.column("v"), width), ids, matrix(right.column("v"), width), query_ids, k):
+            leaf, leaves = left.column("leaf").to_numpy(), right.column("leaves").to_pylist()
+            among = lambda i: np.isin(leaf, leaves[i])
+            for q, at, far in nearest(matrix(left.column("v"), width), ids, matrix(right.column("v"), width), query_ids, k, among):
                 for column, values in zip(out, (np.full(len(at), query_ids[q]), ids[at], far)):
                     column.append(values)
         kinds = (np.int64, np.int64, np.float64)
         return pa.table({n: pa.array(np.concatenate([np.zeros(0, t), *c])) for n, t, c in zip(("query_id", "vec_id", "score"), kinds, out)})
 
-    cells = ["leaf", "a", "b"]
+    cells = ["bin", "a", "b"]
     met = placed.groupBy(*cells).cogroup(sent.groupBy(*cells)).applyInArrow(meet, "query_id bigint, vec_id bigint, score double")
     # An id met twice counts with its nearest row.
     met = met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
