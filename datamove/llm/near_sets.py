@@ -12,7 +12,10 @@ large for one task is dealt over several; what those leave apart is compared acr
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -22,30 +25,65 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from datamove.llm.arrow import TEXT, map_texts, quoted, ship_code, staged, text_slices
 from datamove.llm.words import LOWER, SOLID, U, hashes, joined, mix, spans
 
-SHINGLE = 3
+SHINGLE, THRESHOLD = 3, 0.9
 
 # Groups of a count vector, points in a leaf, and shingles of a cell that one task takes.
 GROUPS = 32
 LEAF = 16
 CELL_SHINGLES = 2_000_000
 
-# Two sets link when HIGH * shared >= LOW * (size + other size), which is shared/union >= 0.9.
-HIGH, LOW = 19, 9
+# Below this so many shingles may differ that groups of them say little.
+LEAST_THRESHOLD = 0.7
 
-# Sizes at which classes of sets begin, each half as large again as the one before.
-FIRST_CLASS = 10
 
+@dataclass(frozen=True)
+class Rule:
+    """When two sets link: ``shared / union >= like / of``, which bounds all else in whole numbers."""
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    like: int
+    of: int
+
+    @classmethod
+    def at(cls, threshold: float) -> "Rule":
+        if not LEAST_THRESHOLD <= threshold < 1:
+            raise ValueError(f"threshold must be from {LEAST_THRESHOLD} to less than 1, not {threshold}")
+        exact = Fraction(str(threshold))
+        return cls(exact.numerator, exact.denominator)
+
+    def links(self, shared, sizes):
+        """Whether sets of ``sizes`` together that share so many shingles link."""
+        return (self.like + self.of) * shared >= self.like * sizes
+
+    def largest(self, size):
+        """The size of the largest partner."""
+        return size * self.of // self.like
+
+    def smallest(self, size):
+        return -(-size * self.like // self.of)
+
+    def differ(self, sizes):
+        """In how many shingles linking sets of ``sizes`` together differ at most."""
+        return sizes * (self.of - self.like) // (self.of + self.like)
+
+    @property
+    def first_class(self) -> int:
+        """The smallest size of a set that links with a smaller one."""
+        return -(-self.of // (self.of - self.like))
+
+
+RULE = Rule.at(THRESHOLD)
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each text, sorted, and the n + 1 offsets of the texts among them."""
     data = LOWER[data]
     starts, ends, of = spans(data, offsets, SOLID)
     words = hashes(data, starts, ends)
     n = np.diff(of)
     text = np.repeat(np.arange(len(n)), n)
-    at = np.flatnonzero(np.arange(len(words)) + SHINGLE <= of[1:][text]) if len(words) else np.zeros(0, np.int64)
-    keys, owners = [joined(*[words[at + i] for i in range(SHINGLE)])], [text[at]]
-    for size in range(1, SHINGLE):  # fewer words than a shingle are one together
+    at = np.flatnonzero(np.arange(len(words)) + shingle <= of[1:][text]) if len(words) else np.zeros(0, np.int64)
+    keys, owners = [joined(*[words[at + i] for i in range(shingle)])], [text[at]]
+    for size in range(1, shingle):  # fewer words than a shingle are one together
         short = np.flatnonzero(n == size)
         keys.append(joined(*[words[of[:-1][short] + i] for i in range(size)]) + U(size))
         owners.append(short)
@@ -67,14 +105,28 @@ def set_hashes(keys: np.ndarray, offsets: np.ndarray, seed: int) -> np.ndarray:
     return mix(_sums(mix(keys + U(seed)), offsets) + np.diff(offsets).astype(U)).view(np.int64)
 
 
-def class_starts(largest: int) -> np.ndarray:
-    starts = [FIRST_CLASS]
+def class_starts(largest: int, rule: Rule = RULE) -> np.ndarray:
+    """Sizes at which classes of sets begin, each half as large again as the one before."""
+    starts = [rule.first_class]
     while starts[-1] <= largest:
         starts.append(-(-starts[-1] * 3 // 2))
     return np.array(starts)
 
 
-def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def group_counts(starts: np.ndarray, rule: Rule) -> np.ndarray:
+    """Groups for each class: more than its sets differ in, and spare ones for those left empty."""
+    counts = []
+    for most in (starts[1:] - 1).tolist():
+        least = int(rule.differ(2 * most)) + 2
+        n = least
+        for _ in range(8):
+            empty = n * math.exp(-most / n)
+            n = least + int(empty + 4 * math.sqrt(empty))
+        counts.append(n)
+    return np.array(counts, np.int64)
+
+
+def group_hashes(keys: np.ndarray, offsets: np.ndarray, rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes that two linking sets cannot fail to share, and the set of each.
 
     A set is cut into groups for its own class of sizes and, where a larger partner may be in
@@ -84,14 +136,15 @@ def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     groups enough in the first cut, and so one in common, or both are in the next.
     """
     sizes = np.diff(offsets)
-    starts = class_starts(int(sizes.max(initial=0)) * 10 // 9)
+    starts = class_starts(int(rule.largest(sizes.max(initial=0))), rule)
+    by_class = group_counts(starts, rule)
     own = np.searchsorted(starts, sizes, "right") - 1
-    upper = np.searchsorted(starts, sizes * 10 // 9, "right") - 1
+    upper = np.searchsorted(starts, rule.largest(sizes), "right") - 1
     sets = np.concatenate((np.flatnonzero(own >= 0), np.flatnonzero((upper > own) & (sizes > 0))))
     classes = np.concatenate((own[own >= 0], upper[(upper > own) & (sizes > 0)]))
     found, owner, cut = [np.zeros(0, U)], [np.zeros(0, np.int64)], 1
     while len(sets):
-        n_groups = 2 * (starts[classes + 1] - 1) // 19 + 2
+        n_groups = by_class[classes]
         many = sizes[sets]
         row = np.repeat(np.arange(len(sets)), many)
         at = offsets[:-1][sets][row] + np.arange(len(row)) - (np.cumsum(many) - many)[row]
@@ -108,8 +161,8 @@ def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         which = (place - begins[whose]).astype(U) * U(1 << 20) + (n_groups[whose] * 64 + min(cut, 63)).astype(U)
         found.append(joined(total, count.astype(U), which))
         owner.append(sets[whose])
-        # No partner is larger than the class, or than ten ninths of the set.
-        differ = (many + np.minimum(many * 10 // 9, starts[classes + 1] - 1)) // 19
+        # No partner is larger than the class, or than the set allows.
+        differ = rule.differ(many + np.minimum(rule.largest(many), starts[classes + 1] - 1))
         full = np.bincount(whose, minlength=len(sets)) > differ
         sets, classes, cut = sets[~full], classes[~full], cut + 1
     return np.concatenate(found), np.concatenate(owner)
@@ -118,8 +171,8 @@ def group_hashes(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 class CountTree:
     """An R-tree over count vectors, with each node's largest corner and range of sizes."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, rule: Rule = RULE):
+        self.points, self.sizes, self.rule = points, sizes, rule
         self.rows: list[np.ndarray] = []
         self.below: list[list[int]] = []
         self.high: list[np.ndarray] = []
@@ -150,16 +203,16 @@ class CountTree:
     def candidates(self, query: int, labels: np.ndarray) -> Iterator[int]:
         """Members of other components that may share enough with the member ``query``."""
         point, size = self.points[query], int(self.sizes[query])
-        least = -(-9 * size // 10)
+        least, most, links = self.rule.smallest(size), self.rule.largest(size), self.rule.links
         stack = [0]
         while stack:
             node = stack.pop()
-            if self.most[node] < least or 9 * self.least[node] > 10 * size:
+            if self.most[node] < least or self.least[node] > most:
                 continue
             rows = self.rows[node]
             if self.alike[node] and labels[rows[0]] == labels[query]:
                 continue
-            if HIGH * int(np.minimum(self.high[node], point).sum()) < LOW * (size + max(least, self.least[node])):
+            if not links(int(np.minimum(self.high[node], point).sum()), size + max(least, self.least[node])):
                 continue
             if self.below[node]:
                 if not self.alike[node] and all(self.alike[b] for b in self.below[node]):
@@ -172,7 +225,7 @@ class CountTree:
                 self.alike[node] = True
                 continue
             shared = np.minimum(self.points[other], point).sum(1)
-            yield from other[HIGH * shared >= LOW * (size + self.sizes[other])].tolist()
+            yield from other[links(shared, size + self.sizes[other])].tolist()
 
 
 def count_vectors(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -182,13 +235,13 @@ def count_vectors(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.bincount(text * GROUPS + group, minlength=n * GROUPS).reshape(n, GROUPS)
 
 
-def linked(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def linked(keys: np.ndarray, offsets: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """For each set the first set of its component of links."""
     n = len(offsets) - 1
     sizes = np.diff(offsets)
     labels = np.arange(n)
     members: dict[int, list[int]] = {i: [i] for i in range(n)}
-    tree = CountTree(count_vectors(keys, offsets), sizes)
+    tree = CountTree(count_vectors(keys, offsets), sizes, rule)
     for query in range(n):
         if not sizes[query]:
             continue
@@ -199,7 +252,7 @@ def linked(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             theirs = keys[offsets[other] : offsets[other + 1]]
             place = np.searchsorted(theirs, own)
             shared = int((theirs[np.minimum(place, len(theirs) - 1)] == own).sum())
-            if HIGH * shared >= LOW * (len(own) + len(theirs)):
+            if rule.links(shared, len(own) + len(theirs)):
                 small, large = sorted((labels[query], labels[other]), key=lambda x: len(members[x]))
                 moved = members.pop(small)
                 labels[moved] = large
@@ -233,12 +286,12 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def _sets(docs: DataFrame, key: str, text: str, seed: int) -> DataFrame:
+def _sets(docs: DataFrame, key: str, text: str, shingle: int, seed: int) -> DataFrame:
     def work(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         for column in columns:
             sizes, names, checks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for _, _, data, offsets in text_slices(column):
-                keys, of = shingle_sets(data, offsets)
+                keys, of = shingle_sets(data, offsets, shingle)
                 sizes.append(np.diff(of))
                 names.append(set_hashes(keys, of, seed))
                 checks.append(set_hashes(keys, of, seed + 1000))
@@ -247,15 +300,15 @@ def _sets(docs: DataFrame, key: str, text: str, seed: int) -> DataFrame:
     return map_texts(docs, text, [key], [("__size__", "bigint"), ("__set__", "bigint"), ("__check__", "bigint")], work)
 
 
-def _meetings(docs: DataFrame, text: str, seed: int) -> DataFrame:
+def _meetings(docs: DataFrame, text: str, shingle: int, rule: Rule, seed: int) -> DataFrame:
     """Sets that share a group: the smallest set of all that do, with each other one."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
-                keys, of = shingle_sets(data, offsets)
+                keys, of = shingle_sets(data, offsets, shingle)
                 names = set_hashes(keys, of, seed)
-                groups, owner = group_hashes(keys, of)
+                groups, owner = group_hashes(keys, of, rule)
                 names = names[owner]
                 # Copies in the same slice ask once; a group that meets here sends one set on.
                 order = np.lexsort((names, groups))
@@ -276,7 +329,7 @@ def _meetings(docs: DataFrame, text: str, seed: int) -> DataFrame:
     return rows.select("a", F.coalesce("b", lead).alias("b")).where("a <> b").distinct()
 
 
-def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, seed: int) -> DataFrame:
+def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, shingle: int, rule: Rule, seed: int) -> DataFrame:
     """Links among the sets of each task: ``a`` with the first set ``b`` of its component there.
 
     ``tasks`` has the document that stands for a set, the set, and the task.
@@ -286,7 +339,7 @@ def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, seed: int)
         parts, names = [], []
         unpack = zstandard.ZstdDecompressor().decompress
         for _, _, data, offsets in text_slices(pa.array([unpack(t) for t in table.column(TEXT).to_pylist()], pa.large_binary())):
-            keys, of = shingle_sets(data, offsets)
+            keys, of = shingle_sets(data, offsets, shingle)
             names.append(set_hashes(keys, of, seed))
             parts += [keys[x:y] for x, y in zip(of[:-1], of[1:])]
         names = np.concatenate(names)
@@ -294,7 +347,7 @@ def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, seed: int)
         rows = np.flatnonzero(names == table.column("__set__").to_numpy())
         rows = rows[np.unique(names[rows], return_index=True)[1]]
         offsets = np.concatenate(([0], np.cumsum([len(parts[i]) for i in rows])))
-        root = linked(np.concatenate([np.zeros(0, U), *[parts[i] for i in rows]]), offsets)
+        root = linked(np.concatenate([np.zeros(0, U), *[parts[i] for i in rows]]), offsets, rule)
         return pa.table({"a": names[rows], "b": names[rows][root]})
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +363,9 @@ def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, seed: int)
     return tasks.join(texts.hint("merge"), "__id__").groupBy("__task__").applyInArrow(compare, "a bigint, b bigint").where("a <> b")
 
 
-def _across(docs: DataFrame, key: str, text: str, wide: DataFrame, links: DataFrame, cell_shingles: int, seed: int) -> DataFrame:
+def _across(
+    docs: DataFrame, key: str, text: str, wide: DataFrame, links: DataFrame, cell_shingles: int, shingle: int, rule: Rule, seed: int
+) -> DataFrame:
     """Links in the cells of several tasks between the largest component so far and all else."""
     labelled = wide.join(links, wide["__set__"] == links["a"], "left").withColumn("__label__", F.coalesce("b", "__set__")).drop("a", "b")
     by_label = labelled.groupBy("__cell__", "__label__").agg(F.sum("__size__").alias("n"))
@@ -326,27 +381,39 @@ def _across(docs: DataFrame, key: str, text: str, wide: DataFrame, links: DataFr
 
     one = tasks(rest, F.explode(F.sequence(F.lit(0), F.col("__parts__") - 1)), F.col("__rest__"))
     two = tasks(every, F.col("__part__"), F.explode(F.sequence(F.lit(0), F.col("__rests__") - 1)))
-    return _compared(docs, key, text, one.unionByName(two).distinct(), seed)
-
-
-def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", cell_shingles: int = CELL_SHINGLES) -> DataFrame:
+    return _compared(docs, key, text, one.unionByName(two).distinct(), shingle, rule, seed)
+
+
+def near_copies(
+    docs: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    threshold: float = THRESHOLD,
+    cell_shingles: int = CELL_SHINGLES,
+) -> DataFrame:
     """The component of links that each document is in.
 
-    Returns the key with ``n_shingles``, the size of the document's set of distinct word trigrams,
-    and ``component_id``, the smallest key reachable by links.
+    Returns the key with ``n_shingles``, the size of the document's set of distinct runs of
+    ``shingle`` words, and ``component_id``, the smallest key reachable by links. Two sets link
+    when they share at least ``threshold``, from 0.7 to less than 1, of their union.
 
-    Fewer than three words are one shingle together.  A null or empty text, or one of white
+    Fewer words than a shingle are one together.  A null or empty text, or one of white
     space, has an empty set and links with nothing, so its component is its own key; a row
     with a null key has component null and links with nothing.  Repeated rows are each returned, in
     the same component.  Equal sets always link, and are compared once; a key that repeats with
     several texts stands in the component of each.  The table is read more than once, so it must
     be one that reads the same each time.
     """
+    rule = Rule.at(threshold)
+    if shingle < 1:
+        raise ValueError(f"shingle must be at least 1, not {shingle}")
     ship_code(docs.sparkSession)
     named = docs.where(quoted(key).isNotNull())
     seed = 1
     while True:
-        sets = staged(_sets(docs, key, text, seed), "sets")
+        sets = staged(_sets(docs, key, text, shingle, seed), "sets")
         kept = sets.where((F.col("__size__") > 0) & quoted(key).isNotNull())
         clash = (F.min("__check__") != F.max("__check__")).alias("__clash__")
         reps = kept.groupBy("__set__").agg(F.min(quoted(key)).alias("__id__"), F.max("__size__").alias("__size__"), clash)
@@ -354,7 +421,7 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", cel
         if not reps.where("__clash__").head(1):
             break
         seed += 1  # two different sets had one name
-    found = components(_meetings(named, text, seed))
+    found = components(_meetings(named, text, shingle, rule, seed))
     cells = found.unionByName(found.select(F.col("label").alias("node"), "label").distinct())
     members = cells.select(F.col("node").alias("__set__"), F.col("label").alias("__cell__")).join(reps, "__set__")
     loads = members.groupBy("__cell__").agg(F.ceil(F.sum("__size__") / cell_shingles).cast("int").alias("__parts__"))
@@ -366,11 +433,11 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", cel
     parts = F.when(shared, F.sequence(F.lit(0), F.col("__parts__") - 1)).otherwise(F.array("__part__"))
     tasks = members.select("__id__", "__set__", "__cell__", F.explode(parts).alias("__part__"))
     tasks = tasks.select("__id__", "__set__", F.struct("__cell__", "__part__", F.lit(-1).alias("r")).alias("__task__"))
-    links = staged(_compared(named, key, text, tasks, seed), "links")
+    links = staged(_compared(named, key, text, tasks, shingle, rule, seed), "links")
     wide = members.where("__parts__ > 1")
     if wide.head(1):
         near = components(links).select(F.col("node").alias("a"), F.col("label").alias("b"))
-        far = _across(named, key, text, wide, near, cell_shingles, seed)
+        far = _across(named, key, text, wide, near, cell_shingles, shingle, rule, seed)
         links = components(near.unionByName(far)).select(F.col("node").alias("a"), F.col("label").alias("b"))
     labels = reps.join(links, reps["__set__"] == links["a"], "left").select("__set__", "__id__", F.coalesce("b", "__set__").alias("__label__"))
     smallest = labels.groupBy("__label__").agg(F.min("__id__").alias("__component__"))

@@ -45,7 +45,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_sets.near_copies(_read(spark, sf_dir, "documents"))
+    return near_sets.near_copies(_read(spark, sf_dir, "documents"), shingle=3, threshold=0.9)
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

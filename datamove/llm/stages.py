@@ -13,6 +13,9 @@ from datamove.llm.arrow import fold
 # Share of the text that its main language must have.
 MAIN_LANGUAGE = 0.5
 
+# Near copies share so much of their runs of so many words.
+COPY_SHINGLE, COPY_THRESHOLD = 5, 0.8
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn for their likeness to good text."""
@@ -32,7 +35,7 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Rows without an id stay.
     """
-    named = near_sets.near_copies(docs)
+    named = near_sets.near_copies(docs, shingle=COPY_SHINGLE, threshold=COPY_THRESHOLD)
     first = named.where("component_id = doc_id").select("doc_id").distinct()
     once = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
     kept = docs.join(first, "doc_id").withColumn("__rank__", once).where("__rank__ = 1").select(*docs.columns)

@@ -108,3 +108,49 @@ def test_tree_passes_over_what_cannot_link():
     candidates = list(tree.candidates(3, np.arange(200)))
     assert 150 in candidates and len(candidates) < 20
     assert near_sets.linked(np.concatenate(sets), offsets)[150] == 3
+
+
+def brute_at(rows, words, percent):
+    """The component of each row by every pair of sets of runs of ``words`` words."""
+    sets = []
+    for _, t in rows:
+        w = t.split()
+        sets.append({tuple(w[i : i + words]) for i in range(len(w) - words + 1)} or {tuple(w)})
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= percent * len(a | b):
+                label = [label[j] if x == label[i] else x for x in label]
+    least = {}
+    for (k, _), x in zip(rows, label):
+        least[x] = min(k, least.get(x, k))
+    return sorted(((k, len(s), least[x]) for (k, _), s, x in zip(rows, sets, label)), key=repr)
+
+
+@pytest.mark.parametrize("words, threshold, cell", [(5, 0.8, 2_000_000), (5, 0.8, 300)])
+def test_other_shingles_and_thresholds_match_every_pair(spark, words, threshold, cell):
+    rng = random.Random(23)
+    texts = [t.lower() for t in corpus(rng, 30, [1, 2, 4, 5, 6, 8, 9, 10, 12, 20, 35, 60, 150], 6)]
+    rows = list(zip(rng.sample(range(1000), len(texts)), texts))
+    want = brute_at(rows, words, round(100 * threshold))
+    assert want != brute_at(rows, words, 90)
+    assert found(spark, rows, shingle=words, threshold=threshold, cell_shingles=cell) == want
+
+
+def test_sets_at_the_top_of_a_class_share_a_group():
+    # Two sets as large as their class allows and as different as links allow, one after another.
+    rng = np.random.default_rng(5)
+    rule = near_sets.Rule.at(0.8)
+    for start in near_sets.class_starts(60_000, rule)[1:]:
+        size = int(start) - 1
+        shared = -(-4 * 2 * size // 9)
+        pool = rng.integers(0, 1 << 62, 2 * size - shared).astype(np.uint64)
+        a, b = np.sort(pool[:size]), np.sort(pool[size - shared :])
+        groups, owner = group_hashes(np.concatenate((a, b)), np.array([0, size, 2 * size]), rule)
+        assert set(groups[owner == 0].tolist()) & set(groups[owner == 1].tolist())
+
+
+def test_thresholds_out_of_range(spark):
+    for threshold in (0.5, 1.0):
+        with pytest.raises(ValueError):
+            near_copies(spark.createDataFrame([], SCHEMA), threshold=threshold)

@@ -44,3 +44,16 @@ def test_stages_take_empty_tables_and_nulls(spark, tmp_path):
             stage(spark, docs, str(tmp_path)).collect()
 
 
+
+
+def test_copies_by_five_words_and_four_fifths(spark, tmp_path):
+    words = [f"w{i}" for i in range(100)]
+    near = words[:95] + [f"x{i}" for i in range(5)]
+    changed = words[:50] + ["y"] + words[51:93]
+    twice = words[:20] + ["z"] + words[21:60] + ["z"] + words[61:]
+    rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate((words, near, changed, twice))]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words, near, changed, twice)]
+    alike = [len(sets[0] & s) / len(sets[0] | s) for s in sets]
+    assert 0.8 <= alike[2] < 0.9 and 0.8 <= alike[3] < 0.9
+    kept = dict(corpus_pipeline.STAGES)["copies"](spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path))
+    assert [r["doc_id"] for r in kept.collect()] == [0]
