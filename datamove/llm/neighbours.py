@@ -3,7 +3,7 @@
 The tree is grown on a bounded sample; every vector goes to one leaf.  A query takes the tree's
 nodes from a priority queue, nearest centre first, and so visits leaves best bin first.  How many
 it visits is widened until calibration queries, searched against all vectors, find enough of
-their true neighbours.
+their true neighbours; a query whose leaves hold too few ids goes on until they hold enough.
 """
 
 from __future__ import annotations
@@ -63,17 +63,18 @@ class Tree:
             todo += [(child, part) for k, child in enumerate(below) if len(part := rows[nearest == k])]
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
+    def visits(self, query: np.ndarray, most: int, ids: np.ndarray | None = None, enough: int = 0) -> list[int]:
+        """The first ``most`` leaves, best bin first, and more until these hold ``enough`` of the ``ids`` of each leaf."""
         far = squared(query[None], self.centres)[0]
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+        queue, found, have = [(0.0, 0)], [], 0
+        while queue and (len(found) < most or have < enough):
             _, node = heapq.heappop(queue)
             if self.children[node]:
                 for child in self.children[node]:
                     heapq.heappush(queue, (float(far[child]), child))
             else:
                 found.append(int(self.leaf[node]))
+                have += 0 if ids is None else int(ids[found[-1]])
         return found
 
 
@@ -120,11 +121,12 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
 def nearest(
     vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, asked: Callable[[int], np.ndarray] | None = None
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the rows of its ``k`` nearest and their distances, ties by id.
+    """For each query the rows of its ``k`` nearest ids and their distances, ties by id.
 
     ``asked`` tells which rows a query asks about, all without it.
     """
-    wide = min(len(ids), k + 1 + SLACK)
+    # Rows that repeat an id do not take the place of others.
+    wide = min(len(ids), k + 1 + SLACK + len(ids) - len(np.unique(ids)))
     longest = (vectors * vectors).sum(1).max(initial=0.0)
     for begin in range(0, len(queries), 128):
         part = queries[begin : begin + 128]
@@ -142,7 +144,10 @@ def nearest(
         for i, at in enumerate(candidates):
             at = at[ids[at] != query_ids[begin + i]]
             far = np.sqrt(((vectors[at] - part[i]) ** 2).sum(1))
-            order = np.lexsort((ids[at], far))[:k]
+            order = np.lexsort((ids[at], far))
+            if wide > k + 1 + SLACK:
+                order = order[np.sort(np.unique(ids[at][order], return_index=True)[1])]
+            order = order[:k]
             yield begin + i, at[order], far[order]
 
 
@@ -170,7 +175,8 @@ def search(
     """The ``k`` nearest of all other vectors for each row where ``is_query`` holds.
 
     Returns ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``, the Euclidean distance in
-    double precision; ties go to the smaller id, and a query with fewer candidates gets all.
+    double precision; ties go to the smaller id, and a query gets fewer only where the table has
+    no more candidates.
 
     Vectors that are null, empty, zero, or hold a null, a NaN or an infinity take no part, nor do
     rows without an id or of another length than the most frequent one.  A repeated id counts once,
@@ -224,6 +230,10 @@ def search(
     # Neighbouring leaves share a bin of bounded size; a query asks each bin once for all its leaves
     # there.  Bins with many vectors, as of one large leaf, or many queries are split.
     rows = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}
+    # An id in several leaves counts in one of them, so visited leaves hold no fewer ids than counted.
+    ids_in = np.zeros(tree.value.n_leaves, np.int64)
+    for r in indexed.groupBy("id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count().collect():
+        ids_in[r["leaf"]] = r["count"]
     bins, held = [], []
     for leaf in range(tree.value.n_leaves):
         many = rows.get(leaf, 0)
@@ -237,7 +247,7 @@ def search(
         for batch in batches:
             at, names, lists = [], [], []
             for i, x in enumerate(matrix(batch.column(1), width)):
-                leaves = np.array(tree.value.visits(x, visits), np.int32)
+                leaves = np.array(tree.value.visits(x, visits, ids_in, k + 1), np.int32)  # its own id is one of them
                 for name in np.unique(bin_of[leaves]):
                     at.append(i)
                     names.append(int(name))

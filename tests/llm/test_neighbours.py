@@ -61,3 +61,22 @@ def test_whole_table(spark, sf_dir):
     got = queries.op7_neighbours(spark, sf_dir).collect()
     hits = sum(r["vec_id"] in {i for i, _ in want[r["query_id"]]} for r in got)
     assert len(got) == 10 * len(want) and hits >= 0.9 * len(got)
+
+
+def test_outliers_beside_dense_clusters_get_all_asked_for(spark):
+    rng = np.random.default_rng(9)
+    centres = 10 * rng.normal(size=(8, 6))
+    rows = [(i + 1 if i % 10 == 0 else i, (centres[i % 8] + 0.1 * rng.normal(size=6)).tolist()) for i in range(2000) if i % 10 != 1]
+    rows += [(10 * i, (centres[i % 8] + 0.1 * rng.normal(size=6)).tolist()) for i in range(1, 120)]
+    rows += [(5000, [900.0] * 6), (5010, [-900.0] * 6), (5011, [-901.0] * 6), (5012, [-902.0] * 6)]
+    frame = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
+    got = found(frame, k=10)
+    want = brute(rows, [i for i, _ in rows if i % 10 == 0], 10)
+    assert got.keys() == want.keys() and {len(listed) for listed in got.values()} == {10}
+    assert [i for i, _ in got[5010]][:2] == [5011, 5012]
+
+
+def test_repeated_ids_leave_room_for_others(spark):
+    rows = [(10, [1.0, 0.0])] * 30 + [(11, [1.0, 0.1])] * 30 + [(12 + i, [1.0 + i, 5.0]) for i in range(5)]
+    got = found(spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA), k=4)
+    assert [i for i, _ in got[10]] == [11, 12, 13, 14]
