@@ -108,11 +108,20 @@ class WordScores:
                 odds = np.fromiter(map(self.known.__getitem__, found), np.float64, len(found))
                 odds = odds[odds == odds]
                 if len(odds):
-                    # A short window is averaged as if the words that it lacks said nothing.
-                    out[i] += np.add.reduceat(odds, np.arange(0, len(odds), WINDOW)).max() / WINDOW
+                    out[i] += worst(odds)
         return out
 
 
+def worst(odds: np.ndarray) -> float:
+    """The mean of the worst ``WINDOW`` words on end, wherever they begin.
+
+    A shorter text is averaged as if the words that it lacks said nothing.
+    """
+    sums = np.concatenate(([0.0], np.cumsum(odds)))
+    width = min(WINDOW, len(odds))
+    return float((sums[width:] - sums[:-width]).max()) / WINDOW
+
+
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that sorts by key, and the keys that occur with where their runs begin."""
     order = np.argsort(keys, kind="stable")
@@ -128,7 +137,9 @@ def _summed(values: np.ndarray, keys: np.ndarray, order: np.ndarray, begins: np.
 
 
 def fit(texts: Sequence[str], toxic: Sequence[int], prior: float, *, rounds: int = 60, rate: float = 0.1, seed: int = 7, width: int = WIDTH) -> Toxicity:
-    """Train on the windows of texts of both classes in even weight, each with its text's label.
+    """Train on windows of texts of both classes in even weight, each with its text's label.
+
+    Windows to train on lie end to end, so each word is in one; the scale is set on what scoring finds.
 
     Words of a single text are left out: they tell nothing about others.  Every
     ``HELD_BACK``-th text is not trained on; these set the scale of the odds, for a share ``prior`` of

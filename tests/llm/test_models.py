@@ -117,3 +117,13 @@ def test_log_ratio_is_the_ratio_of_two_models(spark):
     ratio = quality.learn_ratio(docs, F.col("doc_id") == 1, smoothing=2.0)
     row = {r["doc_id"]: r["log_ratio"] for r in quality.log_ratios(docs, ["doc_id"], ratio).collect()}
     assert row[1] > 0 > row[2]
+
+
+@pytest.mark.parametrize("before", range(12))
+def test_worst_window_begins_anywhere(before):
+    scores = toxicity.WordScores(np.zeros(toxicity.BUCKETS), 0.0)
+    scores.known = {"bad": 4.0, **{f"c{i}": -1.0 for i in range(40)}}
+    clean = [f"c{i}" for i in range(40)]
+    text = " ".join([*clean[:before], "bad", *clean[12:17], "bad", *clean[17:30]])
+    assert scores.texts([text])[0] == pytest.approx((2 * 4 - 6) / 8)
+    assert scores.texts(["bad c1"])[0] == pytest.approx(3 / 8)
