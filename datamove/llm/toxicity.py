@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from datamove.llm.arrow import map_texts, quoted
 from datamove.llm.words import U, joined, mix
@@ -28,9 +28,11 @@ SHORTEST, LONGEST = 3, 5
 WINDOW = 8
 HELD_BACK = 4
 
-# The sample that the model is fitted on: labelled rows of each class, and characters in all.
+# The sample that the model is fitted on: labelled rows of each class, and characters in all, half
+# for each class.  Of a text that is too long for its class, up to PIECES pieces are taken.
 MOST_ROWS = 2_000
 MOST_CHARS = 24_000_000
+PIECES, LEAST_PIECE = 16, 400
 
 # Words whose score a task remembers before it starts afresh, and texts it looks at together.
 MOST_KNOWN = 500_000
@@ -221,6 +223,26 @@ def _scale(odds: np.ndarray, truth: np.ndarray, prior: float) -> tuple[float, fl
     return float(theta[0] / spread), float(theta[1] - theta[0] * middle / spread)
 
 
+def longest_kept(lengths: Sequence[int], most: int) -> int:
+    """The length to cut texts to so that all together have ``most`` characters, or the longest's own."""
+    lengths, left = sorted(lengths), most
+    for i, length in enumerate(lengths):
+        share = left // (len(lengths) - i)
+        if length > share:
+            return share
+        left -= length
+    return lengths[-1] if lengths else 0
+
+
+def _pieces(text: Column, kept: int) -> Column:
+    """Pieces of a text longer than ``kept``, evenly from its start to its end; others whole."""
+    n = max(1, min(PIECES, kept // LEAST_PIECE))
+    width = max(0, kept // n - 1)
+    gap = F.length(text) - width
+    cut = F.concat_ws(" ", *[F.substring(text, (F.floor(gap * i / max(1, n - 1)) + 1).cast("int"), F.lit(width)) for i in range(n)])
+    return F.when(F.length(text) > kept, cut).otherwise(F.coalesce(text, F.lit("")))
+
+
 def learn_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -233,8 +255,9 @@ def learn_toxicity(
 ) -> Toxicity:
     """Fit on a bounded sample of the labelled documents.
 
-    Of each class the ``most_rows`` ids with the smallest hashes are taken, and of their texts
-    as many as fit into ``most_chars``; this much reaches the driver.  The share of toxic rows
+    Of each class the ``most_rows`` ids with the smallest hashes are taken, all of them whatever
+    their lengths; where their texts exceed half of ``most_chars``, the longest ones are cut to
+    pieces of one length that fits.  This much reaches the driver.  The share of toxic rows
     comes from all labels.  An id with contradicting labels is toxic.
     """
     known = labels.where(quoted(toxic).isin(0, 1) & quoted(key).isNotNull()).groupBy(quoted(key).alias("__id__")).agg(F.max(toxic).alias("__toxic__"))
@@ -243,10 +266,19 @@ def learn_toxicity(
     for label in (0, 1):
         rows = known.where(F.col("__toxic__") == label).orderBy(F.xxhash64("__id__"), "__id__").limit(most_rows)
         chosen = rows if chosen is None else chosen.unionByName(rows)
-    # One text for each id, so repeated rows do not count twice.
-    texts = docs.join(F.broadcast(chosen), quoted(key) == F.col("__id__")).groupBy("__id__", "__toxic__").agg(F.max(quoted(text)).alias("__text__"))
-    size = F.sum(F.coalesce(F.length("__text__"), F.lit(0))).over(Window.orderBy(F.xxhash64("__id__"), "__id__").rowsBetween(Window.unboundedPreceding, 0))
-    sample = texts.withColumn("__size__", size).where(F.col("__size__") <= most_chars).select("__id__", "__text__", "__toxic__").collect()
+    # One text for each id, so repeated rows do not count twice; only lengths and hashes move.
+    body = quoted(text).cast("string")
+    one = F.min(F.struct(F.xxhash64(body).alias("hash"), F.coalesce(F.length(body), F.lit(0)).alias("length")))
+    texts = docs.join(F.broadcast(chosen), quoted(key) == F.col("__id__")).groupBy("__id__", "__toxic__").agg(one.alias("__one__"))
+    texts = texts.select("__id__", "__toxic__", F.col("__one__.hash").alias("__hash__"), F.col("__one__.length").alias("__length__"))
+    sized = texts.collect()
+    few = F.broadcast(docs.sparkSession.createDataFrame(sized, texts.schema))
+    cut = F.lit("")
+    for label in (0, 1):
+        kept = longest_kept([r["__length__"] for r in sized if r["__toxic__"] == label], most_chars // 2)
+        cut = F.when(F.col("__toxic__") == label, _pieces(body, kept)).otherwise(cut)
+    found = docs.join(few, (quoted(key) == F.col("__id__")) & (F.xxhash64(body) == F.col("__hash__")))
+    sample = found.select("__id__", "__toxic__", cut.alias("__text__")).groupBy("__id__", "__toxic__").agg(F.max("__text__").alias("__text__")).collect()
     sample.sort(key=lambda r: (str(r["__id__"]), r["__toxic__"]))
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     return fit([r["__text__"] or "" for r in sample], [r["__toxic__"] for r in sample], prior)

@@ -127,3 +127,27 @@ def test_worst_window_begins_anywhere(before):
     text = " ".join([*clean[:before], "bad", *clean[12:17], "bad", *clean[17:30]])
     assert scores.texts([text])[0] == pytest.approx((2 * 4 - 6) / 8)
     assert scores.texts(["bad c1"])[0] == pytest.approx(3 / 8)
+
+
+def test_long_texts_do_not_end_the_sample(spark):
+    kind, rude = "we read the book and liked the end of it ", "you stupid idiot moron go away now please "
+    rows = [(i, (rude if i % 2 else kind) * (3000 if i < 20 else 2)) for i in range(120)]
+    docs = spark.createDataFrame([(i, t, "en", "") for i, t in [*rows, rows[5], (500, None)]], DOCS)
+    labels = spark.createDataFrame([*[(i, i % 2) for i, _ in rows], (500, 0)], "doc_id long, toxic int")
+    seen = []
+    keep, toxicity.fit = toxicity.fit, lambda *sample: seen.append(sample) or keep(*sample)
+    try:
+        model = toxicity.learn_toxicity(docs, labels, most_chars=60_000)
+    finally:
+        toxicity.fit = keep
+    texts, toxic, _ = seen[0]
+    assert len(texts) == 121 and sum(toxic) == 60
+    for label in (0, 1):
+        assert 25_000 < sum(len(t) for t, x in zip(texts, toxic) if x == label) <= 30_000
+    told = toxicity.score_toxicity(docs, model, ["doc_id"]).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in told if r["doc_id"] < 120)
+
+
+def test_length_that_texts_are_cut_to():
+    assert toxicity.longest_kept([], 10) == 0 and toxicity.longest_kept([3, 4], 10) == 4
+    assert toxicity.longest_kept([1, 50, 2, 1000], 23) == 10
