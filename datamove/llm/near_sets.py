@@ -13,7 +13,7 @@ large for one task is dealt over several; what those leave apart is compared acr
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -286,7 +286,7 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def _sets(docs: DataFrame, key: str, text: str, shingle: int, seed: int) -> DataFrame:
+def _sets(docs: DataFrame, keep: Sequence[str], text: str, shingle: int, seed: int) -> DataFrame:
     def work(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         for column in columns:
             sizes, names, checks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -297,7 +297,7 @@ def _sets(docs: DataFrame, key: str, text: str, shingle: int, seed: int) -> Data
                 checks.append(set_hashes(keys, of, seed + 1000))
             yield [pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, names, checks)]
 
-    return map_texts(docs, text, [key], [("__size__", "bigint"), ("__set__", "bigint"), ("__check__", "bigint")], work)
+    return map_texts(docs, text, keep, [("__size__", "bigint"), ("__set__", "bigint"), ("__check__", "bigint")], work)
 
 
 def _meetings(docs: DataFrame, text: str, shingle: int, rule: Rule, seed: int) -> DataFrame:
@@ -392,12 +392,14 @@ def near_copies(
     shingle: int = SHINGLE,
     threshold: float = THRESHOLD,
     cell_shingles: int = CELL_SHINGLES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The component of links that each document is in.
 
     Returns the key with ``n_shingles``, the size of the document's set of distinct runs of
     ``shingle`` words, and ``component_id``, the smallest key reachable by links. Two sets link
-    when they share at least ``threshold``, from 0.7 to less than 1, of their union.
+    when they share at least ``threshold``, from 0.7 to less than 1, of their union.  With ``keep`` it returns these columns of the row too, and ``component``, which tells
+    components apart that have the same smallest key; null for an empty set.
 
     Fewer words than a shingle are one together.  A null or empty text, or one of white
     space, has an empty set and links with nothing, so its component is its own key; a row
@@ -413,7 +415,7 @@ def near_copies(
     named = docs.where(quoted(key).isNotNull())
     seed = 1
     while True:
-        sets = staged(_sets(docs, key, text, shingle, seed), "sets")
+        sets = staged(_sets(docs, [key, *keep], text, shingle, seed), "sets")
         kept = sets.where((F.col("__size__") > 0) & quoted(key).isNotNull())
         clash = (F.min("__check__") != F.max("__check__")).alias("__clash__")
         reps = kept.groupBy("__set__").agg(F.min(quoted(key)).alias("__id__"), F.max("__size__").alias("__size__"), clash)
@@ -441,7 +443,12 @@ def near_copies(
         links = components(near.unionByName(far)).select(F.col("node").alias("a"), F.col("label").alias("b"))
     labels = reps.join(links, reps["__set__"] == links["a"], "left").select("__set__", "__id__", F.coalesce("b", "__set__").alias("__label__"))
     smallest = labels.groupBy("__label__").agg(F.min("__id__").alias("__component__"))
-    known = labels.join(smallest, "__label__").select("__set__", "__component__")
+    known = labels.join(smallest, "__label__").select("__set__", "__label__", "__component__")
     alone = sets.where((F.col("__size__") == 0) | quoted(key).isNull())
-    linked_sets = kept.join(known, "__set__").select(quoted(key), F.col("__size__").alias("n_shingles"), F.col("__component__").alias("component_id"))
-    return linked_sets.unionByName(alone.select(quoted(key), F.col("__size__").alias("n_shingles"), quoted(key).alias("component_id")))
+    more = [quoted(c) for c in keep]
+    size, none = F.col("__size__").alias("n_shingles"), F.lit(None).cast("bigint")
+
+    def result(rows: DataFrame, component: Column, label: Column) -> DataFrame:
+        return rows.select(quoted(key), size, component.alias("component_id"), *([*more, label.alias("component")] if keep else []))
+
+    return result(kept.join(known, "__set__"), F.col("__component__"), F.col("__label__")).unionByName(result(alone, quoted(key), none))

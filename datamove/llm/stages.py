@@ -31,14 +31,18 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; a repeated id counts once.
+    """Of each group of near copies the row with the smallest id; of repeated empty ones of an id, one.
 
-    Rows without an id stay.
+    An id that repeats with texts of several groups stands in each.  Rows without an id stay.
     """
-    named = near_sets.near_copies(docs, shingle=COPY_SHINGLE, threshold=COPY_THRESHOLD)
-    first = named.where("component_id = doc_id").select("doc_id").distinct()
-    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-    kept = docs.join(first, "doc_id").withColumn("__rank__", once).where("__rank__ = 1").select(*docs.columns)
+    hashed = docs.withColumn("__textid__", F.xxhash64("text"))
+    named = near_sets.near_copies(
+        hashed.where("doc_id IS NOT NULL"), shingle=COPY_SHINGLE, threshold=COPY_THRESHOLD, keep=["__textid__"]
+    )
+    group = ["component", F.when(F.col("component").isNull(), F.col("doc_id"))]
+    first = named.groupBy(*group).agg(F.min(F.struct("doc_id", "__textid__")).alias("first")).select("first.*").distinct()
+    once = F.row_number().over(Window.partitionBy("doc_id", "__textid__").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    kept = hashed.join(first, ["doc_id", "__textid__"]).withColumn("__rank__", once).where("__rank__ = 1").select(*docs.columns)
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 

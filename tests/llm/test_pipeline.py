@@ -57,3 +57,11 @@ def test_copies_by_five_words_and_four_fifths(spark, tmp_path):
     assert 0.8 <= alike[2] < 0.9 and 0.8 <= alike[3] < 0.9
     kept = dict(corpus_pipeline.STAGES)["copies"](spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path))
     assert [r["doc_id"] for r in kept.collect()] == [0]
+
+
+def test_each_group_of_a_repeated_id_keeps_a_row(spark, tmp_path):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (5, b), (5, c), (6, c), (7, None), (7, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    kept = [(r["doc_id"], r["text"] or "") for r in dict(corpus_pipeline.STAGES)["copies"](spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept) == [(1, a), (5, b), (5, c), (7, ""), (8, "")]
