@@ -124,8 +124,6 @@ def mixtures(data: np.ndarray, offsets: np.ndarray, model: Languages) -> np.ndar
         fitted, reached = _shares(loglik, of, firsts, (rank < size).astype(float))
         penalised = reached - PENALTY * (size - 1) * 0.5 * np.log(many + 1)
         better = penalised > best
-        if not better.any():
-            break
         best = np.where(better, penalised, best)
         best_shares = np.where(better[:, None], fitted, best_shares)
     out[full] = best_shares

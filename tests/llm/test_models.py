@@ -151,3 +151,15 @@ def test_long_texts_do_not_end_the_sample(spark):
 def test_length_that_texts_are_cut_to():
     assert toxicity.longest_kept([], 10) == 0 and toxicity.longest_kept([3, 4], 10) == 4
     assert toxicity.longest_kept([1, 50, 2, 1000], 23) == 10
+
+
+def test_every_set_size_is_tried_for_every_text(monkeypatch):
+    model = language.Languages(["a", "b", "c"], [np.zeros(1 << 20, np.float32)] * 3)
+
+    def shares(loglik, of, firsts, allowed):
+        n = int(allowed.sum(1)[0])
+        return allowed / n, np.full(len(firsts), {1: 0.0, 2: -1.0, 3: 1e6}[n])
+
+    monkeypatch.setattr(language, "_shares", shares)
+    found = language.mixtures(np.frombuffer(b"some text", np.uint8), np.array([0, 9]), model)
+    assert found[0] == pytest.approx([1 / 3] * 3)
