@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.llm import bpe, decontaminate, html_text, language, licenses, near_sets, neighbours, quality, toxicity, urlfilter
+from datamove.llm import bpe, decontaminate, html_text, language, licenses, near_sets, neighbours, pieces, quality, toxicity, urlfilter
 from datamove.llm.arrow import fold
 
 
@@ -90,6 +90,21 @@ def op10_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(docs, _read(spark, sf_dir, "labels"), ["doc_id"])
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = pieces.encode_pieces(_read(spark, sf_dir, "documents"), ["doc_id"], model=model)
+    spanned = F.aggregate(F.zip_with("starts", "ends", lambda x, y: y - x), F.lit(0).cast("long"), lambda total, n: total + n)
+    digests = encoded.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        spanned.alias("n_spanned"),
+    )
+    decoded = pieces.decode_pieces(digests, ["doc_id", "n_tokens", "ids_sha256", "n_spanned"], model=model)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_spanned")
+
+
 _ALL = (
     op1_decontaminate,
     op2_toxicity,
@@ -101,6 +116,7 @@ _ALL = (
     op8_license_scan,
     op9_language_mixture,
     op10_importance_resample,
+    op13_sentencepiece,
 )
 
 QUERIES = {f.__name__: f for f in _ALL}
