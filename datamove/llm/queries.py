@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.llm import bpe, decontaminate, html_text, language, licenses, near_sets, neighbours, pieces, quality, toxicity, urlfilter
+from datamove.llm import bpe, decontaminate, html_text, language, licenses, near_sets, neighbours, pieces, quality, target, toxicity, urlfilter
 from datamove.llm.arrow import fold
 
 
@@ -90,6 +90,10 @@ def op10_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(docs, _read(spark, sf_dir, "labels"), ["doc_id"])
 
 
+def op12_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target.resample_to(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     encoded = pieces.encode_pieces(_read(spark, sf_dir, "documents"), ["doc_id"], model=model)
@@ -116,6 +120,7 @@ _ALL = (
     op8_license_scan,
     op9_language_mixture,
     op10_importance_resample,
+    op12_target_resample,
     op13_sentencepiece,
 )
 
@@ -124,6 +129,13 @@ QUERIES = {f.__name__: f for f in _ALL}
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TEXT = _LOWER.format("coalesce(text, '')")
 _ALNUM = rf"regexp_extract_all({_TEXT}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+# crc32 of a word: a register of 32 bits, moved on by each byte through a table made here.
+_CRC_STEP = "list_reduce(range(8), lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, {})"
+_CRC = (
+    "xor(4294967295, list_reduce(list_transform(range(1, len(hex(encode({0}))) // 2 + 1),"
+    " lambda i: CAST('0x' || substr(hex(encode({0})), CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT)),"
+    " lambda r, b: xor(r >> 8, crc_table[(xor(r, b) & 255) + 1]), CAST(4294967295 AS BIGINT)))"
+)
 _SOLID = rf"regexp_extract_all({_TEXT}, '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
@@ -183,4 +195,30 @@ ORACLES = {
         SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
         FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
     """,
+    "op12_target_resample": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
+        words AS (SELECT r, unnest(w) AS word FROM docs),
+        aims AS (SELECT unnest({_ALNUM}) AS word FROM benchmark),
+        tables AS (SELECT list_transform(range(256), lambda b: {_CRC_STEP.format('CAST(b AS BIGINT)')}) AS crc_table),
+        named AS (
+            SELECT word, {_CRC.format('word')} % 10000 AS bucket
+            FROM (SELECT word FROM words UNION SELECT word FROM aims) CROSS JOIN tables),
+        source AS (SELECT bucket, count(*) AS s FROM words JOIN named USING (word) GROUP BY bucket),
+        target AS (SELECT bucket, count(*) AS t FROM aims JOIN named USING (word) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, CAST(floor(1000 * ln(
+                CAST(coalesce(t, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM words) + 10000)
+                / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM aims) + 10000)))) AS BIGINT) AS gain
+            FROM source FULL JOIN target USING (bucket)),
+        sums AS (SELECT r, count(*) AS n, sum(gain) AS total FROM words JOIN named USING (word) JOIN gains USING (bucket) GROUP BY r),
+        scored AS (
+            SELECT r, doc_id, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN CAST(floor(CAST(total AS DOUBLE) / n) AS BIGINT) ELSE 0 END AS weight,
+                   CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS noise
+            FROM docs LEFT JOIN sums USING (r)),
+        placed AS (
+            SELECT r, row_number() OVER (ORDER BY weight + noise DESC, doc_id, n_features) AS place, count(*) OVER () AS many
+            FROM scored WHERE n_features >= 20 AND doc_id IS NOT NULL)
+        SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN place <= many * 10 // 100 THEN place END AS rank
+        FROM scored LEFT JOIN placed USING (r)
+    """,
 }
