@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.llm import bpe, decontaminate, html_text, language, licenses, near_sets, neighbours, pieces, quality, target, toxicity, urlfilter
+from datamove.llm import bpe, decontaminate, hard_negatives, html_text, language, licenses, near_sets, neighbours, pieces, quality, target, toxicity, urlfilter
 from datamove.llm.arrow import fold
 
 
@@ -90,6 +90,11 @@ def op10_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(docs, _read(spark, sf_dir, "labels"), ["doc_id"])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 def op12_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.resample_to(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -120,6 +125,7 @@ _ALL = (
     op8_license_scan,
     op9_language_mixture,
     op10_importance_resample,
+    op11_hard_negatives,
     op12_target_resample,
     op13_sentencepiece,
 )
@@ -195,6 +201,25 @@ ORACLES = {
         SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
         FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+        placed AS (
+            SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+                   CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+            FROM positives JOIN scored USING (anchor_id)
+            WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM placed WHERE rank <= 3
+    """,
     "op12_target_resample": f"""
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
         words AS (SELECT r, unnest(w) AS word FROM docs),
