@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from datamove.session import scratch_path
+from datamove.session import drop_path, scratch_path
 
 # Bytes of text that a task holds as arrays at a time; one longer text is taken alone.
 SLICE_BYTES = 1 << 20
@@ -102,7 +102,15 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """A written copy in the shared folder, for what several branches read."""
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    copy.staged_at = path
+    return copy
+
+
+def drop_staged(*copies: DataFrame) -> None:
+    """Delete written copies that nothing reads any more."""
+    for copy in copies:
+        drop_path(copy.sparkSession, copy.staged_at)
 
 
 def fold(key: str) -> Column:

@@ -4,9 +4,10 @@ Every distinct shingle set is a point: its shingles hashed into groups and count
 share no more than the sum of the smaller count of every group, which bounds a whole R-tree node
 by its largest corner; pairs that survive the bound are verified on the sets.
 
-Which points need a common tree is found without loss.  Two sets that link differ in at most d
-shingles, so of d + 1 groups one is equal in both: sets meet by the hash of a group's content.
-Sets that meet, directly or through others, make a cell, and each cell gets its tree.  A cell too
+Which sets may link is found without loss.  Two sets that link differ in at most d
+shingles, so of d + 1 parts one is equal in both: sets meet by the hash of a part's content.
+Sets that met get an R-tree over their count vectors, which keeps of all pairs a few that join those the bound
+lets pass.  Sets so joined, directly or through others, make a cell, whose pairs are verified in one task.  A cell too
 large for one task is dealt over several; what those leave apart is compared across all of it.
 """
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from datamove.llm.arrow import TEXT, map_texts, quoted, ship_code, staged, text_slices
+from datamove.llm.arrow import TEXT, drop_staged, map_texts, quoted, ship_code, staged, text_slices
 from datamove.llm.words import LOWER, SOLID, U, hashes, joined, mix, spans
 
 SHINGLE, THRESHOLD = 3, 0.9
@@ -32,6 +33,16 @@ GROUPS = 32
 LEAF = 16
 CELL_SHINGLES = 2_000_000
 
+# Sets that meet in one part up to which they get a tree; of more, which hardly differ or share a very common
+# part, each is joined to the first.
+MOST_MEETING = 4096
+
+# Up to so many sets every pair is looked at without a tree.
+FEW = 12
+
+# A count of a point that is so large or more bounds nothing.
+FULL = 255
+
 # Below this so many shingles may differ that groups of them say little.
 LEAST_THRESHOLD = 0.7
 
@@ -235,6 +246,49 @@ def count_vectors(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.bincount(text * GROUPS + group, minlength=n * GROUPS).reshape(n, GROUPS)
 
 
+def points(keys: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A count vector for each text, end to end with n + 1 offsets: two shingles a coordinate, in powers of two.
+
+    Coordinates are the low bits of a hash, so a vector is folded to half its length by adding its halves.
+    """
+    sizes = np.diff(offsets)
+    widths = np.maximum(8, 1 << np.ceil(np.log2(np.maximum(sizes, 2) / 2)).astype(np.int64))
+    begins = np.concatenate(([0], np.cumsum(widths)))
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    at = begins[text] + ((mix(keys + U(77)) >> U(20)).astype(np.int64) & (widths[text] - 1))
+    counts = np.minimum(np.bincount(at, minlength=int(begins[-1])), FULL).astype(np.uint8)
+    return counts, begins
+
+
+def folded(point: np.ndarray, width: int) -> np.ndarray:
+    return point.reshape(-1, width).sum(0, dtype=np.int64) if len(point) > width else point.astype(np.int64)
+
+
+def may_link(a: np.ndarray, b: np.ndarray, sizes: int, rule: Rule) -> bool:
+    """Whether the sums of smaller counts let two points of ``sizes`` together link."""
+    width = min(len(a), len(b))
+    a, b = folded(a, width), folded(b, width)
+    return bool((np.minimum(a, b) >= FULL).any()) or rule.links(int(np.minimum(a, b).sum()), sizes)
+
+
+def joined_points(sizes: np.ndarray, vectors: list[np.ndarray], rule: Rule) -> np.ndarray:
+    """For each point the first one it is joined to by pairs that may link."""
+    n = len(sizes)
+    labels = np.arange(n)
+    if n > FEW:
+        width = min(GROUPS, *[len(v) for v in vectors])
+        low = np.array([folded(v, width) for v in vectors])
+        low[low >= FULL] = sizes.max()
+        tree = CountTree(low, sizes, rule)
+    for i in range(n):
+        least, most = rule.smallest(int(sizes[i])), rule.largest(int(sizes[i]))
+        others = tree.candidates(i, labels) if n > FEW else range(i)
+        for j in others:
+            if labels[j] != labels[i] and least <= sizes[j] <= most and may_link(vectors[i], vectors[j], int(sizes[i] + sizes[j]), rule):
+                labels[labels == max(labels[i], labels[j])] = min(labels[i], labels[j])
+    return labels
+
+
 def linked(keys: np.ndarray, offsets: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """For each set the first set of its component of links."""
     n = len(offsets) - 1
@@ -279,7 +333,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a > b").distinct()
-        now = staged(small, "edges")
+        before, now = now, staged(small, "edges")
+        drop_staged(before)
         if (found := state(now)) == seen:
             break
         seen = found
@@ -289,44 +344,140 @@ def components(edges: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, keep: Sequence[str], text: str, shingle: int, seed: int) -> DataFrame:
     def work(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         for column in columns:
-            sizes, names, checks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            made = [[np.zeros(0, np.int64)] for _ in range(3)]
+            vectors = [pa.array([], pa.binary())]
             for _, _, data, offsets in text_slices(column):
                 keys, of = shingle_sets(data, offsets, shingle)
-                sizes.append(np.diff(of))
-                names.append(set_hashes(keys, of, seed))
-                checks.append(set_hashes(keys, of, seed + 1000))
-            yield [pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, names, checks)]
-
-    return map_texts(docs, text, keep, [("__size__", "bigint"), ("__set__", "bigint"), ("__check__", "bigint")], work)
+                for out, values in zip(made, (np.diff(of), set_hashes(keys, of, seed), set_hashes(keys, of, seed + 1000))):
+                    out.append(values)
+                counts, begins = points(keys, of)
+                buffers = [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(counts.tobytes())]
+                vectors.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins) - 1, buffers).cast(pa.binary()))
+            yield [*[pa.array(np.concatenate(x).astype(np.int64)) for x in made], pa.concat_arrays(vectors)]
+
+    fields = [("__size__", "bigint"), ("__set__", "bigint"), ("__check__", "bigint"), ("__point__", "binary")]
+    return map_texts(docs, text, keep, fields, work)
+
+
+def runs(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """Neighbouring rows with the same value of ``by``, together, from batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        key = batch.column(by).to_numpy()
+        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+        if held and held[-1].column(by)[-1].as_py() != key[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
+            held.append(batch.slice(x, y - x))
+            if y < len(key):
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _meetings(docs: DataFrame, text: str, shingle: int, rule: Rule, seed: int) -> DataFrame:
-    """Sets that share a group: the smallest set of all that do, with each other one."""
+    """Lists of sets that share a part: ``names``, and ``who``, which lists of the same sets have in common.
+
+    A part of very many sets is told as several lists that begin with the same set, and has no ``who``.
+    """
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked: set[int] = set()  # a set asks once in a task
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
                 keys, of = shingle_sets(data, offsets, shingle)
                 names = set_hashes(keys, of, seed)
-                groups, owner = group_hashes(keys, of, rule)
-                names = names[owner]
-                # Copies in the same slice ask once; a group that meets here sends one set on.
-                order = np.lexsort((names, groups))
-                groups, names = groups[order].view(np.int64), names[order]
-                fresh = np.ones(len(groups), bool)
-                fresh[1:] = groups[1:] != groups[:-1]
-                lead = names[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(groups) else names
-                local = names != lead
-                a, b = np.unique(np.stack((names[local], lead[local])), axis=1) if local.any() else (names[:0], names[:0])
-                one = [pa.array(groups[fresh]), pa.array(names[fresh]), pa.nulls(int(fresh.sum()), pa.int64())]
-                two = [pa.array(mix(a.view(U) + mix(b.view(U))).view(np.int64)), pa.array(a), pa.array(b)]
-                for columns in (one, two):
-                    for i in range(0, len(columns[0]), 100_000):
-                        yield pa.RecordBatch.from_arrays([c[i : i + 100_000] for c in columns], names=["g", "a", "b"])
-
-    rows = docs.select(quoted(text).cast("string").alias(TEXT)).mapInArrow(meet, "g bigint, a bigint, b bigint")
-    lead = F.min("a").over(Window.partitionBy("g"))
-    return rows.select("a", F.coalesce("b", lead).alias("b")).where("a <> b").distinct()
+                fresh = np.zeros(len(names), bool)
+                for i, name in enumerate(names.tolist()):
+                    fresh[i] = name not in asked
+                    asked.add(name)
+                keys = keys[np.repeat(fresh, np.diff(of))]
+                names, of = names[fresh], np.concatenate(([0], np.cumsum(np.diff(of)[fresh])))
+                parts, owner = group_hashes(keys, of, rule)
+                for i in range(0, len(parts), 100_000):
+                    columns = [pa.array(c[i : i + 100_000].view(np.int64)) for c in (parts, names[owner])]
+                    yield pa.RecordBatch.from_arrays(columns, names=["part", "name"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted: lists of the parts that several sets have; a part may go on in the next batch."""
+        last, held, lead = None, np.zeros(0, np.int64), None
+
+        def told(sizes: np.ndarray, names: np.ndarray, who: pa.Array) -> pa.RecordBatch:
+            of = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+            return pa.RecordBatch.from_arrays([who, pa.ListArray.from_arrays(of, pa.array(names))], names=["who", "names"])
+
+        def common(names: np.ndarray, lead: int) -> pa.RecordBatch:
+            return told(np.array([len(names) + 1]), np.concatenate(([lead], names)), pa.nulls(1, pa.int64()))
+
+        def rest() -> Iterator[pa.RecordBatch]:
+            if lead is not None and len(held):
+                yield common(held, lead)
+            elif lead is None and len(held) > 1:
+                yield told(np.array([len(held)]), held, pa.array([int(np.sum(mix(held.view(U))).astype(np.int64))]))
+
+        for batch in batches:
+            part, name = (batch.column(c).to_numpy() for c in ("part", "name"))
+            new = np.ones(len(part), bool)
+            new[1:] = (part[1:] != part[:-1]) | (name[1:] != name[:-1])
+            part, name = part[new], name[new]
+            first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            size = np.diff(np.append(first, len(part)))
+            for i in sorted({0, len(first) - 1}):  # the runs that may go on from or in another batch
+                if part[first[i]] != last:
+                    yield from rest()
+                    last, held, lead = part[first[i]], np.zeros(0, np.int64), None
+                more = name[first[i] : first[i] + size[i]]
+                held = np.concatenate((held, more[more != (held[-1] if len(held) else lead)]))
+                if len(held) > MOST_MEETING:
+                    lead = int(held[0]) if lead is None else lead
+                    yield common(held[held != lead], lead)
+                    held = held[-1:]
+                if i == 0:
+                    inner = np.flatnonzero((size > 1) & (np.arange(len(size)) > 0) & (np.arange(len(size)) < len(size) - 1))
+                    large = inner[size[inner] > MOST_MEETING]
+                    for j in large.tolist():
+                        names = name[first[j] : first[j] + size[j]]
+                        yield common(names[1:], int(names[0]))
+                    inner = inner[size[inner] <= MOST_MEETING]
+                    if len(inner):
+                        at = np.repeat(first[inner] - (np.cumsum(size[inner]) - size[inner]), size[inner]) + np.arange(int(size[inner].sum()))
+                        sums = np.add.reduceat(mix(name[at].view(U)), np.cumsum(size[inner]) - size[inner])
+                        yield told(size[inner], name[at], pa.array(sums.view(np.int64)))
+        yield from rest()
+
+    asked = docs.select(quoted(text).cast("string").alias(TEXT)).mapInArrow(ask, "part bigint, name bigint")
+    met = asked.repartition("part").sortWithinPartitions("part", "name")
+    return met.mapInArrow(gather, "who bigint, names array<bigint>")
+
+
+def _joined(meetings: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Edges that join the sets of each list whose points may link: of each set to the first it is joined to."""
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[np.ndarray] = []
+        for run in runs(batches, "who"):
+            names = run.column("name").to_numpy()
+            vectors = [np.frombuffer(v.as_buffer(), np.uint8) for v in run.column("__point__")]
+            label = joined_points(run.column("__size__").to_numpy(), vectors, rule)
+            moved = label != np.arange(len(label))
+            out.append(np.stack((names[moved], names[label[moved]])))
+            if len(out) == 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(out, 1)], names=["a", "b"])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(out, 1)], names=["a", "b"])
+
+    # Lists of the same sets are one.
+    lists = meetings.where("who IS NOT NULL").groupBy("who").agg(F.first("names").alias("names"))
+    named = lists.select("who", F.explode("names").alias("name")).join(sets, F.col("name") == F.col("__set__"))
+    pruned = named.select("who", "name", "__size__", "__point__").repartition("who").sortWithinPartitions("who", "name")
+    pruned = pruned.mapInArrow(prune, "a bigint, b bigint")
+    common = meetings.where("who IS NULL").select(F.explode("names").alias("a"), F.get("names", F.lit(0)).alias("b"))
+    return pruned.unionByName(common.where("a <> b")).distinct()
 
 
 def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, shingle: int, rule: Rule, seed: int) -> DataFrame:
@@ -418,12 +569,18 @@ def near_copies(
         sets = staged(_sets(docs, [key, *keep], text, shingle, seed), "sets")
         kept = sets.where((F.col("__size__") > 0) & quoted(key).isNotNull())
         clash = (F.min("__check__") != F.max("__check__")).alias("__clash__")
-        reps = kept.groupBy("__set__").agg(F.min(quoted(key)).alias("__id__"), F.max("__size__").alias("__size__"), clash)
+        point = F.first("__point__").alias("__point__")
+        reps = kept.groupBy("__set__").agg(F.min(quoted(key)).alias("__id__"), F.max("__size__").alias("__size__"), point, clash)
         reps = staged(reps, "reps")
         if not reps.where("__clash__").head(1):
             break
+        drop_staged(sets, reps)
         seed += 1  # two different sets had one name
-    found = components(_meetings(named, text, shingle, rule, seed))
+    points_of = reps.select("__set__", "__size__", "__point__")
+    reps = reps.drop("__point__")
+    meetings = staged(_meetings(named, text, shingle, rule, seed), "meetings")
+    found = components(_joined(meetings, points_of, rule))
+    drop_staged(meetings)
     cells = found.unionByName(found.select(F.col("label").alias("node"), "label").distinct())
     members = cells.select(F.col("node").alias("__set__"), F.col("label").alias("__cell__")).join(reps, "__set__")
     loads = members.groupBy("__cell__").agg(F.ceil(F.sum("__size__") / cell_shingles).cast("int").alias("__parts__"))

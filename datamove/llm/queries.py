@@ -31,7 +31,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     learnt = fold("doc_id") != 1
     model = toxicity.learn_toxicity(docs.where(learnt), _read(spark, sf_dir, "labels").where(learnt))
     scored = toxicity.score_toxicity(docs, model, ["doc_id"])
-    return scored.select("doc_id", (fold("doc_id") == 1).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 # Host labels of the sites whose pages make up the list.
@@ -82,7 +82,7 @@ def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.learn_languages(docs.where(fold("doc_id") != 1))
     told = language.tell_languages(docs, model, ["doc_id"])
-    return told.select("doc_id", (fold("doc_id") == 1).alias("held_out"), "lang_pred", "score")
+    return told.select("doc_id", F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op10_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,10 +5,12 @@ All but the last return the columns of documents, less the rows they reject.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from datamove.llm import decontaminate, language, near_sets, quality, queries
-from datamove.llm.arrow import fold
+from datamove.llm.arrow import fold, quoted
 
 # Share of the text that its main language must have.
 MAIN_LANGUAGE = 0.5
@@ -17,17 +19,24 @@ MAIN_LANGUAGE = 0.5
 COPY_SHINGLE, COPY_THRESHOLD = 5, 0.8
 
 
+def _kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``judge`` keeps, with the columns of ``docs``, whatever names these have."""
+    inside = {c: c if c in ("doc_id", "text") else f"__column{i}__" for i, c in enumerate(docs.columns)}
+    kept = judge(docs.select(*[quoted(c).alias(name) for c, name in inside.items()]))
+    return kept.select(*[quoted(name).alias(c) for c, name in inside.items()])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn for their likeness to good text."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.resample(docs, labels, docs.columns).where("kept").select(*docs.columns)
+    return _kept(docs, lambda rows: quality.resample(rows, labels, rows.columns).where("kept"))
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one main language; those without a letter, or of several without one, go."""
     model = language.learn_languages(docs.where(fold("doc_id") != 1))
-    told = language.tell_languages(docs, model, docs.columns)
-    return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MAIN_LANGUAGE)).select(*docs.columns)
+    fits = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MAIN_LANGUAGE)
+    return _kept(docs, lambda rows: language.tell_languages(rows, model, rows.columns).where(fits))
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,6 +44,10 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     An id that repeats with texts of several groups stands in each.  Rows without an id stay.
     """
+    return _kept(docs, _one_copy)
+
+
+def _one_copy(docs: DataFrame) -> DataFrame:
     hashed = docs.withColumn("__textid__", F.xxhash64("text"))
     named = near_sets.near_copies(
         hashed.where("doc_id IS NOT NULL"), shingle=COPY_SHINGLE, threshold=COPY_THRESHOLD, keep=["__textid__"]
@@ -49,8 +62,7 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents no word of which stands in a passage of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_passages(docs, benchmark, docs.columns)
-    return found.where(F.size("spans") == 0).select(*docs.columns)
+    return _kept(docs, lambda rows: decontaminate.find_passages(rows, benchmark, rows.columns).where(F.size("spans") == 0))
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

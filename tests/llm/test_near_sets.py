@@ -154,3 +154,46 @@ def test_thresholds_out_of_range(spark):
     for threshold in (0.5, 1.0):
         with pytest.raises(ValueError):
             near_copies(spark.createDataFrame([], SCHEMA), threshold=threshold)
+
+
+def test_shared_passages_make_no_cells(spark):
+    """Texts that share passages, but not enough of them, meet and are kept apart by their points."""
+    rng = random.Random(4)
+    passages = [" ".join(f"p{k}w{i}" for i in range(40)) for k in range(12)]
+    own = lambda i: " ".join(f"o{i}w{j}" for j in range(60))
+    texts = [" ".join([own(i), *rng.sample(passages, 4)]) for i in range(300)]
+    texts += [texts[7] + " one more word", texts[7] + " two more words here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rule = near_sets.Rule.at(0.8)
+    sets = near_sets._sets(docs, ["doc_id"], "text", 5, 1)
+    meetings = near_sets._meetings(docs, "text", 5, rule, 1)
+    edges = near_sets._joined(meetings, sets, rule)
+    assert meetings.count() > 20
+    assert 1 <= edges.count() <= 4
+    groups = {r["doc_id"]: r["component_id"] for r in near_copies(docs, shingle=5, threshold=0.8).collect()}
+    assert groups == {i: 7 if i in (7, 300, 301) else i for i in range(302)}
+
+
+@pytest.mark.parametrize("most, few", [(3, 12), (4096, 0), (2, 0)])
+def test_common_parts_and_trees_lose_no_link(spark, monkeypatch, most, few):
+    monkeypatch.setattr(near_sets, "MOST_MEETING", most)
+    monkeypatch.setattr(near_sets, "FEW", few)
+    rng = random.Random(8)
+    texts = corpus(rng, 12, [3, 12, 30, 80], 14)
+    rows = list(zip(rng.sample(range(1000), len(texts)), texts))
+    assert found(spark, rows) == brute(rows)
+
+
+def test_points_bound_what_sets_share():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 60, 1000, 40_000):
+        pool = rng.integers(0, 1 << 62, 2 * size).astype(np.uint64)
+        a, b = np.sort(pool[:size]), np.sort(pool[size // 9 : size // 9 + size + size // 20])
+        counts, of = near_sets.points(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]))
+        one, two = counts[of[0] : of[1]], counts[of[1] : of[2]]
+        width = min(len(one), len(two))
+        assert near_sets.folded(one, width).sum() == len(a)
+        shared = len(np.intersect1d(a, b))
+        assert np.minimum(near_sets.folded(one, width), near_sets.folded(two, width)).sum() >= shared
+    full = np.full(8, near_sets.FULL, np.uint8)
+    assert near_sets.may_link(full, full, 1_000_000, near_sets.RULE)
