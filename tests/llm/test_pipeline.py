@@ -63,7 +63,7 @@ def test_stages_take_empty_tables_and_nulls(spark, tmp_path):
 def test_stages_keep_columns_of_any_name(spark, tmp_path, sf_dir):
     names = ["score", "languages", "lang_pred", "kept", "log_ratio", "gumbel_key", "spans", "items", "n_words", "id", "a", "b", "component", "row"]
     rows = [(i, f"some words of text {i} that nobody repeats at all", *[str(i)] * len(names)) for i in range(5)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in [*names, "lang"]))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, docs, sf_dir)
         assert kept.columns == docs.columns
