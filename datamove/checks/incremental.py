@@ -100,7 +100,8 @@ def merged_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = load(spark, sf_dir, "lineitem")
     cut = F.lit(SUPPLIERS_CUT).cast("timestamp_ntz")
     old, new = lines.where(F.col("l_shipdate") <= cut), lines.where(F.col("l_shipdate") > cut)
-    merged = merge_upsert(old, new, "l_suppkey", hot_keys=frequent_keys(old, "l_suppkey"))
+    # Small tasks, so that some suppliers have more lines than one takes.
+    merged = merge_upsert(old, new, "l_suppkey", hot_keys=frequent_keys(old, "l_suppkey", 0.005), task_rows=100)
     return merged.withColumn("l_shipdate", day_text("l_shipdate"))
 
 

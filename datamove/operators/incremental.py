@@ -14,6 +14,7 @@ TASK_ROWS = 5_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 _PIECE = "__piece"
+_PIECES = "__pieces"
 _PLACE = "__place"
 _TEXT = (T.StringType, T.CharType, T.VarcharType)
 _MOMENTS = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -95,6 +96,7 @@ def merge_upsert(
     hot_keys: Iterable[Any] = (),
     co_located: bool = False,
     broadcast_limit: int = BROADCAST_BYTES,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Old rows whose key is not in ``new``, plus every row of ``new``.
 
@@ -103,8 +105,8 @@ def merge_upsert(
 
     The increment's keys are reduced to one row each before they meet the old rows, which
     are read once.  Old rows without a key are dealt out over all tasks by a hash of the row.
-    Those of ``hot_keys`` (see ``frequent_keys``; values of a single-column key) are counted and
-    dealt out over all tasks too, or over more where their rows need more.  ``broadcast_keys`` leaves the old rows where they
+    ``hot_keys`` (see ``frequent_keys``; values of a single-column key) are candidates: they are counted, and those that own
+    more than ``task_rows`` rows are dealt out over as many tasks as that takes.  ``broadcast_keys`` leaves the old rows where they
     are, if the keys are measured to stay below ``broadcast_limit`` bytes.  So does
     ``co_located``, for an old table stored in buckets of the key.
     """
@@ -116,7 +118,7 @@ def merge_upsert(
     elif co_located:
         kept = old.join(replaced, keys, "left_anti")
     else:
-        kept = _anti_join_spread(old, replaced, keys, list(hot_keys))
+        kept = _anti_join_spread(old, replaced, keys, list(hot_keys), task_rows)
     return kept.select(*map(_quoted, old.columns)).unionByName(new)
 
 
@@ -184,27 +186,39 @@ def touched_partitions(
     return left.unionByName(new.select(_quoted(partition_by))).distinct()
 
 
-def _anti_join_spread(old: DataFrame, replaced: DataFrame, keys: list[str], hot: list[Any]) -> DataFrame:
+def _anti_join_spread(old: DataFrame, replaced: DataFrame, keys: list[str], candidates: list[Any], task_rows: int) -> DataFrame:
     """Anti join on the key and a piece number, which is 0 but for rows to be dealt out."""
+    if candidates and len(keys) != 1:
+        raise ValueError("hot keys can be named for a single key column only")
     # Rows without a key match nothing, so their pieces need no partner.
-    piece = F.when(~_all_present(keys), _row_hash(old).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    if hot:
-        if len(keys) != 1:
-            raise ValueError("hot keys can be named for a single key column only")
-        key = F.col(_quoted(keys[0]))
-        tasks = int(old.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        pieces = F.lit(1)
-        for row in old.where(key.isin(hot)).groupBy(key.alias("value")).count().collect():
-            pieces = F.when(key == F.lit(row["value"]), max(8 * tasks, -(-row["count"] // TASK_ROWS))).otherwise(pieces)
-        piece = piece.otherwise(F.pmod(_row_hash(old), pieces).cast("int"))
-        # A hot key must be met in each of its pieces.
-        replaced = replaced.withColumn(_PIECE, F.explode(F.sequence(F.lit(0), (pieces - 1).cast("int"))))
-    else:
-        piece = piece.otherwise(0)
+    spread = _row_hash(old).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    hot = _hot(old, keys[0], candidates, task_rows) if candidates else None
+    if hot is None:
+        piece = F.when(~_all_present(keys), spread).otherwise(0)
         replaced = replaced.withColumn(_PIECE, F.lit(0))
+    else:
+        # One row for each key with more rows than a task takes: fewer than the table has tasks.
+        pieces = F.coalesce(F.col(_PIECES), F.lit(1))
+        old = old.join(hot, keys, "left")
+        piece = F.when(~_all_present(keys), spread).otherwise(F.pmod(spread, pieces))
+        # A hot key must be met in each of its pieces.
+        replaced = replaced.join(hot, keys, "left")
+        replaced = replaced.withColumn(_PIECE, F.explode(F.sequence(F.lit(0), pieces - 1))).drop(_PIECES)
     return old.withColumn(_PIECE, piece).join(replaced, [*keys, _PIECE], "left_anti")
 
 
+def _hot(old: DataFrame, key: str, candidates: list[Any], task_rows: int) -> DataFrame | None:
+    """The candidates that own more than ``task_rows`` rows, with the number of pieces each is cut to."""
+    spark, kind = old.sparkSession, old.select(_quoted(key)).schema[0]
+    asked = F.broadcast(spark.createDataFrame([(c,) for c in candidates], T.StructType([kind])).distinct())
+    counted = old.select(_quoted(key)).join(asked, [key], "left_semi").groupBy(_quoted(key)).count()
+    found = counted.where(F.col("count") > task_rows).collect()
+    if not found:
+        return None
+    schema = T.StructType([kind, T.StructField(_PIECES, T.IntegerType())])
+    return F.broadcast(spark.createDataFrame([(k, -(-n // task_rows)) for k, n in found], schema))
+
+
 def _stored_name(df: DataFrame, name: str) -> str:
     return next((c for c in df.columns if c.lower() == name.lower()), name)
 

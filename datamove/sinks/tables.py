@@ -14,9 +14,10 @@ ROWS_PER_FILE = 1_000_000
 MOST_FILES = 200
 
 
-def plan_output_files(rows: int, explicit: int = 0, rows_per_file: int = ROWS_PER_FILE, most: int = MOST_FILES) -> int:
-    """Number of output files: the explicit count if any, else one per million rows, 1 to 200."""
-    return explicit or max(1, min(most, rows // rows_per_file))
+def plan_output_files(rows: int, explicit: int = 0, rows_per_file: int = ROWS_PER_FILE, most: int | None = MOST_FILES) -> int:
+    """Number of output files: the explicit count if any, else one per million rows, 1 to ``most``."""
+    wanted = max(1, rows // rows_per_file)
+    return explicit or (wanted if most is None else min(most, wanted))
 
 
 def ensure_database(spark: SparkSession, database: str) -> None:
@@ -40,9 +41,9 @@ def write_table(
     partitions that occur in ``df`` and keep the others.
 
     ``files`` is the most writing tasks, to which the rows are dealt once they are made;
-    ``rows``, where known and within the sizing rule, asks Spark to regroup what is written
-    by its size.  Neither holds up the tasks that read and join.  Without either the frame's own
-    partitions are kept.  A partitioned table is regrouped by partition value, and Spark
+    ``rows``, where known, deals them to as many tasks as the sizing rule has files, without its
+    upper limit, which would leave a large table to 200 tasks.  Neither holds up the tasks that read and
+    join, nor depends on the number of cores.  Without either the frame's own partitions are kept.  A partitioned table is regrouped by partition value, and Spark
     splits a value again that is oversized.  No file exceeds the rule's rows.
 
     ``dynamic`` refuses columns the table lacks and values its types do not hold.
@@ -52,6 +53,7 @@ def write_table(
     always in one bucket, so leave it where few keys own most rows.
     """
     spark = df.sparkSession
+    most_rows = ROWS_PER_FILE
     if mode not in ("overwrite", "append", "dynamic"):
         raise ValueError(f"unknown write mode {mode!r}")
     ensure_database(spark, table.split(".")[0])
@@ -62,14 +64,15 @@ def write_table(
         df = df.repartition(files) if files < spark.sparkContext.defaultParallelism else df.coalesce(files)
     elif partition_by is not None:
         df = df.hint("rebalance", partition_by)
-    elif rows is not None and rows <= ROWS_PER_FILE * MOST_FILES:
-        df = df.hint("rebalance")
+    elif rows is not None:
+        df = df.repartition(plan_output_files(rows, rows_per_file=ROWS_PER_FILE, most=None))
+        most_rows = 2 * ROWS_PER_FILE  # of a task, where the last million is not full
     if mode == "dynamic" and partition_by is None:
         raise ValueError("mode 'dynamic' needs partition_by")
     if mode == "dynamic" and spark.catalog.tableExists(table):
         _overwrite_partitions(df, table, partition_by)
         return
-    writer = df.write.format("parquet").option("path", path).option("maxRecordsPerFile", ROWS_PER_FILE).mode("append" if mode == "append" else "overwrite")
+    writer = df.write.format("parquet").option("path", path).option("maxRecordsPerFile", most_rows).mode("append" if mode == "append" else "overwrite")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     if bucket_by is not None:

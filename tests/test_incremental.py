@@ -182,3 +182,26 @@ def test_touched_partitions(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, p string")
     new = spark.createDataFrame([(1, "d"), (9, None)], "id int, p string")
     assert {r.p for r in touched_partitions(old, new, "id", "p").collect()} == {"a", "d", None}
+
+
+def test_many_false_candidates_are_dropped(spark, plan):
+    import time
+
+    old = spark.range(20_000).select(F.col("id"), F.lit("old").alias("v"))
+    new = spark.createDataFrame([(5, "new")], "id long, v string")
+    began = time.time()
+    merged = merge_upsert(old, new, "id", hot_keys=range(5_000))
+    text = plan(merged)
+    assert time.time() - began < 20
+    # None owns more rows than a task takes, so nothing is spread.
+    assert "__pieces" not in text and "explode" not in text
+    assert merged.count() == 20_000 and merged.where("v = 'new'").count() == 1
+
+
+def test_hot_keys_are_cut_to_pieces_by_a_join(spark, plan, no_broadcast):
+    old = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("k"), F.col("id").alias("v"))
+    new = spark.createDataFrame([(7, -1), (103, -2), (None, -3)], "k long, v long")
+    kept = merge_upsert(old, new, "k", hot_keys=[7, 101, 999], task_rows=100)
+    assert sorted(r["v"] for r in kept.collect()) == sorted([-1, -2, -3, *[i for i in range(3_000) if i % 3 and i != 3 and i + 100 != 103]])
+    text = plan(merge_upsert(old, new, "k", hot_keys=[7], task_rows=100).where("v >= 0"))
+    assert "__pieces" in text and "LeftAnti" in text and "NestedLoop" not in text

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from datamove.operators import merge_upsert
+from datamove.sinks import tables
 from datamove.sinks import merge_into_partitions, plan_output_files, run_transform, snapshot_copy, write_table
 
 
@@ -30,9 +31,9 @@ def test_file_counts(spark, place):
     assert len(files(place.path)) == 3
     write_table(df, place.table, place.path, files=50)
     assert len(files(place.path)) == 8
-    # Beyond the rule's cap the frame's own partitions are kept.
-    write_table(df, place.table, place.path, rows=10**12)
-    assert len(files(place.path)) == 8
+    # The rule's upper limit is not one on tasks: so many rows want so many files.
+    write_table(df, place.table, place.path, rows=30_000_000)
+    assert len(files(place.path)) == 30
 
 
 def test_append_and_overwrite(spark, place):
@@ -131,3 +132,12 @@ def test_transform_overwrites_and_appends(spark, place):
     assert run_transform(spark, "SELECT 1 AS a", place.table, place.path).count() == 1
     assert run_transform(spark, "SELECT 2 AS a", place.table, place.path, incremental=True).count() == 2
     assert run_transform(spark, "SELECT 3 AS a", place.table, place.path).first().a == 3
+
+
+@pytest.mark.parametrize("partitions", [1, 8, 40])
+def test_files_follow_the_rows_alone(spark, place, monkeypatch, partitions):
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 1000)
+    for rows, files in ((10, 1), (1999, 1), (2000, 2), (7500, 7)):
+        write_table(spark.range(rows).repartition(partitions), place.table, place.path, rows=rows)
+        assert spark.table(place.table).select(F.input_file_name()).distinct().count() == files
+        assert spark.table(place.table).count() == rows
