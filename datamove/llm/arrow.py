@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -44,6 +45,21 @@ def ship_code(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` that gives memory back at its end: Spark keeps a task's process for later tasks."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows ``[i, j)`` with their bytes and the n + 1 offsets into these; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -95,7 +111,7 @@ def map_texts(
         for made in work(texts()):
             yield pa.RecordBatch.from_arrays(kept.pop(0) + made, names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidied(run), schema)
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

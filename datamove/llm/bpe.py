@@ -21,7 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from datamove.llm.arrow import TEXT, quoted, ship_code, text_slices
+from datamove.llm.arrow import TEXT, quoted, ship_code, text_slices, tidied
 from datamove.llm.words import hashes
 
 # Bytes of text in a block, over which distinct words are shared; a longer text is its own.
@@ -30,6 +30,9 @@ BLOCK_BYTES = 6 << 20
 # Hash values of words for each shuffle partition; a task remembers the words of one at a time.
 HASHES_PER_PARTITION = 1
 
+# Words of a hash that a task remembers; of more it encodes some again.
+MOST_KNOWN = 500_000
+
 # Bytes that may end, and may begin, a character of white space.
 ENDS_BLANK, BEGINS_BLANK = np.zeros(256, bool), np.zeros(256, bool)
 ENDS_BLANK[[*range(9, 14), *range(28, 33), *range(128, 192)]] = True
@@ -241,7 +244,7 @@ def encode_texts(docs: DataFrame, keep: Sequence[str], *, ranks: dict[bytes, int
         for batch in batches:
             columns = [[], []]
             for value, packed, sizes in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                if value != current:  # rows come sorted by hash
+                if value != current or len(known) > MOST_KNOWN:  # rows come sorted by hash
                     current, known = value, {}
                 raw, ends = packer.unpack(packed), np.cumsum(packer.expand(sizes), dtype=np.int64).tolist()
                 ids = []
@@ -287,9 +290,9 @@ def encode_texts(docs: DataFrame, keep: Sequence[str], *, ranks: dict[bytes, int
             done.append(pa.table([*kept, made.cast(pa.binary())], names=out.names))
         return pa.concat_tables(done).combine_chunks()
 
-    asked = source.mapInArrow(ask, f"{BLOCK} string, {HASH} int, {WORDS} binary, {LENGTHS} binary")
-    answered = asked.repartition(F.col(HASH)).sortWithinPartitions(HASH).mapInArrow(answer, f"{BLOCK} string, {HASH} int, {IDS} binary, {LENGTHS} binary")
-    held = source.mapInArrow(hold, f"{BLOCK} string, {ROWS} binary, {LENGTHS} binary, {IDS} binary, {HASHES} binary")
+    asked = source.mapInArrow(tidied(ask), f"{BLOCK} string, {HASH} int, {WORDS} binary, {LENGTHS} binary")
+    answered = asked.repartition(F.col(HASH)).sortWithinPartitions(HASH).mapInArrow(tidied(answer), f"{BLOCK} string, {HASH} int, {IDS} binary, {LENGTHS} binary")
+    held = source.mapInArrow(tidied(hold), f"{BLOCK} string, {ROWS} binary, {LENGTHS} binary, {IDS} binary, {HASHES} binary")
     out = T.StructType([*kept, T.StructField("ids", T.BinaryType())])
     return held.groupBy(BLOCK).cogroup(answered.groupBy(BLOCK)).applyInArrow(put_back, out)
 
@@ -315,4 +318,4 @@ def decode_ids(encoded: DataFrame, keep: Sequence[str], *, ranks: dict[bytes, in
             out = [b"".join([tokens[i] for i in np.frombuffer(x.as_py() or b"", np.uint32).tolist()]) for x in batch.column(width)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(out, pa.binary())], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidied(run), schema)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from datamove.llm.arrow import TEXT, map_texts, quoted, ship_code, text_slices
+from datamove.llm.arrow import TEXT, map_texts, quoted, ship_code, text_slices, tidied
 from datamove.llm.words import LOWER
 
 BUCKETS = 1 << 16
@@ -74,7 +74,7 @@ def learn_languages(docs: DataFrame, *, text: str = "text", lang: str = "lang",
                 [pa.array([name] * len(at)), pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))], names=["lang", "bucket", "n"]
             )
 
-    counted = labelled.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = labelled.mapInArrow(tidied(count), "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     packed = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).orderBy("lang")
     names, rows = [], []
     for row in packed.toLocalIterator():

@@ -23,7 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from datamove.llm.arrow import TEXT, drop_staged, map_texts, quoted, ship_code, staged, text_slices
+from datamove.llm.arrow import TEXT, drop_staged, map_texts, quoted, ship_code, staged, text_slices, tidied
 from datamove.llm.words import LOWER, SOLID, U, hashes, joined, mix, spans
 
 SHINGLE, THRESHOLD = 3, 0.9
@@ -449,9 +449,9 @@ def _meetings(docs: DataFrame, text: str, shingle: int, rule: Rule, seed: int) -
                         yield told(size[inner], name[at], pa.array(sums.view(np.int64)))
         yield from rest()
 
-    asked = docs.select(quoted(text).cast("string").alias(TEXT)).mapInArrow(ask, "part bigint, name bigint")
+    asked = docs.select(quoted(text).cast("string").alias(TEXT)).mapInArrow(tidied(ask), "part bigint, name bigint")
     met = asked.repartition("part").sortWithinPartitions("part", "name")
-    return met.mapInArrow(gather, "who bigint, names array<bigint>")
+    return met.mapInArrow(tidied(gather), "who bigint, names array<bigint>")
 
 
 def _joined(meetings: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -475,7 +475,7 @@ def _joined(meetings: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     lists = meetings.where("who IS NOT NULL").groupBy("who").agg(F.first("names").alias("names"))
     named = lists.select("who", F.explode("names").alias("name")).join(sets, F.col("name") == F.col("__set__"))
     pruned = named.select("who", "name", "__size__", "__point__").repartition("who").sortWithinPartitions("who", "name")
-    pruned = pruned.mapInArrow(prune, "a bigint, b bigint")
+    pruned = pruned.mapInArrow(tidied(prune), "a bigint, b bigint")
     common = meetings.where("who IS NULL").select(F.explode("names").alias("a"), F.get("names", F.lit(0)).alias("b"))
     return pruned.unionByName(common.where("a <> b")).distinct()
 
@@ -510,7 +510,7 @@ def _compared(docs: DataFrame, key: str, text: str, tasks: DataFrame, shingle: i
     # Texts are packed for the shuffle by key, which is asked for at every size alike.
     texts = docs.select(quoted(key).alias("__id__"), quoted(text).cast("string").alias(TEXT))
     schema = T.StructType([texts.schema["__id__"], T.StructField(TEXT, T.BinaryType())])
-    texts = texts.mapInArrow(packed, schema)
+    texts = texts.mapInArrow(tidied(packed), schema)
     return tasks.join(texts.hint("merge"), "__id__").groupBy("__task__").applyInArrow(compare, "a bigint, b bigint").where("a <> b")
 
 

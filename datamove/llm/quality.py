@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from datamove.llm.arrow import TEXT, map_texts, quoted, ship_code, staged, text_slices
+from datamove.llm.arrow import TEXT, map_texts, quoted, ship_code, staged, text_slices, tidied
 from datamove.llm.words import ALNUM, LOWER, SOLID, U, hashes, joined, mix, spans
 
 BUCKETS = 1 << 16
@@ -81,7 +81,7 @@ def learn_ratio(docs: DataFrame, good: Column, *, text: str = "text", smoothing:
         at = np.flatnonzero(every)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, every[at], liked[at])], names=["bucket", "n", "liked"])
 
-    sums = source.mapInArrow(count, "bucket bigint, n bigint, liked bigint").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("liked").alias("liked"))
+    sums = source.mapInArrow(tidied(count), "bucket bigint, n bigint, liked bigint").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("liked").alias("liked"))
     found = np.array([tuple(r) for r in sums.collect()], np.int64).reshape(-1, 3)
     every, liked = np.zeros(BUCKETS), np.zeros(BUCKETS)
     every[found[:, 0]], liked[found[:, 0]] = found[:, 1], found[:, 2]
