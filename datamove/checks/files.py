@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from datamove.checks.common import EVENTS_CUT, load, readable, scratch_place
 from datamove.session import scratch_path
+from datamove.sinks import write_table
 from datamove.sources import read_delimited, read_json_flat, select_files
 from datamove.streaming import Landing, files_once, ingest_files_once, replace_with_new_files
 
@@ -123,6 +124,21 @@ def ingested_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drops[0].union(drops[1])
 
 
+def ingested_into_batch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which a batch wrote a third; the rest lands in files whose headers differ, one with a column more."""
+    place, landing = scratch_place(spark, "orders"), scratch_path(spark, "landing")
+    orders = readable(load(spark, sf_dir, "orders"))
+    third = lambda i: orders.where(F.col("o_orderkey") % 3 == i)
+    typed = [F.col(c.split()[0]).cast(c.split()[1]) for c in ORDERS_SCHEMA.split(", ")]
+    write_table(third(0).select(*typed), place.table, place.path)
+    third(1).select(*orders.columns[::-1]).write.option("header", True).csv(f"{landing}/one")
+    third(2).withColumn("note", F.concat(F.lit("order "), "o_orderkey")).write.option("header", True).csv(f"{landing}/two")
+    files = Landing(landing, "CSV", "part", ORDERS_SCHEMA, evolve=True)
+    for _ in range(2):
+        ingest_files_once(spark, files, place.table, place.path, f"{place.path}_checkpoint")
+    return spark.table(place.table)
+
+
 def replaced_after_a_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that took the first drop but stopped before it published, and one that took the second."""
     place, drops = scratch_place(spark, "events"), scratch_path(spark, "landing")
@@ -137,6 +153,7 @@ def replaced_after_a_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "ingest_reordered_header": ingested_reordered,
+    "ingest_into_batch_table": ingested_into_batch_table,
     "replace_after_stopped_run": replaced_after_a_stop,
     "read_json_flat": json_flat,
     "read_delimited_csv": delimited_csv,
@@ -154,6 +171,11 @@ ORACLES = {
         SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
                o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders
     """,
+    "ingest_into_batch_table": """
+        SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+               o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority,
+               CASE WHEN o_orderkey % 3 = 2 THEN 'order ' || o_orderkey END AS note FROM orders
+    """,
     "replace_after_stopped_run": _EVENTS,
     "read_json_flat": """
         SELECT c_custkey, c_acctbal, c_mktsegment, c_name, n_name, r_name

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.checks.common import load, readable, scratch_place
+from datamove.checks.common import load, readable, scratch_place, staged
 from datamove.checks.incremental import ORDERS_SQL, orders_changed, orders_loaded
 from datamove.session import scratch_path
-from datamove.sinks import merge_into_partitions, snapshot_copy, write_table
+from datamove.sinks import Slices, merge_into_partitions, merge_version, publish_version, snapshot_copy, write_table
 
 
 def written_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,14 +43,21 @@ def overwritten_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merged_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = scratch_place(spark, "orders")
-    write_table(orders_loaded(spark, sf_dir), place.table, place.path, partition_by="o_orderstatus")
+    publish_version(orders_loaded(spark, sf_dir), place, Slices(column="o_orderstatus"))
     # Filled orders that shipped again move to a partition of their own.
     moved = F.when(F.col("o_orderstatus") == "F", "S").otherwise(F.col("o_orderstatus"))
-    increment = orders_changed(spark, sf_dir).withColumn("o_orderstatus", moved)
-    if not merge_into_partitions(
-        place.table, increment, "o_orderkey", "o_orderstatus", scratch_path(spark, "backup")
-    ):
-        raise RuntimeError("a handful of partitions must be mergeable in place")
+    increment = staged(orders_changed(spark, sf_dir).withColumn("o_orderstatus", moved))
+    if merge_version(increment, place, "o_orderkey") is None:
+        raise RuntimeError("an increment of the table's types must be mergeable")
+    return readable(spark.table(place.table))
+
+
+def merged_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order in a thousand changes, in a table kept in slices of the key."""
+    place, orders = scratch_place(spark, "orders"), load(spark, sf_dir, "orders")
+    publish_version(orders, place, Slices(key="o_orderkey", buckets=64))
+    raised = orders.where("o_orderkey % 1000 = 7").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    merge_version(raised.withColumn("note", F.lit("raised")), place, "o_orderkey")
     return readable(spark.table(place.table))
 
 
@@ -79,6 +86,7 @@ QUERIES = {
     "overwrite_dynamic": overwritten_dynamic,
     "merge_in_partitions": merged_in_partitions,
     "merge_in_null_partition": merged_in_null_partition,
+    "merge_in_slices": merged_in_slices,
     "snapshot_copy": copied_snapshot,
 }
 
@@ -107,5 +115,10 @@ ORACLES = {
         SELECT * REPLACE (CASE WHEN o_orderstatus <> 'O' AND o_orderkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus,
                           strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders
     """,
+    "merge_in_slices": f"""
+        SELECT {_ORDERS.format(price="CASE WHEN o_orderkey % 1000 = 7 THEN o_totalprice * 2 ELSE o_totalprice END")},
+               CASE WHEN o_orderkey % 1000 = 7 THEN 'raised' END AS note
+        FROM orders
+    """,
     "snapshot_copy": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem",
 }

@@ -133,7 +133,7 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequ
     keys = [key] if isinstance(key, str) else list(key)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     complete = _all_present(keys)
-    newest_first = Window.partitionBy(*map(_quoted, keys)).orderBy(*[F.desc(_quoted(c)) for c in order], _row_hash(df).desc())
+    newest_first = Window.partitionBy(*map(_quoted, keys)).orderBy(*[F.desc(_quoted(c)) for c in order], row_hash(df).desc())
     latest = df.where(complete).withColumn(_PLACE, F.row_number().over(newest_first))
     latest = latest.where(F.col(_PLACE) == 1).drop(_PLACE)
     if any(df.schema[_stored_name(df, k)].nullable for k in keys):
@@ -191,7 +191,7 @@ def _anti_join_spread(old: DataFrame, replaced: DataFrame, keys: list[str], cand
     if candidates and len(keys) != 1:
         raise ValueError("hot keys can be named for a single key column only")
     # Rows without a key match nothing, so their pieces need no partner.
-    spread = _row_hash(old).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    spread = row_hash(old).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     hot = _hot(old, keys[0], candidates, task_rows) if candidates else None
     if hot is None:
         piece = F.when(~_all_present(keys), spread).otherwise(0)
@@ -223,7 +223,7 @@ def _stored_name(df: DataFrame, name: str) -> str:
     return next((c for c in df.columns if c.lower() == name.lower()), name)
 
 
-def _row_hash(df: DataFrame) -> Column:
+def row_hash(df: DataFrame) -> Column:
     """A hash of the whole row; types Spark does not hash enter as JSON text."""
 
     def hashable(kind: T.DataType) -> bool:

@@ -23,6 +23,7 @@ from datamove.operators.incremental import (
 from datamove.session import drop_path, scratch_path
 from datamove.sinks.publish import EmptyResult, active_copy, publish_ab, view_property
 from datamove.sinks.tables import merge_into_partitions, write_table
+from datamove.sinks.versions import Slices, current_version, merge_or_publish_version, publish_version
 from datamove.sources.extract import JdbcSource, Source, extract_keyrange, extract_query, extract_table
 
 AUDIT_TABLE = "meta_audit_table"
@@ -42,7 +43,8 @@ class RawLoad:
     watermark; ``latest_only`` keeps the newest of several changes to one key.
 
     ``partition_by`` and ``files`` shape the target, ``in_partitions`` merges by rewriting
-    only the touched partitions, ``broadcast_bytes`` is how large the increment's keys may be
+    only the touched partitions, ``slices`` keeps the target in that many slices of the key and merges by rewriting only the
+    touched ones, ``broadcast_bytes`` is how large the increment's keys may be
     in memory to be sent to every executor, and ``buckets`` stores the target in that many buckets of
     the key, so merges leave it unshuffled.  ``spread_hot_keys`` looks, before a merge too
     large to broadcast, for keys that own many of the loaded rows, at the price of reading
@@ -70,6 +72,7 @@ class RawLoad:
     in_partitions: bool = False
     spread_hot_keys: bool = True
     buckets: int = 0
+    slices: int = 0
     audit: bool = False
     request_id: int = 0
 
@@ -90,8 +93,10 @@ def load_raw(spark: SparkSession, source: Source, load: RawLoad) -> LoadResult:
     """
     if load.incremental and load.key is None:
         raise ValueError(f"incremental load of {load.table} needs a key")
-    if load.in_partitions and load.buckets:
-        raise ValueError("a table is merged by partition or by bucket, not both")
+    if bool(load.in_partitions) + bool(load.buckets) + bool(load.slices) > 1:
+        raise ValueError("a table is merged by partition, by bucket or by slice, not by several of them")
+    if load.slices and load.key is None:
+        raise ValueError(f"slices of {load.table} need a key")
     if load.incremental and spark.catalog.tableExists(load.target.table):
         kind = _increment(spark, source, load)
     else:
@@ -107,7 +112,10 @@ def _full(spark: SparkSession, source: Source, load: RawLoad) -> None:
     # Publishing refuses an empty extract, so nothing is read ahead to find out.
     extract = _normal(_extract(spark, source, load), source, load)
     try:
-        publish_ab(extract, load.target, partition_by=load.partition_by, files=load.files, bucket_by=_buckets(load))
+        if load.slices or load.in_partitions and load.partition_by is not None:
+            publish_version(extract, load.target, _slices(load))
+        else:
+            publish_ab(extract, load.target, partition_by=load.partition_by, files=load.files, bucket_by=_buckets(load))
     except EmptyResult:
         raise ValueError(f"no rows extracted from {load.table}") from None
 
@@ -140,6 +148,10 @@ def _merge(spark: SparkSession, load: RawLoad, loaded: DataFrame, increment: Dat
     noted = _note(newest, increment.schema[column].dataType)
     # A bucketed table is joined bucket by bucket, which does not move it either.
     small = found.bytes <= load.broadcast_bytes and not load.buckets
+    if current_version(spark, load.target) is not None:
+        whole = merge_upsert(loaded, increment, key, broadcast_keys=small)
+        merge_or_publish_version(whole, increment, load.target, key, broadcast_keys=small, properties=noted)
+        return "merged"
     if load.in_partitions and load.partition_by is not None:
         table = f"{load.target.database}.{load.target.name}{active_copy(spark, load.target)}"
         backup = backup_path(load.target.path, dt.datetime.now(dt.timezone.utc))
@@ -204,6 +216,12 @@ def _stored(load: RawLoad, column: str) -> str:
     return column.lower() if load.normalize else column
 
 
+def _slices(load: RawLoad) -> Slices:
+    if load.slices:
+        return Slices(key=_stored(load, load.key), buckets=load.slices)
+    return Slices(column=_stored(load, load.partition_by))
+
+
 def _buckets(load: RawLoad) -> tuple[int, str] | None:
     return (load.buckets, _stored(load, load.key)) if load.buckets and load.key is not None else None
 

@@ -70,7 +70,7 @@ def publish_ab(
     ``properties`` are put on the view in the same operation.
     """
     spark = df.sparkSession
-    _check_name(spark, place)
+    check_name(spark, place)
     active = active_copy(spark, place)
     if incremental and active is not None:
         before = spark.table(place.table)
@@ -119,14 +119,14 @@ def publish_warehouse(df: DataFrame, place: Place, columns: str) -> str:
     """
     spark = df.sparkSession
     ensure_database(spark, place.database)
-    _check_name(spark, place)
+    check_name(spark, place)
     copy = next_copy(active_copy(spark, place))
     physical = f"{place.database}.{place.name}{copy}"
     wanted = T.StructType.fromDDL(bare_columns(columns))
     if spark.catalog.tableExists(physical) and not _same_columns(spark.table(physical).schema, wanted):
         # Readers are on the other copy, so this one can be made anew.
         spark.sql(f"DROP TABLE {physical}")
-    location = _literal(f"{place.path}{copy}")
+    location = sql_text(f"{place.path}{copy}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {physical} ({bare_columns(columns)}) USING parquet LOCATION {location}")
     # Overwriting a table in place truncates and loads it in one committed write.
     missing = {f.name.lower() for f in wanted.fields} - {c.lower() for c in df.columns}
@@ -185,7 +185,8 @@ def _same_columns(a: T.StructType, b: T.StructType) -> bool:
     return [(f.name.lower(), f.dataType) for f in a.fields] == [(f.name.lower(), f.dataType) for f in b.fields]
 
 
-def _literal(text: str) -> str:
+def sql_text(text: str) -> str:
+    """A text as a literal of a statement."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -194,14 +195,14 @@ def bare_columns(columns: str) -> str:
     return text[1:-1] if text.startswith("(") and text.endswith(")") else text
 
 
-def _check_name(spark: SparkSession, place: Place) -> None:
+def check_name(spark: SparkSession, place: Place) -> None:
     if spark.catalog.tableExists(place.table) and spark.catalog.getTable(place.table).tableType != "VIEW":
         raise ValueError(f"{place.table} is a table; rename it before publishing a view under its name")
 
 
 def _repoint(spark: SparkSession, place: Place, copy: str, parts: int = 0, properties: Mapping[str, str] | None = None) -> None:
     noted = {_ACTIVE: copy, _PARTS: str(parts)} | dict(properties or {})
-    listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in noted.items())
+    listed = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in noted.items())
     tables = [f"{place.database}.{place.name}{copy}{part}" for part in ["", *[f"_p{i}" for i in range(parts)]]]
     rows = " UNION ALL ".join(f"SELECT * FROM {table}" for table in tables)
     spark.sql(f"CREATE OR REPLACE VIEW {place.table} TBLPROPERTIES ({listed}) AS {rows}")

@@ -131,7 +131,7 @@ def merge_into_partitions(
     moved.write.mode("overwrite").partitionBy(partition_by).parquet(backup)
     before = spark.read.schema(old.schema).parquet(backup).select(*map(_quoted, old.columns))
     merged = merge_upsert(before, new, key, broadcast_keys=broadcast_keys, hot_keys=hot_keys)
-    location = _location(spark, table)
+    location = table_location(spark, table)
     write_table(merged, table, location, mode="dynamic", partition_by=partition_by)
     _drop_emptied(spark, table, partition_by, before, new, key, broadcast_keys)
     return True
@@ -164,7 +164,7 @@ def _overwrite_partitions(df: DataFrame, table: str, partition_by: str) -> None:
         raise TypeError(f"{table} lacks the columns {extra} and does not hold the values of {narrowed}")
     typed = [F.col(_quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields]
     writer = given.select(*typed).write.partitionBy(partition_by).mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(_location(spark, table))
+    writer.option("partitionOverwriteMode", "dynamic").parquet(table_location(spark, table))
     spark.catalog.refreshTable(table)
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
@@ -185,7 +185,8 @@ def holds(kind: T.DataType, given: T.DataType) -> bool:
     return isinstance(kind, (T.TimestampType, T.TimestampNTZType)) and isinstance(given, T.DateType)
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where the files of an external table lie."""
     described = spark.sql(f"DESCRIBE EXTENDED {table}")
     return described.where("col_name = 'Location'").first()["data_type"]
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from datamove.functions.flatten import flatten_structs
 
@@ -95,13 +97,20 @@ def read_delimited(
     delimiter: str | None = None,
     header: bool = True,
     schema: T.StructType | str | None = None,
+    mixed_headers: bool = False,
 ) -> DataFrame:
     """CSV, TSV or TXT files; a given delimiter wins over the type's own.
 
     Column types are inferred, at the price of one extra pass, unless ``schema`` is given.
     Files with a header are bound to a schema by its names, whatever their order; files
-    whose headers differ from each other are an error.
+    whose headers differ from each other are an error, unless ``mixed_headers`` (with a schema) has each file read by
+    its own header, see ``read_by_header``, at the price of a pass over the text.
     """
+    if mixed_headers:
+        if schema is None or not header:
+            raise ValueError("mixed headers need files with a header, and a schema")
+        names = [r["path"] for r in select_files(spark, path, prefix, kind).select("path").collect()]
+        return read_by_header(spark, names, kind, delimiter, schema)
     if schema is None and select_files(spark, path, prefix, kind).isEmpty():
         return spark.createDataFrame([], T.StructType())
     reader = spark.read.options(
@@ -116,6 +125,52 @@ def read_delimited(
     return reader.schema(named).csv(path).select(*[f"`{f.name}`" for f in wanted.fields])
 
 
+def read_by_header(
+    spark: SparkSession, paths: Sequence[str], kind: str, delimiter: str | None, schema: T.StructType | str, extra: bool = False
+) -> DataFrame:
+    """Delimited files, each read by its own header, put together by name.
+
+    Files with the same header are read together.  Columns a header lacks are null; those the schema lacks are kept as
+    text behind the others with ``extra``, and an error without it.  An empty file has no rows.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    options = delimited_options(kind, delimiter, True) | {"enforceSchema": "true"}
+    fields = {f.name.lower(): f for f in wanted.fields}
+    found: list[tuple[list[str], list[str]]] = []
+    for header, files in _headers(spark, paths):
+        found.append((next(csv.reader([header.removeprefix("\ufeff")], delimiter=options["sep"])), files))
+    more = {n.lower(): n for names, _ in found for n in names if n.lower() not in fields}
+    if more and not extra:
+        raise ValueError(f"files have columns the schema lacks: {sorted(more.values())}")
+    whole = [*wanted.fields, *[T.StructField(n, T.StringType()) for n in more.values()]]
+    made = spark.createDataFrame([], T.StructType(whole))
+    for names, files in found:
+        if len({n.lower() for n in names}) < len(names):
+            raise ValueError(f"a header names a column twice: {names}")
+        listed = T.StructType([fields.get(n.lower()) or T.StructField(more[n.lower()], T.StringType()) for n in names])
+        read = spark.read.options(**options).schema(listed).csv([literal_path(f) for f in files])
+        made = made.unionByName(read, allowMissingColumns=True)
+    return made
+
+
+def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, list[str]]]:
+    """The distinct first lines of files, with the files of each."""
+    if not paths:
+        return []
+    lines = spark.read.text([literal_path(p) for p in paths])
+    lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    first = lines.where("file_block_start = 0 AND trim(value) <> ''").groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    grouped = first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    # Paths come as addresses, in which some characters are written as numbers.
+    known = {spark._jvm.org.apache.hadoop.fs.Path(p).toUri().toString(): p for p in paths}
+    return sorted((r["header"], [known.get(f, f) for f in r["files"]]) for r in grouped.collect())
+
+
+def literal_path(path: str) -> str:
+    """A file's path with the characters that would make it a pattern taken literally."""
+    return re.sub(r"([\\*?\[\]{},])", r"\\\1", path)
+
+
 def _in_file_order(header: list[str], schema: T.StructType) -> T.StructType:
     """The schema's fields as a header lists them; as they are where the header names others."""
     fields = {f.name.lower(): f for f in schema.fields}

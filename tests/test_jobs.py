@@ -102,7 +102,8 @@ def test_partition_merge_leaves_other_copies_alone(spark, place, tmp_path):
     moved = [(1, "b", DAY + dt.timedelta(1))]
     assert load_raw(spark, source(spark, f"{tmp_path}/2", moved, schema), load).rows == 2
     assert rows(spark.table(place.table).select("id", "p")) == [(1, "b"), (2, "b")]
-    assert os.path.isdir(f"{tmp_path}/backup") and not os.path.exists(f"{place.path}_b")
+    # The version before stays for rollback, and no other copy is made.
+    assert os.path.isdir(f"{place.path}/v0/p=a") and not os.path.exists(f"{place.path}_b")
     # A new column makes it fall back to rewriting the table.
     wider = [(3, "c", DAY + dt.timedelta(2), 1)]
     load_raw(spark, source(spark, f"{tmp_path}/3", wider, schema + ", w int"), load)
