@@ -114,7 +114,22 @@ def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readable(before.unionByName(after))
 
 
+def merged_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their orders in an array; the increment's orders have a field more, in another order."""
+    orders = load(spark, sf_dir, "orders")
+
+    def customers(*fields: str) -> DataFrame:
+        placed = F.sort_array(F.collect_list(F.struct(*fields)))
+        return orders.groupBy("o_custkey").agg(placed.alias("orders"), F.struct(F.count(F.lit(1)).alias("many")).alias("total"))
+
+    old = customers("o_orderkey", "o_totalprice")
+    new = customers("o_orderpriority", "o_orderkey", "o_totalprice").where("o_custkey % 5 = 0")
+    merged = merge_upsert(old, new, "o_custkey").select("o_custkey", "total.many", F.explode("orders").alias("o"))
+    return merged.select("o_custkey", "many", "o.o_orderkey", "o.o_totalprice", "o.o_orderpriority")
+
+
 QUERIES = {
+    "merge_nested_fields": merged_nested,
     "high_watermark": watermark_of_events,
     "changed_rows": events_changed,
     "align_schemas": aligned,
@@ -176,6 +191,11 @@ ORACLES = {
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
         WHERE rn = 1
     """,
+    "merge_nested_fields": """
+        SELECT o_custkey, count(*) OVER (PARTITION BY o_custkey) AS many, o_orderkey, o_totalprice,
+               CASE WHEN o_custkey % 5 = 0 THEN o_orderpriority END AS o_orderpriority
+        FROM orders
+    """,
     "merge_hot_keys": f"""
         SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem
         WHERE l_shipdate > TIMESTAMP '{SUPPLIERS_CUT}'

@@ -63,7 +63,8 @@ def column_diff(old: DataFrame, new: DataFrame) -> tuple[list[str], list[str], l
 def align_schemas(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Give both frames the same columns: the old ones in order, then the new ones.
 
-    A column one side lacks is filled with nulls of the other side's type.  A column whose
+    A column one side lacks is filled with nulls of the other side's type; so is a field of a struct, wherever it
+    stands: in a column, in another struct, in the elements of an array or the values of a map. A column or field whose
     type changed must still have a common type (numbers widen, dates become timestamps).
     """
     added, dropped, merged = column_diff(old, new)
@@ -78,16 +79,67 @@ def align_schemas(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]
         raise TypeError(f"column types changed without a common type: {sorted(drifted)}")
 
     def pick(present: dict[str, T.DataType], absent: dict[str, T.DataType]) -> list[Column]:
-        return [
-            (F.col(_quoted(c)) if c.lower() in present else F.lit(None).cast(absent[c.lower()])).alias(c)
-            for c in merged
-        ]
-
-    if added:
+        picked = []
+        for c in merged:
+            own, other = present.get(c.lower()), absent.get(c.lower())
+            value = F.lit(None).cast(other) if own is None else F.col(_quoted(c))
+            if own is not None and other is not None and _fields_differ(own, other):
+                value = _filled(value, own, _union(old_types[c.lower()], new_types[c.lower()]))
+            picked.append(value.alias(c))
+        return picked
+
+    nested = any(_fields_differ(old_types[n], new_types[n]) for n in old_types.keys() & new_types.keys())
+    if added or nested:
         old = old.select(*pick(old_types, new_types))
     return old, new.select(*pick(new_types, old_types))
 
 
+def _fields_differ(a: T.DataType, b: T.DataType) -> bool:
+    """Whether structs at the same place have other fields, or the same in another order."""
+    if type(a) is not type(b):
+        return False
+    if isinstance(a, T.StructType):
+        if [f.name.lower() for f in a.fields] != [f.name.lower() for f in b.fields]:
+            return True
+        return any(_fields_differ(x.dataType, y.dataType) for x, y in zip(a.fields, b.fields))
+    if isinstance(a, T.ArrayType):
+        return _fields_differ(a.elementType, b.elementType)
+    return isinstance(a, T.MapType) and _fields_differ(a.valueType, b.valueType)
+
+
+def _union(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The old type with the fields that only the new one has behind its own, at every depth.
+
+    Other types stay as they are in ``old``: widening is left to the union of the rows.
+    """
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        given = {f.name.lower(): f.dataType for f in new.fields}
+        fields = [T.StructField(f.name, _union(f.dataType, given.pop(f.name.lower(), f.dataType))) for f in old.fields]
+        return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() in given])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_union(old.elementType, new.elementType))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return T.MapType(old.keyType, _union(old.valueType, new.valueType))
+    return old
+
+
+def _filled(value: Column, own: T.DataType, wanted: T.DataType) -> Column:
+    """``value`` with the fields of ``wanted`` in its order, those of its own type kept; null stays null."""
+    if isinstance(own, T.StructType) and isinstance(wanted, T.StructType):
+        mine = {f.name.lower(): f for f in own.fields}
+        parts = []
+        for f in wanted.fields:
+            held = mine.get(f.name.lower())
+            part = F.lit(None).cast(f.dataType) if held is None else _filled(value.getField(held.name), held.dataType, f.dataType)
+            parts.append(part.alias(f.name))
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(own, T.ArrayType) and isinstance(wanted, T.ArrayType) and _fields_differ(own, wanted):
+        return F.transform(value, lambda x: _filled(x, own.elementType, wanted.elementType))
+    if isinstance(own, T.MapType) and isinstance(wanted, T.MapType) and _fields_differ(own, wanted):
+        return F.transform_values(value, lambda _, x: _filled(x, own.valueType, wanted.valueType))
+    return value
+
+
 def merge_upsert(
     old: DataFrame,
     new: DataFrame,
@@ -259,9 +311,11 @@ def _compatible(a: T.DataType, b: T.DataType) -> bool:
     if type(a) is type(b) and isinstance(a, T.MapType):
         return a.keyType == b.keyType and _compatible(a.valueType, b.valueType)
     if type(a) is type(b) and isinstance(a, T.StructType):
-        return [f.name for f in a.fields] == [f.name for f in b.fields] and all(
-            _compatible(x.dataType, y.dataType) for x, y in zip(a.fields, b.fields)
-        )
+        given = {f.name.lower(): f.dataType for f in b.fields}
+        once = len(given) == len(b.fields) and len({f.name.lower() for f in a.fields}) == len(a.fields)
+        shared = [(f.dataType, given[f.name.lower()]) for f in a.fields if f.name.lower() in given]
+        # Structs without a field in common say nothing of each other.
+        return once and (bool(shared) or not a.fields or not b.fields) and all(_compatible(x, y) for x, y in shared)
     return any(isinstance(a, kind) and isinstance(b, kind) for kind in (_TEXT, _MOMENTS))
 
 

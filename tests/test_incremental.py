@@ -205,3 +205,41 @@ def test_hot_keys_are_cut_to_pieces_by_a_join(spark, plan, no_broadcast):
     assert sorted(r["v"] for r in kept.collect()) == sorted([-1, -2, -3, *[i for i in range(3_000) if i % 3 and i != 3 and i + 100 != 103]])
     text = plan(merge_upsert(old, new, "k", hot_keys=[7], task_rows=100).where("v >= 0"))
     assert "__pieces" in text and "LeftAnti" in text and "NestedLoop" not in text
+
+
+NESTED_OLD = "id long, s struct<a: int, t: struct<x: string>>, l array<struct<b: int>>, m map<string, struct<c: int>>, d array<array<struct<e: int>>>"
+NESTED_NEW = (
+    "id long, s struct<n: date, a: long, t: struct<y: int, x: string>>, l array<struct<b: int, f: string>>, "
+    "m map<string, struct<g: double, c: int>>, d array<array<struct<h: int, e: int>>>"
+)
+
+
+def test_nested_fields_are_filled(spark):
+    old = spark.createDataFrame([(1, (1, ("x",)), [(1,), None], {"k": (5,), "n": None}, [[(7,)], None]), (2, None, None, None, None)], NESTED_OLD)
+    new = spark.createDataFrame([(2, (dt.date(2024, 1, 1), 2**40, (9, "z")), [(3, "f")], {"q": (0.5, 6)}, [[(1, 2)]]), (3, (None, 3, None), [], {}, [])], NESTED_NEW)
+    merged = merge_upsert(old, new, "id").orderBy("id")
+    assert merged.select("s.*").columns == ["a", "t", "n"]
+    assert merged.schema["s"].dataType["a"].dataType.simpleString() == "bigint"
+    kind = merged.schema["l"].dataType.elementType
+    assert kind.names == ["b", "f"] and merged.schema["m"].dataType.valueType.names == ["c", "g"]
+    one, two, three = merged.collect()
+    assert one["s"].asDict(True) == {"a": 1, "t": {"x": "x", "y": None}, "n": None}
+    assert [x and tuple(x) for x in one["l"]] == [(1, None), None]
+    assert tuple(one["m"]["k"]) == (5, None) and one["m"]["n"] is None
+    assert one["d"] == [[(7, None)], None]
+    assert two["s"].asDict(True) == {"a": 2**40, "t": {"x": "z", "y": 9}, "n": dt.date(2024, 1, 1)}
+    assert [tuple(x) for x in two["l"]] == [(3, "f")] and tuple(two["m"]["q"]) == (6, 0.5) and two["d"] == [[(2, 1)]]
+    assert three["s"].asDict(True) == {"a": 3, "t": None, "n": None} and three["l"] == [] and three["m"] == {}
+    again = merge_upsert(merged, old, "id")
+    assert again.schema["s"].dataType.names == ["a", "t", "n"] and again.count() == 3
+
+
+def test_nested_fields_without_a_common_type_are_refused(spark):
+    def frame(kind):
+        return spark.createDataFrame([], f"k int, v {kind}")
+
+    for a, b in (("struct<a:int,b:string>", "struct<a:date,b:string>"), ("array<struct<a:int>>", "array<struct<b:int>>"), ("array<struct<a:long>>", "array<struct<a:double,c:int>>")):
+        with pytest.raises(TypeError, match="common type"):
+            align_schemas(frame(a), frame(b))
+    before, after = align_schemas(frame("struct<a:int,B:string>"), frame("struct<b:string,A:int,c:int>"))
+    assert before.schema["v"].dataType.names == after.schema["v"].dataType.names == ["a", "B", "c"]
