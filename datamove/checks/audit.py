@@ -6,8 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.checks.common import load
-from datamove.operators import audit_differences, profile_columns, reconcile
+from datamove.checks.common import load, staged
+from datamove.operators import audit_differences, profile_columns, profile_from_sketches, reconcile, reconcile_rows, sketch_columns
 
 PROFILED = ("customer", "part", "orders", "lineitem")
 
@@ -51,7 +51,29 @@ def differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_differences(*_source_and_damaged(spark, sf_dir))
 
 
+def rows_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines against a copy that lacks some orders, changed some, repeats one and has some of its own."""
+    lines = load(spark, sf_dir, "lineitem")
+    key = F.col("l_orderkey")
+    copy = lines.where(key % 97 != 0).withColumn("l_quantity", F.when(key % 89 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    copy = copy.unionByName(lines.where("l_orderkey = 1")).unionByName(lines.where(key % 83 == 0).withColumn("l_orderkey", -key - 1))
+    return reconcile_rows(lines, copy.select(*reversed(copy.columns)), "l_orderkey", buckets=512)
+
+
+def profiled_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines profiled in three loads; the ends are exact, the distinct counts within two percent."""
+    lines = _exact(spark, sf_dir, "lineitem")
+    loads = [sketch_columns(lines.where(F.col("l_orderkey") % 3 == i)) for i in range(3)]
+    kept = staged(reduce(DataFrame.unionByName, loads))
+    profile = profile_from_sketches(kept, lines.columns, "lake", "sales", "lineitem")
+    exact = lines.agg(*[F.count_distinct(F.col(c)).alias(c) for c in lines.columns]).unpivot([], lines.columns, "column_name", "exact")
+    close = F.abs(F.col("count") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.03 * F.col("exact"))
+    return profile.join(F.broadcast(exact), "column_name").select("column_name", "min", "max", close.alias("close"))
+
+
 QUERIES = {
+    "reconcile_rows": rows_reconciled,
+    "profile_by_load": profiled_by_load,
     "profile_columns": profiles,
     "reconcile": reconciled,
     "audit_differences": differences,
@@ -85,6 +107,14 @@ _SIDES = (
 )
 
 ORACLES = {
+    "reconcile_rows": """
+        SELECT DISTINCT l_orderkey, CASE WHEN l_orderkey % 97 = 0 THEN 'missing' ELSE 'changed' END AS change
+        FROM lineitem WHERE l_orderkey % 97 = 0 OR l_orderkey % 89 = 0 OR l_orderkey = 1
+        UNION ALL SELECT DISTINCT -l_orderkey - 1, 'extra' FROM lineitem WHERE l_orderkey % 83 = 0
+    """,
+    "profile_by_load": "SELECT column_name, min, max, true AS close FROM ("
+    + _profile_sql("lake", "sales", "lineitem", "lineitem", _COLUMNS["lineitem"])
+    + ")",
     "profile_columns": " UNION ALL ".join(_profile_sql("lake", "sales", t, t, c) for t, c in _COLUMNS.items()),
     "reconcile": f"SELECT *, 42 AS request_id FROM ({_SIDES[0]} UNION ALL {_SIDES[1]})",
     "audit_differences": f"""

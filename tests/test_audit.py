@@ -1,6 +1,17 @@
 from pyspark.sql import functions as F
 
-from datamove.operators import audit_differences, profile_columns, profile_from_summary, reconcile
+from datamove.operators import (
+    audit_differences,
+    bucket_checksums,
+    profile_columns,
+    profile_from_sketches,
+    profile_from_summary,
+    quantiles,
+    reconcile,
+    reconcile_rows,
+    sketch_columns,
+    unite_sketches,
+)
 
 SCHEMA = "id int, name string, at date"
 
@@ -73,3 +84,54 @@ def test_differences_show_missing_columns(spark):
     two = profile_columns(frame(spark).drop("at").withColumn("id", F.lit(1)), "b", "db", "t")
     got = {r.column_name: r.matches for r in audit_differences(one, two).collect()}
     assert got == {"id": False, "name": True, "at": False}
+
+
+def test_rows_that_differ_are_found_by_key(spark, plan, no_broadcast):
+    source = spark.createDataFrame([(i, f"v{i}", float(i)) for i in range(500)] + [(None, "n", 0.0), (None, "m", 0.0)], "id long, v string, w double")
+    target = source.where("id IS NULL OR id NOT IN (3, 4)").withColumn("v", F.when(F.col("id") == 7, "x").otherwise(F.col("v")))
+    target = target.unionByName(source.where("id = 9")).unionByName(spark.createDataFrame([(1000, "e", 0.0)], source.schema))
+    want = [(3, "missing"), (4, "missing"), (7, "changed"), (9, "changed"), (1000, "extra")]
+    # Columns in another order and a narrower key are the same rows.
+    other = target.select("w", F.col("id").cast("int"), "v")
+    for one in (target, other):
+        for buckets in (1, 16, 4096):
+            assert sorted(map(tuple, reconcile_rows(source, one, "id", buckets).collect())) == want
+    assert reconcile_rows(source, source, "id").isEmpty()
+    assert [tuple(r) for r in reconcile_rows(source, source.where("v <> 'n'"), "id").collect()] == [(None, "changed")]
+    assert reconcile_rows(source, source.drop("w"), "id").count() == 501
+    assert sorted(map(tuple, reconcile_rows(source, target, ["id", "v"]).collect()), key=repr)[0][:2] == (1000, "e")
+    assert reconcile_rows(source.limit(0), source.limit(0), "id").isEmpty()
+    assert "NestedLoop" not in plan(reconcile_rows(source, target, "id"))
+
+
+def test_only_a_row_for_each_bucket_and_task_moves(spark):
+    df = spark.range(100_000).withColumn("v", F.col("id") * 3)
+    sums = bucket_checksums(df, "id", 32)
+    assert sums.count() == 32 and sums.agg(F.sum("n")).first()[0] == 100_000
+    shuffled = bucket_checksums(df.orderBy(F.rand(1)), "id", 32)
+    assert sums.exceptAll(shuffled).isEmpty()
+
+
+def test_sketches_of_loads_unite(spark, tmp_path):
+    df = spark.range(60_000).select(
+        F.col("id"), (F.col("id") % 1000).cast("decimal(10,2)").alias("d"), F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("s"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 400).cast("int")).alias("t"), F.create_map(F.lit("k"), F.col("id") % 7).alias("m"),
+        F.when(F.col("id") % 10 == 0, float("nan")).otherwise(F.col("id") / 2).alias("x"), F.lit(None).cast("int").alias("none"),
+    )
+    path = f"{tmp_path}/sketches"
+    for i in range(4):
+        sketch_columns(df.where(F.col("id") % 4 == i)).write.mode("append").parquet(path)
+    kept = spark.read.parquet(path)
+    assert kept.count() == 4
+    got = {r["column_name"]: r for r in profile_from_sketches(kept, df.columns, "lake", "s", "t").collect()}
+    exact = {r["column_name"]: r for r in profile_columns(df, "lake", "s", "t").collect()}
+    for name in df.columns:
+        if name not in ("m",):
+            assert (got[name]["min"], got[name]["max"]) == (exact[name]["min"], exact[name]["max"]), name
+        assert abs(got[name]["count"] - exact[name]["count"]) <= 0.03 * exact[name]["count"], name
+    ranks = {(r["column_name"], r["share"]): r["value"] for r in quantiles(kept, df.columns, [0.1, 0.5, 0.9]).collect()}
+    assert {n for n, _ in ranks} == {"id", "d", "x", "none"} and ranks["none", 0.5] is None
+    for share in (0.1, 0.5, 0.9):
+        assert abs(ranks["id", share] / 60_000 - share) < 0.02
+    united = unite_sketches(kept).first()
+    assert united["rows"] == 60_000 and united["nulls2"] == 30_000 and united["nulls6"] == 60_000
