@@ -2,8 +2,9 @@
 
 The standard library's parser streams a page's events.  Each block of text is a line with a
 ratio of characters to tags; the ratios are smoothed by a Gaussian, and a threshold parts the
-lines of content from the rest.  Regions of the page that hold such lines are kept whole, less
-what the markup itself calls a menu, header, footer, sidebar, notice, advert, form or comment.
+lines of content from the rest.  Regions of the page that hold such lines are kept whole, whatever the markup calls them,
+and no others are.  Of dense regions those go that the markup calls a menu, header, footer, sidebar, notice, advert, form
+or comment, and where one of them is the page's article, those outside it.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ NAMES = frozenset(
 
 ARTICLES = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-REGIONS = frozenset(("body", "div", "section", "td", "table"))
+REGIONS = ARTICLES | frozenset("aside body dialog div footer form header menu nav section table td".split())
 CLOSES_P = BLOCKS - {"html", "body", "head"}
 NAME = re.compile(r"[a-z]+")
 
@@ -97,7 +98,7 @@ class Lines(HTMLParser):
         # An article's own headings stay, whatever they are called.
         named = self._named(tag, attrs) and not (article and tag in HEADINGS)
         outside = outside or tag in OUTSIDE or (tag == "header" and not article) or named
-        if not article and (tag in ARTICLES or tag in REGIONS):
+        if tag in REGIONS:
             self.regions += 1
             region = self.regions
         self.open.append((tag, outside, region, article or tag in ARTICLES))
@@ -149,10 +150,15 @@ class Lines(HTMLParser):
         self._flush()
 
 
+def reach(sigma: float) -> int:
+    """Lines to either side that smoothing takes into account."""
+    return max(1, int(np.ceil(3 * sigma)))
+
+
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
-    reach = max(1, int(np.ceil(3 * sigma)))
-    kernel = np.exp(-(np.arange(-reach, reach + 1) ** 2) / (2 * sigma * sigma))
-    return np.convolve(ratios, kernel / kernel.sum(), mode="full")[reach:-reach]
+    most = reach(sigma)
+    kernel = np.exp(-(np.arange(-most, most + 1) ** 2) / (2 * sigma * sigma))
+    return np.convolve(ratios, kernel / kernel.sum(), mode="full")[most:-most]
 
 
 def content_blocks(html: str) -> list[str]:
@@ -161,23 +167,21 @@ def content_blocks(html: str) -> list[str]:
     parser.feed(html)
     parser.close()
     lines = parser.lines
-    if not any(line.inside for line in lines):
+    if not lines:
         return []
     raw = np.array([len(line.text) / max(1, line.tags) for line in lines])
-    ratios = smoothed(raw)
+    ratios = smoothed(raw, SIGMA)
     threshold = LAMBDA * ratios.std()
-    # Smoothing lifts the neighbours of content over the threshold; a line that opens a region
-    # as content must be over it by itself too.
-    ratios = np.minimum(ratios, raw)
-    # Where the page marks its article, only that is asked about.
-    marked = any(line.inside and line.article for line in lines)
-    dense: dict[int, float] = {}
-    for line, ratio in zip(lines, ratios):
-        if line.inside and (line.article or not marked):
-            dense[line.region] = max(dense.get(line.region, 0.0), ratio)
-    most = max(dense.values())
-    chosen = {region for region, ratio in dense.items() if ratio >= threshold or ratio == most}
-    return [line.text for line in lines if line.inside and line.region in chosen and (line.article or not marked)]
+    # Smoothing lifts the neighbours of content over the threshold; a line that makes a region
+    # content must be over it by itself too.
+    dense = {line.region for line, ratio in zip(lines, np.minimum(ratios, raw)) if ratio >= threshold}
+    kept = [line for line in lines if line.inside and line.region in dense]
+    article = [line for line in lines if line.inside and line.article]
+    if article and len(article) <= reach(SIGMA):
+        return [line.text for line in article]  # too few lines for ratios to tell
+    if any(line.article for line in kept):
+        kept = [line for line in kept if line.article]
+    return [line.text for line in kept]
 
 
 def extract_text(pages: DataFrame, keep: Sequence[str], *, html: str = "html") -> DataFrame:

@@ -1,6 +1,7 @@
 """Main texts of pages."""
 
 import numpy as np
+from datamove.llm import html_text
 from datamove.llm.html_text import content_blocks, extract_text, smoothed
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
@@ -39,3 +40,42 @@ def test_whole_table(spark, sf_dir):
     assert len(rows) == pages.count()
     for row in rows:
         assert row["text"] and "track(" not in row["text"] and "©" not in row["text"]
+
+
+LONG = "A paragraph of the main text that goes on for a while, with many words and hardly any tags in between. "
+
+
+def test_ratios_part_regions_that_markup_does_not_name():
+    links = "".join(f"<p><a href=/{i}>Topic {i}</a></p>" for i in range(12))
+    page = (
+        f"<div>{links}</div><div><p><b>Buy</b> <i>now</i></p></div>"
+        f"<div><h1>Title</h1><p>{LONG * 2}</p><p>Short.</p><div><p><a>Tag</a> <a>Tag</a></p></div><p>{LONG * 3}</p></div><div><p><a>Top</a></p></div>"
+    )
+    assert content_blocks(page) == ["Title", (LONG * 2).strip(), "Short.", (LONG * 3).strip()]
+
+
+def test_regions_of_an_article_are_parted_too():
+    rail = "".join(f"<p><a href=/{i}>Story {i}</a></p>" for i in range(9))
+    page = f"<article><h1>Title</h1><p>{LONG * 2}</p><div>{rail}</div><p>{LONG}</p><p>End.</p></article>"
+    assert content_blocks(page) == ["Title", (LONG * 2).strip(), LONG.strip(), "End."]
+
+
+def test_sparse_regions_go_without_a_name(monkeypatch):
+    monkeypatch.setattr(html_text, "NAMES", frozenset())
+    monkeypatch.setattr(html_text, "OUTSIDE", html_text.OUTSIDE - {"nav", "footer", "aside", "form"})
+    page = f"<nav><ul>{'<li><a href=x>Link</a>' * 8}</ul></nav><div class=ad>Buy now.</div><article><h1>T</h1>{f'<p>{LONG}</p>' * 5}</article><footer>me</footer>"
+    assert content_blocks(page) == ["T", *[LONG.strip()] * 5]
+
+
+def test_an_article_of_few_lines_is_taken_as_marked():
+    page = "<nav><ul><li><a>One</a></ul></nav><div>A much longer line than all that the article has.</div><article><h1>T</h1><p><b>Short</b></article>"
+    assert content_blocks(page) == ["T", "Short"]
+
+
+def test_threshold_and_smoothing_decide_pages(spark, monkeypatch):
+    html = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").collect()[:500]]
+    before = [content_blocks(h or "") for h in html]
+    for name, value, least in (("LAMBDA", 1e9, 200), ("LAMBDA", 3.5, 3), ("SIGMA", 0.2, 1)):
+        with monkeypatch.context() as other:
+            other.setattr(html_text, name, value)
+            assert sum(content_blocks(h or "") != b for h, b in zip(html, before)) >= least, (name, value)
