@@ -37,8 +37,8 @@ CELL_SHINGLES = 2_000_000
 # part, each is joined to the first.
 MOST_MEETING = 4096
 
-# Up to so many sets every pair is looked at without a tree.
-FEW = 12
+# Up to so many sets each is bounded against all before it at once, without a tree.
+FEW = 64
 
 # A count of a point that is so large or more bounds nothing.
 FULL = 255
@@ -275,16 +275,17 @@ def joined_points(sizes: np.ndarray, vectors: list[np.ndarray], rule: Rule) -> n
     """For each point the first one it is joined to by pairs that may link."""
     n = len(sizes)
     labels = np.arange(n)
-    if n > FEW:
-        width = min(GROUPS, *[len(v) for v in vectors])
-        low = np.array([folded(v, width) for v in vectors])
-        low[low >= FULL] = sizes.max()
-        tree = CountTree(low, sizes, rule)
+    width = min([len(v) for v in vectors] + [GROUPS] * (n > FEW))
+    low = np.stack([folded(v, width) for v in vectors])
+    low[low >= FULL] = sizes.max()
+    tree = CountTree(low, sizes, rule) if n > FEW else None
     for i in range(n):
-        least, most = rule.smallest(int(sizes[i])), rule.largest(int(sizes[i]))
-        others = tree.candidates(i, labels) if n > FEW else range(i)
+        if tree is None:
+            others = np.flatnonzero(rule.links(np.minimum(low[:i], low[i]).sum(1), sizes[:i] + sizes[i])).tolist()
+        else:
+            others = tree.candidates(i, labels)
         for j in others:
-            if labels[j] != labels[i] and least <= sizes[j] <= most and may_link(vectors[i], vectors[j], int(sizes[i] + sizes[j]), rule):
+            if labels[j] != labels[i] and may_link(vectors[i], vectors[j], int(sizes[i] + sizes[j]), rule):
                 labels[labels == max(labels[i], labels[j])] = min(labels[i], labels[j])
     return labels
 
