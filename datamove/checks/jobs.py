@@ -115,6 +115,28 @@ def loaded_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.withColumns({"o_orderkey": F.col("o_orderkey").cast("long"), "o_orderdate": F.col("o_orderdate").cast("string")})
 
 
+def _control(spark: SparkSession, table: list, properties: list = (), options: list = ()) -> dict[str, DataFrame]:
+    """Control tables of group ``g``, from rows of layer, extract type, schema, name, target schema, target name, query."""
+    head = "storage_layer string, extract_type string, obj_schema string, obj_name string, target_obj_schema string, target_obj_name string, transform_query string"
+    flags = "logical_group_id string, run_priority int, custom_flag boolean, delimiter_val string, inc_header boolean, is_incremental boolean, to_validate boolean, is_valid boolean"
+    rows = [(*row, "g", i, False, None, True, False, False, True) for i, row in enumerate(table)]
+    return {
+        "meta_table_map": spark.createDataFrame(rows, f"{head}, {flags}"),
+        "meta_logical_map": spark.createDataFrame([("g", "acme", "lake", "lake")], "logical_group_id string, group_name string, obj_source string, obj_target string"),
+        "meta_object_connection_map": spark.createDataFrame([("lake", "LAKE")], "obj_connection string, connection_type string"),
+        "meta_object_flip": spark.createDataFrame([], "target_obj_schema string, target_obj_name string, pb_flip string"),
+        "meta_custom_query": spark.createDataFrame([], "logical_group_id string, obj_schema string, obj_name string, custom_query string"),
+        "meta_raw_properties": spark.createDataFrame(
+            [("g", *row) for row in properties],
+            "logical_group_id string, obj_schema string, obj_name string, source_partition_flag boolean, source_primary_key string, "
+            "target_partition_flag boolean, target_partition_column string, source_partitions int, target_partitions int",
+        ),
+        "meta_load_options": spark.createDataFrame(
+            [("g", *row) for row in options], "logical_group_id string, obj_schema string, obj_name string, option_name string, option_value string"
+        ),
+    }
+
+
 def ran_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A group of control-table rows in the layers R, F, C and P."""
     layout, source = scratch_layout(spark, "acme"), scratch_path(spark, "source")
@@ -130,21 +152,7 @@ def ran_group(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("C", None, None, None, None, "segments", joined),
         ("P", None, None, "segments", "w", "segments", "(c_mktsegment string, n bigint, newest bigint)"),
     ]
-    head = "storage_layer string, extract_type string, obj_schema string, obj_name string, target_obj_schema string, target_obj_name string, transform_query string"
-    flags = "logical_group_id string, run_priority int, custom_flag boolean, delimiter_val string, inc_header boolean, is_incremental boolean, to_validate boolean, is_valid boolean"
-    rows = [(*row, "g", i, False, None, True, False, False, True) for i, row in enumerate(table)]
-    control = {
-        "meta_table_map": spark.createDataFrame(rows, f"{head}, {flags}"),
-        "meta_logical_map": spark.createDataFrame([("g", "acme", "lake", "lake")], "logical_group_id string, group_name string, obj_source string, obj_target string"),
-        "meta_object_connection_map": spark.createDataFrame([("lake", "LAKE")], "obj_connection string, connection_type string"),
-        "meta_object_flip": spark.createDataFrame([], "target_obj_schema string, target_obj_name string, pb_flip string"),
-        "meta_custom_query": spark.createDataFrame([], "logical_group_id string, obj_schema string, obj_name string, custom_query string"),
-        "meta_raw_properties": spark.createDataFrame(
-            [],
-            "logical_group_id string, obj_schema string, obj_name string, source_partition_flag boolean, source_primary_key string, "
-            "target_partition_flag boolean, target_partition_column string, source_partitions int, target_partitions int",
-        ),
-    }
+    control = _control(spark, table)
     sources = {"lake": ParquetSource(location=f"{source}/{{table}}")}
     flips = Flips(spark, scratch_place(spark, "flips"))
     outcomes = run_group(control, "g", lambda job: run_job(spark, job, layout, sources), flips)
@@ -154,6 +162,30 @@ def ran_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes[-1].result
 
 
+def ran_group_with_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of odd names and types by partition, and customers from JSON lines, as rows of the options table say."""
+    layout, source = scratch_layout(spark, "acme"), scratch_path(spark, "source")
+    orders = load(spark, sf_dir, "orders").withColumn("o_orderkey", F.col("o_orderkey").cast("decimal(38,10)"))
+    orders = orders.withColumn("O_ORDERDATE", F.col("o_orderdate") + F.expr("interval 13 hours"))
+    orders.withColumnRenamed("o_custkey", "O_CUSTKEY").write.parquet(f"{source}/sales.orders")
+    load(spark, sf_dir, "customer").repartition(5).write.json(f"{layout.landing('acme', 'crm')}/drop")
+    table = [("R", "TB", "sales", "orders", None, None, None), ("F", "JS", "crm", "part", "crm", "customers", None)]
+    options = {
+        ("sales", "orders"): {"normalize": "true", "unbounded": "o_orderkey", "row_ids": "O_CUSTKEY", "dates": "o_orderdate", "in_partitions": "true"},
+        ("crm", "part"): {"multi_line": "false", "files_per_batch": "2"},
+    }
+    listed = [(*obj, name, value) for obj, named in options.items() for name, value in named.items()]
+    control = _control(spark, table, [("sales", "orders", True, "o_orderkey", True, "o_orderstatus", 1, 0)], listed)
+    sources = {"lake": ParquetSource(location=f"{source}/{{table}}")}
+    for outcome in run_group(control, "g", lambda job: run_job(spark, job, layout, sources)):
+        if outcome.error is not None:
+            raise outcome.error
+    loaded = spark.table(layout.raw("acme", "sales", "orders").table)
+    customers = spark.table(layout.raw("acme", "crm", "customers").table)
+    joined = loaded.join(customers, F.col("o_custkey") == F.col("c_custkey").cast("string"))
+    return joined.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("string").alias("o_orderdate"), "c_mktsegment")
+
+
 def _audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows that the load of all orders leaves behind."""
     target, root = scratch_place(spark, "sales__orders"), scratch_path(spark, "source")
@@ -175,6 +207,7 @@ QUERIES = {
     "load_raw_normalized": loaded_normalized,
     "run_jobs": ran_jobs,
     "run_group": ran_group,
+    "run_group_options": ran_group_with_options,
 }
 
 _MERGED = f"""
@@ -209,5 +242,9 @@ ORACLES = {
         SELECT c_mktsegment, count(*) AS n, max(o_orderkey) AS newest
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
     """,
+    "run_group_options": """
+        SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, c_mktsegment
+        FROM orders JOIN customer ON o_custkey = c_custkey
+    """,
     "run_jobs": CONFORMED.format(orders="orders"),
 }

@@ -247,7 +247,7 @@ def _anti_join_spread(old: DataFrame, replaced: DataFrame, keys: list[str], cand
     hot = _hot(old, keys[0], candidates, task_rows) if candidates else None
     if hot is None:
         piece = F.when(~_all_present(keys), spread).otherwise(0)
-        replaced = replaced.withColumn(_PIECE, F.lit(0))
+        replaced = replaced.withColumn(_PIECE, zero(*[F.col(_quoted(k)) for k in keys]))
     else:
         # One row for each key with more rows than a task takes: fewer than the table has tasks.
         pieces = F.coalesce(F.col(_PIECES), F.lit(1))
@@ -271,6 +271,11 @@ def _hot(old: DataFrame, key: str, candidates: list[Any], task_rows: int) -> Dat
     return F.broadcast(spark.createDataFrame([(k, -(-n // task_rows)) for k, n in found], schema))
 
 
+def zero(*columns: Column) -> Column:
+    """Zero for every row.  Spark does not know that it is constant, so a join on it still deals rows out by it."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1)).cast("int")
+
+
 def _stored_name(df: DataFrame, name: str) -> str:
     return next((c for c in df.columns if c.lower() == name.lower()), name)
 

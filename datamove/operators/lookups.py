@@ -8,6 +8,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from datamove.operators.incremental import row_hash, zero
+
 
 @dataclass(frozen=True)
 class Lookup:
@@ -39,7 +41,8 @@ def resolve_lookups(
     contributes and its columns are renamed per role, so nothing is ambiguous, and a later
     lookup may join on what an earlier one added.  No side is forced to be broadcast: the
     optimizer does that below its size threshold and otherwise shuffles on the key,
-    splitting hot keys at run time.
+    splitting hot keys at run time.  Facts without a key of an optional lookup match nothing and are
+    dealt out over all tasks by a hash of the row instead of meeting in one.
     """
     resolved = fact if valid is None else fact.where(valid)
     for role, lookup in enumerate(lookups):
@@ -58,11 +61,18 @@ def _join(fact: DataFrame, lookup: Lookup, prefix: str) -> DataFrame:
             value = F.when(frame[lookup.only_if[out]], value)
         values.append(value.alias(f"{prefix}v_{out}"))
     side = frame.select(*keys, *values)
-    if not lookup.required:
-        side = side.withColumn(matched, F.lit(True))
+    columns = fact.columns
     condition = F.lit(True)
     for i, here in enumerate(lookup.on):
         condition = condition & (F.col(here) == F.col(f"{prefix}k{i}"))
+    if not lookup.required:
+        side = side.withColumn(matched, F.lit(True)).withColumn(f"{prefix}there", zero(*[F.col(f"{prefix}k{i}") for i in range(len(keys))]).cast("long"))
+        missing = F.lit(False)
+        for here in lookup.on:
+            missing = missing | F.col(here).isNull()
+        if any(fact.select(here).schema[0].nullable for here in lookup.on):
+            fact = fact.withColumn(f"{prefix}here", F.when(missing, row_hash(fact)).otherwise(F.lit(0).cast("long")))
+            condition = condition & (F.col(f"{prefix}here") == F.col(f"{prefix}there"))
     joined = fact.join(side, condition, "inner" if lookup.required else "left")
 
     def output(name: str) -> Column:
@@ -71,4 +81,4 @@ def _join(fact: DataFrame, lookup: Lookup, prefix: str) -> DataFrame:
             value = F.when(F.col(matched), value).otherwise(F.lit(lookup.defaults[name]))
         return value.alias(name)
 
-    return joined.select(*fact.columns, *[output(name) for name in lookup.columns])
+    return joined.select(*columns, *[output(name) for name in lookup.columns])

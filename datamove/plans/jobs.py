@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, fields, replace
 from typing import Any
@@ -48,6 +49,48 @@ class Job:
     source_partitions: int
     target_partitions: int
     pb_flip: str | None = None
+    options: Mapping[str, str] | None = None
+
+
+def _flag(text: str) -> bool:
+    if text.strip().lower() not in ("true", "false"):
+        raise ValueError(f"expected true or false, not {text!r}")
+    return text.strip().lower() == "true"
+
+
+def _names(text: str) -> tuple[str, ...]:
+    return tuple(n.strip() for n in text.split(",") if n.strip())
+
+
+def _minutes(text: str) -> dt.timedelta:
+    return dt.timedelta(minutes=float(text))
+
+
+# What a row of the options table may set for a raw load and for a file load, and how its text is read.
+RAW_OPTIONS: Mapping[str, Callable[[str], Any]] = {
+    "dates": _names,
+    "unbounded": _names,
+    "row_ids": _names,
+    "split_by": str,
+    "overlap": _minutes,
+    "latest_only": _flag,
+    "normalize": _flag,
+    "in_partitions": _flag,
+    "spread_hot_keys": _flag,
+    "buckets": int,
+    "slices": int,
+    "broadcast_bytes": int,
+}
+FILE_OPTIONS: Mapping[str, Callable[[str], Any]] = {"multi_line": _flag, "files_per_batch": int, "evolve": _flag}
+
+
+def job_options(job: Job, known: Mapping[str, Callable[[str], Any]]) -> dict[str, Any]:
+    """The job's options as values; one that its layer does not know is an error."""
+    given = job.options or {}
+    unknown = sorted(given.keys() - known.keys())
+    if unknown:
+        raise ValueError(f"unknown options {unknown}, expected some of {sorted(known)}")
+    return {name: known[name](text) for name, text in given.items() if text is not None}
 
 
 @dataclass(frozen=True)
@@ -64,7 +107,9 @@ def jobs_for_group(control: Mapping[str, DataFrame], group_id: str) -> DataFrame
 
     ``control`` holds the control tables by name.  Source and target connection are two
     required roles of one table; custom queries and load properties may be missing, the
-    latter then defaulting to one source partition and automatic target files.
+    latter then defaulting to one source partition and automatic target files.  The table
+    ``meta_load_options``, where there is one, has a row for each further option of an object: ``option_name`` and
+    ``option_value``, a text (see ``RAW_OPTIONS`` and ``FILE_OPTIONS``).
     """
     connections = control["meta_object_connection_map"]
     tables = control["meta_table_map"].where(F.col("logical_group_id") == group_id)
@@ -107,6 +152,7 @@ def jobs_for_group(control: Mapping[str, DataFrame], group_id: str) -> DataFrame
         ],
         valid=F.col("is_valid"),
     )
+    resolved = _with_options(resolved, control.get("meta_load_options"), on_object)
     return (
         resolved.withColumn("custom_query", F.when(F.col("custom_flag"), F.col("found_query")))
         .select(*[f.name for f in fields(Job)])
@@ -114,6 +160,14 @@ def jobs_for_group(control: Mapping[str, DataFrame], group_id: str) -> DataFrame
     )
 
 
+def _with_options(jobs: DataFrame, options: DataFrame | None, on_object: Mapping[str, str]) -> DataFrame:
+    if options is None:
+        return jobs.withColumn("options", F.lit(None).cast("map<string,string>"))
+    named = F.map_from_entries(F.collect_list(F.struct("option_name", "option_value")))
+    grouped = options.groupBy(*on_object).agg(named.alias("options"))
+    return resolve_lookups(jobs, [Lookup(grouped, on_object, {"options": "options"}, required=False)])
+
+
 def to_jobs(resolved: DataFrame) -> list[Job]:
     """Jobs in run order; a group has as many as its control table has rows."""
     return [Job(**row.asDict()) for row in resolved.collect()]
@@ -212,7 +266,7 @@ def _raw(spark, job, layout, sources, update_column, request_id):
         raise ValueError(f"unknown extract type {job.extract_type!r}, expected one of {sorted(EXTRACTS)}")
     queried = job.extract_type == "QY"
     query = job.custom_query if queried else None
-    load = RawLoad(
+    settings = dict(
         table=f"{job.obj_schema}.{job.obj_name}",
         target=layout.raw(job.group_name, job.obj_schema, job.obj_name),
         key=job.source_primary_key,
@@ -227,7 +281,7 @@ def _raw(spark, job, layout, sources, update_column, request_id):
         audit=job.to_validate,
         request_id=request_id,
     )
-    return load_raw(spark, sources[job.obj_source], load)
+    return load_raw(spark, sources[job.obj_source], RawLoad(**settings | job_options(job, RAW_OPTIONS)))
 
 
 def _files(spark, job, layout, schema):
@@ -240,6 +294,7 @@ def _files(spark, job, layout, schema):
         delimiter=job.delimiter_val,
         header=job.inc_header,
         archive=layout.processed(job.group_name, job.obj_schema),
+        **job_options(job, FILE_OPTIONS),
     )
     # Each target keeps its own record of the files it took.
     checkpoint = f"{place.path}_checkpoint"

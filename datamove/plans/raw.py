@@ -200,6 +200,8 @@ def _watermark(spark: SparkSession, load: RawLoad, loaded: DataFrame) -> Any:
     noted = view_property(spark, load.target, _WATERMARK)
     if noted is None:
         return high_watermark(loaded, column)
+    if isinstance(loaded.schema[column].dataType, T.DateType):
+        return dt.date.fromisoformat(noted)
     moment = dt.datetime.fromisoformat(noted)
     # As Spark hands it out: in the driver's local time.
     return moment if moment.tzinfo is None else moment.astimezone().replace(tzinfo=None)
@@ -209,7 +211,7 @@ def _note(newest: Any, kind: T.DataType) -> dict[str, str]:
     """The property that notes a watermark: an instant in UTC, or a wall-clock time as it is."""
     if isinstance(newest, dt.datetime) and isinstance(kind, T.TimestampType):
         newest = newest.astimezone(dt.timezone.utc)
-    return {_WATERMARK: newest.isoformat()} if isinstance(newest, dt.datetime) else {}
+    return {_WATERMARK: newest.isoformat()} if isinstance(newest, dt.date) else {}
 
 
 def _stored(load: RawLoad, column: str) -> str:

@@ -243,3 +243,14 @@ def test_nested_fields_without_a_common_type_are_refused(spark):
             align_schemas(frame(a), frame(b))
     before, after = align_schemas(frame("struct<a:int,B:string>"), frame("struct<b:string,A:int,c:int>"))
     assert before.schema["v"].dataType.names == after.schema["v"].dataType.names == ["a", "B", "c"]
+
+
+def test_old_rows_without_a_key_do_not_meet_in_one_task(spark, no_broadcast):
+    old = spark.range(8_000).select(F.when(F.col("id") % 4 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    new = spark.range(0, 8_000, 400).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        held = merge_upsert(old, new, "k").where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in held) == 6_000 and len(held) == 8 and max(r["count"] for r in held) < 1_500

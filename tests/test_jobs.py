@@ -240,3 +240,33 @@ def test_flip_is_recorded_or_added(spark):
     fresh = job(target_obj_schema="acme", target_obj_name="new")
     assert rows(record_flip(flips, known, "_a")) == [("acme", "t", "_a", "_a")]
     assert rows(record_flip(flips, fresh, "_a")) == [("acme", "new", None, "_a"), ("acme", "t", "_a", "_b")]
+
+
+def test_options_of_jobs(spark):
+    from dataclasses import replace
+
+    from datamove.plans.jobs import FILE_OPTIONS, RAW_OPTIONS, job_options
+
+    rows = [("g1", "db", "t", "overlap", "90"), ("g1", "db", "t", "dates", "a, b"), ("g1", "db", "t", "latest_only", "True"), ("g1", "other", "t", "slices", "4")]
+    kind = "logical_group_id string, obj_schema string, obj_name string, option_name string, option_value string"
+    tables = control(spark) | {"meta_load_options": spark.createDataFrame(rows, kind)}
+    job = to_jobs(jobs_for_group(tables, "g1"))[0]
+    assert job_options(job, RAW_OPTIONS) == {"overlap": dt.timedelta(minutes=90), "dates": ("a", "b"), "latest_only": True}
+    assert to_jobs(jobs_for_group(control(spark), "g1"))[0].options is None
+    with pytest.raises(ValueError, match="unknown options"):
+        job_options(job, FILE_OPTIONS)
+    with pytest.raises(ValueError, match="true or false"):
+        job_options(replace(job, options={"latest_only": "yes"}), RAW_OPTIONS)
+
+
+def test_date_watermarks_are_noted(spark, place, tmp_path):
+    schema = "id long, update_timestamp date"
+    load = RawLoad("db.t", place, key="id", incremental=True)
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    load_raw(spark, source(spark, f"{tmp_path}/1", [(1, days[0])], schema), load)
+    assert load_raw(spark, source(spark, f"{tmp_path}/2", [(2, days[1])], schema), load).kind == "merged"
+    noted = spark.sql(f"SHOW TBLPROPERTIES {place.table}").where("key = 'datamove.watermark'").first()
+    assert noted["value"] == "2024-01-02"
+    feed = source(spark, f"{tmp_path}/3", [(2, days[1]), (3, days[2])], schema)
+    assert load_raw(spark, feed, load).rows == 3
+    assert load_raw(spark, feed, load).kind == "unchanged"

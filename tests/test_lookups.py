@@ -60,3 +60,17 @@ def test_lookups_read_only_what_they_give(spark, tmp_path, plan):
 def test_no_broadcast_is_forced(spark, plan, no_broadcast):
     out = resolve_lookups(spark.range(3), [Lookup(spark.range(3), {"id": "id"}, {"other": "id"})])
     assert "SortMergeJoin" in plan(out)
+
+
+def test_facts_without_a_key_do_not_meet_in_one_task(spark, no_broadcast):
+    fact = spark.range(8_000).select(F.when(F.col("id") % 4 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    side = spark.range(0, 8_000, 8).select(F.col("id").alias("key"), F.lit("x").alias("name"))
+    found = resolve_lookups(fact, [Lookup(side, {"k": "key"}, {"name": "name"}, required=False, defaults={"name": "none"})])
+    assert found.columns == ["k", "v", "name"]
+    assert found.where("name = 'x'").count() == 1_000 and found.where("name = 'none' AND k IS NULL").count() == 6_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        held = found.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) == 8 and max(r["count"] for r in held) < 1_500
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
