@@ -34,14 +34,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-# Host labels of the sites whose pages make up the list.
-LISTED_SITES = r"(^|\.)(spam-farm|casino-win|cheap-pills|ads-track|free-bets|adult-x)\."
-
-
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the addresses that pages of several spellings lead to, as crawlers meet them without end."""
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
-    host, _ = urlfilter.url_parts(F.col("url"))
-    return urlfilter.judge_urls(pages, pages.where(host.rlike(LISTED_SITES)), ["page_id"])
+    address = urlfilter.canonical(*urlfilter.url_parts(F.col("url")))
+    spelled = pages.groupBy(address.alias("address")).agg(F.min("url").alias("url"), F.max("url").alias("other"))
+    return urlfilter.judge_urls(pages, spelled.where("address IS NOT NULL AND url <> other"), ["page_id"])
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +175,7 @@ ORACLES = {
                 WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule,
                 CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '') END AS canonical
             FROM h),
-        listed AS (SELECT DISTINCT canonical FROM r WHERE regexp_matches(host, '{LISTED_SITES}'))
+        listed AS (SELECT canonical FROM r JOIN pages USING (page_id) WHERE canonical IS NOT NULL GROUP BY canonical HAVING min(url) <> max(url))
         SELECT page_id, host, path, rule, CASE
             WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict

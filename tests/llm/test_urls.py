@@ -66,3 +66,18 @@ def test_filter_lets_every_listed_key_through_and_few_others(spark):
 def test_empty_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert urlfilter.judge_urls(pages, pages, ["page_id"]).collect() == []
+
+
+def test_the_join_alone_blocks_pages(spark):
+    from datamove.llm.queries import QUERIES
+
+    directory = "/root/testdata/sf0.1"
+    judged = QUERIES["op3_url_filter"](spark, directory).where("rule IS NULL").select("page_id", "verdict")
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{directory}/pages.parquet").select("page_id", "url").collect()}
+    spellings = {}
+    for url in urls.values():
+        host, path = parts(url)
+        spellings.setdefault((host.removeprefix("www.").removeprefix("m.") if host.startswith(("www.", "m.")) else host, path.rstrip("/")), set()).add(url)
+    several = {u for found in spellings.values() if len(found) > 1 for u in found}
+    rows = judged.collect()
+    assert {r["page_id"] for r in rows if r["verdict"] == "block"} == {r["page_id"] for r in rows if urls[r["page_id"]] in several} != set()
