@@ -192,9 +192,12 @@ def find_passages(
     ``BLOCK_WORDS`` benchmark words, of which the driver and a task hold one at a time.
     """
     context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(tables) for tables in _item_blocks(benchmark, item, item_text, window)]
-    for block in blocks[:-1]:
-        vars(block).pop("_value", None)
+    blocks = []
+    for tables in _item_blocks(benchmark, item, item_text, window):
+        blocks.append(context.broadcast(tables))
+        # Written for the tasks by now; the driver lets go of it before it makes the next one.
+        vars(blocks[-1]).pop("_value", None)
+        del tables
 
     def work(columns: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         for column in columns:
