@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from datamove.checks.common import day_text, load, readable, register
 from datamove.functions import flatten_structs, normalize_types
+from datamove.session import scratch_path
 from datamove.sources import (
     CatalogSource,
     ParquetSource,
+    extract_balanced,
     extract_keyrange,
     extract_query,
     extract_table,
     key_bounds,
     key_range,
+    range_of,
 )
 
 RANGES = 16
@@ -45,6 +48,27 @@ def extract_by_keyrange(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extract_in_balanced_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose keys lie ever further apart, in ranges of about equally many rows; some lines have no key."""
+    source, root = _source(sf_dir), scratch_path(spark, "source")
+    far = F.when(F.col("l_linenumber") < 6, F.col("l_orderkey") * F.col("l_orderkey"))
+    load(spark, sf_dir, "lineitem").withColumn("far", far).write.parquet(f"{root}/lines")
+    source = ParquetSource(location=f"{root}/{{table}}")
+    cuts = source.cuts(spark, "lines", "far", RANGES)
+    rows = extract_balanced(spark, source, "lines", "far", RANGES, cuts)
+    ranges = rows.groupBy(range_of("far", cuts).alias("range_id")).agg(
+        F.count("far").alias("keys"), F.count(F.lit(1)).alias("n"), F.min("far").alias("lo"), F.max("far").alias("hi")
+    )
+    before = F.max("hi").over(Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.withColumn("apart", F.coalesce(F.col("lo") > before, F.lit(True)))
+    share = F.sum("keys").over(Window.partitionBy(F.lit(1))) / RANGES
+    even = F.col("keys").between(0.9 * share - 7, 1.1 * share + 7)
+    return ranges.withColumn("even", even).agg(
+        F.count(F.lit(1)).alias("ranges"), F.sum("n").alias("n"), F.min("apart").alias("apart"), F.min("even").alias("even"),
+        F.sum(F.when(F.col("range_id") == 0, F.col("n") - F.col("keys"))).alias("without_key"),
+    )
+
+
 def bounds_of_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = {"orders": "o_orderkey", "customer": "c_custkey", "lineitem": "l_orderkey"}
     found = [(t, *key_bounds(spark, _source(sf_dir), t, k)) for t, k in keys.items()]
@@ -83,6 +107,7 @@ QUERIES = {
     "extract_full": extract_full,
     "extract_query": extract_by_query,
     "extract_keyrange": extract_by_keyrange,
+    "extract_balanced": extract_in_balanced_ranges,
     "key_bounds": bounds_of_keys,
     "normalize_types": normalized,
     "flatten_structs": flattened,
@@ -104,6 +129,9 @@ ORACLES = {
                count(*) AS n, min(l_partkey) AS lo, max(l_partkey) AS hi
         FROM lineitem, b GROUP BY 1
     """,
+    "extract_balanced": f"""
+        SELECT {RANGES} AS ranges, count(*) AS n, true AS apart, true AS even, count(*) FILTER (l_linenumber >= 6) AS without_key FROM lineitem
+    """,
     "key_bounds": """
         SELECT 'orders' AS table_name, min(o_orderkey) AS lower_bound, max(o_orderkey) AS upper_bound, count(*) AS n FROM orders
         UNION ALL SELECT 'customer', min(c_custkey), max(c_custkey), count(*) FROM customer

@@ -72,6 +72,7 @@ RAW_OPTIONS: Mapping[str, Callable[[str], Any]] = {
     "unbounded": _names,
     "row_ids": _names,
     "split_by": str,
+    "balanced": _flag,
     "overlap": _minutes,
     "latest_only": _flag,
     "normalize": _flag,

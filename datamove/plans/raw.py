@@ -24,7 +24,7 @@ from datamove.session import drop_path, scratch_path
 from datamove.sinks.publish import EmptyResult, active_copy, publish_ab, view_property
 from datamove.sinks.tables import merge_into_partitions, write_table
 from datamove.sinks.versions import Slices, current_version, merge_or_publish_version, publish_version
-from datamove.sources.extract import JdbcSource, Source, extract_keyrange, extract_query, extract_table
+from datamove.sources.extract import JdbcSource, Source, extract_balanced, extract_keyrange, extract_query, extract_table
 
 AUDIT_TABLE = "meta_audit_table"
 # View property that notes the newest change merged.
@@ -37,7 +37,8 @@ class RawLoad:
 
     ``query`` replaces ``table`` as what is extracted.  ``key`` is needed for increments and
     makes a full load read in ``source_partitions`` parallel ranges of ``split_by``, a number,
-    date or timestamp, which is the key unless another column is named.  ``normalize`` brings the
+    date or timestamp, which is the key unless another column is named; ``balanced`` cuts these where equally many rows
+    lie between, for keys with gaps, at the price of sorting them in the database.  ``normalize`` brings the
     types to what the lake stores, with its columns of numbers without a precision
     (``unbounded``), row ids and ``dates`` without time of day.  ``overlap`` re-reads that much before the
     watermark; ``latest_only`` keeps the newest of several changes to one key.
@@ -63,6 +64,7 @@ class RawLoad:
     normalize: bool = False
     source_partitions: int = 1
     split_by: str | None = None
+    balanced: bool = False
     unbounded: tuple[str, ...] = ()
     row_ids: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
@@ -238,6 +240,8 @@ def _extract(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: b
     whole, split = _whole(spark, source, load, by_timestamp), load.split_by or load.key
     # Only a database needs ranges; file splits divide a lake table already.
     if isinstance(source, JdbcSource) and load.query is None and split is not None and load.source_partitions > 1:
+        if _can_split(whole, split) and load.balanced:
+            return extract_balanced(spark, source, load.table, split, load.source_partitions, by_timestamp=by_timestamp)
         if _can_split(whole, split):
             return extract_keyrange(spark, source, load.table, split, load.source_partitions, by_timestamp=by_timestamp)
     return whole

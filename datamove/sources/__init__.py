@@ -2,11 +2,13 @@ from datamove.sources.extract import (
     CatalogSource,
     JdbcSource,
     ParquetSource,
+    extract_balanced,
     extract_keyrange,
     extract_query,
     extract_table,
     key_bounds,
     key_range,
+    range_of,
 )
 from datamove.sources.files import FILE_TYPES, read_delimited, read_json_flat, select_files
 
@@ -15,11 +17,13 @@ __all__ = [
     "FILE_TYPES",
     "JdbcSource",
     "ParquetSource",
+    "extract_balanced",
     "extract_keyrange",
     "extract_query",
     "extract_table",
     "key_bounds",
     "key_range",
+    "range_of",
     "read_delimited",
     "read_json_flat",
     "select_files",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any, NamedTuple
@@ -86,6 +88,33 @@ class JdbcSource:
             numPartitions=str(partitions),
         )
 
+    def cuts(self, spark: SparkSession, table: str, key: str, partitions: int) -> list[Any]:
+        """Where ranges of equally many rows begin, all but the first; sorted out by the database."""
+        parts = f"SELECT {key} AS k, NTILE({partitions}) OVER (ORDER BY {key}) AS part FROM {table} WHERE {key} IS NOT NULL"
+        begins = self.query(spark, f"SELECT MIN(k) AS k FROM ({parts}) parts GROUP BY part")
+        return sorted({r[0] for r in begins.collect()})[1:]
+
+    def between(self, spark: SparkSession, table: str, key: str, cuts: Sequence[Any], by_timestamp: bool = False) -> DataFrame:
+        """One task for each range; rows without a key are in the first."""
+        marks = [self.literal(c) for c in cuts]
+        if not marks:
+            return self.table(spark, table, by_timestamp)
+        inner = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(marks, marks[1:])]
+        ranges = [f"{key} < {marks[0]} OR {key} IS NULL", *inner, f"{key} >= {marks[-1]}"]
+        settings = self.connection(by_timestamp)
+        return spark.read.jdbc(settings.pop("url"), table, predicates=ranges, properties=settings)
+
+    def literal(self, value: Any) -> str:
+        """A number, date or time as the database reads it in a statement."""
+        if isinstance(value, dt.datetime):
+            text = f"'{value.isoformat(sep=' ')}'"
+            return text if self.dialect == "MSSQL" else f"TIMESTAMP {text}"
+        if isinstance(value, dt.date):
+            return f"'{value.isoformat()}'" if self.dialect == "MSSQL" else f"DATE '{value.isoformat()}'"
+        if isinstance(value, (int, float, decimal.Decimal)):
+            return str(value)
+        raise TypeError(f"ranges need a number, date or time, not {type(value).__name__}")
+
     def _load(self, spark: SparkSession, by_timestamp: bool, **options: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.connection(by_timestamp), **options).load()
 
@@ -115,6 +144,19 @@ class CatalogSource:
         return self.table(spark, table, by_timestamp)
 
 
+    def cuts(self, spark: SparkSession, table: str, key: str, partitions: int) -> list[Any]:
+        if partitions < 2:
+            return []
+        # A sketch of the key column: its ranks are off by a hundredth of a range at most.
+        shares = [F.lit(i / partitions) for i in range(1, partitions)]
+        accuracy = F.lit(100 * partitions)
+        found = self.table(spark, table).agg(F.percentile_approx(key, F.array(*shares), accuracy).alias("cuts")).first()["cuts"]
+        return sorted(set(found or []))
+
+    def between(self, spark: SparkSession, table: str, key: str, cuts: Sequence[Any], by_timestamp: bool = False) -> DataFrame:
+        return self.table(spark, table, by_timestamp)
+
+
 @dataclass(frozen=True)
 class ParquetSource(CatalogSource):
     """Parquet tables addressed by path, ``location`` holding a ``{table}`` placeholder."""
@@ -165,6 +207,28 @@ def extract_keyrange(
     return source.ranges(spark, table, key, bounds, partitions, by_timestamp)
 
 
+def extract_balanced(
+    spark: SparkSession, source: Source, table: str, key: str, partitions: int, cuts: Sequence[Any] | None = None, by_timestamp: bool = False
+) -> DataFrame:
+    """The whole table, read by tasks that each take a range of about equally many rows, however the keys lie.
+
+    ``key`` is a number, date or timestamp; rows without one belong to the first range.  A value that many rows have
+    is not divided, so there may be fewer ranges.  A lake table is divided by its files' splits already.
+    """
+    if partitions < 2:
+        return extract_table(spark, source, table, by_timestamp)
+    cuts = source.cuts(spark, table, key, partitions) if cuts is None else cuts
+    return source.between(spark, table, key, cuts, by_timestamp)
+
+
+def range_of(key: str, cuts: Sequence[Any]) -> Column:
+    """Number of the range (from 0) that a row's key falls in; null keys are in range 0."""
+    at = F.lit(0)
+    if cuts:
+        at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(key)))
+    return F.when(F.col(key).isNull(), 0).otherwise(at).cast("int")
+
+
 def key_range(key: str, bounds: Bounds, partitions: int) -> Column:
     """Number of the range (from 0) a row's key falls in; null keys are in range 0."""
     if bounds.lower is None:

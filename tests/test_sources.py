@@ -1,14 +1,17 @@
 import pytest
+from pyspark.sql import functions as F
 
 from datamove.sources import (
     CatalogSource,
     JdbcSource,
     ParquetSource,
+    extract_balanced,
     extract_keyrange,
     extract_query,
     extract_table,
     key_bounds,
     key_range,
+    range_of,
 )
 from datamove.sources.extract import DRIVERS, Bounds
 
@@ -111,3 +114,36 @@ def test_bounds_read_one_column(spark, tmp_path, plan):
     spark.range(3).selectExpr("id", "id AS other").write.parquet(f"{tmp_path}/t")
     source = ParquetSource(location=f"{tmp_path}/{{table}}")
     assert "ReadSchema: struct<id:bigint>" in plan(source.bounds(spark, "t", "id"))
+
+
+def test_balanced_ranges_of_a_database():
+    import datetime
+    import types
+
+    asked = {}
+    reader = types.SimpleNamespace(jdbc=lambda url, table, predicates, properties: asked.update(url=url, table=table, predicates=predicates, properties=properties))
+    session = types.SimpleNamespace(read=reader)
+    source = oracle_source()
+    extract_balanced(session, source, "s.t", "id", 3, cuts=[10, 250])
+    assert asked["predicates"] == ["id < 10 OR id IS NULL", "id >= 10 AND id < 250", "id >= 250"]
+    assert asked["table"] == "s.t" and "url" not in asked["properties"] and asked["properties"]["driver"].startswith("oracle")
+    extract_balanced(session, source, "s.t", "d", 2, cuts=[datetime.date(2024, 1, 2)])
+    assert asked["predicates"] == ["d < DATE '2024-01-02' OR d IS NULL", "d >= DATE '2024-01-02'"]
+    moment = datetime.datetime(2024, 1, 2, 3, 4, 5)
+    assert source.literal(moment) == "TIMESTAMP '2024-01-02 03:04:05'"
+    assert JdbcSource("MSSQL", "u", "n", "p").literal(moment) == "'2024-01-02 03:04:05'"
+    with pytest.raises(TypeError):
+        source.literal("x")
+
+
+def test_balanced_ranges_follow_the_rows(spark, tmp_path):
+    spark.range(4_000).select((F.col("id") * F.col("id")).alias("k")).unionByName(spark.range(50).select(F.lit(None).cast("long").alias("k"))).write.parquet(f"{tmp_path}/t")
+    source = ParquetSource(location=f"{tmp_path}/{{table}}")
+    cuts = source.cuts(spark, "t", "k", 8)
+    rows = extract_balanced(spark, source, "t", "k", 8, cuts)
+    counts = {r["r"]: r["count"] for r in rows.groupBy(range_of("k", cuts).alias("r")).count().collect()}
+    assert sorted(counts) == list(range(8)) and abs(counts[0] - 550) < 20 and all(abs(counts[i] - 500) < 20 for i in range(1, 8))
+    assert source.cuts(spark, "t", "k", 1) == [] and range_of("k", []) is not None
+    spark.createDataFrame([], "k long").write.parquet(f"{tmp_path}/none")
+    assert source.cuts(spark, "none", "k", 8) == []
+    assert extract_balanced(spark, source, "none", "k", 8).count() == 0
