@@ -28,8 +28,8 @@ def json_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = load(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     customers.select(
         "c_custkey",
-        F.struct("c_name", F.struct("n_name", F.struct("r_name").alias("region")).alias("nation")).alias("who"),
-        F.struct("c_acctbal", "c_mktsegment").alias("account"),
+        F.struct("c_name", F.struct("n_nationkey", "n_name", F.struct("r_regionkey", "r_name").alias("region")).alias("nation")).alias("who"),
+        F.struct("c_nationkey", "c_acctbal", "c_mktsegment").alias("account"),
     ).write.json(landing)
     return read_json_flat(spark, landing, prefix="part", multi_line=False)
 
@@ -57,7 +57,7 @@ def delimited_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
-    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    customers = load(spark, sf_dir, "customer")
     customers.write.json(f"{landing}/json")
     load(spark, sf_dir, "supplier").write.option("header", True).csv(f"{landing}/deep/er/csv")
     # The CSV files of each nation lie two levels down.
@@ -68,7 +68,7 @@ def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = select_files(spark, f"{landing}/nations", "other", "CSV").unionByName(
         select_files(spark, f"{landing}/json", "", "CS")
     )
-    rows = read_delimited(spark, landing, "part", "CSV", schema="a string, b string, c string, d string")
+    rows = read_delimited(spark, landing, "part", "CSV", schema="a string, b string, c string, d string, e string")
 
     def counted(df: DataFrame, what: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
@@ -178,7 +178,7 @@ ORACLES = {
     """,
     "replace_after_stopped_run": _EVENTS,
     "read_json_flat": """
-        SELECT c_custkey, c_acctbal, c_mktsegment, c_name, n_name, r_name
+        SELECT customer.*, nation.n_nationkey, n_name, r_regionkey, r_name
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     """,
     "read_delimited_csv": """

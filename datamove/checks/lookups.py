@@ -4,18 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from datamove.checks.common import load
+from datamove.checks.common import load, readable
 from datamove.operators import Lookup, resolve_lookups
 
 
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = load(spark, sf_dir, "nation")
     filled = load(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
-    lines = load(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag"
-    )
     return resolve_lookups(
-        lines,
+        readable(load(spark, sf_dir, "lineitem")),
         [
             Lookup(load(spark, sf_dir, "supplier"), {"l_suppkey": "s_suppkey"}, {"s_nationkey": "s_nationkey"}),
             Lookup(filled, {"l_orderkey": "o_orderkey"}, {"o_custkey": "o_custkey"}, required=False),
@@ -40,7 +37,7 @@ def conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("many", F.when(F.col("n") != 2, F.col("n") > 2))
     )
     return resolve_lookups(
-        customers.select("c_custkey", F.lit("F").alias("status")),
+        customers.withColumn("status", F.lit("F")),
         [
             Lookup(
                 urgent,
@@ -58,7 +55,7 @@ QUERIES = {"resolve_lookups": resolved, "conditional_lookup": conditional}
 
 ORACLES = {
     "resolve_lookups": """
-        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_returnflag, s_nationkey, o_custkey,
+        SELECT lineitem.* REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate), s_nationkey, o_custkey,
                c_nationkey, sn.n_name AS supplier_nation, sn.n_regionkey, cn.n_name AS customer_nation,
                r_name AS supplier_region
         FROM lineitem
@@ -74,7 +71,7 @@ ORACLES = {
         WITH urgent AS (
             SELECT o_custkey, o_orderstatus, count(*) AS n, max(o_orderkey) AS newest
             FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2)
-        SELECT c_custkey, 'F' AS status, coalesce(n, 0) AS n, CASE WHEN n > 2 THEN newest END AS newest
+        SELECT customer.*, 'F' AS status, coalesce(n, 0) AS n, CASE WHEN n > 2 THEN newest END AS newest
         FROM customer LEFT JOIN urgent ON c_custkey = o_custkey AND o_orderstatus = 'F'
     """,
 }
