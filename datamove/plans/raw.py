@@ -125,7 +125,8 @@ def _full(spark: SparkSession, source: Source, load: RawLoad) -> None:
 def _increment(spark: SparkSession, source: Source, load: RawLoad) -> str:
     loaded = spark.table(load.target.table)
     watermark = _watermark(spark, load, loaded)
-    changed = changed_rows(_extract(spark, source, load, by_timestamp=True), watermark, load.update_column, load.overlap)
+    since = watermark - load.overlap if watermark is not None and load.overlap is not None else watermark
+    changed = changed_rows(_extract(spark, source, load, True, since), watermark, load.update_column, load.overlap)
     # The merge reads the increment more than once; a copy in the shared folder makes that
     # one read of the source, of one consistent state, that survives lost executors.
     staged = scratch_path(spark, "increment")
@@ -236,14 +237,18 @@ def _whole(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: boo
     return extract_table(spark, source, load.table, by_timestamp)
 
 
-def _extract(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: bool = False) -> DataFrame:
+def _extract(spark: SparkSession, source: Source, load: RawLoad, by_timestamp: bool = False, since: Any = None) -> DataFrame:
     whole, split = _whole(spark, source, load, by_timestamp), load.split_by or load.key
+    table = load.table
+    if isinstance(source, JdbcSource) and since is not None:
+        # Ranges of an increment lie between the keys of its own rows, and the database looks at no others.
+        table = f"(SELECT * FROM {load.table} WHERE {load.update_column} > {source.literal(since)}) changed"
     # Only a database needs ranges; file splits divide a lake table already.
     if isinstance(source, JdbcSource) and load.query is None and split is not None and load.source_partitions > 1:
         if _can_split(whole, split) and load.balanced:
-            return extract_balanced(spark, source, load.table, split, load.source_partitions, by_timestamp=by_timestamp)
+            return extract_balanced(spark, source, table, split, load.source_partitions, by_timestamp=by_timestamp)
         if _can_split(whole, split):
-            return extract_keyrange(spark, source, load.table, split, load.source_partitions, by_timestamp=by_timestamp)
+            return extract_keyrange(spark, source, table, split, load.source_partitions, by_timestamp=by_timestamp)
     return whole
 
 

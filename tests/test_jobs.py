@@ -270,3 +270,38 @@ def test_date_watermarks_are_noted(spark, place, tmp_path):
     feed = source(spark, f"{tmp_path}/3", [(2, days[1]), (3, days[2])], schema)
     assert load_raw(spark, feed, load).rows == 3
     assert load_raw(spark, feed, load).kind == "unchanged"
+
+
+@pytest.mark.parametrize("balanced", [False, True])
+def test_ranges_of_an_increment_are_those_of_its_rows(spark, place, tmp_path, balanced):
+    from dataclasses import dataclass
+
+    from datamove.plans import raw
+    from datamove.sources import JdbcSource
+
+    asked = []
+
+    @dataclass(frozen=True)
+    class Recorded(JdbcSource):
+        def table(self, spark, table, by_timestamp=False):
+            return spark.createDataFrame([], "id long, update_timestamp timestamp")
+
+        def bounds(self, spark, table, key):
+            asked.append(table)
+            return spark.createDataFrame([(1, 9, 9)], "lo long, hi long, n long")
+
+        def ranges(self, spark, table, key, bounds, partitions, by_timestamp=False):
+            asked.append(table)
+            return self.table(spark, table)
+
+        def cuts(self, spark, table, key, partitions):
+            asked.append(table)
+            return []
+
+    source = Recorded("ORACLE", "u", "n", "p")
+    load = RawLoad("s.t", place, key="id", incremental=True, source_partitions=4, balanced=balanced)
+    raw._extract(spark, source, load)
+    assert set(asked) == {"s.t"}
+    asked.clear()
+    raw._extract(spark, source, load, True, dt.datetime(2024, 1, 2, 3))
+    assert set(asked) == {"(SELECT * FROM s.t WHERE update_timestamp > TIMESTAMP '2024-01-02 03:00:00') changed"}
