@@ -184,13 +184,16 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_by: str | Sequ
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    complete = _all_present(keys)
-    newest_first = Window.partitionBy(*map(_quoted, keys)).orderBy(*[F.desc(_quoted(c)) for c in order], row_hash(df).desc())
-    latest = df.where(complete).withColumn(_PLACE, F.row_number().over(newest_first))
-    latest = latest.where(F.col(_PLACE) == 1).drop(_PLACE)
+    parts = list(keys)
     if any(df.schema[_stored_name(df, k)].nullable for k in keys):
-        latest = latest.unionByName(df.where(~complete))
-    return latest
+        # A row without a key is a group of its own, so one pass does for all.
+        alone = F.when(~_all_present(keys), F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
+        df = df.withColumn(_PIECE, alone)
+        parts.append(_PIECE)
+    ties = row_hash(df.drop(_PIECE)).desc()
+    newest_first = Window.partitionBy(*map(_quoted, parts)).orderBy(*[F.desc(_quoted(c)) for c in order], ties)
+    latest = df.withColumn(_PLACE, F.row_number().over(newest_first))
+    return latest.where(F.col(_PLACE) == 1).drop(_PLACE, _PIECE)
 
 
 def frequent_keys(df: DataFrame, key: str, share: float | None = None) -> list[Any]:
